@@ -1,0 +1,241 @@
+"""The collection pipeline as one DataFrame plan over all collections.
+
+Inputs (canonical tables)
+  docs(collection, doc_id, doc_ord, filename, text)   -- the manifest joined to document text
+  jobs(collection, persona, task)
+
+Outputs
+  ranks        (collection, doc_id, doc_ord, filename, score, rerank, bi_rank, final_score, importance_rank)
+  sections     (collection, document, section_title, importance_rank, page_number)  <= top_sections per collection
+  subsections  (collection, document, refined_text, page_number, importance_rank)   <= top_subsections per collection
+  results      one row per collection: metadata struct + the two arrays
+
+Plan notes
+  * Per-document work (pages, headings, section page, key lines) is in-row.
+  * Full ranks use the skew-safe ``rank_within``; the top-k cuts use
+    WindowGroupLimit, so a hot collection sends at most k rows per map task.
+  * Headings and title search run only for each collection's top sections:
+    rank first, keep documents with text, cut to k, then read their pages.
+  * Arrays collected per collection are bounded by k; the list of input
+    documents is not collected (it grows with the collection) -- the sink
+    writes it as rows next to the result.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quire.functions import text as T
+from quire.operators import extract as X
+from quire.operators import pages as P
+from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, top_k
+from quire.operators.similarity import term_overlap, tfidf_scores
+
+
+@dataclass
+class JobConfig:
+    relevance_keywords: Sequence[str] = field(default_factory=lambda: list(T.DEFAULT_RELEVANCE_KEYWORDS))
+    action_words: Sequence[str] = field(default_factory=lambda: list(T.DEFAULT_ACTION_WORDS))
+    lines_per_page: int | None = 4
+    rank_text: str = "template"        # "template": file-name templates (job default); "body": document text
+    rerank: bool = True                # second stage on the top ``rerank_top`` documents
+    rerank_top: int = 10
+    top_sections: int = 5
+    top_subsections: int = 5
+    summarize: bool = True             # extractive summary before the template fallback
+    min_overlap: float | None = None   # page relevance fallback on job-term overlap
+    min_similarity: float | None = None  # documented cut-off on the first-stage score (off by default)
+    restrict_to_sections: bool = False  # subsections only from section documents
+    first_pages: int = 5
+
+
+def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Documents of collections that have a job, with job fields, type and query text."""
+    j = jobs.select(
+        "collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query")
+    )
+    d = docs.join(bounded_broadcast(j), "collection")
+    return d.withColumn("doc_type", T.document_type("filename"))
+
+
+def _rank_texts(d: DataFrame, cfg: JobConfig) -> DataFrame:
+    if cfg.rank_text == "body":
+        return d.withColumn("bi_text", F.col("text")).withColumn("re_text", F.col("text"))
+    return d.withColumn("bi_text", T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")).withColumn(
+        "re_text", T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
+    )
+
+
+def rank(prepared: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Importance rank of every document of every collection."""
+    d = _rank_texts(prepared, cfg)
+    scores = tfidf_scores(
+        d.select("collection", "doc_id", F.col("bi_text").alias("text")),
+        jobs_q.select("collection", "query"),
+    )
+    base = d.select("collection", "doc_id", "doc_ord", "filename", "query", "re_text").join(scores, ["collection", "doc_id"])
+    if cfg.min_similarity is not None:
+        base = base.where(F.col("score") >= cfg.min_similarity)
+    if cfg.rerank:
+        if cfg.rank_text == "body":
+            base = base.withColumn("rerank", F.col("overlap"))
+        else:
+            base = base.withColumn("rerank", F.round(term_overlap("re_text", "query"), 9))
+        r = hybrid_rank(base, top=cfg.rerank_top)
+    else:
+        r = rank_documents(base).withColumn("final_score", F.col("score")).withColumn("rerank", F.lit(None).cast("double"))
+        r = r.withColumn("importance_rank", F.col("bi_rank"))
+    r = r.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank", "bi_rank", "final_score", "importance_rank")
+    # a file name listed twice carries the rank assigned last (the larger one)
+    looked = rank_lookup(r.select("collection", "doc_id", "filename"), r.select("collection", "filename", "importance_rank"))
+    return r.drop("importance_rank").join(looked.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+
+
+def jobs_with_query(jobs: DataFrame) -> DataFrame:
+    return jobs.select("collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query"))
+
+
+def sections(prepared: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs: DataFrame | None = None) -> DataFrame:
+    """Best section of each collection's top documents (documents with text only)."""
+    with_pages = prepared.withColumn("pages", P.page_array("text", cfg.lines_per_page))
+    has_text = with_pages.where(F.size("pages") > 0).select("collection", "doc_id")
+    cand = has_text.join(ranks.select("collection", "doc_id", "doc_ord", "importance_rank"), ["collection", "doc_id"])
+    top = top_k(cand, ["collection"], ["importance_rank", "doc_ord", "doc_id"], cfg.top_sections).select(
+        "collection", "doc_id", "importance_rank"
+    )
+    # at most top_sections rows per job, so the jobs table bounds this side
+    if jobs is not None:
+        top = bounded_broadcast(top, max_rows=200_000 // max(cfg.top_sections, 1), witness=jobs)
+    chosen = with_pages.join(top, ["collection", "doc_id"])
+    titles = P.heading_titles("pages", first_n=cfg.first_pages)
+    fallback = T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type")
+    out = chosen.withColumn("section_title", F.coalesce(F.get(titles, 0), fallback))
+    return out.select(
+        "collection",
+        F.col("filename").alias("document"),
+        "section_title",
+        "importance_rank",
+        P.section_page("pages", "section_title").alias("page_number"),
+        "doc_id",
+        "doc_ord",
+    )
+
+
+def subsection_candidates(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Relevant first pages with their refined text (all documents)."""
+    d = prepared.select(
+        "collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query",
+        P.first_pages(P.page_array("text", cfg.lines_per_page), cfg.first_pages).alias("pages"),
+    )
+    pg = P.explode_pages(d, ["collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query"])
+    job_terms = F.array_distinct(T.terms(F.col("query")))
+    overlap = term_overlap("text", "query") if cfg.min_overlap is not None else None
+    rel = pg.where(X.relevant("text", cfg.relevance_keywords, overlap_col=overlap, min_overlap=cfg.min_overlap))
+    refined = X.refined_text("text", "doc_type", "task", job_terms if cfg.summarize else None, cfg.action_words, cfg.summarize)
+    return rel.withColumn("refined_text", refined).where(F.col("refined_text").isNotNull() & (F.col("refined_text") != ""))
+
+
+def subsections(prepared: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None) -> DataFrame:
+    cand = subsection_candidates(prepared, cfg).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+    if cfg.restrict_to_sections and section_rows is not None:
+        cand = cand.join(section_rows.select("collection", "doc_id"), ["collection", "doc_id"], "left_semi")
+    top = top_k(cand, ["collection"], ["importance_rank", "page_number", "doc_ord", "doc_id"], cfg.top_subsections)
+    return top.select(
+        "collection",
+        F.col("filename").alias("document"),
+        "refined_text",
+        "page_number",
+        "importance_rank",
+        "doc_id",
+        "doc_ord",
+    )
+
+
+def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None) -> dict[str, DataFrame]:
+    """All outputs of the pipeline as lazy DataFrames."""
+    cfg = cfg or JobConfig()
+    prepared = prepare(docs, jobs, cfg)
+    jq = jobs_with_query(jobs)
+    ranks = rank(prepared, jq, cfg)
+    sec = sections(prepared, ranks, cfg, jobs)
+    sub = subsections(prepared, ranks, cfg, sec)
+    return {"prepared": prepared, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
+
+
+def model_label(cfg: JobConfig) -> str:
+    return "tfidf-cosine + term-overlap rerank" if cfg.rerank else "tfidf-cosine"
+
+
+def result_documents(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outputs: dict | None = None) -> DataFrame:
+    """One row per collection (with a job and documents): metadata + arrays."""
+    cfg = cfg or JobConfig()
+    out = outputs or run(docs, jobs, cfg)
+    n_docs = docs.groupBy("collection").agg(F.count(F.lit(1)).alias("n_input_documents"))
+    sec = out["sections"].groupBy("collection").agg(
+        F.array_sort(
+            F.collect_list(F.struct("importance_rank", "doc_ord", "doc_id", "document", "section_title", "page_number"))
+        ).alias("_s")
+    )
+    sub = out["subsections"].groupBy("collection").agg(
+        F.array_sort(
+            F.collect_list(F.struct("importance_rank", "page_number", "doc_ord", "doc_id", "document", "refined_text"))
+        ).alias("_u")
+    )
+    res = (
+        out["jobs"].join(n_docs, "collection")
+        .join(sec, "collection", "left")
+        .join(sub, "collection", "left")
+    )
+    sections_arr = F.transform(
+        F.coalesce(F.col("_s"), F.array()),
+        lambda s: F.struct(
+            s["document"].alias("document"), s["section_title"].alias("section_title"),
+            s["importance_rank"].alias("importance_rank"), s["page_number"].alias("page_number"),
+        ),
+    )
+    subs_arr = F.transform(
+        F.coalesce(F.col("_u"), F.array()),
+        lambda s: F.struct(
+            s["document"].alias("document"), s["refined_text"].alias("refined_text"), s["page_number"].alias("page_number"),
+        ),
+    )
+    meta = F.struct(
+        F.col("n_input_documents").alias("input_document_count"),
+        F.col("persona").alias("persona"),
+        F.col("task").alias("job_to_be_done"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processing_timestamp"),
+        F.lit(model_label(cfg)).alias("similarity_model"),
+    )
+    return res.select(
+        "collection",
+        meta.alias("metadata"),
+        sections_arr.alias("extracted_sections"),
+        subs_arr.alias("subsection_analysis"),
+    )
+
+
+def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outputs: dict | None = None) -> DataFrame:
+    """Per collection: documents, documents with text, sections, subsection
+    candidates and subsections kept."""
+    cfg = cfg or JobConfig()
+    out = outputs or run(docs, jobs, cfg)
+    prepared = out["prepared"]
+    per_doc = prepared.select(
+        "collection", (F.size(P.page_array("text", cfg.lines_per_page)) > 0).cast("int").alias("has_text")
+    ).groupBy("collection").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text"))
+    cands = subsection_candidates(prepared, cfg).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
+    n_sec = out["sections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_sections"))
+    n_sub = out["subsections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_subsections"))
+    res = per_doc.join(cands, "collection", "left").join(n_sec, "collection", "left").join(n_sub, "collection", "left")
+    return res.select(
+        "collection",
+        F.col("n_documents").cast("bigint").alias("n_documents"),
+        F.col("n_with_text").cast("bigint").alias("n_with_text"),
+        F.coalesce("n_sections", F.lit(0)).cast("bigint").alias("n_sections"),
+        F.coalesce("n_candidates", F.lit(0)).cast("bigint").alias("n_candidates"),
+        F.coalesce("n_subsections", F.lit(0)).cast("bigint").alias("n_subsections"),
+    )
