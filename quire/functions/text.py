@@ -82,6 +82,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Spark evaluates an outer expression referenced inside a higher-order
+    function's lambda once per element; binding it through a one-element
+    ``transform`` evaluates it once per row instead.
+    """
+    return F.get(F.transform(F.array(_col(value)), body), 0)
+
+
 def ustrip(c) -> Column:
     """Python ``str.strip()``: remove Unicode blanks (and U+001C..U+001F) at both ends."""
     return F.regexp_replace(_col(c), _STRIP_RX, "")
@@ -148,23 +158,25 @@ def _java_literal(s: str) -> str:
     return re.sub(r"([\\.\[\]{}()*+?^$|\-&~#])", r"\\\1", s)
 
 
-def contains_any(c, words: Sequence[str]) -> Column:
-    """True when the lower-cased text contains any of ``words`` as a substring."""
+def contains_any(c, words: Sequence[str], bind: bool = False) -> Column:
+    """True when the lower-cased text contains any of ``words`` as a substring.
+
+    ``bind=True`` lower-cases once via ``let`` (use inside lambdas, where
+    common subexpressions are not shared); in plain projections whole-stage
+    codegen shares ``lower(c)`` already.
+    """
     words = [w.lower() for w in words]
     if not words:
         return F.lit(False)
-    low = F.lower(_col(c))
-    out = None
-    for w in words:
-        t = low.contains(w)
-        out = t if out is None else (out | t)
-    return out
 
+    def any_of(low):
+        out = None
+        for w in words:
+            t = low.contains(w)
+            out = t if out is None else (out | t)
+        return out
 
-def count_contained(c, words_col: Column) -> Column:
-    """Number of entries of an array column contained in the lower-cased text."""
-    low = F.lower(_col(c))
-    return F.size(F.filter(words_col, lambda w: low.contains(w)))
+    return let(F.lower(_col(c)), any_of) if bind else any_of(F.lower(_col(c)))
 
 
 def clean_response(c) -> Column:
@@ -205,5 +217,9 @@ def terms(c, min_len: int = 4) -> Column:
     return F.filter(runs, lambda w: F.length(w) >= min_len)
 
 
+def distinct_terms(c, min_len: int = 4) -> Column:
+    return F.array_distinct(terms(c, min_len))
+
+
 def first_words(c, n: int) -> Column:
     return F.array_join(F.slice(split_words(c), 1, n), " ")

@@ -50,14 +50,16 @@ def actionable_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WO
     """Stripped lines with an action word and 20 < length < 200, in order."""
     return F.filter(
         lines_of(text_col),
-        lambda l: T.contains_any(l, action_words) & (F.length(l) > T.ACTION_LINE_MIN) & (F.length(l) < T.ACTION_LINE_MAX),
+        lambda l: T.contains_any(l, action_words, bind=True) & (F.length(l) > T.ACTION_LINE_MIN) & (F.length(l) < T.ACTION_LINE_MAX),
     )
 
 
 def key_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, n: int = 3) -> Column:
     """First ``n`` actionable lines joined by a space; NULL when there is none."""
-    act = actionable_lines(text_col, action_words)
-    return F.when(F.size(act) > 0, F.array_join(F.slice(act, 1, n), " "))
+    return T.let(
+        actionable_lines(text_col, action_words),
+        lambda act: F.when(F.size(act) > 0, F.array_join(F.slice(act, 1, n), " ")),
+    )
 
 
 def summary_sentences(text_col, job_terms_col, n: int = SUMMARY_SENTENCES, context_chars: int = T.SUMMARY_CONTEXT_CHARS) -> Column:
@@ -70,18 +72,23 @@ def summary_sentences(text_col, job_terms_col, n: int = SUMMARY_SENTENCES, conte
     """
     ctx = T.collapse_ws(F.substring(T._col(text_col), 1, context_chars))
     sents = F.filter(F.transform(F.regexp_extract_all(ctx, F.lit(SENTENCE_PATTERN), 1), T.ustrip), lambda s: s != "")
-    jt = F.array_distinct(T._col(job_terms_col))
-    scored = F.transform(
-        sents,
-        lambda s, i: F.struct(
-            (-F.size(F.array_intersect(F.array_distinct(T.terms(s)), jt))).alias("neg"),
-            i.alias("pos"),
-            s.alias("s"),
-        ),
-    )
-    best = F.slice(F.array_sort(F.filter(scored, lambda x: x["neg"] < 0)), 1, n)
-    ordered = F.array_sort(F.transform(best, lambda x: F.struct(x["pos"].alias("pos"), x["s"].alias("s"))))
-    return F.when(F.size(best) > 0, F.array_join(F.transform(ordered, lambda x: x["s"]), " "))
+
+    def score_all(jt):
+        return F.transform(
+            sents,
+            lambda s, i: F.struct(
+                (-F.size(F.array_intersect(F.array_distinct(T.terms(s)), jt))).alias("neg"),
+                i.alias("pos"),
+                s.alias("s"),
+            ),
+        )
+
+    def pick(best):
+        ordered = F.array_sort(F.transform(best, lambda x: F.struct(x["pos"].alias("pos"), x["s"].alias("s"))))
+        return F.when(F.size(best) > 0, F.array_join(F.transform(ordered, lambda x: x["s"]), " "))
+
+    scored = T.let(F.array_distinct(T._col(job_terms_col)), score_all)
+    return T.let(F.slice(F.array_sort(F.filter(scored, lambda x: x["neg"] < 0)), 1, n), pick)
 
 
 def refined_text(text_col, doc_type_col, task_col, job_terms_col=None,

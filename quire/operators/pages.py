@@ -30,15 +30,17 @@ def page_array(text_col, lines_per_page: int | None = 4, page_break: str = "\f")
     """
     text = F.coalesce(T._col(text_col), F.lit(""))
     if lines_per_page:
-        lines = F.split(text, "\n", -1)
-        n_pages = F.ceil(F.size(lines) / F.lit(lines_per_page)).cast("int")
-        raw = F.transform(
-            F.sequence(F.lit(0), n_pages - 1),
-            lambda i: F.struct(
-                (i + 1).cast("int").alias("page_number"),
-                T.ustrip(F.array_join(F.slice(lines, i * lines_per_page + 1, lines_per_page), "\n")).alias("text"),
-            ),
-        )
+        def paginate(lines):
+            n_pages = F.ceil(F.size(lines) / F.lit(lines_per_page)).cast("int")
+            return F.transform(
+                F.sequence(F.lit(0), n_pages - 1),
+                lambda i: F.struct(
+                    (i + 1).cast("int").alias("page_number"),
+                    T.ustrip(F.array_join(F.slice(lines, i * lines_per_page + 1, lines_per_page), "\n")).alias("text"),
+                ),
+            )
+
+        raw = T.let(F.split(text, "\n", -1), paginate)
     else:
         raw = F.transform(
             F.split(text, page_break, -1),
@@ -92,6 +94,7 @@ def heading_titles(pages_col, max_titles: int = T.MAX_TITLES, first_n: int = 5)
     """
     pages = first_pages(pages_col, first_n)
     lines = F.flatten(F.transform(pages, lambda p: lines_of(p["text"])))
+    # lines is the argument array of the filter below: evaluated once
     cand = F.filter(
         lines,
         lambda l: l.rlike(T.HEADING_PATTERN)
@@ -116,15 +119,17 @@ def section_page(pages_col, title_col) -> Column:
     """
     pages = T._col(pages_col)
     title = T._col(title_col)
-    low_title = F.lower(title)
-    exact = F.filter(pages, lambda p: F.lower(p["text"]).contains(low_title))
+    # one lower-cased copy of each page, bound once per row
+    low_pages = F.transform(pages, lambda p: F.struct(p["page_number"].alias("n"), F.lower(p["text"]).alias("t")))
     kws = F.transform(F.filter(T.split_words(title), lambda w: F.length(w) > 3), F.lower)
-    by_words = F.filter(
-        pages,
-        lambda p: F.size(F.filter(kws, lambda k: F.lower(p["text"]).contains(k))) * 2 >= F.size(kws),
-    )
-    return F.coalesce(
-        F.get(exact, 0)["page_number"],
-        F.get(by_words, 0)["page_number"],
-        F.lit(1),
-    ).cast("int")
+
+    def search(b):
+        exact = F.filter(b["pages"], lambda p: p["t"].contains(b["title"]))
+        by_words = F.filter(
+            b["pages"],
+            lambda p: F.size(F.filter(b["kws"], lambda k: p["t"].contains(k))) * 2 >= F.size(b["kws"]),
+        )
+        return F.coalesce(F.get(exact, 0)["n"], F.get(by_words, 0)["n"], F.lit(1))
+
+    bound = F.struct(low_pages.alias("pages"), F.lower(title).alias("title"), kws.alias("kws"))
+    return T.let(bound, search).cast("int")

@@ -10,12 +10,12 @@ TF-IDF (per collection):
   cosine     sum(w * q) / (|w| * |q|), 0 when either norm is 0
   overlap    distinct query terms found in d / distinct query terms
 
-Plan shape: term rows are aggregated with map-side combine; the query-term
-table (one row per collection and query term, bounded by the job texts) is
-joined to the document terms before any document-level aggregation, so only
-matching term rows reach the dot-product aggregate.  The full term table is
-shuffled once more, on (collection, term), for the document norms; a hot term
-in a hot collection meets a one-row idf side, which AQE's skew join splits.
+Plan shape: the document-term table is built in-row (no shuffle) and is
+shuffled once, on (collection, term), to
+meet its idf (a hot term in a hot collection meets a one-row idf side, which
+AQE's skew join splits), then left-joined to the broadcast query-term table
+(one row per collection and query term, size-checked) and aggregated per
+document -- norm, dot product and hit count in one pass.
 """
 
 from __future__ import annotations
@@ -29,12 +29,37 @@ from quire.operators.ranking import bounded_broadcast
 SCORE_DIGITS = 9
 
 
+def term_freqs(text_col, min_len: int = 4) -> Column:
+    """In-row term frequencies: ``array<struct<term, tf>>`` of a text.
+
+    The document's terms are sorted and each run of equal terms becomes one
+    entry, so (document, term) counts need no shuffle.
+    """
+    def runs_of(ts):
+        n = F.size(ts)
+
+        def emit(starts):
+            return F.transform(
+                starts,
+                lambda s, j: F.struct(
+                    F.get(ts, s - 1).alias("term"),
+                    (F.coalesce(F.get(starts, j + 1), n + 1) - s).cast("long").alias("tf"),
+                ),
+            )
+
+        starts = F.filter(
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+            lambda i: (i <= n) & ((i == 1) | (F.get(ts, i - 1) != F.get(ts, i - 2))),
+        )
+        return T.let(starts, emit)
+
+    return T.let(F.array_sort(T.terms(T._col(text_col), min_len)), runs_of)
+
+
 def term_counts(df: DataFrame, keys: list[str], text_col: str, min_len: int = 4) -> DataFrame:
-    """keys + (term, tf)."""
-    return (
-        df.select(*keys, F.explode(T.terms(F.col(text_col), min_len)).alias("term"))
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """keys + (term, tf), counted in-row (rows of one key set stay in its task)."""
+    return df.select(*keys, F.explode(term_freqs(F.col(text_col), min_len)).alias("_t")).select(
+        *keys, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
     )
 
 
@@ -51,6 +76,10 @@ def tfidf_scores(
 
     ``queries`` has one row per group with the query text.  Scores are rounded
     to ``SCORE_DIGITS`` decimals so that ties are stable across engines.
+
+    One aggregate per document yields the norm, the dot product and the
+    number of query terms hit: the document-term table is joined to idf and
+    then left-joined to the (broadcast, size-checked) query-term table.
     """
     doc_keys = docs.select(group, key)
     dt = term_counts(docs, [group, key], text_col, min_len)
@@ -61,33 +90,35 @@ def tfidf_scores(
         .join(n_docs, group)
         .select(group, "term", F.log(1.0 + F.col("n_docs") / F.col("df")).alias("idf"))
     )
-    norms = (
+    qt = term_counts(queries, [group], query_col, min_len).withColumnRenamed("tf", "qtf")
+    w = F.col("tf") * F.col("idf")
+    qw = F.col("qtf") * F.col("idf")
+    per_doc = (
         dt.join(idf, [group, "term"])
+        .join(bounded_broadcast(qt), [group, "term"], "left")
         .groupBy(group, key)
-        .agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("dnorm"))
-    )
-    qt = term_counts(queries, [group], query_col, min_len).withColumnRenamed("tf", "qtf")
-    q_terms = qt.groupBy(group).agg(F.count(F.lit(1)).alias("n_qterms"))
-    qw = qt.join(idf, [group, "term"], "left").select(
-        group, "term", F.coalesce(F.col("qtf") * F.col("idf"), F.lit(0.0)).alias("qw"), F.col("idf")
+        .agg(
+            F.sqrt(F.sum(F.pow(w, 2))).alias("dnorm"),
+            F.sum(w * qw).alias("dot"),
+            F.count("qtf").alias("n_hit"),
+        )
     )
-    qnorm = qw.groupBy(group).agg(F.sqrt(F.sum(F.pow("qw", 2))).alias("qnorm"))
-    hits = (
-        dt.join(bounded_broadcast(qw, witness=qt), [group, "term"])
-        .groupBy(group, key)
+    per_query = (
+        qt.join(idf, [group, "term"], "left")
+        .groupBy(group)
         .agg(
-            F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot"),
-            F.count(F.lit(1)).alias("n_hit"),
+            F.sqrt(F.sum(F.pow(F.coalesce(qw, F.lit(0.0)), 2))).alias("qnorm"),
+            F.count(F.lit(1)).alias("n_qterms"),
         )
     )
-    out = (
-        doc_keys.join(norms, [group, key], "left")
-        .join(hits, [group, key], "left")
-        .join(bounded_broadcast(qnorm.join(q_terms, group), witness=queries), group, "left")
+    out = doc_keys.join(per_doc, [group, key], "left").join(
+        bounded_broadcast(per_query, witness=queries), group, "left"
     )
     denom = F.col("dnorm") * F.col("qnorm")
     score = F.when(F.coalesce(denom, F.lit(0.0)) > 0, F.coalesce(F.col("dot"), F.lit(0.0)) / denom).otherwise(0.0)
-    overlap = F.when(F.coalesce(F.col("n_qterms"), F.lit(0)) > 0, F.coalesce(F.col("n_hit"), F.lit(0)) / F.col("n_qterms")).otherwise(0.0)
+    overlap = F.when(
+        F.coalesce(F.col("n_qterms"), F.lit(0)) > 0, F.coalesce(F.col("n_hit"), F.lit(0)) / F.col("n_qterms")
+    ).otherwise(0.0)
     return out.select(
         group,
         key,
@@ -98,10 +129,11 @@ def tfidf_scores(
 
 def term_overlap(doc_text, query_text, min_len: int = 4) -> Column:
     """In-row overlap: distinct query terms present in the text / distinct query terms."""
-    q = F.array_distinct(T.terms(query_text, min_len))
-    d = F.array_distinct(T.terms(doc_text, min_len))
-    hit = F.size(F.array_intersect(q, d))
-    return F.when(F.size(q) > 0, hit / F.size(q)).otherwise(F.lit(0.0))
+    def ratio(q):
+        hit = F.size(F.array_intersect(q, F.array_distinct(T.terms(doc_text, min_len))))
+        return F.when(F.size(q) > 0, hit / F.size(q)).otherwise(F.lit(0.0))
+
+    return T.let(F.array_distinct(T.terms(query_text, min_len)), ratio)
 
 
 # --------------------------------------------------------------------------- dense vectors
