@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import materialize
+
 # Upper bound (rows) for a side that is broadcast explicitly.  Larger sides
 # are left to AQE, which broadcasts at run time when the measured size is
 # below spark.sql.adaptive.autoBroadcastJoinThreshold and shuffles otherwise.
@@ -45,19 +47,21 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence, name: str
     """Add ``name`` = 1..N per group in ``order`` (which must be a total order,
     e.g. end with a unique id).  Skew-safe: see the module doc.
 
-    The range exchange uses an explicit partition count, which AQE does not
-    coalesce, and both consumers read the same (reused) exchange, so the
-    partition ids seen by the counts and by the rows agree.
+    The range-sorted rows with their partition id and position are written
+    once as a table under ``spark.checkpoint.dir``; the per-partition counts
+    and the numbering both read that table, so they cannot disagree, and the
+    upstream plan is not re-run for the second consumer.
     """
     group = list(group)
     keys = [F.col(g) for g in group] + _order_cols(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (
+    s = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_rp", F.spark_partition_id())
-        .withColumn("_ri", F.monotonically_increasing_id())
+        .withColumn("_ri", F.monotonically_increasing_id()),
+        "rank",
     )
     firsts = s.groupBy("_rp", *group).agg(F.min("_ri").alias("_rfirst"), F.count(F.lit(1)).alias("_rn"))
     w = Window.partitionBy(*group).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators.ranking import bounded_broadcast
+from quire.session import materialize
 
 SCORE_DIGITS = 9
 
@@ -76,13 +77,27 @@ def tfidf_scores(
 
     ``queries`` has one row per group with the query text.  Scores are rounded
     to ``SCORE_DIGITS`` decimals so that ties are stable across engines.
+    """
+    dt = materialize(term_counts(docs, [group, key], text_col, min_len), "terms")
+    return tfidf_from_terms(dt, docs.select(group, key), queries, group, key, query_col, min_len)
+
+
+def tfidf_from_terms(
+    dt: DataFrame,
+    doc_keys: DataFrame,
+    queries: DataFrame,
+    group: str = "collection",
+    key: str = "doc_id",
+    query_col: str = "query",
+    min_len: int = 4,
+) -> DataFrame:
+    """TF-IDF cosine and overlap from a document-term table (group, key, term, tf).
 
-    One aggregate per document yields the norm, the dot product and the
-    number of query terms hit: the document-term table is joined to idf and
-    then left-joined to the (broadcast, size-checked) query-term table.
+    ``dt`` should be a stored table (see ``quire.session.materialize``): it is
+    read twice -- for document frequencies and for the per-document aggregate
+    (norm, dot product and hits in one pass, after the idf join and a left
+    join to the broadcast, size-checked query-term table).
     """
-    doc_keys = docs.select(group, key)
-    dt = term_counts(docs, [group, key], text_col, min_len)
     n_docs = doc_keys.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
     idf = (
         dt.groupBy(group, "term")

@@ -11,11 +11,11 @@ Outputs
   results      one row per collection: metadata struct + the two arrays
 
 Plan notes
+  * One pass over the text writes a per-document feature table (terms, page
+    count, best title and its page, first pages); nothing reads the text again.
   * Per-document work (pages, headings, section page, key lines) is in-row.
   * Full ranks use the skew-safe ``rank_within``; the top-k cuts use
     WindowGroupLimit, so a hot collection sends at most k rows per map task.
-  * Headings and title search run only for each collection's top sections:
-    rank first, keep documents with text, cut to k, then read their pages.
   * Arrays collected per collection are bounded by k; the list of input
     documents is not collected (it grows with the collection) -- the sink
     writes it as rows next to the result.
@@ -33,7 +33,8 @@ from quire.functions import text as T
 from quire.operators import extract as X
 from quire.operators import pages as P
 from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, top_k
-from quire.operators.similarity import term_overlap, tfidf_scores
+from quire.operators.similarity import term_freqs, term_overlap, tfidf_from_terms
+from quire.session import materialize
 
 
 @dataclass
@@ -62,29 +63,58 @@ def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
     return d.withColumn("doc_type", T.document_type("filename"))
 
 
-def _rank_texts(d: DataFrame, cfg: JobConfig) -> DataFrame:
+def features(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
+    """One pass over the document text, stored once.
+
+    Per document: term frequencies of the ranking text, number of non-blank
+    pages, best section title (first heading, else the fallback template)
+    and its page, and the first pages.  Everything downstream reads this
+    table; the text column is not scanned again.
+    """
     if cfg.rank_text == "body":
-        return d.withColumn("bi_text", F.col("text")).withColumn("re_text", F.col("text"))
-    return d.withColumn("bi_text", T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")).withColumn(
-        "re_text", T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
+        rank_text = F.col("text")
+    else:
+        rank_text = T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")
+    fallback = T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type")
+
+    def per_doc(pages):
+        title = F.coalesce(F.get(P.heading_titles(pages, first_n=cfg.first_pages), 0), fallback)
+        return T.let(
+            title,
+            lambda t: F.struct(
+                F.size(pages).alias("n_pages"),
+                t.alias("section_title"),
+                P.section_page(pages, t).alias("section_page"),
+                P.first_pages(pages, cfg.first_pages).alias("first_pages"),
+            ),
+        )
+
+    f = prepared.select(
+        "collection", "doc_id", "doc_ord", "filename", "doc_type", "persona", "task", "query",
+        T.let(P.page_array("text", cfg.lines_per_page), per_doc).alias("_f"),
+        term_freqs(rank_text).alias("terms"),
     )
+    return materialize(f.select("*", "_f.*").drop("_f"), "features")
 
 
-def rank(prepared: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
+def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
     """Importance rank of every document of every collection."""
-    d = _rank_texts(prepared, cfg)
-    scores = tfidf_scores(
-        d.select("collection", "doc_id", F.col("bi_text").alias("text")),
-        jobs_q.select("collection", "query"),
+    dt = materialize(
+        feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
+            "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
+        ),
+        "terms",
     )
-    base = d.select("collection", "doc_id", "doc_ord", "filename", "query", "re_text").join(scores, ["collection", "doc_id"])
+    scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q.select("collection", "query"))
+    base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type", "query").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
         base = base.where(F.col("score") >= cfg.min_similarity)
     if cfg.rerank:
         if cfg.rank_text == "body":
             base = base.withColumn("rerank", F.col("overlap"))
         else:
-            base = base.withColumn("rerank", F.round(term_overlap("re_text", "query"), 9))
+            re_text = T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
+            base = base.withColumn("rerank", F.round(term_overlap(re_text, "query"), 9))
         r = hybrid_rank(base, top=cfg.rerank_top)
     else:
         r = rank_documents(base).withColumn("final_score", F.col("score")).withColumn("rerank", F.lit(None).cast("double"))
@@ -99,39 +129,27 @@ def jobs_with_query(jobs: DataFrame) -> DataFrame:
     return jobs.select("collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query"))
 
 
-def sections(prepared: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs: DataFrame | None = None) -> DataFrame:
+def sections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig) -> DataFrame:
     """Best section of each collection's top documents (documents with text only)."""
-    with_pages = prepared.withColumn("pages", P.page_array("text", cfg.lines_per_page))
-    has_text = with_pages.where(F.size("pages") > 0).select("collection", "doc_id")
-    cand = has_text.join(ranks.select("collection", "doc_id", "doc_ord", "importance_rank"), ["collection", "doc_id"])
-    top = top_k(cand, ["collection"], ["importance_rank", "doc_ord", "doc_id"], cfg.top_sections).select(
-        "collection", "doc_id", "importance_rank"
+    cand = feats.where(F.col("n_pages") > 0).select("collection", "doc_id", "filename", "section_title", "section_page").join(
+        ranks.select("collection", "doc_id", "doc_ord", "importance_rank"), ["collection", "doc_id"]
     )
-    # at most top_sections rows per job, so the jobs table bounds this side
-    if jobs is not None:
-        top = bounded_broadcast(top, max_rows=200_000 // max(cfg.top_sections, 1), witness=jobs)
-    chosen = with_pages.join(top, ["collection", "doc_id"])
-    titles = P.heading_titles("pages", first_n=cfg.first_pages)
-    fallback = T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type")
-    out = chosen.withColumn("section_title", F.coalesce(F.get(titles, 0), fallback))
-    return out.select(
+    top = top_k(cand, ["collection"], ["importance_rank", "doc_ord", "doc_id"], cfg.top_sections)
+    return top.select(
         "collection",
         F.col("filename").alias("document"),
         "section_title",
         "importance_rank",
-        P.section_page("pages", "section_title").alias("page_number"),
+        F.col("section_page").alias("page_number"),
         "doc_id",
         "doc_ord",
     )
 
 
-def subsection_candidates(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
+def subsection_candidates(feats: DataFrame, cfg: JobConfig) -> DataFrame:
     """Relevant first pages with their refined text (all documents)."""
-    d = prepared.select(
-        "collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query",
-        P.first_pages(P.page_array("text", cfg.lines_per_page), cfg.first_pages).alias("pages"),
-    )
-    pg = P.explode_pages(d, ["collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query"])
+    keys = ["collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query"]
+    pg = P.explode_pages(feats.select(*keys, F.col("first_pages").alias("pages")), keys)
     job_terms = F.array_distinct(T.terms(F.col("query")))
     overlap = term_overlap("text", "query") if cfg.min_overlap is not None else None
     rel = pg.where(X.relevant("text", cfg.relevance_keywords, overlap_col=overlap, min_overlap=cfg.min_overlap))
@@ -139,8 +157,8 @@ def subsection_candidates(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
     return rel.withColumn("refined_text", refined).where(F.col("refined_text").isNotNull() & (F.col("refined_text") != ""))
 
 
-def subsections(prepared: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None) -> DataFrame:
-    cand = subsection_candidates(prepared, cfg).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None) -> DataFrame:
+    cand = subsection_candidates(feats, cfg).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
     if cfg.restrict_to_sections and section_rows is not None:
         cand = cand.join(section_rows.select("collection", "doc_id"), ["collection", "doc_id"], "left_semi")
     top = top_k(cand, ["collection"], ["importance_rank", "page_number", "doc_ord", "doc_id"], cfg.top_subsections)
@@ -158,12 +176,12 @@ def subsections(prepared: DataFrame, ranks: DataFrame, cfg: JobConfig, section_r
 def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None) -> dict[str, DataFrame]:
     """All outputs of the pipeline as lazy DataFrames."""
     cfg = cfg or JobConfig()
-    prepared = prepare(docs, jobs, cfg)
+    feats = features(prepare(docs, jobs, cfg), cfg)
     jq = jobs_with_query(jobs)
-    ranks = rank(prepared, jq, cfg)
-    sec = sections(prepared, ranks, cfg, jobs)
-    sub = subsections(prepared, ranks, cfg, sec)
-    return {"prepared": prepared, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
+    ranks = rank(feats, jq, cfg)
+    sec = sections(feats, ranks, cfg)
+    sub = subsections(feats, ranks, cfg, sec)
+    return {"features": feats, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
 
 
 def model_label(cfg: JobConfig) -> str:
@@ -174,7 +192,7 @@ def result_documents(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = N
     """One row per collection (with a job and documents): metadata + arrays."""
     cfg = cfg or JobConfig()
     out = outputs or run(docs, jobs, cfg)
-    n_docs = docs.groupBy("collection").agg(F.count(F.lit(1)).alias("n_input_documents"))
+    n_docs = out["features"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_input_documents"))
     sec = out["sections"].groupBy("collection").agg(
         F.array_sort(
             F.collect_list(F.struct("importance_rank", "doc_ord", "doc_id", "document", "section_title", "page_number"))
@@ -223,11 +241,11 @@ def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outpu
     candidates and subsections kept."""
     cfg = cfg or JobConfig()
     out = outputs or run(docs, jobs, cfg)
-    prepared = out["prepared"]
-    per_doc = prepared.select(
-        "collection", (F.size(P.page_array("text", cfg.lines_per_page)) > 0).cast("int").alias("has_text")
-    ).groupBy("collection").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text"))
-    cands = subsection_candidates(prepared, cfg).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
+    feats = out["features"]
+    per_doc = feats.select("collection", (F.col("n_pages") > 0).cast("int").alias("has_text")).groupBy("collection").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text")
+    )
+    cands = subsection_candidates(feats, cfg).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
     n_sec = out["sections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_sections"))
     n_sub = out["subsections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_subsections"))
     res = per_doc.join(cands, "collection", "left").join(n_sec, "collection", "left").join(n_sub, "collection", "left")

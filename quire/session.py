@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as a parquet table under the checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor does not re-run the upstream plan) and
+    lets several consumers read one computed result.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

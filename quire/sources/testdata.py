@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread the rows of a table stored in fewer files than the cluster
+    has task slots (a single-row-group file is read by one task).  Large
+    inputs come in many files and are left as scanned, without a shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def filename_col(doc_id="doc_id", source="source", lang="lang"):
     d, s, l = F.col(doc_id), F.col(source), F.col(lang)
     return F.when(d % 2 == 0, F.concat(s, F.lit(" - "), l, F.lit("_"), d.cast("string"), F.lit(".txt"))).otherwise(
@@ -32,7 +42,7 @@ def filename_col(doc_id="doc_id", source="source", lang="lang"):
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """docs(collection, doc_id, doc_ord, filename, text)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("source").alias("collection"),
         F.col("doc_id"),
