@@ -17,7 +17,7 @@ def con():
 
 
 def canon(rows):
-    return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows)
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
