@@ -70,6 +70,11 @@ def read_specs(spark: SparkSession, root: str, spec_name: str = SPEC_NAME) -> tu
         .json(f"{root.rstrip('/')}/*/{spec_name}")
         .select("*", F.col("_metadata.file_path").alias("path"))
     )
+    return split_specs(raw)
+
+
+def split_specs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good/quarantine split of raw spec rows (SPEC_SCHEMA plus ``path``)."""
     raw = raw.withColumn("collection", _parent_dir(F.col("path")))
     reason = (
         F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed json"))
