@@ -95,22 +95,36 @@ def hybrid_rank(
     rerank_weight: float = RERANK_WEIGHT,
     first_weight: float = FIRST_STAGE_WEIGHT,
     digits: int = 9,
+    with_bi_rank: bool = True,
 ) -> DataFrame:
     """Two-stage rank.
 
-    Stage 1 ranks by ``score`` (ties by ``doc_ord``).  The first ``top`` rows
+    Stage 1 orders by ``score`` (ties by ``doc_ord``).  The first ``top`` rows
     of each group get ``rerank_weight * rerank + first_weight * score``, the
     others keep ``score`` (scales are mixed on purpose, so a tail row can pass
     a re-ranked one).  Stage 2 ranks by that blended score, ties keep stage-1
-    order.  Adds bi_rank, final_score and importance_rank.
+    order.  Adds final_score, importance_rank and (``with_bi_rank``) bi_rank.
+
+    Only the final rank needs a full ranking: membership of the first stage's
+    top rows is a top-k (WindowGroupLimit), and ordering by (blended desc,
+    stage-1 rank) equals ordering by (blended desc, in-top desc, score desc,
+    doc_ord, key).
     """
-    r1 = rank_documents(scored, score, group, ord_col, key, "bi_rank")
+    stage1 = [F.col(score).desc(), F.col(ord_col).asc(), F.col(key).asc()]
+    if with_bi_rank:
+        r1 = rank_within(scored, [group], stage1, "bi_rank")
+        in_top = F.col("bi_rank") <= top
+    else:
+        heads = top_k(scored.select(group, key, score, ord_col), [group], stage1, top).select(group, key, F.lit(True).alias("_top"))
+        r1 = scored.join(heads, [group, key], "left")
+        in_top = F.coalesce(F.col("_top"), F.lit(False))
     blended = F.when(
-        F.col("bi_rank") <= top,
+        in_top,
         F.lit(rerank_weight).cast("double") * F.col(rerank) + F.lit(first_weight).cast("double") * F.col(score),
     ).otherwise(F.col(score))
-    r1 = r1.withColumn("final_score", F.round(blended, digits))
-    return rank_within(r1, [group], [F.col("final_score").desc(), F.col("bi_rank").asc()], "importance_rank")
+    r1 = r1.withColumn("final_score", F.round(blended, digits)).withColumn("_in_top", in_top)
+    order = [F.col("final_score").desc(), F.col("_in_top").desc(), *stage1]
+    return rank_within(r1, [group], order, "importance_rank").drop("_in_top", "_top")
 
 
 def rank_lookup(manifest: DataFrame, ranks: DataFrame, group: str = "collection", name_col: str = "filename", rank_col: str = "importance_rank") -> DataFrame:

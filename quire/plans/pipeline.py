@@ -5,7 +5,7 @@ Inputs (canonical tables)
   jobs(collection, persona, task)
 
 Outputs
-  ranks        (collection, doc_id, doc_ord, filename, score, rerank, bi_rank, final_score, importance_rank)
+  ranks        (collection, doc_id, doc_ord, filename, score, rerank, final_score, importance_rank)
   sections     (collection, document, section_title, importance_rank, page_number)  <= top_sections per collection
   subsections  (collection, document, refined_text, page_number, importance_rank)   <= top_subsections per collection
   results      one row per collection: metadata struct + the two arrays
@@ -99,11 +99,9 @@ def features(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
 
 def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
     """Importance rank of every document of every collection."""
-    dt = materialize(
-        feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
-            "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
-        ),
-        "terms",
+    # exploding the stored feature table is cheap: no separate term table
+    dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
+        "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
     )
     scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q.select("collection", "query"))
     base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type", "query").join(scores, ["collection", "doc_id"])
@@ -115,11 +113,11 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
         else:
             re_text = T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
             base = base.withColumn("rerank", F.round(term_overlap(re_text, "query"), 9))
-        r = hybrid_rank(base, top=cfg.rerank_top)
+        r = hybrid_rank(base, top=cfg.rerank_top, with_bi_rank=False)
     else:
-        r = rank_documents(base).withColumn("final_score", F.col("score")).withColumn("rerank", F.lit(None).cast("double"))
-        r = r.withColumn("importance_rank", F.col("bi_rank"))
-    r = r.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank", "bi_rank", "final_score", "importance_rank")
+        r = rank_documents(base, name="importance_rank").withColumn("final_score", F.col("score"))
+        r = r.withColumn("rerank", F.lit(None).cast("double"))
+    r = r.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank", "final_score", "importance_rank")
     # a file name listed twice carries the rank assigned last (the larger one)
     looked = rank_lookup(r.select("collection", "doc_id", "filename"), r.select("collection", "filename", "importance_rank"))
     return r.drop("importance_rank").join(looked.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
