@@ -92,9 +92,13 @@ def summary_sentences(text_col, job_terms_col, n: int = SUMMARY_SENTENCES, conte
 
 
 def refined_text(text_col, doc_type_col, task_col, job_terms_col=None,
-                 action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, summarize: bool = True) -> Column:
-    """Key lines, else extractive summary, else the fallback template."""
+                 action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, summarize: bool = True,
+                 generated_col=None) -> Column:
+    """Key lines, else a supplied generated summary, else the extractive
+    summary, else the fallback template."""
     options = [key_lines(text_col, action_words)]
+    if generated_col is not None:
+        options.append(T._col(generated_col))
     if summarize and job_terms_col is not None:
         options.append(summary_sentences(text_col, job_terms_col))
     options.append(T.fill(T.FALLBACK_SUMMARY_TEMPLATE, doc_type=doc_type_col, task=task_col))

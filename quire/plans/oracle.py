@@ -277,6 +277,17 @@ def build() -> dict[str, str]:
         f"CAST(length({rel_p}) AS BIGINT) AS relevance_prompt_len, md5({sum_p}) AS summary_prompt_md5, "
         f"CAST(length({sum_p}) AS BIGINT) AS summary_prompt_len, md5({tit_p}) AS titles_prompt_md5 FROM fp"
     )
+    q["q_generation_requests"] = with_(DOCS, JOBS, PAGES, JPAGES, headings_ctes("pages")) + f"""
+SELECT d.collection, CAST(d.doc_id AS BIGINT) AS doc_id, CAST(NULL AS BIGINT) AS page_number, 'titles' AS kind, md5({tit_p}) AS prompt_md5
+FROM jdocs d
+WHERE EXISTS (SELECT 1 FROM pages p WHERE p.collection = d.collection AND p.doc_id = d.doc_id)
+  AND NOT EXISTS (SELECT 1 FROM titles t WHERE t.collection = d.collection AND t.doc_id = d.doc_id)
+UNION ALL
+SELECT collection, CAST(doc_id AS BIGINT), page_number, 'relevance', md5({rel_p}) FROM fp
+WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND NOT {contains_any('text', kws)}
+UNION ALL
+SELECT collection, CAST(doc_id AS BIGINT), page_number, 'summary', md5({sum_p}) FROM fp
+WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND {contains_any('text', kws)} AND {key_lines('text', acts)} IS NULL"""
     q["q_clean"] = with_(responses_cte()) + f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, {clean('response')} AS cleaned FROM responses"
     resp = "CASE WHEN conv_id % 2 = 0 THEN '1. ' || replace(text, chr(10), chr(10) || '2. ') ELSE text END"
     tl = (

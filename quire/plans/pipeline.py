@@ -54,6 +54,16 @@ class JobConfig:
     first_pages: int = 5
 
 
+@dataclass
+class Responses:
+    """Outputs of an external generator for the requests of
+    ``generation_requests``: titles (collection, doc_id, response); verdicts
+    and summaries (collection, doc_id, page_number, response)."""
+    titles: DataFrame | None = None
+    verdicts: DataFrame | None = None
+    summaries: DataFrame | None = None
+
+
 def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
     """Documents of collections that have a job, with job fields, type and query text."""
     j = jobs.select(
@@ -63,31 +73,45 @@ def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
     return d.withColumn("doc_type", T.document_type("filename"))
 
 
-def features(prepared: DataFrame, cfg: JobConfig) -> DataFrame:
+def features(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | None = None) -> DataFrame:
     """One pass over the document text, stored once.
 
     Per document: term frequencies of the ranking text, number of non-blank
-    pages, best section title (first heading, else the fallback template)
-    and its page, and the first pages.  Everything downstream reads this
-    table; the text column is not scanned again.
+    pages, whether a heading was found, best section title (first heading,
+    else the first generated title when ``title_responses`` (collection,
+    doc_id, response) is given, else the fallback template) and its page,
+    and the first pages.  Everything downstream reads this table; the text
+    column is not scanned again.
     """
     if cfg.rank_text == "body":
         rank_text = F.col("text")
     else:
         rank_text = T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")
     fallback = T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type")
+    generated = F.lit(None)
+    if title_responses is not None:
+        # a response is cleaned first (blank runs become one space), then parsed
+        gen = title_responses.select(
+            "collection", "doc_id", T.parse_titles(T.clean_response("response")).alias("_gen")
+        )
+        prepared = prepared.join(gen, ["collection", "doc_id"], "left")
+        generated = F.get(F.col("_gen"), 0)
 
     def per_doc(pages):
-        title = F.coalesce(F.get(P.heading_titles(pages, first_n=cfg.first_pages), 0), fallback)
-        return T.let(
-            title,
-            lambda t: F.struct(
-                F.size(pages).alias("n_pages"),
-                t.alias("section_title"),
-                P.section_page(pages, t).alias("section_page"),
-                P.first_pages(pages, cfg.first_pages).alias("first_pages"),
-            ),
-        )
+        def with_headings(heads):
+            title = F.coalesce(F.get(heads, 0), generated, fallback)
+            return T.let(
+                title,
+                lambda t: F.struct(
+                    F.size(pages).alias("n_pages"),
+                    (F.size(heads) > 0).alias("has_heading"),
+                    t.alias("section_title"),
+                    P.section_page(pages, t).alias("section_page"),
+                    P.first_pages(pages, cfg.first_pages).alias("first_pages"),
+                ),
+            )
+
+        return T.let(P.heading_titles(pages, first_n=cfg.first_pages), with_headings)
 
     f = prepared.select(
         "collection", "doc_id", "doc_ord", "filename", "doc_type", "persona", "task", "query",
@@ -144,19 +168,67 @@ def sections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig) -> DataFrame:
     )
 
 
-def subsection_candidates(feats: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Relevant first pages with their refined text (all documents)."""
-    keys = ["collection", "doc_id", "doc_ord", "filename", "doc_type", "task", "query"]
-    pg = P.explode_pages(feats.select(*keys, F.col("first_pages").alias("pages")), keys)
+def first_page_rows(feats: DataFrame) -> DataFrame:
+    keys = ["collection", "doc_id", "doc_ord", "filename", "doc_type", "persona", "task", "query"]
+    return P.explode_pages(feats.select(*keys, F.col("first_pages").alias("pages")), keys)
+
+
+def _page_responses(pg: DataFrame, responses: DataFrame | None, name: str) -> DataFrame:
+    if responses is None:
+        return pg.withColumn(name, F.lit(None).cast("string"))
+    r = responses.select("collection", "doc_id", "page_number", T.clean_response("response").alias(name))
+    return pg.join(r, ["collection", "doc_id", "page_number"], "left")
+
+
+def subsection_candidates(feats: DataFrame, cfg: JobConfig, verdict_responses: DataFrame | None = None,
+                          summary_responses: DataFrame | None = None) -> DataFrame:
+    """Relevant first pages with their refined text (all documents).
+
+    Optional generator outputs, keyed (collection, doc_id, page_number,
+    response): verdicts decide pages of >= 150 characters without keyword
+    ("yes" in the cleaned response); summaries come after key lines and
+    before the extractive summary.
+    """
+    pg = _page_responses(_page_responses(first_page_rows(feats), verdict_responses, "_verdict"), summary_responses, "_summary")
     job_terms = F.array_distinct(T.terms(F.col("query")))
     overlap = term_overlap("text", "query") if cfg.min_overlap is not None else None
-    rel = pg.where(X.relevant("text", cfg.relevance_keywords, overlap_col=overlap, min_overlap=cfg.min_overlap))
-    refined = X.refined_text("text", "doc_type", "task", job_terms if cfg.summarize else None, cfg.action_words, cfg.summarize)
-    return rel.withColumn("refined_text", refined).where(F.col("refined_text").isNotNull() & (F.col("refined_text") != ""))
+    verdict = T.verdict("_verdict") if verdict_responses is not None else None
+    rel = pg.where(X.relevant("text", cfg.relevance_keywords, overlap_col=overlap, min_overlap=cfg.min_overlap, verdict_col=verdict))
+    refined = X.refined_text("text", "doc_type", "task", job_terms if cfg.summarize else None, cfg.action_words, cfg.summarize,
+                             generated_col=F.nullif(F.col("_summary"), F.lit("")) if summary_responses is not None else None)
+    out = rel.withColumn("refined_text", refined).where(F.col("refined_text").isNotNull() & (F.col("refined_text") != ""))
+    return out.drop("_verdict", "_summary")
+
+
+def generation_requests(feats: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Prompts for an external generator, only where the pipeline would ask one:
+    documents with text but no heading (titles), first pages of >= 150
+    characters without keyword (relevance), relevant pages without key lines
+    (summary).  (collection, doc_id, page_number, kind, prompt)."""
+    docs = feats.where((F.col("n_pages") > 0) & ~F.col("has_heading")).select(
+        "collection", "doc_id", F.lit(None).cast("int").alias("page_number"), F.lit("titles").alias("kind"),
+        T.fill(T.TITLES_PROMPT_TEMPLATE, doc_type="doc_type", persona="persona", task="task").alias("prompt"),
+    )
+    pg = first_page_rows(feats)
+    long_enough = F.length("text") >= T.MIN_RELEVANT_PAGE_CHARS
+    keyword = T.contains_any("text", cfg.relevance_keywords)
+    rel = pg.where(long_enough & ~keyword).select(
+        "collection", "doc_id", "page_number", F.lit("relevance").alias("kind"),
+        T.fill(T.RELEVANCE_PROMPT_TEMPLATE, filename="filename", persona="persona", task="task",
+               context=F.substring("text", 1, T.RELEVANCE_CONTEXT_CHARS)).alias("prompt"),
+    )
+    summ = pg.where(long_enough & keyword & X.key_lines("text", cfg.action_words).isNull()).select(
+        "collection", "doc_id", "page_number", F.lit("summary").alias("kind"),
+        T.fill(T.SUMMARY_PROMPT_TEMPLATE, doc_type="doc_type", persona="persona", task="task",
+               context=F.substring("text", 1, T.SUMMARY_CONTEXT_CHARS)).alias("prompt"),
+    )
+    return docs.unionByName(rel).unionByName(summ)
 
 
-def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None) -> DataFrame:
-    cand = subsection_candidates(feats, cfg).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None,
+                responses: Responses | None = None) -> DataFrame:
+    responses = responses or Responses()
+    cand = subsection_candidates(feats, cfg, responses.verdicts, responses.summaries).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
     if cfg.restrict_to_sections and section_rows is not None:
         cand = cand.join(section_rows.select("collection", "doc_id"), ["collection", "doc_id"], "left_semi")
     top = top_k(cand, ["collection"], ["importance_rank", "page_number", "doc_ord", "doc_id"], cfg.top_subsections)
@@ -171,14 +243,15 @@ def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows
     )
 
 
-def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None) -> dict[str, DataFrame]:
-    """All outputs of the pipeline as lazy DataFrames."""
+def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, responses: Responses | None = None) -> dict[str, DataFrame]:
+    """All outputs of the pipeline (features and ranks are stored tables)."""
     cfg = cfg or JobConfig()
-    feats = features(prepare(docs, jobs, cfg), cfg)
+    responses = responses or Responses()
+    feats = features(prepare(docs, jobs, cfg), cfg, responses.titles)
     jq = jobs_with_query(jobs)
     ranks = rank(feats, jq, cfg)
     sec = sections(feats, ranks, cfg)
-    sub = subsections(feats, ranks, cfg, sec)
+    sub = subsections(feats, ranks, cfg, sec, responses)
     return {"features": feats, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
 
 

@@ -21,6 +21,10 @@ _LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # small local inputs: keep all cores busy (split small files, do not merge
+    # small shuffle partitions into one task)
+    "spark.sql.files.openCostInBytes": str(128 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 * 1024),
     "spark.driver.memory": "8g",
 }
 

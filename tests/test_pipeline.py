@@ -107,3 +107,27 @@ def test_result_invariant_to_partitioning(spark):
     b = PL.run(TD.docs(spark, sf).repartition(3), TD.jobs(spark, sf), C.TEST_CONFIG)["sections"]
     cols = ["collection", "document", "section_title", "importance_rank", "page_number"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_generator_hooks(spark):
+    long_plain = "plain words only " * 10          # 170 characters, no keyword
+    docs = spark.createDataFrame(
+        [("c", 1, 1, "notes_a.txt", "lower case start\nno heading here"),
+         ("c", 2, 2, "notes_b.txt", "Real Heading Here: intro\n" + long_plain)],
+        "collection string, doc_id long, doc_ord long, filename string, text string")
+    jobs = spark.createDataFrame([("c", "Analyst", "find things")], "collection string, persona string, task string")
+    cfg = PL.JobConfig(lines_per_page=100, rank_text="body")
+    feats = PL.features(PL.prepare(docs, jobs, cfg), cfg)
+    req = {(r.doc_id, r.kind) for r in PL.generation_requests(feats, cfg).collect()}
+    assert req == {(1, "titles"), (2, "relevance")}
+    responses = PL.Responses(
+        titles=spark.createDataFrame([("c", 1, 'Answer: "Generated Title Here"\nsecond line')], "collection string, doc_id long, response string"),
+        verdicts=spark.createDataFrame([("c", 2, 1, "Yes.")], "collection string, doc_id long, page_number int, response string"),
+        summaries=spark.createDataFrame([("c", 2, 1, "Summary: the gist.")], "collection string, doc_id long, page_number int, response string"),
+    )
+    out = PL.run(docs, jobs, cfg, responses)
+    titles = {r.document: r.section_title for r in out["sections"].collect()}
+    # the cleaned response is one line, so the parsed list has one title
+    assert titles == {"notes_a.txt": "Generated Title Here\" second line", "notes_b.txt": "Real Heading Here"}
+    subs = [(r.document, r.refined_text) for r in out["subsections"].collect()]
+    assert subs == [("notes_b.txt", "the gist.")]
