@@ -67,6 +67,14 @@ MIN_RELEVANT_PAGE_CHARS = 150
 MAX_TITLES = 3
 # ---------------------------------------------------------------------------
 
+# Unicode letters whose title case differs from their upper case (Unicode data,
+# as used by str.title()).
+TITLECASE_SPECIAL = {
+    "ß": "Ss", "ﬀ": "Ff", "ﬁ": "Fi", "ﬂ": "Fl", "ﬃ": "Ffi", "ﬄ": "Ffl", "ﬅ": "St", "ﬆ": "St",
+    "Ǆ": "ǅ", "ǅ": "ǅ", "ǆ": "ǅ", "Ǉ": "ǈ", "ǈ": "ǈ", "ǉ": "ǈ",
+    "Ǌ": "ǋ", "ǋ": "ǋ", "ǌ": "ǋ", "Ǳ": "ǲ", "ǲ": "ǲ", "ǳ": "ǲ",
+}
+
 # Python's str.isspace() set: Unicode White_Space plus the four separators
 # U+001C..U+001F.  Java's (?U)\s is White_Space only.
 _WS = r"[\s\x1c-\x1f]"
@@ -111,11 +119,16 @@ def title_case(c) -> Column:
     """Python ``str.title()``: a cased letter is upper-cased when the previous
     character is not cased, lower-cased otherwise (``initcap`` only looks at spaces)."""
     runs = F.regexp_extract_all(_col(c), F.lit(_CASE_RUNS_RX), 1)
+    special = F.create_map(*[F.lit(x) for kv in TITLECASE_SPECIAL.items() for x in kv])
+
+    def head(first):
+        return F.coalesce(F.try_element_at(special, first), F.upper(first))
+
     fixed = F.transform(
         runs,
         lambda r: F.when(
             r.rlike(rf"^[{_CASED}]"),
-            F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, _BIG))),
+            F.concat(head(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, _BIG))),
         ).otherwise(r),
     )
     return F.array_join(fixed, "")
