@@ -127,12 +127,19 @@ def hybrid_rank(
     return rank_within(r1, [group], order, "importance_rank").drop("_in_top", "_top")
 
 
-def rank_lookup(manifest: DataFrame, ranks: DataFrame, group: str = "collection", name_col: str = "filename", rank_col: str = "importance_rank") -> DataFrame:
+def rank_lookup(manifest: DataFrame, ranks: DataFrame, group: str = "collection", name_col: str = "filename",
+                rank_col: str = "importance_rank", groups_witness: DataFrame | None = None) -> DataFrame:
     """Rank of each manifest entry by file name, default ``n + 1`` (n = entries
     in the collection's manifest).  A file name listed twice takes the larger
-    (later-assigned) rank for every entry carrying it."""
+    (later-assigned) rank for every entry carrying it.
+
+    ``groups_witness`` (e.g. the jobs table) bounds the number of collections;
+    with it the per-collection counts are broadcast, otherwise AQE plans the
+    collection-keyed join (broadcast at run time or skew-split)."""
     by_name = ranks.groupBy(group, name_col).agg(F.max(rank_col).alias("_r"))
     n = manifest.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    if groups_witness is not None:
+        n = bounded_broadcast(n, witness=groups_witness)
     return (
         manifest.join(by_name, [group, name_col], "left")
         .join(n, group)

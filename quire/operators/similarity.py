@@ -98,7 +98,16 @@ def tfidf_from_terms(
     (norm, dot product and hits in one pass, after the idf join and a left
     join to the broadcast, size-checked query-term table).
     """
-    n_docs = doc_keys.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
+    # Only collections with a query can score above 0.  Restricting the work
+    # to them also bounds every per-collection table by the query table, so
+    # the collection-keyed joins below broadcast instead of hashing a hot
+    # collection into one task.
+    qgroups = bounded_broadcast(queries.select(group).distinct(), witness=queries)
+    dt = dt.join(qgroups, group, "left_semi")
+    n_docs = bounded_broadcast(
+        doc_keys.join(qgroups, group, "left_semi").groupBy(group).agg(F.count(F.lit(1)).alias("n_docs")),
+        witness=queries,
+    )
     idf = (
         dt.groupBy(group, "term")
         .agg(F.count(F.lit(1)).alias("df"))

@@ -143,7 +143,8 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
         r = r.withColumn("rerank", F.lit(None).cast("double"))
     r = r.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank", "final_score", "importance_rank")
     # a file name listed twice carries the rank assigned last (the larger one)
-    looked = rank_lookup(r.select("collection", "doc_id", "filename"), r.select("collection", "filename", "importance_rank"))
+    looked = rank_lookup(r.select("collection", "doc_id", "filename"), r.select("collection", "filename", "importance_rank"),
+                         groups_witness=jobs_q)
     return r.drop("importance_rank").join(looked.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
 
 
