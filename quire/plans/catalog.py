@@ -161,7 +161,7 @@ def q_prompts(spark, sf):
 def q_generation_requests(spark, sf):
     """PRJ8/PL3/FLT8/VS5 contract: prompts only where the pipeline would ask a generator."""
     feats = PL.features(PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG), TEST_CONFIG)
-    r = PL.generation_requests(feats, TEST_CONFIG)
+    r = PL.generation_requests(feats, TEST_CONFIG, PL.jobs_with_query(_jobs(spark, sf)))
     return r.select("collection", _big("doc_id").alias("doc_id"), _big("page_number").alias("page_number"), "kind",
                     F.md5("prompt").alias("prompt_md5"))
 

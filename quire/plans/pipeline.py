@@ -114,7 +114,7 @@ def features(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | N
         return T.let(P.heading_titles(pages, first_n=cfg.first_pages), with_headings)
 
     f = prepared.select(
-        "collection", "doc_id", "doc_ord", "filename", "doc_type", "persona", "task", "query",
+        "collection", "doc_id", "doc_ord", "filename", "doc_type",
         T.let(P.page_array("text", cfg.lines_per_page), per_doc).alias("_f"),
         term_freqs(rank_text).alias("terms"),
     )
@@ -128,7 +128,7 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
         "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
     )
     scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q.select("collection", "query"))
-    base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type", "query").join(scores, ["collection", "doc_id"])
+    base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
         base = base.where(F.col("score") >= cfg.min_similarity)
     if cfg.rerank:
@@ -136,7 +136,9 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
             base = base.withColumn("rerank", F.col("overlap"))
         else:
             re_text = T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
-            base = base.withColumn("rerank", F.round(term_overlap(re_text, "query"), 9))
+            base = with_job(base, jobs_q, "query").withColumn("rerank", F.round(term_overlap(re_text, "query"), 9))
+        # keep the stored rank table narrow
+        base = base.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank")
         r = hybrid_rank(base, top=cfg.rerank_top, with_bi_rank=False)
     else:
         r = rank_documents(base, name="importance_rank").withColumn("final_score", F.col("score"))
@@ -152,6 +154,12 @@ def jobs_with_query(jobs: DataFrame) -> DataFrame:
     return jobs.select("collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query"))
 
 
+def with_job(df: DataFrame, jobs_q: DataFrame, *cols: str) -> DataFrame:
+    """Attach job fields by collection (one row per job: size-checked broadcast).
+    Job texts are not stored per document; they are joined where needed."""
+    return df.join(bounded_broadcast(jobs_q.select("collection", *cols)), "collection")
+
+
 def sections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig) -> DataFrame:
     """Best section of each collection's top documents (documents with text only)."""
     cand = feats.where(F.col("n_pages") > 0).select("collection", "doc_id", "filename", "section_title", "section_page").join(
@@ -169,9 +177,10 @@ def sections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig) -> DataFrame:
     )
 
 
-def first_page_rows(feats: DataFrame) -> DataFrame:
-    keys = ["collection", "doc_id", "doc_ord", "filename", "doc_type", "persona", "task", "query"]
-    return P.explode_pages(feats.select(*keys, F.col("first_pages").alias("pages")), keys)
+def first_page_rows(feats: DataFrame, jobs_q: DataFrame) -> DataFrame:
+    keys = ["collection", "doc_id", "doc_ord", "filename", "doc_type"]
+    pg = P.explode_pages(feats.select(*keys, F.col("first_pages").alias("pages")), keys)
+    return with_job(pg, jobs_q, "persona", "task", "query")
 
 
 def _page_responses(pg: DataFrame, responses: DataFrame | None, name: str) -> DataFrame:
@@ -181,7 +190,7 @@ def _page_responses(pg: DataFrame, responses: DataFrame | None, name: str) -> Da
     return pg.join(r, ["collection", "doc_id", "page_number"], "left")
 
 
-def subsection_candidates(feats: DataFrame, cfg: JobConfig, verdict_responses: DataFrame | None = None,
+def subsection_candidates(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame, verdict_responses: DataFrame | None = None,
                           summary_responses: DataFrame | None = None) -> DataFrame:
     """Relevant first pages with their refined text (all documents).
 
@@ -190,7 +199,7 @@ def subsection_candidates(feats: DataFrame, cfg: JobConfig, verdict_responses: D
     ("yes" in the cleaned response); summaries come after key lines and
     before the extractive summary.
     """
-    pg = _page_responses(_page_responses(first_page_rows(feats), verdict_responses, "_verdict"), summary_responses, "_summary")
+    pg = _page_responses(_page_responses(first_page_rows(feats, jobs_q), verdict_responses, "_verdict"), summary_responses, "_summary")
     job_terms = F.array_distinct(T.terms(F.col("query")))
     overlap = term_overlap("text", "query") if cfg.min_overlap is not None else None
     verdict = T.verdict("_verdict") if verdict_responses is not None else None
@@ -201,16 +210,16 @@ def subsection_candidates(feats: DataFrame, cfg: JobConfig, verdict_responses: D
     return out.drop("_verdict", "_summary")
 
 
-def generation_requests(feats: DataFrame, cfg: JobConfig) -> DataFrame:
+def generation_requests(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame) -> DataFrame:
     """Prompts for an external generator, only where the pipeline would ask one:
     documents with text but no heading (titles), first pages of >= 150
     characters without keyword (relevance), relevant pages without key lines
     (summary).  (collection, doc_id, page_number, kind, prompt)."""
-    docs = feats.where((F.col("n_pages") > 0) & ~F.col("has_heading")).select(
+    docs = with_job(feats.where((F.col("n_pages") > 0) & ~F.col("has_heading")), jobs_q, "persona", "task").select(
         "collection", "doc_id", F.lit(None).cast("int").alias("page_number"), F.lit("titles").alias("kind"),
         T.fill(T.TITLES_PROMPT_TEMPLATE, doc_type="doc_type", persona="persona", task="task").alias("prompt"),
     )
-    pg = first_page_rows(feats)
+    pg = first_page_rows(feats, jobs_q)
     long_enough = F.length("text") >= T.MIN_RELEVANT_PAGE_CHARS
     keyword = T.contains_any("text", cfg.relevance_keywords)
     rel = pg.where(long_enough & ~keyword).select(
@@ -226,10 +235,10 @@ def generation_requests(feats: DataFrame, cfg: JobConfig) -> DataFrame:
     return docs.unionByName(rel).unionByName(summ)
 
 
-def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, section_rows: DataFrame | None = None,
+def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs_q: DataFrame, section_rows: DataFrame | None = None,
                 responses: Responses | None = None) -> DataFrame:
     responses = responses or Responses()
-    cand = subsection_candidates(feats, cfg, responses.verdicts, responses.summaries).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+    cand = subsection_candidates(feats, cfg, jobs_q, responses.verdicts, responses.summaries).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
     if cfg.restrict_to_sections and section_rows is not None:
         cand = cand.join(section_rows.select("collection", "doc_id"), ["collection", "doc_id"], "left_semi")
     top = top_k(cand, ["collection"], ["importance_rank", "page_number", "doc_ord", "doc_id"], cfg.top_subsections)
@@ -252,7 +261,7 @@ def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, response
     jq = jobs_with_query(jobs)
     ranks = rank(feats, jq, cfg)
     sec = sections(feats, ranks, cfg)
-    sub = subsections(feats, ranks, cfg, sec, responses)
+    sub = subsections(feats, ranks, cfg, jq, sec, responses)
     return {"features": feats, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
 
 
@@ -317,7 +326,7 @@ def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outpu
     per_doc = feats.select("collection", (F.col("n_pages") > 0).cast("int").alias("has_text")).groupBy("collection").agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text")
     )
-    cands = subsection_candidates(feats, cfg).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
+    cands = subsection_candidates(feats, cfg, out["jobs"]).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
     n_sec = out["sections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_sections"))
     n_sub = out["subsections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_subsections"))
     res = per_doc.join(cands, "collection", "left").join(n_sec, "collection", "left").join(n_sub, "collection", "left")

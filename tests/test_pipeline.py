@@ -118,7 +118,7 @@ def test_generator_hooks(spark):
     jobs = spark.createDataFrame([("c", "Analyst", "find things")], "collection string, persona string, task string")
     cfg = PL.JobConfig(lines_per_page=100, rank_text="body")
     feats = PL.features(PL.prepare(docs, jobs, cfg), cfg)
-    req = {(r.doc_id, r.kind) for r in PL.generation_requests(feats, cfg).collect()}
+    req = {(r.doc_id, r.kind) for r in PL.generation_requests(feats, cfg, PL.jobs_with_query(jobs)).collect()}
     assert req == {(1, "titles"), (2, "relevance")}
     responses = PL.Responses(
         titles=spark.createDataFrame([("c", 1, 'Answer: "Generated Title Here"\nsecond line')], "collection string, doc_id long, response string"),
