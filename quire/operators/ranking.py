@@ -11,6 +11,7 @@ leave each map task.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,10 +36,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, witness
     e.g. the query-term rows for a table of query-term weights.  Beyond the
     bound the plain DataFrame is returned and AQE plans the join.
     """
-    n = (witness if witness is not None else df).limit(max_rows + 1).count()
+    n = _bounded_count(witness if witness is not None else df, max_rows + 1)
     return F.broadcast(df) if n <= max_rows else df
 
 
+_COUNTS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def _bounded_count(df: DataFrame, cap: int) -> int:
+    """Rows of ``df`` up to ``cap``, counted once per DataFrame object (a
+    DataFrame's plan and file listing are fixed once it is built)."""
+    try:
+        hit = _COUNTS.get(df)
+    except TypeError:
+        hit = None
+    if hit is not None and hit[0] == cap:
+        return hit[1]
+    n = df.limit(cap).count()
+    try:
+        _COUNTS[df] = (cap, n)
+    except TypeError:
+        pass
+    return n
+
+
 def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 

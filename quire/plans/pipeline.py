@@ -69,7 +69,7 @@ def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
     j = jobs.select(
         "collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query")
     )
-    d = docs.join(bounded_broadcast(j), "collection")
+    d = docs.join(bounded_broadcast(j, witness=jobs), "collection")
     return d.withColumn("doc_type", T.document_type("filename"))
 
 
@@ -127,7 +127,7 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
     dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
         "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
     )
-    scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q.select("collection", "query"))
+    scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q)
     base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
         base = base.where(F.col("score") >= cfg.min_similarity)
@@ -157,7 +157,7 @@ def jobs_with_query(jobs: DataFrame) -> DataFrame:
 def with_job(df: DataFrame, jobs_q: DataFrame, *cols: str) -> DataFrame:
     """Attach job fields by collection (one row per job: size-checked broadcast).
     Job texts are not stored per document; they are joined where needed."""
-    return df.join(bounded_broadcast(jobs_q.select("collection", *cols)), "collection")
+    return df.join(bounded_broadcast(jobs_q.select("collection", *cols), witness=jobs_q), "collection")
 
 
 def sections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig) -> DataFrame:
