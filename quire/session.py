@@ -50,14 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered; on a cluster the configured shared folder is used.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    current = spark.sparkContext.getCheckpointDir()
+    if current:  # registered earlier in this application
+        return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    spark.sparkContext.setCheckpointDir(
+        tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
+    )
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df, name: str = "stage"):
