@@ -1,4 +1,4 @@
-"""The collection pipeline as one DataFrame plan over all collections.
+"""The collection analysis as one DataFrame plan over all collections.
 
 Inputs (canonical tables)
   docs(collection, doc_id, doc_ord, filename, text)   -- the manifest joined to document text

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import pipeline as PL
+from quire.plans import analysis as PL
 from quire.sources import collections as C
 from quire.sources import sinks
 
@@ -36,7 +36,7 @@ def run_root(
         documents, failed = C.documents_from_pages(C.parse_binary_documents(spark, root, parser))
     collections = C.discover(specs, documents)
     man = C.manifest(collections)
-    docs = C.pipeline_docs(man, documents)
+    docs = C.analysis_docs(man, documents)
     jobs = C.jobs(collections)
     outputs = PL.run(docs, jobs, cfg)
     results = PL.result_documents(docs, jobs, cfg, outputs)

@@ -18,7 +18,7 @@ from quire.operators import extract as X
 from quire.operators import pages as P
 from quire.operators import similarity as S
 from quire.operators.ranking import hybrid_rank, rank_documents, rank_lookup, rank_within
-from quire.plans import pipeline as PL
+from quire.plans import analysis as PL
 from quire.sources import testdata as TD
 
 TEST_CONFIG = PL.JobConfig(

@@ -180,7 +180,7 @@ spage AS (SELECT k.collection, k.doc_id, CAST(coalesce(exact_page, kw_page, 1) A
           FROM kw k LEFT JOIN pp USING (collection, doc_id))"""
 
 
-def pipeline_ctes() -> str:
+def analysis_ctes() -> str:
     """Sections and subsections of the test configuration: CTEs ``sections`` and ``subsections``."""
     kws = TD.TEST_RELEVANCE_KEYWORDS
     acts = TD.TEST_ACTION_WORDS
@@ -371,7 +371,7 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
         "SELECT CAST(label AS BIGINT) AS label, CAST(vec_id AS BIGINT) AS vec_id, CAST(bi_rank AS BIGINT) AS bi_rank, "
         "round(final_score, 6) AS final_score, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
     )
-    pl = pipeline_ctes()
+    pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
     q["q_subsections"] = pl + "SELECT collection, document, refined_text, page_number, importance_rank FROM subsections"
     q["q_result_document"] = pl.rstrip("\n") + """,

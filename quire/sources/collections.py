@@ -176,7 +176,7 @@ def missing_documents(man: DataFrame, documents: DataFrame) -> DataFrame:
     return man.join(documents.select("collection", "filename"), ["collection", "filename"], "left_anti")
 
 
-def pipeline_docs(man: DataFrame, documents: DataFrame) -> DataFrame:
+def analysis_docs(man: DataFrame, documents: DataFrame) -> DataFrame:
     """docs(collection, doc_id, doc_ord, filename, text) for the pipeline.
 
     Every manifest entry is kept (a file listed twice appears twice): a

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quire.plans import pipeline as PL
+from quire.plans import analysis as PL
 from quire.sources import collections as C
 from quire.sources import sinks
 
@@ -42,7 +42,7 @@ def _process_batch(spark: SparkSession, root: str, out: str, cfg: PL.JobConfig):
                                  F.col("value").alias("text"))
         found = C.discover(specs, documents)
         man = C.manifest(found)
-        docs = C.pipeline_docs(man, documents)
+        docs = C.analysis_docs(man, documents)
         jobs = C.jobs(found)
         results = PL.result_documents(docs, jobs, cfg)
         sinks.write_results(results, out, mode="append")

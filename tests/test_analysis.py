@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from quire.plans import batch
-from quire.plans import pipeline as PL
+from quire.plans import analysis as PL
 
 PERSONA = "Travel Planner"
 TASK = "Plan a trip of 4 days for a group of 10 college friends."

@@ -2,7 +2,7 @@
 import json
 
 from quire.streaming.collections import stream_collections
-from tests.test_pipeline import make_root, PERSONA
+from tests.test_analysis import make_root, PERSONA
 
 
 def test_stream_processes_new_collections_once(spark, tmp_path):
