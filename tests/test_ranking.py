@@ -75,3 +75,16 @@ def test_dense_cosine_and_centroids(spark):
     assert c == [0.5, 0.5]
     r = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>").select(S.cosine("a", "b")).first()[0]
     assert abs(r - 1 / 2 ** 0.5) < 1e-12
+
+
+def test_hybrid_rank_paths_agree(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for g, n in [("hot", 400), ("a", 12), ("b", 3), ("c", 10)]:
+        for i in range(n):
+            rows.append((g, len(rows), rnd.randint(0, 50), float(rnd.randint(0, 6)) / 7, float(rnd.randint(-3, 3)) / 5))
+    df = spark.createDataFrame(rows, "collection string, doc_id long, doc_ord long, score double, rerank double").repartition(5)
+    a = {r.doc_id: r.importance_rank for r in R.hybrid_rank(df, with_bi_rank=True).collect()}
+    b = {r.doc_id: r.importance_rank for r in R.hybrid_rank(df, with_bi_rank=False).collect()}
+    assert a == b and len(a) == len(rows)
