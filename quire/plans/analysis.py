@@ -236,9 +236,11 @@ def generation_requests(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame) ->
 
 
 def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs_q: DataFrame, section_rows: DataFrame | None = None,
-                responses: Responses | None = None) -> DataFrame:
+                responses: Responses | None = None, candidates: DataFrame | None = None) -> DataFrame:
     responses = responses or Responses()
-    cand = subsection_candidates(feats, cfg, jobs_q, responses.verdicts, responses.summaries).join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+    if candidates is None:
+        candidates = subsection_candidates(feats, cfg, jobs_q, responses.verdicts, responses.summaries)
+    cand = candidates.join(ranks.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
     if cfg.restrict_to_sections and section_rows is not None:
         cand = cand.join(section_rows.select("collection", "doc_id"), ["collection", "doc_id"], "left_semi")
     top = top_k(cand, ["collection"], ["importance_rank", "page_number", "doc_ord", "doc_id"], cfg.top_subsections)
@@ -261,8 +263,9 @@ def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, response
     jq = jobs_with_query(jobs)
     ranks = rank(feats, jq, cfg)
     sec = sections(feats, ranks, cfg)
-    sub = subsections(feats, ranks, cfg, jq, sec, responses)
-    return {"features": feats, "ranks": ranks, "sections": sec, "subsections": sub, "jobs": jq}
+    cands = subsection_candidates(feats, cfg, jq, responses.verdicts, responses.summaries)
+    sub = subsections(feats, ranks, cfg, jq, sec, responses, cands)
+    return {"features": feats, "ranks": ranks, "sections": sec, "subsections": sub, "candidates": cands, "jobs": jq}
 
 
 def model_label(cfg: JobConfig) -> str:
@@ -326,7 +329,7 @@ def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outpu
     per_doc = feats.select("collection", (F.col("n_pages") > 0).cast("int").alias("has_text")).groupBy("collection").agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text")
     )
-    cands = subsection_candidates(feats, cfg, out["jobs"]).groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
+    cands = out["candidates"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
     n_sec = out["sections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_sections"))
     n_sub = out["subsections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_subsections"))
     res = per_doc.join(cands, "collection", "left").join(n_sec, "collection", "left").join(n_sub, "collection", "left")
