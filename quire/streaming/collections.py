@@ -59,14 +59,19 @@ def stream_collections(
     cfg: PL.JobConfig | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_specs_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Start the incremental runner; ``available_now`` drains what is there and stops."""
+    """Start the incremental runner; ``available_now`` drains what is there and stops.
+
+    ``max_specs_per_batch`` bounds a micro-batch (and the list of new
+    collection names each batch uses to address its document folders)."""
     cfg = cfg or PL.JobConfig(lines_per_page=None)
     specs = (
         spark.readStream.schema(C.SPEC_SCHEMA)
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("maxFilesPerTrigger", max_specs_per_batch)
         .json(f"{root.rstrip('/')}/*/{C.SPEC_NAME}")
         .select("*", F.col("_metadata.file_path").alias("path"))
     )

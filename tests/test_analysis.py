@@ -131,3 +131,11 @@ def test_generator_hooks(spark):
     assert titles == {"notes_a.txt": "Generated Title Here\" second line", "notes_b.txt": "Real Heading Here"}
     subs = [(r.document, r.refined_text) for r in out["subsections"].collect()]
     assert subs == [("notes_b.txt", "the gist.")]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quire.__main__ import main
+    root = make_root(tmp_path)
+    main([str(root), str(tmp_path / "cli-out"), "--keywords", "visit,plan"])
+    assert "1 collection result(s)" in capsys.readouterr().out
+    assert spark.read.json(str(tmp_path / "cli-out" / "results")).count() == 1
