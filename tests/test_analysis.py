@@ -139,3 +139,22 @@ def test_command_line(spark, tmp_path, capsys):
     main([str(root), str(tmp_path / "cli-out"), "--keywords", "visit,plan"])
     assert "1 collection result(s)" in capsys.readouterr().out
     assert spark.read.json(str(tmp_path / "cli-out" / "results")).count() == 1
+
+
+def _pages_parser(content: bytes):
+    if content.startswith(b"BAD"):
+        raise ValueError("cannot parse")
+    return content.decode("utf-8").split("\f")
+
+
+def test_parser_hook_isolates_failed_documents(spark, tmp_path):
+    root = make_root(tmp_path)
+    (root / "Collection 1" / "PDFs" / "broken.bin").write_bytes(b"BAD\x00\x01")
+    out = tmp_path / "out-bin"
+    res = batch.run_root(spark, str(root), str(out), parser=_pages_parser)
+    failed = spark.read.json(str(out / "_quarantine" / "unreadable_documents")).collect()
+    assert [(r.filename, r.error) for r in failed] == [("broken.bin", "ValueError: cannot parse")]
+    r = res["results"].collect()[0]
+    assert {s.document for s in r.extracted_sections} == {"South of France - Coast.txt", "packing_list.txt"}
+    coast = [s for s in r.extracted_sections if s.document.startswith("South")][0]
+    assert coast.page_number == 3   # form-feed pages survive the parser round trip
