@@ -158,3 +158,21 @@ def test_parser_hook_isolates_failed_documents(spark, tmp_path):
     assert {s.document for s in r.extracted_sections} == {"South of France - Coast.txt", "packing_list.txt"}
     coast = [s for s in r.extracted_sections if s.document.startswith("South")][0]
     assert coast.page_number == 3   # form-feed pages survive the parser round trip
+
+
+def test_options_restrict_and_min_similarity(spark):
+    from dataclasses import replace
+    from quire.plans import catalog as C
+    from quire.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    docs, jobs = TD.docs(spark, sf), TD.jobs(spark, sf)
+    out = PL.run(docs, jobs, replace(C.TEST_CONFIG, restrict_to_sections=True))
+    sec = {(r.collection, r.document) for r in out["sections"].collect()}
+    sub = {(r.collection, r.document) for r in out["subsections"].collect()}
+    assert sub and sub <= sec
+    out = PL.run(docs, jobs, replace(C.TEST_CONFIG, min_similarity=0.05))
+    r = out["ranks"]
+    assert r.where(F.col("score") < 0.05).count() == 0
+    per = r.groupBy("collection").agg(F.count("*").alias("n"), F.max("importance_rank").alias("hi")).collect()
+    assert all(x.n == x.hi for x in per)
+    assert PL.model_label(C.TEST_CONFIG) == "tfidf-cosine + term-overlap rerank"
