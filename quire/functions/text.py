@@ -65,6 +65,12 @@ ACTION_LINE_MIN, ACTION_LINE_MAX = 20, 200
 TITLE_MIN, TITLE_MAX = 5, 100
 MIN_RELEVANT_PAGE_CHARS = 150
 MAX_TITLES = 3
+# Pages searched for headings and page extracts (the first non-blank pages).
+FIRST_PAGES = 5
+# Section-page search: title words longer than this count as keywords.
+TITLE_KEYWORD_MIN_LEN = 3
+# Extracted lines joined into a page extract.
+MAX_KEY_LINES = 3
 # ---------------------------------------------------------------------------
 
 # Unicode letters whose title case differs from their upper case (Unicode data,

@@ -54,7 +54,7 @@ def actionable_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WO
     )
 
 
-def key_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, n: int = 3) -> Column:
+def key_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, n: int = T.MAX_KEY_LINES) -> Column:
     """First ``n`` actionable lines joined by a space; NULL when there is none."""
     return T.let(
         actionable_lines(text_col, action_words),

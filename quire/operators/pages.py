@@ -59,7 +59,7 @@ def with_pages(docs: DataFrame, text_col: str = "text", lines_per_page: int | No
     return docs.withColumn(out, page_array(text_col, lines_per_page))
 
 
-def first_pages(pages_col, n: int = 5) -> Column:
+def first_pages(pages_col, n: int = T.FIRST_PAGES) -> Column:
     """The first ``n`` non-blank pages."""
     return F.filter(T._col(pages_col), lambda p: p["page_seq"] <= n)
 
@@ -84,7 +84,7 @@ def lines_of(text_col) -> Column:
 
 # --------------------------------------------------------------------------- headings
 
-def heading_titles(pages_col, max_titles: int = T.MAX_TITLES, first_n: int = 5) -> Column:
+def heading_titles(pages_col, max_titles: int = T.MAX_TITLES, first_n: int = T.FIRST_PAGES) -> Column:
     """Up to ``max_titles`` distinct heading titles of the first ``first_n``
     pages, longest first (ties by title).
 
@@ -121,7 +121,7 @@ def section_page(pages_col, title_col) -> Column:
     title = T._col(title_col)
     # one lower-cased copy of each page, bound once per row
     low_pages = F.transform(pages, lambda p: F.struct(p["page_number"].alias("n"), F.lower(p["text"]).alias("t")))
-    kws = F.transform(F.filter(T.split_words(title), lambda w: F.length(w) > 3), F.lower)
+    kws = F.transform(F.filter(T.split_words(title), lambda w: F.length(w) > T.TITLE_KEYWORD_MIN_LEN), F.lower)
 
     def search(b):
         exact = F.filter(b["pages"], lambda p: p["t"].contains(b["title"]))

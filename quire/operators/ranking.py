@@ -23,6 +23,9 @@ from quire.session import materialize
 # are left to AQE, which broadcasts at run time when the measured size is
 # below spark.sql.adaptive.autoBroadcastJoinThreshold and shuffles otherwise.
 BROADCAST_MAX_ROWS = 200_000
+
+# Fixed values that must equal the job's original behaviour: the number of
+# first-stage documents re-scored, and the blend weights of the two stages.
 TOP_RERANK = 10
 RERANK_WEIGHT = 0.6
 FIRST_STAGE_WEIGHT = 0.4

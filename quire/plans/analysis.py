@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import extract as X
 from quire.operators import pages as P
-from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, top_k
+from quire.operators.ranking import TOP_RERANK, bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, top_k
 from quire.operators.similarity import term_freqs, term_overlap, tfidf_from_terms
 from quire.session import materialize
 
@@ -44,14 +44,14 @@ class JobConfig:
     lines_per_page: int | None = 4
     rank_text: str = "template"        # "template": file-name templates (job default); "body": document text
     rerank: bool = True                # second stage on the top ``rerank_top`` documents
-    rerank_top: int = 10
+    rerank_top: int = TOP_RERANK
     top_sections: int = 5
     top_subsections: int = 5
     summarize: bool = True             # extractive summary before the template fallback
     min_overlap: float | None = None   # page relevance fallback on job-term overlap
     min_similarity: float | None = None  # documented cut-off on the first-stage score (off by default)
     restrict_to_sections: bool = False  # subsections only from section documents
-    first_pages: int = 5
+    first_pages: int = T.FIRST_PAGES
 
 
 @dataclass

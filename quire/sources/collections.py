@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values of the input layout (file name of a job spec, document folder);
+# both are parameters of the readers.
 SPEC_NAME = "challenge1b_input.json"
 DOCS_FOLDER = "PDFs"
 PAGE_BREAK = "\f"
