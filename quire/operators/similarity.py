@@ -90,9 +90,15 @@ def tfidf_from_terms(
     key: str = "doc_id",
     query_col: str = "query",
     min_len: int = 4,
+    salt: int = 1,
 ) -> DataFrame:
     """TF-IDF cosine and overlap from a document-term table (group, key, term, tf).
 
+    ``salt > 1`` spreads each (collection, term) key of the idf join over
+    ``salt`` buckets (documents hashed to a bucket, idf rows replicated per
+    bucket), for a hot term in a hot collection when AQE's skew join is not
+    available; results are the same.
+
     ``dt`` should be a stored table (see ``quire.session.materialize``): it is
     read twice -- for document frequencies and for the per-document aggregate
     (norm, dot product and hits in one pass, after the idf join and a left
@@ -117,8 +123,14 @@ def tfidf_from_terms(
     qt = term_counts(queries, [group], query_col, min_len).withColumnRenamed("tf", "qtf")
     w = F.col("tf") * F.col("idf")
     qw = F.col("qtf") * F.col("idf")
+    if salt > 1:
+        dt_j = dt.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt)))
+        idf_j = idf.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        joined = dt_j.join(idf_j, [group, "term", "_salt"]).drop("_salt")
+    else:
+        joined = dt.join(idf, [group, "term"])
     per_doc = (
-        dt.join(idf, [group, "term"])
+        joined
         .join(bounded_broadcast(qt), [group, "term"], "left")
         .groupBy(group, key)
         .agg(

@@ -52,6 +52,7 @@ class JobConfig:
     min_similarity: float | None = None  # documented cut-off on the first-stage score (off by default)
     restrict_to_sections: bool = False  # subsections only from section documents
     first_pages: int = T.FIRST_PAGES
+    idf_salt: int = 1                  # >1: salt the (collection, term) idf join (see tfidf_from_terms)
 
 
 @dataclass
@@ -94,7 +95,8 @@ def features(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | N
         gen = title_responses.select(
             "collection", "doc_id", T.parse_titles(T.clean_response("response")).alias("_gen")
         )
-        prepared = prepared.join(gen, ["collection", "doc_id"], "left")
+        # usually few documents lack a heading: broadcast when the table is small
+        prepared = prepared.join(bounded_broadcast(gen), ["collection", "doc_id"], "left")
         generated = F.get(F.col("_gen"), 0)
 
     def per_doc(pages):
@@ -127,7 +129,7 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
     dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
         "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
     )
-    scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q)
+    scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q, salt=cfg.idf_salt)
     base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
         base = base.where(F.col("score") >= cfg.min_similarity)

@@ -88,3 +88,16 @@ def test_hybrid_rank_paths_agree(spark):
     a = {r.doc_id: r.importance_rank for r in R.hybrid_rank(df, with_bi_rank=True).collect()}
     b = {r.doc_id: r.importance_rank for r in R.hybrid_rank(df, with_bi_rank=False).collect()}
     assert a == b and len(a) == len(rows)
+
+
+def test_salted_idf_join_gives_same_scores(spark):
+    from quire.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    d = TD.docs(spark, sf)
+    dt = S.term_counts(d, ["collection", "doc_id"], "text")
+    q = TD.jobs(spark, sf).select("collection", F.col("task").alias("query"))
+    keys = d.select("collection", "doc_id")
+    a = {(r.collection, r.doc_id): (r.score, r.overlap) for r in S.tfidf_from_terms(dt, keys, q).collect()}
+    b = {(r.collection, r.doc_id): (r.score, r.overlap) for r in S.tfidf_from_terms(dt, keys, q, salt=7).collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k][0] - b[k][0]) < 1e-9 and a[k][1] == b[k][1] for k in a)
