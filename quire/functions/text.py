@@ -234,11 +234,3 @@ def terms(c, min_len: int = 4) -> Column:
     """Lower-cased letter runs of at least ``min_len`` code points."""
     runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(_TERM_RX), 1)
     return F.filter(runs, lambda w: F.length(w) >= min_len)
-
-
-def distinct_terms(c, min_len: int = 4) -> Column:
-    return F.array_distinct(terms(c, min_len))
-
-
-def first_words(c, n: int) -> Column:
-    return F.array_join(F.slice(split_words(c), 1, n), " ")
