@@ -75,7 +75,12 @@ def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
 
 
 def features(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | None = None) -> DataFrame:
-    """One pass over the document text, stored once.
+    """The feature pass (``feature_plan``) written once as a stored table."""
+    return materialize(feature_plan(prepared, cfg, title_responses), "features")
+
+
+def feature_plan(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | None = None) -> DataFrame:
+    """One pass over the document text.
 
     Per document: term frequencies of the ranking text, number of non-blank
     pages, whether a heading was found, best section title (first heading,
@@ -120,7 +125,7 @@ def features(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame | N
         T.let(P.page_array("text", cfg.lines_per_page), per_doc).alias("_f"),
         term_freqs(rank_text).alias("terms"),
     )
-    return materialize(f.select("*", "_f.*").drop("_f"), "features")
+    return f.select("*", "_f.*").drop("_f")
 
 
 def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
