@@ -304,6 +304,23 @@ def q_hybrid_rank(spark, sf):
     )
 
 
+def q_template_rank(spark, sf):
+    """PL1 default path (D10): both stages see only text made from the file
+    name -- retrieval template for TF-IDF, re-rank template for the overlap."""
+    d = _docs(spark, sf).withColumn("doc_type", T.document_type("filename"))
+    jq = PL.jobs_with_query(_jobs(spark, sf))
+    bi = d.select("collection", "doc_id", T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type").alias("text"))
+    s = S.tfidf_scores(bi, jq.select("collection", "query"))
+    re_text = T.fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
+    base = s.join(d.select("collection", "doc_id", "doc_ord", "filename", "doc_type"), ["collection", "doc_id"])
+    base = PL.with_job(base, jq, "query").withColumn("rerank", F.round(S.term_overlap(re_text, "query"), 9))
+    r = hybrid_rank(base.select("collection", "doc_id", "doc_ord", "score", "rerank"))
+    return r.select(
+        "collection", _big("doc_id").alias("doc_id"), _r6("score").alias("score"), _r6("rerank").alias("rerank"),
+        _big("bi_rank").alias("bi_rank"), _big("importance_rank").alias("importance_rank"),
+    )
+
+
 def q_rank_lookup(spark, sf):
     """JN2: rank by file name for every manifest entry; ranks exist only for
     present (labelled) files, others get n + 1; a name shared by copies takes

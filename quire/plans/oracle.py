@@ -348,6 +348,21 @@ WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND {contains_any('text', kws)
         "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, CAST(bi_rank AS BIGINT) AS bi_rank, round(final_score, 6) AS final_score, "
         "CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
     )
+    ret = fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")
+    rer = fill(T.RERANK_TEMPLATE, filename="filename", doc_type="doc_type")
+    q["q_template_rank"] = with_(
+        DOCS, JOBS,
+        f"td AS (SELECT *, {doc_type('filename')} AS doc_type FROM docs)",
+        f"rdocs AS (SELECT collection, doc_id, {ret} AS text FROM td)",
+        tfidf("rdocs"),
+        f"""scored AS (SELECT s.collection, s.doc_id, s.score, t.doc_ord,
+                   round({overlap(rer, 'j.query')}, 9) AS rerank
+            FROM scores s JOIN td t USING (collection, doc_id) JOIN jobs j USING (collection))""",
+        hybrid("scored", rerank="rerank"),
+    ) + (
+        "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, round(score, 6) AS score, round(rerank, 6) AS rerank, "
+        "CAST(bi_rank AS BIGINT) AS bi_rank, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
+    )
     q["q_rank_lookup"] = with_(
         "docs AS (SELECT source AS collection, doc_id, doc_id AS doc_ord, substr(md5(coalesce(text, '')), 1, 12) || '.txt' AS filename, coalesce(text, '') AS text FROM documents)",
         JOBS,
