@@ -383,6 +383,18 @@ def q_sections(spark, sf):
                     _big("page_number").alias("page_number"))
 
 
+def q_sections_default(spark, sf):
+    """PL8 with the job's defaults (file-name ranking texts, travel keyword
+    lists; 4 lines per page): sections, plus subsections (none match here)."""
+    out = PL.run(_docs(spark, sf), _jobs(spark, sf), PL.JobConfig(lines_per_page=TD.LINES_PER_PAGE))
+    cols = ["collection", "document", "section_title", "importance_rank", "page_number"]
+    sec = out["sections"].select(*cols)
+    sub = out["subsections"].select("collection", "document", F.col("refined_text").alias("section_title"), "importance_rank", "page_number")
+    u = sec.unionByName(sub)
+    return u.select("collection", "document", "section_title", _big("importance_rank").alias("importance_rank"),
+                    _big("page_number").alias("page_number"))
+
+
 def q_subsections(spark, sf):
     """PL6/PL7/WN10/FLT9/PRJ12: five refined page extracts per collection."""
     s = _run(spark, sf)["subsections"]

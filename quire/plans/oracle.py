@@ -180,16 +180,34 @@ spage AS (SELECT k.collection, k.doc_id, CAST(coalesce(exact_page, kw_page, 1) A
           FROM kw k LEFT JOIN pp USING (collection, doc_id))"""
 
 
-def analysis_ctes() -> str:
-    """Sections and subsections of the test configuration: CTEs ``sections`` and ``subsections``."""
-    kws = TD.TEST_RELEVANCE_KEYWORDS
-    acts = TD.TEST_ACTION_WORDS
+def analysis_ctes(default: bool = False) -> str:
+    """Sections and subsections: CTEs ``sections`` and ``subsections``.
+
+    Test configuration (body-text ranking, test keyword lists), or with
+    ``default`` the job's defaults (file-name templates, travel lists)."""
+    if default:
+        kws, acts = T.DEFAULT_RELEVANCE_KEYWORDS, T.DEFAULT_ACTION_WORDS
+        ret = fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")
+        rer = fill(T.RERANK_TEMPLATE, filename="d.filename", doc_type="d.doc_type")
+        rank_ctes = [
+            f"rdocs AS (SELECT collection, doc_id, {ret} AS text FROM jdocs)",
+            tfidf("rdocs"),
+            f"""scored AS (SELECT s.collection, s.doc_id, s.score, d.doc_ord, d.filename,
+                   round({overlap(rer, 'd.query')}, 9) AS rerank
+            FROM scores s JOIN jdocs d USING (collection, doc_id))""",
+            hybrid("scored", rerank="rerank"),
+        ]
+    else:
+        kws, acts = TD.TEST_RELEVANCE_KEYWORDS, TD.TEST_ACTION_WORDS
+        rank_ctes = [
+            "rdocs AS (SELECT collection, doc_id, text FROM jdocs)",
+            tfidf("rdocs"),
+            "scored AS (SELECT s.*, d.doc_ord, d.filename FROM scores s JOIN jdocs d USING (collection, doc_id))",
+            hybrid("scored"),
+        ]
     return with_(
         DOCS, JOBS, PAGES, JPAGES,
-        "rdocs AS (SELECT collection, doc_id, text FROM jdocs)",
-        tfidf("rdocs"),
-        "scored AS (SELECT s.*, d.doc_ord, d.filename FROM scores s JOIN jdocs d USING (collection, doc_id))",
-        hybrid("scored"),
+        *rank_ctes,
         f"""has_text AS (SELECT DISTINCT collection, doc_id FROM pages),
 cand AS (SELECT r.collection, r.doc_id, r.doc_ord, r.filename, r.importance_rank,
                 row_number() OVER (PARTITION BY r.collection ORDER BY r.importance_rank, r.doc_ord, r.doc_id) AS k
@@ -388,6 +406,10 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
     )
     pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
+    q["q_sections_default"] = analysis_ctes(default=True) + (
+        "SELECT collection, document, section_title, importance_rank, page_number FROM sections "
+        "UNION ALL SELECT collection, document, refined_text, importance_rank, page_number FROM subsections"
+    )
     q["q_subsections"] = pl + "SELECT collection, document, refined_text, page_number, importance_rank FROM subsections"
     q["q_result_document"] = pl.rstrip("\n") + """,
 nd AS (SELECT collection, count(*) AS n FROM jdocs GROUP BY collection),
