@@ -114,7 +114,11 @@ def feature_plan(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame
                     (F.size(heads) > 0).alias("has_heading"),
                     t.alias("section_title"),
                     P.section_page(pages, t).alias("section_page"),
-                    P.first_pages(pages, cfg.first_pages).alias("first_pages"),
+                    # only pages long enough to be relevant are ever used downstream
+                    F.filter(
+                        P.first_pages(pages, cfg.first_pages),
+                        lambda p: F.length(p["text"]) >= T.MIN_RELEVANT_PAGE_CHARS,
+                    ).alias("first_pages"),
                 ),
             )
 
