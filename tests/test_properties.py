@@ -1,14 +1,12 @@
-"""Property tests: Column helpers equal Python's string semantics on random text."""
+"""Property tests: helpers that re-express Python built-ins equal those built-ins."""
 import os
-import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from quire.functions import text as T
-from tests.test_text import py_clean, py_doc_type, py_titles
 
-ALPHABET = list("aZé ßx.-_'\"*:\n\t1 ") + [" ", " ", "\u0085", "\x1c", "\x1f", "Answer:", "Summary:", " - ", "Context:", "..", "​"]
+ALPHABET = list("aZé ßx.-_'\"*:\n\t1 ") + ["\u00a0", "\u2003", "\u0085", "\x1c", "\x1f", " - ", "..", "ǆ", "ﬁ"]
 texts = st.lists(st.lists(st.sampled_from(ALPHABET), max_size=12).map("".join), min_size=20, max_size=40)
 SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -20,30 +18,31 @@ def run(spark, values, fn):
 
 @SETTINGS
 @given(texts)
-def test_strip_property(spark, values):
+def test_strip_is_str_strip(spark, values):
     assert run(spark, values, T.ustrip) == [v.strip() for v in values]
 
 
 @SETTINGS
 @given(texts)
-def test_clean_response_property(spark, values):
-    assert run(spark, values, T.clean_response) == [py_clean(v) for v in values]
+def test_split_words_is_str_split(spark, values):
+    assert run(spark, values, T.split_words) == [v.split() for v in values]
 
 
 @SETTINGS
 @given(texts)
-def test_doc_type_property(spark, values):
-    names = [v.replace("\n", " ").replace("/", "_") for v in values]
-    assert run(spark, names, T.document_type) == [py_doc_type(n) for n in names]
+def test_title_case_is_str_title(spark, values):
+    assert run(spark, values, T.title_case) == [v.title() for v in values]
 
 
 @SETTINGS
 @given(texts)
-def test_title_parse_property(spark, values):
-    assert run(spark, values, T.parse_titles) == [py_titles(v) for v in values]
+def test_strip_extension_is_splitext(spark, values):
+    names = [v.replace("\n", " ").replace("/", "_") for v in values]
+    assert run(spark, names, T.strip_extension) == [os.path.splitext(n)[0] for n in names]
 
 
 @SETTINGS
 @given(texts)
-def test_split_words_property(spark, values):
-    assert run(spark, values, T.split_words) == [v.split() for v in values]
+def test_collapse_ws_is_split_join_of_runs(spark, values):
+    import re
+    assert run(spark, values, T.collapse_ws) == [re.sub(r"\s+", " ", v) for v in values]
