@@ -10,12 +10,15 @@ TF-IDF (per collection):
   cosine     sum(w * q) / (|w| * |q|), 0 when either norm is 0
   overlap    distinct query terms found in d / distinct query terms
 
-Plan shape: the document-term table is built in-row (no shuffle) and is
-shuffled once, on (collection, term), to
-meet its idf (a hot term in a hot collection meets a one-row idf side, which
-AQE's skew join splits), then left-joined to the broadcast query-term table
-(one row per collection and query term, size-checked) and aggregated per
-document -- norm, dot product and hit count in one pass.
+Plan shape: the document-term table is built in-row (no shuffle) and
+restricted to collections that have a query (a broadcast semi join).  It is
+shuffled once, on (collection, term), to meet its idf -- a hot term in a hot
+collection meets a one-row idf side, which AQE's skew join splits (or
+``salt`` spreads explicitly) -- then left-joined to the broadcast query-term
+table (one row per collection and query term, size-checked) and aggregated
+per document: norm, dot product and hit count in one pass.  Scores are
+rounded to ``SCORE_DIGITS`` decimals so that ties, and therefore ranks, do
+not depend on the order of floating-point sums.
 """
 
 from __future__ import annotations
