@@ -107,6 +107,13 @@ def q_textless_docs(spark, sf):
     return d.join(has, ["collection", "doc_id"], "left_anti").select("collection", _big("doc_id").alias("doc_id"), "filename")
 
 
+def q_input_documents(spark, sf):
+    """AG5: the input documents of each collection with a job, in manifest
+    order, as rows (what the sink writes next to each result)."""
+    d = _docs(spark, sf).join(_jobs(spark, sf).select("collection"), "collection", "left_semi")
+    return d.select("collection", _big("doc_ord").alias("doc_ord"), "filename")
+
+
 def q_no_output(spark, sf):
     """SNK3: jobs whose collection produced no result (no documents)."""
     j = _jobs(spark, sf)

@@ -280,6 +280,9 @@ def build() -> dict[str, str]:
         f"SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, filename FROM docs d WHERE NOT EXISTS "
         f"(SELECT 1 FROM pages p WHERE p.collection = d.collection AND p.doc_id = d.doc_id AND length(p.text) >= {T.MIN_RELEVANT_PAGE_CHARS})"
     )
+    q["q_input_documents"] = with_(DOCS, JOBS) + (
+        "SELECT collection, CAST(doc_ord AS BIGINT) AS doc_ord, filename FROM docs WHERE collection IN (SELECT collection FROM jobs)"
+    )
     q["q_no_output"] = with_(DOCS, JOBS) + "SELECT collection FROM jobs WHERE collection NOT IN (SELECT collection FROM docs)"
     q["q_doc_type"] = with_(DOCS) + f"SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, filename, {doc_type('filename')} AS doc_type FROM docs"
     q["q_query_text"] = with_(JOBS) + "SELECT collection, query FROM jobs"
