@@ -176,3 +176,20 @@ def test_options_restrict_and_min_similarity(spark):
     per = r.groupBy("collection").agg(F.count("*").alias("n"), F.max("importance_rank").alias("hi")).collect()
     assert all(x.n == x.hi for x in per)
     assert PL.model_label(C.TEST_CONFIG) == "tfidf-cosine + term-overlap rerank"
+
+
+def test_document_without_text_gets_no_section(spark, tmp_path):
+    root = tmp_path / "in"
+    c = root / "C"
+    (c / "PDFs").mkdir(parents=True)
+    (c / "PDFs" / "empty.txt").write_text("  \f \n ")
+    (c / "PDFs" / "full.txt").write_text("Main Heading Here\nsome words to visit")
+    (c / "challenge1b_input.json").write_text(json.dumps({
+        "documents": [{"filename": "empty.txt"}, {"filename": "full.txt"}],
+        "persona": {"role": PERSONA}, "job_to_be_done": {"task": TASK}}))
+    res = batch.run_root(spark, str(root), str(tmp_path / "out"))
+    r = res["results"].collect()[0]
+    assert [s.document for s in r.extracted_sections] == ["full.txt"]
+    assert r.metadata.input_document_count == 2
+    # the text-less document is still ranked
+    assert res["ranks"].count() == 2

@@ -71,3 +71,16 @@ def test_section_page_branches(spark):
     assert section_page(spark, pages, "a b c") == 1                       # no keyword: first non-blank page
     assert section_page(spark, ["", "x", "y"], "a b c") == 2             # first non-blank page is 2
     assert section_page(spark, pages, "Zebra Crossing Quietly") == 1      # nothing hits
+
+
+def test_relevance_length_boundary(spark):
+    from quire.operators import extract as X
+    p149, p150 = "visit " + "x" * 143, "visit " + "x" * 144
+    assert (len(p149), len(p150)) == (149, 150)
+    df = spark.createDataFrame([(p149,), (p150,)], "t string")
+    assert [r[0] for r in df.select(X.keyword_relevant("t")).collect()] == [False, True]
+
+
+def test_section_search_reaches_sixth_page(spark):
+    pages = ["one", "two", "three", "four", "five", "the Hidden Chapter is here"]
+    assert section_page(spark, pages, "Hidden Chapter") == 6

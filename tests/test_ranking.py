@@ -1,4 +1,5 @@
 """Ranking: skew-safe full ranks, two-stage ranks, lookups."""
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -101,3 +102,16 @@ def test_salted_idf_join_gives_same_scores(spark):
     b = {(r.collection, r.doc_id): (r.score, r.overlap) for r in S.tfidf_from_terms(dt, keys, q, salt=7).collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k][0] - b[k][0]) < 1e-9 and a[k][1] == b[k][1] for k in a)
+
+
+@pytest.mark.parametrize("n", [9, 10, 11])
+def test_rerank_depth_is_min_10_n(spark, n):
+    # re-rank scores push every re-ranked row below any raw score, so exactly
+    # min(10, n) rows end up last, in stage-1 order
+    rows = [("c", i, i, round(0.9 - i * 0.01, 9), -5.0) for i in range(n)]
+    df = spark.createDataFrame(rows, "collection string, doc_id long, doc_ord long, score double, rerank double")
+    got = {r.doc_id: r.importance_rank for r in R.hybrid_rank(df).collect()}
+    top = min(10, n)
+    tail = list(range(top, n))
+    assert [got[i] for i in tail] == list(range(1, len(tail) + 1))
+    assert [got[i] for i in range(top)] == list(range(len(tail) + 1, n + 1))
