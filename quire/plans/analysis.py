@@ -132,12 +132,80 @@ def feature_plan(prepared: DataFrame, cfg: JobConfig, title_responses: DataFrame
     return f.select("*", "_f.*").drop("_f")
 
 
-def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Importance rank of every document of every collection."""
-    # exploding the stored feature table is cheap: no separate term table
-    dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
-        "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
+def features_from_pages(
+    prepared: DataFrame, pages: DataFrame, cfg: JobConfig, title_responses: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The feature pass for documents given as page rows.
+
+    ``prepared``: (collection, doc_id, doc_ord, filename, doc_type) without
+    text; ``pages``: (collection, doc_id, page_number, text).  A document is
+    never one row here: page counts, section-page search and term counts are
+    partial aggregates over page rows, and only the first pages of each
+    document (a bounded top-k) are gathered per document.  Returns the stored
+    feature table (same columns as ``features`` without ``terms``) and the
+    stored document-term table.  Results equal ``features`` on the same text.
+    """
+    keys = ["collection", "doc_id"]
+    pg = pages.select(*keys, F.col("page_number").cast("int").alias("page_number"), T.ustrip("text").alias("text")).where(
+        F.col("text") != ""
+    )
+    n_pages = pg.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("n_pages"))
+    first = top_k(pg, keys, ["page_number"], cfg.first_pages, name="page_seq").groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("page_number", F.col("page_seq").cast("int").alias("page_seq"), "text"))).alias("_fp")
+    )
+    fallback = T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type")
+    meta = prepared.select("collection", "doc_id", "doc_ord", "filename", "doc_type")
+    generated = F.lit(None)
+    if title_responses is not None:
+        gen = title_responses.select(*keys, T.parse_titles(T.clean_response("response")).alias("_gen"))
+        meta = meta.join(bounded_broadcast(gen), keys, "left")
+        generated = F.get(F.col("_gen"), 0)
+    meta = meta.join(n_pages, keys, "left").join(first, keys, "left")
+    fp = F.coalesce(F.col("_fp"), F.array().cast(P.PAGE_TYPE))
+    heads = P.heading_titles(fp, first_n=cfg.first_pages)
+    meta = meta.select(
+        "collection", "doc_id", "doc_ord", "filename", "doc_type",
+        F.coalesce(F.col("n_pages"), F.lit(0)).alias("n_pages"),
+        T.let(heads, lambda h: F.struct((F.size(h) > 0).alias("has_heading"),
+                                        F.coalesce(F.get(h, 0), generated, fallback).alias("section_title"))).alias("_h"),
+        F.filter(fp, lambda p: F.length(p["text"]) >= T.MIN_RELEVANT_PAGE_CHARS).alias("first_pages"),
+    ).select("*", "_h.*").drop("_h")
+    # section page: first page containing the title, else the first with half
+    # of its longer words -- minimum page numbers, aggregated over page rows
+    titles = meta.select(
+        *keys, F.lower("section_title").alias("_lt"),
+        F.transform(F.filter(T.split_words("section_title"), lambda w: F.length(w) > T.TITLE_KEYWORD_MIN_LEN), F.lower).alias("_kw"),
+    )
+    low = F.lower("text")
+    hits = F.size(F.filter("_kw", lambda k: low.contains(k)))
+    found = pg.join(titles, keys).groupBy(*keys).agg(
+        F.min(F.when(low.contains(F.col("_lt")), F.col("page_number"))).alias("_exact"),
+        F.min(F.when(hits * 2 >= F.size("_kw"), F.col("page_number"))).alias("_kwp"),
+    )
+    feats = meta.join(found, keys, "left").select(
+        "collection", "doc_id", "doc_ord", "filename", "doc_type", "n_pages", "has_heading", "section_title",
+        F.coalesce("_exact", "_kwp", F.lit(1)).cast("int").alias("section_page"), "first_pages",
     )
+    if cfg.rank_text == "body":
+        tf = pg.select(*keys, F.explode(term_freqs(F.col("text"))).alias("_t"))
+        dt = tf.groupBy(*keys, F.col("_t.term").alias("term")).agg(F.sum("_t.tf").alias("tf"))
+    else:
+        rank_text = T.fill(T.RETRIEVAL_TEMPLATE, filename="filename", doc_type="doc_type")
+        dt = prepared.select(*keys, F.explode(term_freqs(rank_text)).alias("_t")).select(
+            *keys, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
+        )
+    return materialize(feats, "page-features"), materialize(dt, "terms")
+
+
+def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig, dt: DataFrame | None = None) -> DataFrame:
+    """Importance rank of every document of every collection.
+
+    ``dt`` (collection, doc_id, term, tf) comes from ``features_from_pages``;
+    otherwise the term runs stored in the feature table are exploded."""
+    if dt is None:
+        dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
+            "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
+        )
     scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q, salt=cfg.idf_salt)
     base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
@@ -266,13 +334,20 @@ def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs_q: Data
     )
 
 
-def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, responses: Responses | None = None) -> dict[str, DataFrame]:
-    """All outputs of the pipeline (features and ranks are stored tables)."""
+def run(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, responses: Responses | None = None,
+        pages: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All outputs of the analysis (features and ranks are stored tables).
+
+    With ``pages`` (collection, doc_id, page_number, text) the documents are
+    read as page rows (``docs`` then needs no text column)."""
     cfg = cfg or JobConfig()
     responses = responses or Responses()
-    feats = features(prepare(docs, jobs, cfg), cfg, responses.titles)
+    if pages is None:
+        feats, dt = features(prepare(docs, jobs, cfg), cfg, responses.titles), None
+    else:
+        feats, dt = features_from_pages(prepare(docs, jobs, cfg), pages, cfg, responses.titles)
     jq = jobs_with_query(jobs)
-    ranks = rank(feats, jq, cfg)
+    ranks = rank(feats, jq, cfg, dt)
     sec = sections(feats, ranks, cfg)
     cands = subsection_candidates(feats, cfg, jq, responses.verdicts, responses.summaries)
     sub = subsections(feats, ranks, cfg, jq, sec, responses, cands)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.plans import analysis as PL
 from quire.sources import collections as C
@@ -33,12 +34,18 @@ def run_root(
         documents = C.read_text_documents(spark, root)
         failed = None
     else:
-        documents, failed = C.documents_from_pages(C.parse_binary_documents(spark, root, parser))
+        # parsed documents stay page rows all the way (no document is one row)
+        pages, failed = C.split_page_errors(C.parse_binary_documents(spark, root, parser))
+        documents = pages.select("collection", "filename").distinct()
     collections = C.discover(specs, documents)
     man = C.manifest(collections)
-    docs = C.analysis_docs(man, documents)
     jobs = C.jobs(collections)
-    outputs = PL.run(docs, jobs, cfg)
+    if parser is None:
+        docs = C.analysis_docs(man, documents)
+        outputs = PL.run(docs, jobs, cfg)
+    else:
+        docs = man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")
+        outputs = PL.run(docs, jobs, cfg, pages=C.manifest_pages(man, pages))
     results = PL.result_documents(docs, jobs, cfg, outputs)
     sinks.write_results(results, out)
     sinks.write_input_documents(man, out)

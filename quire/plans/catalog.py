@@ -402,6 +402,16 @@ def q_sections_default(spark, sf):
                     _big("page_number").alias("page_number"))
 
 
+def q_sections_from_pages(spark, sf):
+    """PL7/PL8 with documents given as page rows (no document is one row):
+    same result as q_sections."""
+    d = _docs(spark, sf)
+    pages = P.page_table(d, keys=("collection", "doc_id"), lines_per_page=TD.LINES_PER_PAGE)
+    out = PL.run(d.drop("text"), _jobs(spark, sf), TEST_CONFIG, pages=pages)
+    return out["sections"].select("collection", "document", "section_title", _big("importance_rank").alias("importance_rank"),
+                                  _big("page_number").alias("page_number"))
+
+
 def q_subsections(spark, sf):
     """PL6/PL7/WN10/FLT9/PRJ12: five refined page extracts per collection."""
     s = _run(spark, sf)["subsections"]

@@ -409,6 +409,7 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
     )
     pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
+    q["q_sections_from_pages"] = q["q_sections"]
     q["q_sections_default"] = analysis_ctes(default=True) + (
         "SELECT collection, document, section_title, importance_rank, page_number FROM sections "
         "UNION ALL SELECT collection, document, refined_text, importance_rank, page_number FROM subsections"

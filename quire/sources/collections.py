@@ -148,6 +148,21 @@ def parse_binary_documents(
     return pages.select(_parent_dir(path, 2).alias("collection"), _basename(path).alias("filename"), "page_number", "text", "error")
 
 
+def split_page_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good pages, failed(collection, filename, error)): a document with any
+    error row is excluded as a whole (anti join) and reported."""
+    failed = pages.where(F.col("error").isNotNull()).groupBy("collection", "filename").agg(F.first("error").alias("error"))
+    ok = pages.where(F.col("error").isNull()).join(failed, ["collection", "filename"], "left_anti")
+    return ok.drop("error"), failed
+
+
+def manifest_pages(man: DataFrame, pages: DataFrame) -> DataFrame:
+    """Page rows keyed like the analysis documents: (collection, doc_id,
+    page_number, text); a file listed twice contributes its pages twice."""
+    keyed = man.select("collection", "filename", F.col("doc_ord").alias("doc_id"))
+    return pages.join(keyed, ["collection", "filename"]).select("collection", "doc_id", "page_number", "text")
+
+
 def documents_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents(collection, filename, text), failed(collection, filename, error)).
 

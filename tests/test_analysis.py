@@ -2,6 +2,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quire.plans import batch
@@ -193,3 +195,24 @@ def test_document_without_text_gets_no_section(spark, tmp_path):
     assert r.metadata.input_document_count == 2
     # the text-less document is still ranked
     assert res["ranks"].count() == 2
+
+
+@pytest.mark.parametrize("mode", ["body", "template"])
+def test_page_rows_path_equals_in_row_path(spark, mode):
+    from dataclasses import replace
+    from quire.operators import pages as P
+    from quire.plans import catalog as C
+    from quire.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    cfg = replace(C.TEST_CONFIG, rank_text=mode)
+    docs, jobs = TD.docs(spark, sf), TD.jobs(spark, sf)
+    pages = P.page_table(docs, keys=("collection", "doc_id"), lines_per_page=TD.LINES_PER_PAGE)
+    a = PL.run(docs, jobs, cfg)
+    b = PL.run(docs.drop("text"), jobs, cfg, pages=pages)
+    for key, cols in [("sections", ["collection", "document", "section_title", "importance_rank", "page_number"]),
+                      ("subsections", ["collection", "document", "refined_text", "importance_rank", "page_number"]),
+                      ("ranks", ["collection", "doc_id", "score", "importance_rank"])]:
+        assert sorted(map(tuple, a[key].select(cols).collect())) == sorted(map(tuple, b[key].select(cols).collect())), key
+    fa = a["features"].select("collection", "doc_id", "n_pages", "has_heading", "section_title", "section_page", "first_pages")
+    fb = b["features"].select(*fa.columns)
+    assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
