@@ -54,7 +54,7 @@ def run_root(
     sinks.write_quarantine(missing, out, "missing_documents")
     if failed is not None:
         sinks.write_quarantine(failed, out, "unreadable_documents")
-    written = sinks.read_results(spark, out)
+    written = sinks.read_results(spark, out, results.schema)
     no_output = sinks.collections_without_output(specs, written)
     return {
         "results": written, "specs": specs, "bad_specs": bad_specs, "missing": missing,

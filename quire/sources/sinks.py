@@ -31,5 +31,8 @@ def collections_without_output(collections: DataFrame, results: DataFrame) -> Da
     return collections.select("collection").join(results.select("collection"), "collection", "left_anti")
 
 
-def read_results(spark, out: str) -> DataFrame:
-    return spark.read.json(f"{out.rstrip('/')}/results")
+def read_results(spark, out: str, schema=None) -> DataFrame:
+    """Read written results; pass the written schema so that the partition
+    column keeps its string type (a collection named ``007`` stays ``007``)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.json(f"{out.rstrip('/')}/results")

@@ -216,3 +216,15 @@ def test_page_rows_path_equals_in_row_path(spark, mode):
     fa = a["features"].select("collection", "doc_id", "n_pages", "has_heading", "section_title", "section_page", "first_pages")
     fb = b["features"].select(*fa.columns)
     assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
+
+
+def test_numeric_looking_collection_name(spark, tmp_path):
+    root = tmp_path / "in"
+    c = root / "007"
+    (c / "PDFs").mkdir(parents=True)
+    (c / "PDFs" / "a.txt").write_text("Main Heading Here\nsome words")
+    (c / "challenge1b_input.json").write_text(json.dumps({
+        "documents": [{"filename": "a.txt"}], "persona": {"role": PERSONA}, "job_to_be_done": {"task": TASK}}))
+    res = batch.run_root(spark, str(root), str(tmp_path / "out"))
+    assert [r.collection for r in res["results"].collect()] == ["007"]
+    assert res["no_output"].count() == 0
