@@ -146,8 +146,13 @@ def features_from_pages(
     stored document-term table.  Results equal ``features`` on the same text.
     """
     keys = ["collection", "doc_id"]
-    pg = pages.select(*keys, F.col("page_number").cast("int").alias("page_number"), T.ustrip("text").alias("text")).where(
-        F.col("text") != ""
+    # four consumers read the page rows; store them once so the upstream (a
+    # document parser, say) runs once
+    pg = materialize(
+        pages.select(*keys, F.col("page_number").cast("int").alias("page_number"), T.ustrip("text").alias("text")).where(
+            F.col("text") != ""
+        ),
+        "pages",
     )
     n_pages = pg.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("n_pages"))
     first = top_k(pg, keys, ["page_number"], cfg.first_pages, name="page_seq").groupBy(*keys).agg(

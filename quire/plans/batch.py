@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.plans import analysis as PL
+from quire.session import materialize
 from quire.sources import collections as C
 from quire.sources import sinks
 
@@ -35,7 +36,9 @@ def run_root(
         failed = None
     else:
         # parsed documents stay page rows all the way (no document is one row)
-        pages, failed = C.split_page_errors(C.parse_binary_documents(spark, root, parser))
+        # parse once: discovery, quarantine and the analysis all read the stored pages
+        parsed = materialize(C.parse_binary_documents(spark, root, parser), "parsed")
+        pages, failed = C.split_page_errors(parsed)
         documents = pages.select("collection", "filename").distinct()
     collections = C.discover(specs, documents)
     man = C.manifest(collections)

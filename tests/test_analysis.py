@@ -228,3 +228,17 @@ def test_numeric_looking_collection_name(spark, tmp_path):
     res = batch.run_root(spark, str(root), str(tmp_path / "out"))
     assert [r.collection for r in res["results"].collect()] == ["007"]
     assert res["no_output"].count() == 0
+
+
+def test_parser_runs_once_per_file(spark, tmp_path):
+    log = tmp_path / "calls.log"
+
+    def counting_parser(content: bytes):
+        with open(log, "a") as f:
+            f.write("x\n")
+        return content.decode("utf-8").split("\f")
+
+    root = make_root(tmp_path)
+    batch.run_root(spark, str(root), str(tmp_path / "out-count"), parser=counting_parser)
+    n_files = sum(1 for p in root.glob("*/PDFs/*"))
+    assert len(log.read_text().splitlines()) == n_files
