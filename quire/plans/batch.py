@@ -32,7 +32,8 @@ def run_root(
     cfg = cfg or PL.JobConfig(lines_per_page=None)
     specs, bad_specs = C.read_specs(spark, root)
     if parser is None:
-        documents = C.read_text_documents(spark, root)
+        texts = C.read_text_documents(spark, root)
+        documents = C.list_documents(spark, root)   # names only, for discovery and checks
         failed = None
     else:
         # parsed documents stay page rows all the way (no document is one row)
@@ -44,7 +45,7 @@ def run_root(
     man = C.manifest(collections)
     jobs = C.jobs(collections)
     if parser is None:
-        docs = C.analysis_docs(man, documents)
+        docs = C.analysis_docs(man, texts)
         outputs = PL.run(docs, jobs, cfg)
     else:
         docs = man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")

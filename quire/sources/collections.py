@@ -107,6 +107,13 @@ def manifest(specs: DataFrame) -> DataFrame:
     )
 
 
+def list_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*") -> DataFrame:
+    """(collection, filename) of every document file, from the file listing
+    only (a binaryFile scan that selects no content reads no bytes)."""
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{folder}/{pattern}").select("path")
+    return files.select(_parent_dir(F.col("path"), 2).alias("collection"), _basename(F.col("path")).alias("filename"))
+
+
 def read_text_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*") -> DataFrame:
     """(collection, filename, text) from plain-text documents; pages are
     separated by form feeds."""
