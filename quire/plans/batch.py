@@ -45,7 +45,7 @@ def run_root(
     man = C.manifest(collections)
     jobs = C.jobs(collections)
     if parser is None:
-        docs = C.analysis_docs(man, texts)
+        docs = C.analysis_docs(man, texts, listing=documents)
         outputs = PL.run(docs, jobs, cfg)
     else:
         docs = man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")

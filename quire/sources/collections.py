@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.ranking import bounded_broadcast
+
 # Fixed values of the input layout (file name of a job spec, document folder);
 # both are parameters of the readers.
 SPEC_NAME = "challenge1b_input.json"
@@ -200,12 +202,23 @@ def missing_documents(man: DataFrame, documents: DataFrame) -> DataFrame:
     return man.join(documents.select("collection", "filename"), ["collection", "filename"], "left_anti")
 
 
-def analysis_docs(man: DataFrame, documents: DataFrame) -> DataFrame:
-    """docs(collection, doc_id, doc_ord, filename, text) for the pipeline.
+def analysis_docs(man: DataFrame, documents: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """docs(collection, doc_id, doc_ord, filename, text) for the analysis.
 
     Every manifest entry is kept (a file listed twice appears twice): a
     missing file is still ranked -- its text is NULL, so it has no pages and
-    yields no section or subsection."""
-    return man.join(documents.select("collection", "filename", "text"), ["collection", "filename"], "left").select(
-        "collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename", "text"
+    yields no section or subsection.
+
+    With ``listing`` (collection, filename of the files present, see
+    ``list_documents``) the texts are joined to a size-checked broadcast of
+    the manifest, so document text is never shuffled; missing entries come
+    from the manifest and the listing alone.  Without it, one left join."""
+    keyed = man.select("collection", "filename", F.col("doc_ord").alias("doc_id"), "doc_ord")
+    cols = ["collection", "doc_id", "doc_ord", "filename", "text"]
+    if listing is None:
+        return keyed.join(documents.select("collection", "filename", "text"), ["collection", "filename"], "left").select(*cols)
+    present = documents.select("collection", "filename", "text").join(bounded_broadcast(keyed), ["collection", "filename"])
+    missing = keyed.join(listing.select("collection", "filename"), ["collection", "filename"], "left_anti").withColumn(
+        "text", F.lit(None).cast("string")
     )
+    return present.select(*cols).unionByName(missing.select(*cols))
