@@ -109,17 +109,20 @@ def manifest(specs: DataFrame) -> DataFrame:
     )
 
 
-def list_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*") -> DataFrame:
+def list_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*",
+                   collections: str = "*") -> DataFrame:
     """(collection, filename) of every document file, from the file listing
-    only (a binaryFile scan that selects no content reads no bytes)."""
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{folder}/{pattern}").select("path")
+    only (a binaryFile scan that selects no content reads no bytes).
+    ``collections`` is a glob over collection folder names."""
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{collections}/{folder}/{pattern}").select("path")
     return files.select(_parent_dir(F.col("path"), 2).alias("collection"), _basename(F.col("path")).alias("filename"))
 
 
-def read_text_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*") -> DataFrame:
+def read_text_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*",
+                        collections: str = "*") -> DataFrame:
     """(collection, filename, text) from plain-text documents; pages are
-    separated by form feeds."""
-    df = spark.read.format("text").option("wholetext", True).load(f"{root.rstrip('/')}/*/{folder}/{pattern}")
+    separated by form feeds.  ``collections`` is a glob over folder names."""
+    df = spark.read.format("text").option("wholetext", True).load(f"{root.rstrip('/')}/{collections}/{folder}/{pattern}")
     path = F.col("_metadata.file_path")
     return df.select(_parent_dir(path, 2).alias("collection"), _basename(path).alias("filename"), F.col("value").alias("text"))
 

@@ -31,18 +31,15 @@ def _process_batch(spark: SparkSession, root: str, out: str, cfg: PL.JobConfig):
         if not names:
             return
         alts = ",".join(re.sub(r"([{}\[\]*?,\\])", r"\\\1", n) for n in names)
+        glob = f"{{{alts}}}"
         try:
-            files = spark.read.format("text").option("wholetext", True).load(
-                f"{root.rstrip('/')}/{{{alts}}}/{C.DOCS_FOLDER}/*"
-            )
+            documents = C.list_documents(spark, root, collections=glob)
+            texts = C.read_text_documents(spark, root, collections=glob)
         except AnalysisException:  # no document folder among the new collections
             return
-        path = F.col("_metadata.file_path")
-        documents = files.select(C._parent_dir(path, 2).alias("collection"), C._basename(path).alias("filename"),
-                                 F.col("value").alias("text"))
         found = C.discover(specs, documents)
         man = C.manifest(found)
-        docs = C.analysis_docs(man, documents)
+        docs = C.analysis_docs(man, texts, listing=documents)
         jobs = C.jobs(found)
         results = PL.result_documents(docs, jobs, cfg)
         sinks.write_results(results, out, mode="append")
