@@ -143,7 +143,7 @@ def title_case(c) -> Column:
 def strip_extension(c) -> Column:
     """``os.path.splitext(name)[0]``: drop the last extension; names made of a
     leading-dot run plus one word (``.bashrc``) keep theirs."""
-    return F.regexp_replace(_col(c), r"^(.*[^.].*)\.[^.]*\z", "$1")
+    return F.regexp_replace(_col(c), r"(?s)^(.*[^.].*)\.[^.]*\z", "$1")
 
 
 def document_type(filename) -> Column:

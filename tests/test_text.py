@@ -80,3 +80,9 @@ def test_contains_any_and_verdict(spark):
 def test_let_binds_once(spark):
     got = one_col(spark, ["a b c"], lambda c: T.let(F.split(c, " "), lambda a: F.size(a) * 10 + F.size(a)))
     assert got == [33]
+
+
+def test_strip_extension_with_line_separators(spark):
+    import os
+    names = ["\x85\x85..", "a b.txt", "x\ny.pdf"]
+    assert one_col(spark, names, T.strip_extension) == [os.path.splitext(n)[0] for n in names]
