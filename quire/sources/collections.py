@@ -139,7 +139,7 @@ def parse_binary_documents(
     ``parser(content) -> iterable of page texts`` runs inside
     ``mapInPandas`` (one Python worker per task, batches of files).  A parser
     error yields one row with ``error`` set; such a document is dropped as a
-    whole (see ``documents_from_pages``).  Returns (collection, filename,
+    whole (see ``split_page_errors``).  Returns (collection, filename,
     page_number, text, error).
     """
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{folder}/{pattern}").select("path", "content")
@@ -175,26 +175,6 @@ def manifest_pages(man: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.join(keyed, ["collection", "filename"]).select("collection", "doc_id", "page_number", "text")
 
 
-def documents_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents(collection, filename, text), failed(collection, filename, error)).
-
-    Pages are joined in page order with form feeds, so page numbers survive;
-    a document with any error row is excluded and reported.
-    """
-    failed = pages.where(F.col("error").isNotNull()).groupBy("collection", "filename").agg(F.first("error").alias("error"))
-    ok = pages.where(F.col("error").isNull()).join(failed, ["collection", "filename"], "left_anti")
-    docs = ok.groupBy("collection", "filename").agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("page_number", F.coalesce("text", F.lit("")).alias("t")))),
-                lambda p: p["t"],
-            ),
-            PAGE_BREAK,
-        ).alias("text")
-    )
-    return docs, failed
-
-
 def discover(specs: DataFrame, documents: DataFrame) -> DataFrame:
     """Collections having both a job spec and a document folder with files."""
     return specs.join(documents.select("collection").distinct(), "collection", "left_semi")
