@@ -46,3 +46,18 @@ def test_strip_extension_is_splitext(spark, values):
 def test_collapse_ws_is_split_join_of_runs(spark, values):
     import re
     assert run(spark, values, T.collapse_ws) == [re.sub(r"\s+", " ", v) for v in values]
+
+
+@SETTINGS
+@given(texts)
+def test_lines_of_is_split_then_strip(spark, values):
+    from quire.operators.pages import lines_of
+    assert run(spark, values, lines_of) == [[l.strip() for l in v.split("\n")] for v in values]
+
+
+@SETTINGS
+@given(texts)
+def test_contains_any_is_lowered_substring(spark, values):
+    words = ["zé", "ss", ". "]
+    got = run(spark, values, lambda c: T.contains_any(c, words))
+    assert got == [any(w in v.lower() for w in words) for v in values]
