@@ -61,3 +61,18 @@ def test_contains_any_is_lowered_substring(spark, values):
     words = ["zé", "ss", ". "]
     got = run(spark, values, lambda c: T.contains_any(c, words))
     assert got == [any(w in v.lower() for w in words) for v in values]
+
+
+def _py_pages(text, n=4):
+    lines = text.split("\n")
+    chunks = ["\n".join(lines[i:i + n]).strip() for i in range(0, len(lines), n)]
+    kept = [(k + 1, t) for k, t in enumerate(chunks) if t]
+    return [(num, seq + 1, t) for seq, (num, t) in enumerate(kept)]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from(ALPHABET + ["\n", "\n", "word"]), max_size=30).map("".join), min_size=20, max_size=40))
+def test_page_array_is_four_line_chunks(spark, values):
+    from quire.operators.pages import page_array
+    got = [[tuple(p) for p in ps] for ps in run(spark, values, lambda c: page_array(c, 4))]
+    assert got == [_py_pages(v) for v in values]
