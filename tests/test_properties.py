@@ -76,3 +76,15 @@ def test_page_array_is_four_line_chunks(spark, values):
     from quire.operators.pages import page_array
     got = [[tuple(p) for p in ps] for ps in run(spark, values, lambda c: page_array(c, 4))]
     assert got == [_py_pages(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from(["abcd", "Abcd", "ÉTÉS", "straße", "ab", " ", "-", "\n", "1", "xyzw"]), max_size=25).map("".join),
+                min_size=20, max_size=40))
+def test_term_freqs_count_letter_runs(spark, values):
+    import re
+    from collections import Counter
+    from quire.operators.similarity import term_freqs
+    got = [sorted((x["term"], x["tf"]) for x in r) for r in run(spark, values, term_freqs)]
+    want = [sorted(Counter(w for w in re.findall(r"[^\W\d_]+", v.lower()) if len(w) >= 4).items()) for v in values]
+    assert got == want
