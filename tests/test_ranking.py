@@ -115,3 +115,11 @@ def test_rerank_depth_is_min_10_n(spark, n):
     tail = list(range(top, n))
     assert [got[i] for i in tail] == list(range(1, len(tail) + 1))
     assert [got[i] for i in range(top)] == list(range(len(tail) + 1, n + 1))
+
+
+def test_rank_within_more_partitions_than_rows(spark):
+    df = spark.createDataFrame([("g", i, float(i % 3)) for i in range(6)] + [("h", 0, 1.0)], "grp string, id long, s double")
+    got = R.rank_within(df, ["grp"], [F.col("s").desc(), F.col("id").asc()], "r", partitions=50)
+    w = Window.partitionBy("grp").orderBy(F.col("s").desc(), F.col("id").asc())
+    want = df.withColumn("r", F.row_number().over(w))
+    assert sorted(map(tuple, got.select("grp", "id", "r").collect())) == sorted(map(tuple, want.select("grp", "id", "r").collect()))
