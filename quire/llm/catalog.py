@@ -3,10 +3,12 @@ whole of its table and derives the columns of its contract from the result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import simhash
+from quire.llm import bpe, packing, sharding, simhash, vocab
+from quire.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +25,82 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` in 8 shards of near-equal bytes, in the order of doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    narrow = docs.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("tie"),
+    )
+    narrow = materialize(narrow, "sizes")
+    sharded = sharding.histogram_shards(narrow, F.col("doc_id"), F.col("tie"), F.col("size"))
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# Shard boundaries are where the bytes before a row come nearest to a share.
+# CRC-32 (polynomial edb88320, reflected) from a table, byte by byte.
+ORACLE_SHARDING = """
+WITH RECURSIVE bits AS (
+  SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM d
+), cuts AS (
+  SELECT j, (SELECT b FROM (SELECT before AS b, total FROM s UNION ALL SELECT total, total FROM s) ORDER BY abs(8 * b - j * total), b LIMIT 1) AS cut
+  FROM range(1, 8) r(j)
+), p AS (
+  SELECT *, (SELECT count(*) FROM cuts WHERE before >= cut)::INTEGER AS shard FROM s
+)
+SELECT doc_id, size,
+  xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(size - 1), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]))) AS text_crc32,
+  'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM p, crc
+"""
+
+
+END_OF_DOCUMENT = 1
+
+
+def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` in sequences of at most 2048 word-BPE ids, each
+    document followed by id 1; one row a piece."""
+    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
+    pieces = packing.pack_documents(docs.select("doc_id", "text"), "text", tokenize)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of at most 2048 ids."""
+    return packed(spark, table(spark, sf_dir, "documents"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text of ``documents``, and the bytes they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN)
+    return ids.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), spark, ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_sharding": op3_sharding,
+    "op4_packing": op4_packing,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_sharding": ORACLE_SHARDING,
+}
