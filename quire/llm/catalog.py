@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, sharding, simhash, vocab
+from quire.llm import bpe, packing, quality, sharding, simhash, vocab
 from quire.session import materialize
 
 
@@ -39,6 +39,57 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+# Words, windows and lines as rows; references are shares among all words and
+# all characters of a language.
+ORACLE_QUALITY = r"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t FROM documents
+), l AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM d
+), w AS (
+  SELECT doc_id, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM l
+), v AS (
+  SELECT *, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS win FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM v WHERE win IS NOT NULL) WHERE n > 1
+), rep AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) r(k) GROUP BY doc_id
+), f AS (
+  SELECT doc_id, lang, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+    length(t) AS n_chars,
+    [length(regexp_replace(t, '[^A-Z]', '', 'g')), length(regexp_replace(t, '[^0-9]', '', 'g')), length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')),
+     length(regexp_replace(t, '[^.,;:!?''"()-]', '', 'g')), length(regexp_replace(t, '[^#*$%&|<>=+/\\_@^~`{}\[\]]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c6
+  FROM l
+), g AS (SELECT *, list_append(c6, n_chars - list_sum(c6)::BIGINT) AS classes FROM f),
+langs AS (SELECT lang, sum(n_words) AS words, sum(n_chars) AS chars FROM g WHERE lang IS NOT NULL GROUP BY lang ORDER BY sum(n_chars) DESC, lang LIMIT 32),
+cls AS (SELECT lang, k, sum(classes[k + 1]) / any_value(chars) AS q FROM g JOIN langs USING (lang), range(7) r(k) GROUP BY lang, k),
+top AS (
+  SELECT lang, word, n / words AS q FROM (SELECT lang, word, count(*) AS n FROM w GROUP BY lang, word) JOIN langs USING (lang)
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 64
+), cd AS (
+  SELECT doc_id, min(x) AS class_distance FROM (
+    SELECT doc_id, c.lang, sqrt(greatest(0, sum((CASE WHEN classes[k + 1] > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS x
+    FROM (SELECT *, classes[k + 1] / n_chars AS p FROM g, range(7) r(k) WHERE n_chars >= 200 AND n_words >= 50) a JOIN cls c USING (k) GROUP BY doc_id, c.lang) GROUP BY doc_id
+), wc AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY doc_id, word),
+wp AS (
+  SELECT doc_id, t.lang, n / n_words AS p, q FROM wc JOIN top t USING (word) JOIN g USING (doc_id) WHERE n_words >= 50
+), ws2 AS (
+  SELECT doc_id, lang, sum((p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) / 2) AS x, sum(p) AS p, sum(q) AS q FROM wp GROUP BY doc_id, lang
+), wd AS (
+  SELECT doc_id, min(sqrt(greatest(0, x + (listed - q) / 2 + (CASE WHEN 1 - p > 0 THEN (1 - p) * log2(2 * (1 - p) / (1 - p + 1 - listed)) ELSE 0 END + CASE WHEN 1 - listed > 0 THEN (1 - listed) * log2(2 * (1 - listed) / (1 - p + 1 - listed)) ELSE 0 END) / 2))) AS word_distance
+  FROM (SELECT doc_id, t.lang, coalesce(x, 0) AS x, coalesce(p, 0) AS p, coalesce(s.q, 0) AS q, listed FROM (SELECT doc_id FROM g WHERE n_words >= 50) CROSS JOIN (SELECT lang, sum(q) AS listed FROM top GROUP BY lang) t LEFT JOIN ws2 s USING (doc_id, lang))
+  GROUP BY doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+  (n_words < 50 OR 100 * coalesce(n, 0) > 50 * n_words) AS base_failed,
+  NOT (n_words < 50 OR 100 * coalesce(n, 0) > 50 * n_words) AND coalesce(class_distance, 0) <= 0.28 AND coalesce(word_distance, 0) <= 0.45 AS kept
+FROM g LEFT JOIN rep USING (doc_id) LEFT JOIN cd USING (doc_id) LEFT JOIN wd USING (doc_id)
+"""
+
+
 # Shard boundaries are where the bytes before a row come nearest to a share.
 # CRC-32 (polynomial edb88320, reflected) from a table, byte by byte.
 ORACLE_SHARDING = """
@@ -81,6 +132,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base features and verdict of every text of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge(docs, F.col("text"), F.col("lang"), {"doc_id": F.col("doc_id")})
+    return judged.drop("class_distance", "word_distance")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text of ``documents``, and the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -98,9 +156,11 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
+    "op6_quality": op6_quality,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE_SQL = {
     "op3_sharding": ORACLE_SHARDING,
+    "op6_quality": ORACLE_QUALITY,
 }
