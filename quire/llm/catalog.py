@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, quality, sharding, simhash, vocab
+from quire.llm import bpe, packing, pii, quality, sharding, simhash, vocab
 from quire.session import materialize
 
 
@@ -132,6 +132,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``."""
+    found = pii.find(table(spark, sf_dir, "documents"), F.col("text"), {"doc_id": F.col("doc_id")})
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(number(k).alias(f"n_{k}") for k in pii.BASE_KINDS),
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base features and verdict of every text of ``documents``."""
     docs = table(spark, sf_dir, "documents")
@@ -156,6 +169,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op8_byte_bpe": op8_byte_bpe,
 }

@@ -153,7 +153,7 @@ def judge(docs: DataFrame, text: Column, lang: Column, keep: dict[str, Column])
     nearest = lambda found: F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast("double")
     enough = F.col("n_words") >= MIN_WORDS
     judged = found.select(
-        *(F.col("row")[n].alias(n) for n in keep),
+        "row",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -164,7 +164,8 @@ def judge(docs: DataFrame, text: Column, lang: Column, keep: dict[str, Column])
         F.when(enough, nearest(by_word)).alias("word_distance"),
     )
     far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~far)
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~far)
+    return judged.select(*(F.col("row")[n].alias(n) for n in keep), *(c for c in judged.columns if c != "row"))
 
 
 def good_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

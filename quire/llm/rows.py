@@ -31,3 +31,57 @@ def windows_hashed(ws: Column, size: int) -> Column:
     """A 64-bit hash of every window of ``size`` words, by position."""
     n = F.greatest(F.size(ws) - (size - 1), F.lit(0))
     return F.transform(F.slice(ws, 1, n), lambda w, i: F.xxhash64(w, *(F.get(ws, i + j) for j in range(1, size))))
+
+
+_BLOCK = 256
+
+
+def _sums_before(values: Column) -> Column:
+    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
+    return F.aggregate(values, zero, lambda a, v: F.struct((a["sum"] + v).alias("sum"), F.concat(a["all"], F.array(a["sum"])).alias("all")), lambda a: a["all"])
+
+
+def sums_before(values: Column) -> Column:
+    """For each element of an int array, the sum of those before it: within
+    blocks of elements and over the blocks, as appending copies an array."""
+
+    def blocked(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest((F.size(v) - 1) / _BLOCK, F.lit(0)).cast("int")), lambda b: F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+        def shifted(bs: Column) -> Column:
+            ahead = _sums_before(F.transform(bs, lambda b: F.aggregate(b, F.lit(0), lambda x, y: x + y)))
+            return F.flatten(F.zip_with(bs, ahead, lambda b, o: F.transform(_sums_before(b), lambda x: x + o)))
+
+        return let(blocks, shifted)
+
+    return let(values, blocked)
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches of a pattern that never matches the
+    empty string: ``array<struct<found, start, end, before, after>>``, positions
+    in code points, end exclusive; ``before`` and ``after`` are the text up to
+    the neighbouring matches.  (Spark returns matches without positions; the
+    texts between them come from a split at the same matches.)"""
+    empty = F.array().cast("array<struct<found:string,start:int,end:int,before:string,after:string>>")
+
+    def placed(found: Column) -> Column:
+        def between(parts: Column) -> Column:
+            sizes = F.zip_with(parts, found, lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0)))
+            return let(
+                sums_before(sizes),
+                lambda at: F.transform(
+                    found,
+                    lambda m, i: F.struct(
+                        m.alias("found"),
+                        (F.get(at, i) + F.length(F.get(parts, i))).alias("start"),
+                        (F.get(at, i) + F.length(F.get(parts, i)) + F.length(m)).alias("end"),
+                        F.get(parts, i).alias("before"),
+                        F.get(parts, i + 1).alias("after"),
+                    ),
+                ),
+            )
+
+        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), between)).otherwise(empty)
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
