@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from quire.llm import vocab
 
 #: A block ends with its Arrow batch, or with the document that gives it so many pre-tokens.
-BLOCK_TOKENS = 8_000_000
+BLOCK_TOKENS = 2_000_000
 #: Words whose ids a task remembers; beyond that it begins anew (and encodes again).
-KNOWN_WORDS = 2_000_000
+KNOWN_WORDS = 500_000
 _LONG_TEXT = 1 << 22
 _U4 = np.dtype("<u4")
 _DOC, _CODES, _WORDS = 0, 1, 2
