@@ -54,33 +54,86 @@ def _word_bpe(data: bytes):
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    tokenizer = Tokenizer.from_str(data.decode())
-    tokenizer.encode_special_tokens = True
-    return WordBpe(tokenizer)
+    return WordBpe(Tokenizer.from_str(data.decode()))
+
+
+class _Codes(dict):
+    """Words to codes; words without one yet get the next and are noted."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word):
+        self[word] = code = len(self)
+        self.new.append(word)
+        return code
 
 
 class WordBpe:
     """Ids of texts by a tokenizer that drops white space and never lets a
-    token cross it: texts are cut at space, tab and line feed and each distinct
-    stretch between them is encoded once, as long as the cache holds it."""
+    token cross it: texts are cut at space, tab and line feed, and each distinct
+    stretch between them is encoded once, as long as it is remembered.
+
+    New stretches are encoded together, set apart by a special token, whose id
+    marks where each one ends; one that holds special tokens itself is encoded
+    alone, as ordinary text."""
 
-    CACHE = 400_000
+    REMEMBERED = 1_000_000
+    TOGETHER = 64
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.cache = tokenizer, {"": ()}
+        special = [t for t in tokenizer.get_added_tokens_decoder().values() if t.special]
+        if not special:
+            raise ValueError("the tokenizer has no special token to set words apart by")
+        self.tokenizer, self.marks = tokenizer, [t.content for t in special]
+        self.mark = tokenizer.token_to_id(self.marks[0])
+        self._forget()
+
+    def _forget(self):
+        self.codes, self.start, self.size, self.ids = _Codes(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _encode(self, texts: list[str], special: bool) -> list[list[int]]:
+        self.tokenizer.encode_special_tokens = not special
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self):
+        words = self.codes.new
+        self.codes.new = []
+        size = np.zeros(len(words), np.int64)
+        mark = re.compile("|".join(map(re.escape, self.marks))).search
+        odd = [i for i, w in enumerate(words) if mark(w)]
+        is_odd = np.zeros(len(words), bool)
+        is_odd[odd] = True
+        # ids of words with special tokens in them come last, after all others
+        plain = [words[i] for i in np.flatnonzero(~is_odd).tolist()]
+        groups = [plain[i : i + self.TOGETHER] for i in range(0, len(plain), self.TOGETHER)]
+        joined = self._encode([self.marks[0].join(g) for g in groups], True) if groups else []
+        ids = np.fromiter(chain.from_iterable((*found, self.mark) for found in joined), np.dtype("<u4"))
+        ends = np.flatnonzero(ids == self.mark)
+        assert len(ends) == len(plain)
+        alone = self._encode([words[i] for i in odd], False)
+        size[~is_odd] = np.diff(ends, prepend=-1) - 1
+        size[odd] = [len(x) for x in alone]
+        start, known = np.empty_like(size), len(self.ids)
+        start[~is_odd] = known + np.cumsum(size[~is_odd]) - size[~is_odd]
+        start[odd] = known + size[~is_odd].sum() + np.cumsum(size[odd]) - size[odd]
+        self.start = np.concatenate([self.start, start])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids[ids != self.mark], np.array(list(chain.from_iterable(alone)), "<u4")])
 
     def __call__(self, texts: list[str], end: int | None = None) -> list[np.ndarray]:
-        if len(self.cache) > self.CACHE:
-            self.cache = {"": ()}
-        cache, out = self.cache, []
-        tail = () if end is None else (end,)
-        cut = re.compile("[ \t\n]+").split
-        for text in texts:
-            words = text.split(" ") if "\n" not in text and "\t" not in text else cut(text)
-            if new := [w for w in dict.fromkeys(words) if w not in cache]:
-                for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    cache[word] = tuple(found.ids)
-            out.append(np.fromiter(chain(chain.from_iterable(map(cache.__getitem__, words)), tail), np.dtype("<u4")))
+        if len(self.codes) > self.REMEMBERED:
+            self._forget()
+        look = self.codes.__getitem__
+        coded = [np.fromiter(map(look, t.replace("\n", " ").replace("\t", " ").split(" ")), np.int64) for t in texts]
+        if self.codes.new:
+            self._learn()
+        out, tail = [], np.array([] if end is None else [end], "<u4")
+        for codes in coded:
+            size = self.size[codes]
+            total = np.cumsum(size)
+            at = np.arange(total[-1]) + np.repeat(self.start[codes] - total + size, size)
+            out.append(np.concatenate([self.ids[at], tail]))
         return out
 
 

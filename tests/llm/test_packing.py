@@ -75,8 +75,11 @@ def test_word_cache_equals_whole_texts():
     rng = random.Random(2)
     odd = "aB1' \t\n\r ́ͅßİıΣσς ​日本한😀é\x1c\x85.,#<|>d'sT"
     texts += ["".join(rng.choice(odd) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["a<|startoftext|>b", "<|endoftext|>", "x<|end oftext|> <|startoftext|><|endoftext|>y", ""]
+    found = encode(texts[:1500]) + encode(texts[1500:])
+    encode.tokenizer.encode_special_tokens = True
     whole = encode.tokenizer.encode_batch(texts, add_special_tokens=False)
-    for text, a, b in zip(texts, encode(texts), whole):
+    for text, a, b in zip(texts, found, whole):
         assert a.tolist() == b.ids, repr(text)
 
 
