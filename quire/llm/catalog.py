@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, sharding, simhash, vocab
+from quire.llm import bpe, packing, pii, quality, sharding, simhash, syncmers, vocab
 from quire.session import materialize
 
 
@@ -165,6 +165,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text of ``documents`` and of its edited text."""
+    pairs = syncmers.against_next(table(spark, sf_dir, "documents"))
+    return pairs.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        syncmers.printed(F.col("own")).alias("fingerprint"),
+        syncmers.printed(F.col("edited_own")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
+        syncmers.likeness(F.col("own"), F.col("next")).alias("near_next"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
@@ -172,6 +186,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_syncmers": op9_syncmers,
 }
 
 ORACLE_SQL = {
