@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, sharding, simhash, syncmers, vocab
+from quire.llm import bpe, packing, pii, quality, sharding, simhash, syncmers, urls, vocab
 from quire.session import materialize
 
 
@@ -152,6 +152,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("class_distance", "word_distance")
 
 
+#: Rules of the registered query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("allow", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page; URLs decided by a rule train the trees."""
+    return urls.filter_urls(table(spark, sf_dir, "pages"), "url", URL_RULES, {"page_id": F.col("page_id")})
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text of ``documents``, and the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -185,6 +194,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
+    "op7_urls": op7_urls,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_syncmers": op9_syncmers,
 }

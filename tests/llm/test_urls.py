@@ -1,0 +1,76 @@
+import math
+import random
+import re
+from collections import Counter
+
+import duckdb
+from pyspark.sql import functions as F
+
+from quire.llm import catalog, urls
+from tests.conftest import SF_SMALL
+
+
+def parts(url):
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    return re.sub("[A-Z]", lambda m: m.group().lower(), host), path
+
+
+def rule_of(host, path):
+    fits = []
+    for verdict, rule in catalog.URL_RULES:
+        name, rest = rule.split("/", 1)
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            fits.append((len(rule), rule, verdict))
+    return max(fits)[1:] if fits else (None, None)
+
+
+def check(got, pages):
+    assert sorted((str(r.page_id), r.host, r.path, str(r.rule)) for r in got) == sorted((str(p), *parts(u), str(rule_of(*parts(u))[0])) for p, u in pages)
+    assert all(r.verdict == rule_of(r.host, r.path)[1] if r.rule else r.verdict in ("allow", "block") for r in got)
+
+
+def test_query(spark):
+    pages = duckdb.sql(f"select page_id, url from '{SF_SMALL}/pages.parquet'").fetchall()
+    check(catalog.op7_urls(spark, SF_SMALL).collect(), pages)
+
+
+def test_odd_urls(spark):
+    pages = list(enumerate([None, "", "no scheme", "://", "http://", "HTTP://EXAMPLE.org/en/12?x#y", "http://example.org", "https://notexample.org/es/", "a://b://c.com/de/", "http://ÄB.Com/fr/\n/x?", "x?y://org/", "http://a.com#/fr/", "http://sub.example.org/es/?q=1&r=2;s", "http://org/", "http://com/de/", "z" * 3000 + "://h.org/" + "p/" * 3000, "http://h.org/", "http://h.org/"]))
+    df = spark.createDataFrame(pages, "page_id bigint, url string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit(1))
+    run = lambda d: urls.filter_urls(d, "url", catalog.URL_RULES, {"page_id": F.col("page_id")})
+    check(run(df).collect(), pages)
+    assert run(df.limit(0)).count() == 0
+    none = run(df.where("url NOT LIKE '%org%' AND url NOT LIKE '%om/%'"))
+    assert {r.verdict for r in none.collect()} == {"allow"}
+
+
+def test_lexical_features(spark):
+    url = "https://a-b.x1.example.com/p/q7/?k=v&m=n#frag"
+    df = spark.createDataFrame([(url,), ("",), (None,)], "url string")
+    r = df.select(*(c.alias(n) for n, c in urls.lexical(F.col("url"), urls.host(F.col("url")), urls.path(F.col("url"))).items())).collect()
+    n = Counter(url)
+    assert (r[0].length, r[0].depth, r[0].parameters, r[0].labels, r[0].hyphens, r[0].host_digits, r[0].secure) == (len(url), 3, 2, 4, 1, 1, True)
+    assert math.isclose(r[0].entropy, -sum(c / len(url) * math.log2(c / len(url)) for c in n.values())) and math.isclose(r[0].digit_ratio, 2 / len(url))
+    assert (r[1].length, r[1].entropy, r[1].parameters) == (0, 0.0, 0) and r[2] == r[1]
+
+
+def test_trees_find_spam_on_held_out_urls(spark):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 9)))
+
+    def make(spam):
+        if spam:
+            return f"http://{word()}-{word()}-{rng.randrange(1000)}.{word()}.biz/{word()}?{'&'.join(f'{word()}={rng.randrange(10**8)}' for _ in range(rng.randint(2, 5)))}"
+        return f"https://www.{word()}.org/{word()}/{word()}"
+
+    noisy = [(make(s), s if rng.random() < 0.95 else not s) for s in (rng.random() < 0.4 for _ in range(600))]
+    held = [(i, make(i % 2 == 0)) for i in range(200)]
+    labelled = spark.createDataFrame(noisy + [(None, True), ("http://x.y", None)], "url string, blocked boolean")
+    pages = spark.createDataFrame(held, "page_id bigint, url string")
+    got = urls.filter_urls(pages, "url", [], {"page_id": F.col("page_id")}, labelled).collect()
+    assert sum((r.verdict == "block") == (r.page_id % 2 == 0) for r in got) >= 195
+    assert all(r.rule is None for r in got)
