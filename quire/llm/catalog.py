@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, sharding, simhash, syncmers, urls, vocab
+from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, syncmers, urls, vocab
 from quire.session import materialize
 
 
@@ -25,6 +25,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of ``documents``."""
+    found = secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(number(k).alias(f"n_{k}") for k in secrets.BASE_KINDS),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` in 8 shards of near-equal bytes, in the order of doc_id."""
     docs = table(spark, sf_dir, "documents")
@@ -190,6 +203,7 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_secrets": op2_secrets,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
