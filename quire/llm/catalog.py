@@ -3,12 +3,14 @@ whole of its table and derives the columns of its contract from the result."""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, syncmers, urls, vocab
-from quire.session import materialize
+from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, syncmers, training_order, urls, vocab
+from quire.session import checkpoint_dir, materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,11 +134,15 @@ FROM p, crc
 END_OF_DOCUMENT = 1
 
 
+def _pieces(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
+    return packing.pack_documents(docs.select("doc_id", "text"), "text", tokenize)
+
+
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` in sequences of at most 2048 word-BPE ids, each
     document followed by id 1; one row a piece."""
-    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
-    pieces = packing.pack_documents(docs.select("doc_id", "text"), "text", tokenize)
+    pieces = _pieces(spark, docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -201,6 +207,18 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TRAINING_KEY = 20260
+
+
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed sequences of ``documents`` in training order: written as
+    fixed-stride shards, read back, and met with their manifest."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/training-order-{uuid.uuid4().hex}"
+    training_order.write_shards(training_order.sequences(_pieces(spark, table(spark, sf_dir, "documents"))), path, TRAINING_KEY)
+    records = training_order.read_records(spark, path).select("slot", F.crc32("bytes").alias("record_crc32"), F.length("bytes").cast("bigint").alias("record_bytes"))
+    return spark.read.parquet(f"{path}/manifest").join(records, "slot").select("slot", "shard", "record", "number", "sequence_id", "n_ids", "record_bytes", "record_crc32")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -211,6 +229,7 @@ QUERIES = {
     "op7_urls": op7_urls,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_syncmers": op9_syncmers,
+    "op10_training_order": op10_training_order,
 }
 
 ORACLE_SQL = {
