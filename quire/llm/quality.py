@@ -169,12 +169,7 @@ def judge(docs: DataFrame, text: Column, lang: Column, keep: dict[str, Column])
 
 
 def good_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all columns as they are.
-
-    The verdict is found by a 128-bit hash of text, on which alone it depends.
-    """
-    text = F.col(text_col)
-    key = F.md5(F.coalesce(text, F.lit("")))
-    verdicts = judge(docs, text, F.col(lang_col), {"_judged": key}).where("kept").select("_judged").distinct()
-    kept = docs.withColumn("_judged", key).join(verdicts, "_judged", "left_semi")
-    return kept.select(*docs.columns)
+    """The rows of ``docs`` that ``judge`` keeps, all columns as they are."""
+    held = {f"_c{i}": F.col(c) for i, c in enumerate(docs.columns)}
+    judged = judge(docs, F.col(text_col), F.col(lang_col), held)
+    return judged.where("kept").select(*(F.col(k).alias(c) for k, c in zip(held, docs.columns)))

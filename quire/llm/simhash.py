@@ -165,16 +165,17 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one with the smallest id (nulls last, then by a hash of the row).  Columns
     are those of ``docs``; of rows that are equal in every column one stays.
     """
-    row = F.xxhash64(*(F.col(c) for c in docs.columns))
-    groups = simhash_groups(docs, id_col, text_col, shingle, max_bits, {"row": row})
-    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("row"))).alias("first")
-    groups = materialize(groups, "grouped")
-    # null components (null ids only) are told apart by their fingerprint
+    # 128 bits tell rows apart; rows equal in every column are one
+    whole = [F.col(c) for c in docs.columns]
+    row = {"_row": F.xxhash64(*whole), "_row2": F.xxhash64(F.lit(1), *whole)}
+    groups = materialize(simhash_groups(docs, id_col, text_col, shingle, max_bits, row), "grouped")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("_row"), F.col("_row2"))).alias("first")
+    # groups of null ids only are told apart by their fingerprint
     named = groups.withColumn("alone", F.when(F.col("component").isNull(), F.col("fp")))
-    kept = named.groupBy("component", "alone").agg(first).select(F.col("first.row").alias("_kept_row"))
-    rows = groups.groupBy(F.col("row").alias("_kept_row")).agg(F.count(F.lit(1)).alias("_copies"))
-    kept = materialize(kept.join(rows, "_kept_row"), "kept")
-    out = docs.withColumn("_kept_row", row).join(kept, "_kept_row")
-    once = out.where("_copies = 1").drop("_kept_row", "_copies")
-    several = out.where("_copies > 1").dropDuplicates(["_kept_row"]).drop("_kept_row", "_copies")
+    kept = named.groupBy("component", "alone").agg(first).select("first._row", "first._row2")
+    copies = groups.groupBy(*row).agg(F.count(F.lit(1)).alias("_copies"))
+    kept = materialize(kept.join(copies, list(row)), "kept")
+    out = docs.withColumns(row).join(kept, list(row))
+    once = out.where("_copies = 1").select(*docs.columns)
+    several = out.where("_copies > 1").dropDuplicates(list(row)).select(*docs.columns)
     return once.unionByName(several)
