@@ -33,7 +33,7 @@ from quire.llm import vocab
 #: A block ends with its Arrow batch, or with the document that gives it so many pre-tokens.
 BLOCK_TOKENS = 2_000_000
 #: Words whose ids a task remembers; beyond that it begins anew (and encodes again).
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 _LONG_TEXT = 1 << 22
 _U4 = np.dtype("<u4")
 _DOC, _CODES, _WORDS = 0, 1, 2
@@ -129,13 +129,19 @@ def _encode_words(batches, ranks, pattern: str, names: list[str]):
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *(pa.array(x, pa.binary()) for x in blobs)], names=names)
 
 
-def _assemble(keep: list[str]):
+def _joined(ids: np.ndarray, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
+
+
+def _assemble(keep: list[str], ranks, decoded: bool):
+    names = ["ids", "decoded"] if decoded else ["ids"]
+
     def run(block: pa.Table, words: pa.Table) -> pa.Table:
         kind = block.column("kind").to_numpy()
         docs = block.filter(pa.array(kind == _DOC)).sort_by("at")
         coded = block.filter(pa.array(kind == _CODES))
         if not coded.num_rows:  # words on their way to be encoded
-            return pa.Table.from_arrays([pa.array([], f.type) for f in docs.select(keep).schema] + [pa.array([], pa.binary())], names=keep + ["ids"])
+            return pa.Table.from_arrays([pa.array([], f.type) for f in docs.select(keep).schema] + [pa.array([], pa.binary()) for _ in names], names=keep + names)
         parts = list(zip(*(words.column(n).to_pylist() for n in ("a", "b", "c"))))
         code = np.concatenate([np.cumsum(_expand(a), dtype=np.int64) for a, _, _ in parts] or [np.zeros(0, np.int64)])
         size = np.concatenate([_expand(b) for _, b, _ in parts] or [np.zeros(0, _U4)]).astype(np.int64)
@@ -144,30 +150,36 @@ def _assemble(keep: list[str]):
         size_of, start_of = np.empty_like(size), np.empty_like(start)
         size_of[code], start_of[code] = size, start
         codes, lengths = _expand(coded.column("a")[0].as_py()), _expand(coded.column("b")[0].as_py())
-        out, lo = [], 0
+        out, texts, lo = [], [], 0
+        table = vocab.token_bytes(ranks.value) if decoded else []
         for n in lengths.tolist():
             at = codes[lo : lo + n]
             lo += n
             count = size_of[at]
             here = np.repeat(start_of[at] - (np.cumsum(count) - count), count)
-            out.append(ids[here + np.arange(len(here))].tobytes())
-        return docs.select(keep).append_column("ids", pa.array(out, pa.binary()))
+            found = ids[here + np.arange(len(here))]
+            out.append(found.tobytes())
+            if decoded:
+                texts.append(_joined(found, table))
+        rows = docs.select(keep).append_column("ids", pa.array(out, pa.binary()))
+        return rows.append_column("decoded", pa.array(texts, pa.binary())) if decoded else rows
 
     return run
 
 
-def encode(docs: DataFrame, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
-    """The columns of ``docs`` but the text, and ``ids`` (binary).
+def encode(docs: DataFrame, text_col: str, ranks_path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """The columns of ``docs`` but the text, and ``ids`` (binary); with
+    ``decoded`` also the bytes that the ids decode to.
 
     Every match of ``pattern`` is encoded by the merge ranks of the file at
     ``ranks_path``, without special tokens.  Null and empty texts have empty
     ids.  Rows come once each, repeated rows too; columns may have any names
-    and be null (one named ``ids`` is replaced).  An empty table gives no rows.
+    and be null (``ids`` and ``decoded`` are replaced).  An empty table gives no rows.
     """
     spark = docs.sparkSession
     ranks = vocab.broadcast_file(spark, ranks_path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = [c for c in docs.columns if c not in (text_col, "ids")]
+    kept = [c for c in docs.columns if c not in (text_col, "ids", "decoded")]
     keep = [f"k{i}" for i in range(len(kept))]
     source = docs.select(*(docs[c].alias(k) for c, k in zip(kept, keep)), docs[text_col].alias("text"))
     types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.schema if f.name != "text")
@@ -177,8 +189,8 @@ def encode(docs: DataFrame, text_col: str, ranks_path: str, pattern: str) -> Dat
     # both branches read this one exchange
     dealt = cut.repartition(buckets, "key")
     encoded = dealt.mapInArrow(lambda batches: _encode_words(batches, ranks, pattern, ["key", "a", "b", "c"]), f"key bigint, {blobs}")
-    out = dealt.groupBy("key").cogroup(encoded.groupBy("key")).applyInArrow(_assemble(keep), f"{types}ids binary")
-    return out.select(*(F.col(k).alias(c) for c, k in zip(kept, keep)), "ids")
+    out = dealt.groupBy("key").cogroup(encoded.groupBy("key")).applyInArrow(_assemble(keep, ranks, decoded), f"{types}ids binary" + ", decoded binary" * decoded)
+    return out.select(*(F.col(k).alias(c) for c, k in zip(kept, keep)), *out.columns[len(keep) :])
 
 
 def decode(ids: Column, spark, ranks_path: str) -> Column:
@@ -188,6 +200,6 @@ def decode(ids: Column, spark, ranks_path: str) -> Column:
     @F.arrow_udf("binary")
     def joined(column: pa.Array) -> pa.Array:
         table = vocab.token_bytes(ranks.value)
-        return pa.array([None if i is None else b"".join(map(table.__getitem__, np.frombuffer(i, _U4).tolist())) for i in column.to_pylist()], pa.binary())
+        return pa.array([None if i is None else _joined(np.frombuffer(i, _U4), table) for i in column.to_pylist()], pa.binary())
 
     return joined(ids)
