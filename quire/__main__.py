@@ -15,7 +15,7 @@ import time
 
 from quire.plans import analysis as PL
 from quire.plans import batch
-from quire.session import get_session
+from quire.session import drop_stored, get_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None) -> None:
     print(f"{n} collection result(s) written to {a.out} in {time.time() - t0:.1f} s")
     missing = res["no_output"].count()
     if missing:
-        print(f"{missing} collection(s) produced no output; see {a.out}/_quarantine")
+        print(f"{missing} collection(s) produced no output; see {a.out}/_quarantine/no_output")
+    drop_stored(spark)
 
 
 if __name__ == "__main__":

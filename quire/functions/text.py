@@ -86,6 +86,8 @@ TITLECASE_SPECIAL = {
 _WS = r"[\s\x1c-\x1f]"
 _STRIP_RX = rf"(?U)^{_WS}+|{_WS}+\z"
 _WS_RUN_RX = rf"(?U){_WS}+"
+# The heading pattern with the blanks of Python's re, which are Unicode's.
+HEADING_RX = HEADING_PATTERN.replace(r"\s", r"[\p{IsWhite_Space}\x1c-\x1f]")
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _CASE_RUNS_RX = rf"([{_CASED}]+|[^{_CASED}]+)"
 _TERM_RX = r"(\p{L}+)"
@@ -143,7 +145,7 @@ def title_case(c) -> Column:
 def strip_extension(c) -> Column:
     """``os.path.splitext(name)[0]``: drop the last extension; names made of a
     leading-dot run plus one word (``.bashrc``) keep theirs."""
-    return F.regexp_replace(_col(c), r"(?s)^(.*[^.].*)\.[^.]*\z", "$1")
+    return F.regexp_replace(_col(c), r"(?s)^((?:.*/)?\.*[^./][^/]*)\.[^./]*\z", "$1")
 
 
 def document_type(filename) -> Column:

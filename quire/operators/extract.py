@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators.pages import lines_of
 
-SENTENCE_PATTERN = r"([^.!?]+[.!?]*)"
+# A sentence ends at a run of . ! ? before a blank, or at the end of the text.
+SENTENCE_END = r"(?<=[.!?])\x20"
 SUMMARY_SENTENCES = 2
 
 
@@ -65,13 +66,13 @@ def key_lines(text_col, action_words: Sequence[str] = T.DEFAULT_ACTION_WORDS, n:
 def summary_sentences(text_col, job_terms_col, n: int = SUMMARY_SENTENCES, context_chars: int = T.SUMMARY_CONTEXT_CHARS) -> Column:
     """Extractive summary of the first ``context_chars`` characters.
 
-    Sentences (runs up to ``.``, ``!`` or ``?``; blanks collapsed, stripped)
+    Sentences (cut at a blank after ``.``, ``!`` or ``?``; blanks collapsed)
     are scored by the number of distinct job terms they contain; the best
     ``n`` with a score above 0 (ties: earlier first) are joined in text order.
     NULL when no sentence shares a term with the job.
     """
     ctx = T.collapse_ws(F.substring(T._col(text_col), 1, context_chars))
-    sents = F.filter(F.transform(F.regexp_extract_all(ctx, F.lit(SENTENCE_PATTERN), 1), T.ustrip), lambda s: s != "")
+    sents = F.filter(F.transform(F.split(ctx, SENTENCE_END, -1), T.ustrip), lambda s: s != "")
 
     def score_all(jt):
         return F.transform(

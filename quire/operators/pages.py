@@ -22,7 +22,7 @@ from quire.functions import text as T
 PAGE_TYPE = "array<struct<page_number:int,page_seq:int,text:string>>"
 
 
-def page_array(text_col, lines_per_page: int | None = 4, page_break: str = "\f") -> Column:
+def page_array(text_col, lines_per_page: int | None = None, page_break: str = "\f") -> Column:
     """Non-blank, stripped pages of a document as an array of structs.
 
     With ``lines_per_page`` every N lines form a page; with ``None`` the text is
@@ -55,23 +55,28 @@ def page_array(text_col, lines_per_page: int | None = 4, page_break: str = "\f")
     )
 
 
-def with_pages(docs: DataFrame, text_col: str = "text", lines_per_page: int | None = 4, out: str = "pages") -> DataFrame:
-    return docs.withColumn(out, page_array(text_col, lines_per_page))
-
-
 def first_pages(pages_col, n: int = T.FIRST_PAGES) -> Column:
     """The first ``n`` non-blank pages."""
     return F.filter(T._col(pages_col), lambda p: p["page_seq"] <= n)
 
 
 def explode_pages(df: DataFrame, keys: list[str], pages_col: str = "pages") -> DataFrame:
-    """One row per page: keys + page_number, page_seq, text."""
-    return df.select(*keys, F.explode(pages_col).alias("_p")).select(
+    """One row per page: keys + page_number, page_seq, text.
+
+    An outer explode, with its empty rows filtered above it: an inner one makes
+    Spark infer filters on the array below, each with a copy of the paging."""
+    return df.select(*keys, F.explode_outer(pages_col).alias("_p")).where(F.col("_p").isNotNull()).select(
         *keys, "_p.page_number", "_p.page_seq", "_p.text"
     )
 
 
-def page_table(docs: DataFrame, keys=("collection", "doc_id"), text_col: str = "text", lines_per_page: int | None = 4) -> DataFrame:
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once: as the element of a generated
+    array it is not copied into filters that are pushed below a projection."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
+def page_table(docs: DataFrame, keys=("collection", "doc_id"), text_col: str = "text", lines_per_page: int | None = None) -> DataFrame:
     """pages(collection, doc_id, page_number, page_seq, text) from a document table."""
     keys = list(keys)
     return explode_pages(docs.select(*keys, page_array(text_col, lines_per_page).alias("pages")), keys)
@@ -97,11 +102,11 @@ def heading_titles(pages_col, max_titles: int = T.MAX_TITLES, first_n: int = T.F
     # lines is the argument array of the filter below: evaluated once
     cand = F.filter(
         lines,
-        lambda l: l.rlike(T.HEADING_PATTERN)
+        lambda l: l.rlike(T.HEADING_RX)
         & (F.length(l) > T.HEADING_LINE_MIN)
         & (F.length(l) < T.HEADING_LINE_MAX),
     )
-    titles = F.transform(cand, lambda l: T.ustrip(F.regexp_extract(l, T.HEADING_PATTERN, 1)))
+    titles = F.transform(cand, lambda l: T.ustrip(F.regexp_extract(l, T.HEADING_RX, 1)))
     excluded = "|".join(T.EXCLUDED_HEADING_WORDS)
     titles = F.array_distinct(F.filter(titles, lambda t: ~F.lower(t).rlike(excluded)))
     ordered = F.array_sort(F.transform(titles, lambda t: F.struct((-F.length(t)).alias("k"), t.alias("t"))))

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from quire.session import materialize
 
-# Upper bound (rows) for a side that is broadcast explicitly.  Larger sides
+# Upper bound (bytes) for a side that is broadcast explicitly.  Larger sides
 # are left to AQE, which broadcasts at run time when the measured size is
 # below spark.sql.adaptive.autoBroadcastJoinThreshold and shuffles otherwise.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
+# What a row is counted as besides its strings.
+ROW_BYTES = 64
 
 # Fixed values that must equal the job's original behaviour: the number of
 # first-stage documents re-scored, and the blend weights of the two stages.
@@ -31,36 +33,33 @@ RERANK_WEIGHT = 0.6
 FIRST_STAGE_WEIGHT = 0.4
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, witness: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, witness: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its bytes are proven to be at most ``max_bytes``.
 
-    The check counts at most ``max_rows + 1`` rows of ``witness`` (default:
-    ``df`` itself), a cheap table whose row count bounds that of ``df`` --
-    e.g. the query-term rows for a table of query-term weights.  Beyond the
-    bound the plain DataFrame is returned and AQE plans the join.
+    The strings of ``witness`` (default: ``df`` itself) are measured, plus a
+    fixed size a row; a witness is a cheap table with a row and the strings of
+    every row of ``df``, whose other columns are numbers.  Beyond the bound the
+    plain DataFrame is returned and AQE plans the join, so callers keep the
+    other side narrow.
     """
-    n = _bounded_count(witness if witness is not None else df, max_rows + 1)
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(witness if witness is not None else df, max_bytes) else df
 
 
-_COUNTS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+_BYTES: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
-def _bounded_count(df: DataFrame, cap: int) -> int:
-    """Rows of ``df`` up to ``cap``, counted once per DataFrame object (a
-    DataFrame's plan and file listing are fixed once it is built)."""
-    try:
-        hit = _COUNTS.get(df)
-    except TypeError:
-        hit = None
-    if hit is not None and hit[0] == cap:
-        return hit[1]
-    n = df.limit(cap).count()
-    try:
-        _COUNTS[df] = (cap, n)
-    except TypeError:
-        pass
-    return n
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the rows of ``df`` take at most ``max_bytes``; measured once per
+    DataFrame object (its plan and file listing are fixed once it is built)."""
+    if df not in _BYTES:
+        size = F.lit(ROW_BYTES).cast("bigint")
+        for f in df.schema:
+            if f.dataType.typeName() == "string":
+                size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+            elif f.dataType.typeName() in ("array", "map", "struct", "binary"):
+                size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        _BYTES[df] = df.agg(F.sum(size)).first()[0] or 0
+    return _BYTES[df] <= max_bytes
 
 
 def _order_cols(order: Sequence) -> list[Column]:
@@ -151,6 +150,13 @@ def hybrid_rank(
     return rank_within(r1, [group], order, "importance_rank").drop("_in_top", "_top")
 
 
+def shared_names(ranks: DataFrame, group: str = "collection", name_col: str = "filename", rank_col: str = "importance_rank") -> DataFrame:
+    """(group, name, rank) of the file names listed more than once: such a name
+    carries the rank assigned last, the larger one."""
+    by_name = ranks.groupBy(group, name_col).agg(F.max(rank_col).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    return by_name.where("_n > 1").drop("_n")
+
+
 def rank_lookup(manifest: DataFrame, ranks: DataFrame, group: str = "collection", name_col: str = "filename",
                 rank_col: str = "importance_rank", groups_witness: DataFrame | None = None) -> DataFrame:
     """Rank of each manifest entry by file name, default ``n + 1`` (n = entries

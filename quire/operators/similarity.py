@@ -12,9 +12,9 @@ TF-IDF (per collection):
 
 Plan shape: the document-term table is built in-row (no shuffle) and
 restricted to collections that have a query (a broadcast semi join).  It is
-shuffled once, on (collection, term), to meet its idf -- a hot term in a hot
-collection meets a one-row idf side, which AQE's skew join splits (or
-``salt`` spreads explicitly) -- then left-joined to the broadcast query-term
+shuffled once, on (collection, term), to meet its idf, a stored table -- a hot
+term in a hot collection meets a one-row idf side, which AQE's skew join splits
+(or ``salt`` spreads explicitly) -- then left-joined to the broadcast query-term
 table (one row per collection and query term, size-checked) and aggregated
 per document: norm, dot product and hit count in one pass.  Scores are
 rounded to ``SCORE_DIGITS`` decimals so that ties, and therefore ranks, do
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.ranking import bounded_broadcast
+from quire.operators.ranking import bounded_broadcast, fits_broadcast
 from quire.session import materialize
 
 SCORE_DIGITS = 9
@@ -75,14 +75,19 @@ def tfidf_scores(
     text_col: str = "text",
     query_col: str = "query",
     min_len: int = 4,
+    salt: int = 1,
 ) -> DataFrame:
     """(group, key, score, overlap) for every document of ``docs``.
 
     ``queries`` has one row per group with the query text.  Scores are rounded
     to ``SCORE_DIGITS`` decimals so that ties are stable across engines.
     """
-    dt = materialize(term_counts(docs, [group, key], text_col, min_len), "terms")
-    return tfidf_from_terms(dt, docs.select(group, key), queries, group, key, query_col, min_len)
+    # terms of documents without a query are not stored; where the queries are
+    # too many to broadcast, whole texts would be shuffled for it, so they are
+    asked = queries.select(group)
+    held = docs.join(F.broadcast(asked), group, "left_semi") if fits_broadcast(asked) else docs
+    dt = materialize(term_counts(held, [group, key], text_col, min_len), "terms")
+    return tfidf_from_terms(dt, docs.select(group, key), queries, group, key, query_col, min_len, salt)
 
 
 def tfidf_from_terms(
@@ -123,6 +128,9 @@ def tfidf_from_terms(
         .join(n_docs, group)
         .select(group, "term", F.log(1.0 + F.col("n_docs") / F.col("df")).alias("idf"))
     )
+    # a table of its own: AQE splits the partition of a hot term only where no
+    # aggregate stands between a side's exchange and the join
+    idf = materialize(idf, "idf")
     qt = term_counts(queries, [group], query_col, min_len).withColumnRenamed("tf", "qtf")
     w = F.col("tf") * F.col("idf")
     qw = F.col("qtf") * F.col("idf")

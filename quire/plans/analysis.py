@@ -26,13 +26,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import extract as X
 from quire.operators import pages as P
-from quire.operators.ranking import TOP_RERANK, bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, top_k
+from quire.operators.ranking import TOP_RERANK, bounded_broadcast, fits_broadcast, hybrid_rank, rank_documents, shared_names, top_k
 from quire.operators.similarity import term_freqs, term_overlap, tfidf_from_terms
 from quire.session import materialize
 
@@ -41,7 +41,7 @@ from quire.session import materialize
 class JobConfig:
     relevance_keywords: Sequence[str] = field(default_factory=lambda: list(T.DEFAULT_RELEVANCE_KEYWORDS))
     action_words: Sequence[str] = field(default_factory=lambda: list(T.DEFAULT_ACTION_WORDS))
-    lines_per_page: int | None = 4
+    lines_per_page: int | None = None  # None: form-feed pages; n: every n lines
     rank_text: str = "template"        # "template": file-name templates (job default); "body": document text
     rerank: bool = True                # second stage on the top ``rerank_top`` documents
     rerank_top: int = TOP_RERANK
@@ -66,11 +66,11 @@ class Responses:
 
 
 def prepare(docs: DataFrame, jobs: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Documents of collections that have a job, with job fields, type and query text."""
-    j = jobs.select(
-        "collection", "persona", "task", T.fill(T.QUERY_TEMPLATE, persona="persona", task="task").alias("query")
-    )
-    d = docs.join(bounded_broadcast(j, witness=jobs), "collection")
+    """Documents with their type; of collections without a job none, as far as
+    their names can be broadcast -- whole texts are never shuffled to meet their
+    job, and what is left of them later meets the ranks, which need one."""
+    asked = jobs.select("collection")
+    d = docs.join(F.broadcast(asked), "collection", "left_semi") if fits_broadcast(asked) else docs
     return d.withColumn("doc_type", T.document_type("filename"))
 
 
@@ -211,6 +211,8 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig, dt: DataFrame | No
         dt = feats.select("collection", "doc_id", F.explode("terms").alias("_t")).select(
             "collection", "doc_id", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")
         )
+    asked = jobs_q.select("collection")
+    feats = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(bounded_broadcast(asked), "collection", "left_semi")
     scores = tfidf_from_terms(dt, feats.select("collection", "doc_id"), jobs_q, salt=cfg.idf_salt)
     base = feats.select("collection", "doc_id", "doc_ord", "filename", "doc_type").join(scores, ["collection", "doc_id"])
     if cfg.min_similarity is not None:
@@ -229,9 +231,9 @@ def rank(feats: DataFrame, jobs_q: DataFrame, cfg: JobConfig, dt: DataFrame | No
         r = r.withColumn("rerank", F.lit(None).cast("double"))
     r = r.select("collection", "doc_id", "doc_ord", "filename", "score", "rerank", "final_score", "importance_rank")
     # a file name listed twice carries the rank assigned last (the larger one)
-    looked = rank_lookup(r.select("collection", "doc_id", "filename"), r.select("collection", "filename", "importance_rank"),
-                         groups_witness=jobs_q)
-    return r.drop("importance_rank").join(looked.select("collection", "doc_id", "importance_rank"), ["collection", "doc_id"])
+    r = materialize(r, "ranks")
+    looked = r.join(shared_names(r), ["collection", "filename"], "left")
+    return materialize(looked.withColumn("importance_rank", F.coalesce("_r", "importance_rank")).drop("_r"), "ranks")
 
 
 def jobs_with_query(jobs: DataFrame) -> DataFrame:
@@ -276,7 +278,8 @@ def _page_responses(pg: DataFrame, responses: DataFrame | None, name: str) -> Da
 
 def subsection_candidates(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame, verdict_responses: DataFrame | None = None,
                           summary_responses: DataFrame | None = None) -> DataFrame:
-    """Relevant first pages with their refined text (all documents).
+    """Relevant first pages that have an extract (all documents); their text is
+    refined only after the cut to the top ones (``subsections``).
 
     Optional generator outputs, keyed (collection, doc_id, page_number,
     response): verdicts decide pages of >= 150 characters without keyword
@@ -284,14 +287,19 @@ def subsection_candidates(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame, v
     before the extractive summary.
     """
     pg = _page_responses(_page_responses(first_page_rows(feats, jobs_q), verdict_responses, "_verdict"), summary_responses, "_summary")
-    job_terms = F.array_distinct(T.terms(F.col("query")))
     overlap = term_overlap("text", "query") if cfg.min_overlap is not None else None
     verdict = T.verdict("_verdict") if verdict_responses is not None else None
     rel = pg.where(X.relevant("text", cfg.relevance_keywords, overlap_col=overlap, min_overlap=cfg.min_overlap, verdict_col=verdict))
-    refined = X.refined_text("text", "doc_type", "task", job_terms if cfg.summarize else None, cfg.action_words, cfg.summarize,
-                             generated_col=F.nullif(F.col("_summary"), F.lit("")) if summary_responses is not None else None)
-    out = rel.withColumn("refined_text", refined).where(F.col("refined_text").isNotNull() & (F.col("refined_text") != ""))
-    return out.drop("_verdict", "_summary")
+    # the template makes every extract non-empty unless a field of it is null
+    filled = F.col("doc_type").isNotNull() & F.col("task").isNotNull()
+    return rel.where(F.when(filled, True).otherwise(F.coalesce(refined(cfg, summary_responses is not None) != "", F.lit(False)))).drop("_verdict")
+
+
+def refined(cfg: JobConfig, generated: bool = False) -> Column:
+    """The refined text of a candidate page."""
+    job_terms = F.array_distinct(T.terms(F.col("query")))
+    return X.refined_text("text", "doc_type", "task", job_terms if cfg.summarize else None, cfg.action_words, cfg.summarize,
+                          generated_col=F.nullif(F.col("_summary"), F.lit("")) if generated else None)
 
 
 def generation_requests(feats: DataFrame, cfg: JobConfig, jobs_q: DataFrame) -> DataFrame:
@@ -331,7 +339,7 @@ def subsections(feats: DataFrame, ranks: DataFrame, cfg: JobConfig, jobs_q: Data
     return top.select(
         "collection",
         F.col("filename").alias("document"),
-        "refined_text",
+        refined(cfg, responses.summaries is not None).alias("refined_text"),
         "page_number",
         "importance_rank",
         "doc_id",
@@ -417,18 +425,25 @@ def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outpu
     cfg = cfg or JobConfig()
     out = outputs or run(docs, jobs, cfg)
     feats = out["features"]
-    per_doc = feats.select("collection", (F.col("n_pages") > 0).cast("int").alias("has_text")).groupBy("collection").agg(
-        F.count(F.lit(1)).alias("n_documents"), F.sum("has_text").alias("n_with_text")
-    )
-    cands = out["candidates"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_candidates"))
-    n_sec = out["sections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_sections"))
-    n_sub = out["subsections"].groupBy("collection").agg(F.count(F.lit(1)).alias("n_subsections"))
-    res = per_doc.join(cands, "collection", "left").join(n_sec, "collection", "left").join(n_sub, "collection", "left")
+    per_doc = feats.select("collection", F.lit(1).alias("n_documents"), (F.col("n_pages") > 0).cast("int").alias("n_with_text"))
+    asked = out["jobs"].select("collection")
+    # sections kept are the least of the cut and of the documents with text,
+    # subsections likewise of the candidates
+    cands = out["candidates"].select("collection", F.lit(1).alias("n_candidates"))
+    if cfg.restrict_to_sections:
+        picked = out["subsections"].select("collection", F.lit(1).alias("n_picked"))
+    else:
+        picked = None
+    rows = per_doc.join(bounded_broadcast(asked), "collection", "left_semi").unionByName(cands, allowMissingColumns=True)
+    if picked is not None:
+        rows = rows.unionByName(picked, allowMissingColumns=True)
+    names = [c for c in rows.columns if c != "collection"]
+    res = rows.groupBy("collection").agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names)).where("n_documents > 0")
     return res.select(
         "collection",
-        F.col("n_documents").cast("bigint").alias("n_documents"),
-        F.col("n_with_text").cast("bigint").alias("n_with_text"),
-        F.coalesce("n_sections", F.lit(0)).cast("bigint").alias("n_sections"),
-        F.coalesce("n_candidates", F.lit(0)).cast("bigint").alias("n_candidates"),
-        F.coalesce("n_subsections", F.lit(0)).cast("bigint").alias("n_subsections"),
+        "n_documents",
+        "n_with_text",
+        F.least("n_with_text", F.lit(cfg.top_sections).cast("bigint")).alias("n_sections"),
+        "n_candidates",
+        (F.col("n_picked") if picked is not None else F.least("n_candidates", F.lit(cfg.top_subsections).cast("bigint"))).alias("n_subsections"),
     )

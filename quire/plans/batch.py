@@ -31,23 +31,20 @@ def run_root(
     """
     cfg = cfg or PL.JobConfig(lines_per_page=None)
     specs, bad_specs = C.read_specs(spark, root)
-    if parser is None:
-        texts = C.read_text_documents(spark, root)
-        documents = C.list_documents(spark, root)   # names only, for discovery and checks
-        failed = None
-    else:
-        # parsed documents stay page rows all the way (no document is one row)
-        # parse once: discovery, quarantine and the analysis all read the stored pages
-        parsed = materialize(C.parse_binary_documents(spark, root, parser), "parsed")
-        pages, failed = C.split_page_errors(parsed)
-        documents = pages.select("collection", "filename").distinct()
+    documents = C.list_documents(spark, root)   # names only, for discovery and checks
     collections = C.discover(specs, documents)
     man = C.manifest(collections)
     jobs = C.jobs(collections)
+    failed = None
     if parser is None:
+        texts = C.read_text_documents(spark, root)
         docs = C.analysis_docs(man, texts, listing=documents)
         outputs = PL.run(docs, jobs, cfg)
     else:
+        # parsed documents stay page rows all the way (no document is one row);
+        # parse once: quarantine and the analysis both read the stored pages
+        parsed = materialize(C.parse_binary_documents(spark, root, parser, listed=man), "parsed")
+        pages, failed = C.split_page_errors(parsed)
         docs = man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")
         outputs = PL.run(docs, jobs, cfg, pages=C.manifest_pages(man, pages))
     results = PL.result_documents(docs, jobs, cfg, outputs)
@@ -60,6 +57,7 @@ def run_root(
         sinks.write_quarantine(failed, out, "unreadable_documents")
     written = sinks.read_results(spark, out, results.schema)
     no_output = sinks.collections_without_output(specs, written)
+    sinks.write_quarantine(no_output, out, "no_output")
     return {
         "results": written, "specs": specs, "bad_specs": bad_specs, "missing": missing,
         "no_output": no_output, "manifest": man, **outputs,

@@ -17,7 +17,7 @@ from quire.functions import text as T
 from quire.operators import extract as X
 from quire.operators import pages as P
 from quire.operators import similarity as S
-from quire.operators.ranking import hybrid_rank, rank_documents, rank_lookup, rank_within
+from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, rank_within
 from quire.plans import analysis as PL
 from quire.sources import testdata as TD
 
@@ -61,7 +61,7 @@ def _pages(spark, sf):
 def q_collections(spark, sf):
     """SRC1: collections having both a job and documents."""
     j = _jobs(spark, sf)
-    d = _docs(spark, sf).select("collection")
+    d = _docs(spark, sf).select("collection").distinct()
     return j.join(d, "collection", "left_semi").select("collection", "persona", "task")
 
 
@@ -100,11 +100,13 @@ def q_missing_docs(spark, sf):
 
 
 def q_textless_docs(spark, sf):
-    """SRC6: documents without any usable page (non-blank and >= 150 chars)."""
+    """SRC6: documents without any non-blank page.  A third of the texts are
+    reduced to their blanks and another third to their blanks and digits, so
+    that there are such documents."""
     d = _docs(spark, sf)
-    usable = F.filter(P.page_array("text", TD.LINES_PER_PAGE), lambda p: F.length(p["text"]) >= T.MIN_RELEVANT_PAGE_CHARS)
-    has = d.where(F.size(usable) > 0).select("collection", "doc_id")
-    return d.join(has, ["collection", "doc_id"], "left_anti").select("collection", _big("doc_id").alias("doc_id"), "filename")
+    kept = F.when(F.col("doc_id") % 3 == 0, F.regexp_replace("text", "[^ \\n]", "")).when(F.col("doc_id") % 3 == 1, F.regexp_replace("text", "[^ \\n0-9]", "")).otherwise(F.col("text"))
+    pages = P.once(d.withColumn("text", kept), "n_pages", F.size(P.page_array("text", TD.LINES_PER_PAGE)))
+    return pages.where("n_pages = 0").select("collection", _big("doc_id").alias("doc_id"), "filename")
 
 
 def q_input_documents(spark, sf):
@@ -117,8 +119,8 @@ def q_input_documents(spark, sf):
 def q_no_output(spark, sf):
     """SNK3: jobs whose collection produced no result (no documents)."""
     j = _jobs(spark, sf)
-    res = PL.result_documents(_docs(spark, sf), j, TEST_CONFIG)
-    return j.join(res.select("collection"), "collection", "left_anti").select("collection")
+    # a result has a row for every collection with a job and documents
+    return j.join(_docs(spark, sf).select("collection").distinct(), "collection", "left_anti").select("collection")
 
 
 # --------------------------------------------------------------------------- projections
@@ -147,11 +149,9 @@ def q_doc_text(spark, sf):
 def q_prompts(spark, sf):
     """PRJ8: prompt table for an external generator (first five pages)."""
     d = PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG)
-    first = d.select(
-        "collection", "doc_id", "filename", "doc_type", "persona", "task",
-        P.first_pages(P.page_array("text", TD.LINES_PER_PAGE), 5).alias("pages"),
-    )
-    p = P.explode_pages(first, ["collection", "doc_id", "filename", "doc_type", "persona", "task"])
+    keys = ["collection", "doc_id", "filename", "doc_type"]
+    first = d.select(*keys, P.first_pages(P.page_array("text", TD.LINES_PER_PAGE), 5).alias("pages"))
+    p = PL.with_job(P.explode_pages(first, keys), PL.jobs_with_query(_jobs(spark, sf)), "persona", "task")
     rel = T.fill(T.RELEVANCE_PROMPT_TEMPLATE, filename="filename", persona="persona", task="task",
                  context=F.substring("text", 1, T.RELEVANCE_CONTEXT_CHARS))
     summ = T.fill(T.SUMMARY_PROMPT_TEMPLATE, doc_type="doc_type", persona="persona", task="task",
@@ -174,26 +174,26 @@ def q_generation_requests(spark, sf):
 
 
 def _responses(spark, sf):
-    """Assistant turns as generator responses; a prefix is chosen from the
-    turn number so every cleaning branch is exercised."""
-    c = TD.table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    """All turns as generator responses; a prefix is chosen from the turn
+    number so every cleaning branch is exercised."""
+    c = TD.table(spark, sf, "conversations")
     prefixes = F.array(*[F.lit(x) for x in ["", 'Answer: "', "Summary: Response: ", "Context: '", "Information:", ' "']])
-    return c.select("conv_id", "turn", F.concat(F.element_at(prefixes, (F.col("turn") % 6 + 1).cast("int")), F.col("text")).alias("response"))
+    return c.select("conv_id", "turn", "role", F.concat(F.element_at(prefixes, (F.col("turn") % 6 + 1).cast("int")), F.col("text")).alias("response"))
 
 
 def q_clean(spark, sf):
     """PRJ9."""
     r = _responses(spark, sf)
-    return r.select(_big("conv_id").alias("conv_id"), _big("turn").alias("turn"), T.clean_response("response").alias("cleaned"))
+    return r.select(_big("conv_id").alias("conv_id"), _big("turn").alias("turn"), "role", T.clean_response("response").alias("cleaned"))
 
 
 def q_title_parse(spark, sf):
     """PRJ10/FLT10: title list from the raw multi-line response (numbered on even conversations)."""
-    c = TD.table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    c = TD.table(spark, sf, "conversations")
     resp = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("1. "), F.regexp_replace("text", "\n", "\n2. "))).otherwise(F.col("text"))
     titles = T.parse_titles(resp)
     return c.select(
-        _big("conv_id").alias("conv_id"), _big("turn").alias("turn"),
+        _big("conv_id").alias("conv_id"), _big("turn").alias("turn"), "role",
         _big(F.size(titles)).alias("n_titles"), F.array_join(titles, "|").alias("titles"),
     )
 
@@ -201,7 +201,7 @@ def q_title_parse(spark, sf):
 def q_verdict(spark, sf):
     """PRJ13: yes/no verdict of a response."""
     r = _responses(spark, sf)
-    return r.select(_big("conv_id").alias("conv_id"), _big("turn").alias("turn"),
+    return r.select(_big("conv_id").alias("conv_id"), _big("turn").alias("turn"), "role",
                     _big(T.verdict(T.clean_response("response"), VERDICT_WORD).cast("int")).alias("verdict"))
 
 
@@ -217,10 +217,15 @@ def q_headings(spark, sf):
     )
 
 
+def _paged(spark, sf):
+    """Documents with text, their pages computed once."""
+    d = PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG)
+    return P.once(d, "pages", P.page_array("text", TD.LINES_PER_PAGE)).where(F.size("pages") > 0)
+
+
 def q_section_page(spark, sf):
     """PL4/PL3: best title (heading, else the fallback template) and its page, every document with text."""
-    d = PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG).withColumn("pages", P.page_array("text", TD.LINES_PER_PAGE))
-    d = d.where(F.size("pages") > 0)
+    d = _paged(spark, sf)
     title = F.coalesce(F.get(P.heading_titles("pages"), 0), T.fill(T.FALLBACK_TITLE_TEMPLATES[0], doc_type="doc_type"))
     d = d.withColumn("section_title", title)
     return d.select("collection", _big("doc_id").alias("doc_id"), "section_title",
@@ -229,8 +234,7 @@ def q_section_page(spark, sf):
 
 def q_section_page_job(spark, sf):
     """PL4 with the job text as title: exercises the word-count branch."""
-    d = PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG).withColumn("pages", P.page_array("text", TD.LINES_PER_PAGE))
-    d = d.where(F.size("pages") > 0)
+    d = PL.with_job(_paged(spark, sf), PL.jobs_with_query(_jobs(spark, sf)), "task")
     return d.select("collection", _big("doc_id").alias("doc_id"), _big(P.section_page("pages", "task")).alias("page_number"))
 
 
@@ -238,11 +242,9 @@ def q_section_page_job(spark, sf):
 
 def _first_page_rows(spark, sf):
     d = PL.prepare(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG)
-    first = d.select(
-        "collection", "doc_id", "doc_type", "task", "query",
-        P.first_pages(P.page_array("text", TD.LINES_PER_PAGE), 5).alias("pages"),
-    )
-    return P.explode_pages(first, ["collection", "doc_id", "doc_type", "task", "query"])
+    keys = ["collection", "doc_id", "doc_type"]
+    first = d.select(*keys, P.first_pages(P.page_array("text", TD.LINES_PER_PAGE), 5).alias("pages"))
+    return PL.with_job(P.explode_pages(first, keys), PL.jobs_with_query(_jobs(spark, sf)), "task", "query")
 
 
 def q_relevant_pages(spark, sf):
@@ -255,7 +257,7 @@ def q_relevant_pages(spark, sf):
 
 def q_relevant_pages_sim(spark, sf):
     """FLT8: pages relevant by keyword or, failing that, by job-term overlap."""
-    p = _first_page_rows(spark, sf).withColumn("overlap", F.round(S.term_overlap("text", "query"), 9))
+    p = P.once(_first_page_rows(spark, sf), "overlap", F.round(S.term_overlap("text", "query"), 9))
     kw = T.contains_any("text", TD.TEST_RELEVANCE_KEYWORDS)
     rel = X.relevant("text", TD.TEST_RELEVANCE_KEYWORDS, overlap_col="overlap", min_overlap=TEST_MIN_OVERLAP)
     return p.where(rel).select(
@@ -266,7 +268,7 @@ def q_relevant_pages_sim(spark, sf):
 
 def q_key_lines(spark, sf):
     """FLT6/WN8/PRJ17: first three actionable lines of each first page."""
-    p = _first_page_rows(spark, sf).withColumn("key_text", X.key_lines("text", TD.TEST_ACTION_WORDS))
+    p = P.once(_first_page_rows(spark, sf), "key_text", X.key_lines("text", TD.TEST_ACTION_WORDS))
     return p.where(F.col("key_text").isNotNull()).select(
         "collection", _big("doc_id").alias("doc_id"), _big("page_number").alias("page_number"), "key_text"
     )
@@ -275,7 +277,7 @@ def q_key_lines(spark, sf):
 def q_summary_sentences(spark, sf):
     """VS5: extractive two-sentence summary of each first page."""
     p = _first_page_rows(spark, sf)
-    p = p.withColumn("summary", X.summary_sentences("text", T.terms(F.col("query"))))
+    p = P.once(p, "summary", X.summary_sentences("text", T.terms(F.col("query"))))
     return p.where(F.col("summary").isNotNull()).select(
         "collection", _big("doc_id").alias("doc_id"), _big("page_number").alias("page_number"), "summary"
     )
@@ -345,7 +347,8 @@ def q_rank_lookup(spark, sf):
 def _vectors(spark, sf):
     e = TD.table(spark, sf, "embeddings")
     c = S.centroids(e, "label", "embedding")
-    return e.join(c, "label")
+    # a centroid has a row a label and a number a dimension: measured, then broadcast
+    return e.join(bounded_broadcast(c), "label")
 
 
 def q_cosine(spark, sf):

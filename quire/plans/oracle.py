@@ -141,7 +141,9 @@ def key_lines(x: str, words) -> str:
 
 def summary(x: str, q: str) -> str:
     ctx = f"regexp_replace(substr({x}, 1, {T.SUMMARY_CONTEXT_CHARS}), '\\s+', ' ', 'g')"
-    sents = f"list_filter(list_transform(regexp_extract_all({ctx}, '([^.!?]+[.!?]*)', 1), lambda s: {strip('s')}), lambda s: s <> '')"
+    # a mark is put after every sentence end that a blank follows, then the text is cut at the marks
+    marked = f"regexp_replace({ctx}, '([.!?]) ', '\\1' || chr(1), 'g')"
+    sents = f"list_filter(list_transform(string_split({marked}, chr(1)), lambda s: {strip('s')}), lambda s: s <> '')"
     jt = f"list_distinct({terms(q)})"
     scored = f"list_transform({sents}, lambda s, i: {{'neg': -len(list_intersect(list_distinct({terms('s')}), {jt})), 'pos': i, 's': s}})"
     best = f"list_slice(list_sort(list_filter({scored}, lambda x: x.neg < 0)), 1, 2)"
@@ -233,8 +235,8 @@ subsections AS (SELECT collection, filename AS document, refined_text, page_numb
 
 def responses_cte() -> str:
     pre = ", ".join(_q(x) for x in ["", 'Answer: "', "Summary: Response: ", "Context: '", "Information:", ' "'])
-    return f"""responses AS (SELECT conv_id, turn, [{pre}][CAST(turn % 6 + 1 AS BIGINT)] || text AS response
-              FROM conversations WHERE role = 'assistant')"""
+    return f"""responses AS (SELECT conv_id, turn, role, [{pre}][CAST(turn % 6 + 1 AS BIGINT)] || text AS response
+              FROM conversations)"""
 
 
 def clean(x: str) -> str:
@@ -276,9 +278,9 @@ def build() -> dict[str, str]:
         f"CAST(len(list_filter(string_split(text, chr(10)), lambda l: {strip('l')} = '')) AS BIGINT) AS n_blank_lines FROM pages"
     )
     q["q_missing_docs"] = with_(DOCS) + "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, filename FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"
-    q["q_textless_docs"] = base + (
-        f"SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, filename FROM docs d WHERE NOT EXISTS "
-        f"(SELECT 1 FROM pages p WHERE p.collection = d.collection AND p.doc_id = d.doc_id AND length(p.text) >= {T.MIN_RELEVANT_PAGE_CHARS})"
+    q["q_textless_docs"] = with_(DOCS) + (
+        "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, filename FROM docs WHERE NOT regexp_matches("
+        "CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, '[^ \\n]', '', 'g') WHEN 1 THEN regexp_replace(text, '[^ \\n0-9]', '', 'g') ELSE text END, '[^\\s]')"
     )
     q["q_input_documents"] = with_(DOCS, JOBS) + (
         "SELECT collection, CAST(doc_ord AS BIGINT) AS doc_ord, filename FROM docs WHERE collection IN (SELECT collection FROM jobs)"
@@ -309,7 +311,7 @@ WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND NOT {contains_any('text',
 UNION ALL
 SELECT collection, CAST(doc_id AS BIGINT), page_number, 'summary', md5({sum_p}) FROM fp
 WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND {contains_any('text', kws)} AND {key_lines('text', acts)} IS NULL"""
-    q["q_clean"] = with_(responses_cte()) + f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, {clean('response')} AS cleaned FROM responses"
+    q["q_clean"] = with_(responses_cte()) + f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, {clean('response')} AS cleaned FROM responses"
     resp = "CASE WHEN conv_id % 2 = 0 THEN '1. ' || replace(text, chr(10), chr(10) || '2. ') ELSE text END"
     tl = (
         f"list_slice(list_filter(list_transform(string_split({resp}, chr(10)), "
@@ -317,11 +319,11 @@ WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND {contains_any('text', kws)
         f"lambda l: length(l) > {T.TITLE_MIN} AND length(l) < {T.TITLE_MAX}), 1, {T.MAX_TITLES})"
     )
     q["q_title_parse"] = (
-        f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(len({tl}) AS BIGINT) AS n_titles, "
-        f"array_to_string({tl}, '|') AS titles FROM conversations WHERE role = 'assistant'"
+        f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, CAST(len({tl}) AS BIGINT) AS n_titles, "
+        f"array_to_string({tl}, '|') AS titles FROM conversations"
     )
     q["q_verdict"] = with_(responses_cte()) + (
-        f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, "
+        f"SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, "
         f"CAST(CASE WHEN contains(lower({clean('response')}), {_q(C.VERDICT_WORD)}) THEN 1 ELSE 0 END AS BIGINT) AS verdict FROM responses"
     )
     q["q_headings"] = with_(DOCS, PAGES, headings_ctes("pages")) + (

@@ -71,5 +71,20 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+    _STORED.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_STORED: list[str] = []
+
+
+def drop_stored(spark) -> int:
+    """Deletes the tables that ``materialize`` has stored in this process and
+    returns their number; DataFrames that read them can no longer be used."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [_STORED.pop() for _ in range(len(_STORED))]
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

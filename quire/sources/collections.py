@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.ranking import bounded_broadcast
+from quire.operators.ranking import bounded_broadcast, fits_broadcast
 
 # Fixed values of the input layout (file name of a job spec, document folder);
 # both are parameters of the readers.
 SPEC_NAME = "challenge1b_input.json"
 DOCS_FOLDER = "PDFs"
-PAGE_BREAK = "\f"
 
 SPEC_SCHEMA = T.StructType([
     T.StructField("challenge_info", T.StructType([
@@ -42,6 +41,8 @@ SPEC_SCHEMA = T.StructType([
     T.StructField("_corrupt_record", T.StringType()),
 ])
 
+# Page texts gathered before they are passed on by a parsing task.
+PAGES_BYTES = 16 << 20
 PAGE_SCHEMA = "path string, page_number int, text string, error string"
 
 
@@ -133,27 +134,45 @@ def parse_binary_documents(
     parser: Callable[[bytes], Iterable[str]],
     folder: str = DOCS_FOLDER,
     pattern: str = "*",
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Page rows from binary documents through a user-supplied parser.
 
     ``parser(content) -> iterable of page texts`` runs inside
-    ``mapInPandas`` (one Python worker per task, batches of files).  A parser
-    error yields one row with ``error`` set; such a document is dropped as a
-    whole (see ``split_page_errors``).  Returns (collection, filename,
-    page_number, text, error).
+    ``mapInPandas`` (one Python worker per task, batches of files).  What a
+    parser raises, and pages that are no strings or no valid Unicode, yield one
+    row with ``error`` set; such a document is dropped as a whole (see
+    ``split_page_errors``).  With ``listed`` (collection, filename) other files
+    are not parsed.  Pages are passed on in pieces of bounded size, after at most
+    one document beyond it.  Returns (collection, filename, page_number, text,
+    error).
     """
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{folder}/{pattern}").select("path", "content")
+    names = [_parent_dir(F.col("path"), 2).alias("collection"), _basename(F.col("path")).alias("filename")]
+    if listed is not None and fits_broadcast(listed := listed.select("collection", "filename").distinct()):
+        files = files.select("*", *names).join(F.broadcast(listed), ["collection", "filename"], "left_semi").select("path", "content")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        columns = ["path", "page_number", "text", "error"]
         for b in batches:
-            rows = []
+            rows, size = [], 0
             for path, content in zip(b["path"], b["content"]):
                 try:
+                    found = []
                     for i, page in enumerate(parser(bytes(content)), 1):
-                        rows.append((path, i, page, None))
+                        if not isinstance(page, str):
+                            raise TypeError(f"page {i} is {type(page).__name__}, not str")
+                        size += len(page.encode("utf-8"))
+                        found.append((path, i, page, None))
                 except Exception as e:  # noqa: BLE001 -- isolate one document
-                    rows.append((path, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "page_number", "text", "error"])
+                    said = f"{type(e).__name__}: {e}".encode("utf-8", "backslashreplace").decode()
+                    found = [(path, None, None, said)]
+                rows += found
+                if size >= PAGES_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
 
     pages = files.mapInPandas(run, PAGE_SCHEMA)
     path = F.col("path")

@@ -12,14 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_results(results: DataFrame, out: str, mode: str = "overwrite") -> None:
-    (results.repartition("collection")
-     .write.mode(mode).partitionBy("collection").json(f"{out.rstrip('/')}/results"))
+def _write_by_collection(rows: DataFrame, path: str, replace: bool) -> None:
+    """Overwrites the whole folder or, with ``replace``, the folders of the
+    collections in ``rows`` only: writing the same rows again changes nothing."""
+    kind = "dynamic" if replace else "static"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", kind).partitionBy("collection").json(path)
 
 
-def write_input_documents(manifest: DataFrame, out: str, mode: str = "overwrite") -> None:
-    (manifest.select("collection", "doc_ord", "filename")
-     .write.mode(mode).partitionBy("collection").json(f"{out.rstrip('/')}/_input_documents"))
+def write_results(results: DataFrame, out: str, replace: bool = False) -> None:
+    _write_by_collection(results.repartition("collection"), f"{out.rstrip('/')}/results", replace)
+
+
+def write_input_documents(manifest: DataFrame, out: str, replace: bool = False) -> None:
+    _write_by_collection(manifest.select("collection", "doc_ord", "filename"), f"{out.rstrip('/')}/_input_documents", replace)
 
 
 def write_quarantine(rows: DataFrame, out: str, name: str, mode: str = "overwrite") -> None:

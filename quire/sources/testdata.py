@@ -24,13 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread the rows of a table stored in fewer files than the cluster
-    has task slots (a single-row-group file is read by one task).  Large
-    inputs come in many files and are left as scanned, without a shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    return df.repartition(slots, key)
+    """The table as scanned, unless the session sets ``spark.quire.spread`` to a
+    number of partitions (the test tables are single-row-group files, which one
+    task reads; ``bench.py`` sets it for its small local inputs)."""
+    n = int(df.sparkSession.conf.get("spark.quire.spread", "0"))
+    return df.repartition(n, key) if n else df
 
 
 def filename_col(doc_id="doc_id", source="source", lang="lang"):

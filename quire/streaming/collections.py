@@ -3,9 +3,11 @@
 A Structured Streaming file source watches ``<root>/*/challenge1b_input.json``;
 each micro-batch holds the specs that landed since the last one.  For those
 collections only, their document folders are read and the batch pipeline
-runs; results are appended to the partitioned sink.  The stream's
-checkpoint records which spec files were processed, so a restarted query
-(or a lost executor) neither skips nor repeats a collection.
+runs.  A batch replaces the output folders of its collections (and its own
+quarantine folders), so a batch that is run again after a failure, even one
+after its write, leaves one result a collection; a spec that arrives again
+replaces its collection's result.  Collections without a document folder are
+recorded under ``_quarantine/no_output``.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from quire.sources import sinks
 def _process_batch(spark: SparkSession, root: str, out: str, cfg: PL.JobConfig):
     def process(batch: DataFrame, epoch_id: int) -> None:
         specs, bad = C.split_specs(batch)
-        sinks.write_quarantine(bad, out, f"specs/epoch={epoch_id}", mode="append")
+        sinks.write_quarantine(bad, out, f"specs/epoch={epoch_id}")
         # the new collections of this micro-batch: a handful of folder names
         names = [r.collection for r in specs.select("collection").distinct().collect()]
         if not names:
@@ -35,15 +37,21 @@ def _process_batch(spark: SparkSession, root: str, out: str, cfg: PL.JobConfig):
         try:
             documents = C.list_documents(spark, root, collections=glob)
             texts = C.read_text_documents(spark, root, collections=glob)
-        except AnalysisException:  # no document folder among the new collections
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # none of the new collections has a document folder
+            sinks.write_quarantine(specs.select("collection"), out, f"no_output/epoch={epoch_id}")
             return
         found = C.discover(specs, documents)
         man = C.manifest(found)
         docs = C.analysis_docs(man, texts, listing=documents)
         jobs = C.jobs(found)
         results = PL.result_documents(docs, jobs, cfg)
-        sinks.write_results(results, out, mode="append")
-        sinks.write_input_documents(man, out, mode="append")
+        sinks.write_results(results, out, replace=True)
+        sinks.write_input_documents(man, out, replace=True)
+        sinks.write_quarantine(C.missing_documents(man, documents), out, f"missing_documents/epoch={epoch_id}")
+        sinks.write_quarantine(specs.select("collection").join(found.select("collection"), "collection", "left_anti"), out, f"no_output/epoch={epoch_id}")
 
     return process
 

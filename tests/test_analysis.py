@@ -149,9 +149,47 @@ def _pages_parser(content: bytes):
     return content.decode("utf-8").split("\f")
 
 
+def list_documents(root, *names, collection="Collection 1"):
+    spec = root / collection / "challenge1b_input.json"
+    job = json.loads(spec.read_text())
+    job["documents"] += [{"filename": n, "title": n} for n in names]
+    spec.write_text(json.dumps(job))
+
+
+def test_parser_keeps_collections_and_isolates_bad_strings(spark, tmp_path):
+    """A collection whose only document fails still has its result; blank and
+    unreadable documents are not missing; a page that is no valid Unicode, or
+    no string, fails its own document only."""
+    root = make_root(tmp_path)
+    folder = root / "B"
+    (folder / "PDFs").mkdir(parents=True)
+    for name in ("bad.bin", "surrogate.bin", "number.bin", "blank.bin"):
+        (folder / "PDFs" / name).write_text(name)
+    (folder / "challenge1b_input.json").write_text(json.dumps({"documents": [], "persona": {"role": PERSONA}, "job_to_be_done": {"task": TASK}}))
+    list_documents(root, "bad.bin", "surrogate.bin", "number.bin", "blank.bin", "gone.bin", collection="B")
+
+    def parser(content: bytes):
+        kind = content.decode("utf-8")
+        if kind == "bad.bin":
+            raise ValueError("cannot parse")
+        return {"surrogate.bin": ["fine", "lone \ud800"], "number.bin": [7], "blank.bin": [" "]}.get(kind, kind.split("\f"))
+
+    out = tmp_path / "out-b"
+    res = batch.run_root(spark, str(root), str(out), parser=parser)
+    by_name = {r.collection: r for r in res["results"].collect()}
+    assert set(by_name) == {"B", "Collection 1"}
+    assert by_name["B"].metadata.input_document_count == 5
+    failed = spark.read.json(str(out / "_quarantine" / "unreadable_documents")).collect()
+    assert sorted(r.filename for r in failed) == ["bad.bin", "number.bin", "surrogate.bin"]
+    assert sorted(r.filename for r in res["missing"].collect()) == ["gone.bin", "missing.txt"]
+    assert {r.collection for r in spark.read.json(str(out / "_quarantine" / "no_output")).collect()} == {"NoDocs"}
+
+
 def test_parser_hook_isolates_failed_documents(spark, tmp_path):
     root = make_root(tmp_path)
     (root / "Collection 1" / "PDFs" / "broken.bin").write_bytes(b"BAD\x00\x01")
+    (root / "Collection 1" / "PDFs" / "unlisted.bin").write_bytes(b"BAD: the job does not list it")
+    list_documents(root, "broken.bin")
     out = tmp_path / "out-bin"
     res = batch.run_root(spark, str(root), str(out), parser=_pages_parser)
     failed = spark.read.json(str(out / "_quarantine" / "unreadable_documents")).collect()
@@ -240,5 +278,6 @@ def test_parser_runs_once_per_file(spark, tmp_path):
 
     root = make_root(tmp_path)
     batch.run_root(spark, str(root), str(tmp_path / "out-count"), parser=counting_parser)
-    n_files = sum(1 for p in root.glob("*/PDFs/*"))
+    listed = {d["filename"] for d in json.loads((root / "Collection 1" / "challenge1b_input.json").read_text())["documents"]}
+    n_files = sum(1 for p in root.glob("Collection 1/PDFs/*") if p.name in listed)
     assert len(log.read_text().splitlines()) == n_files

@@ -2,6 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
+from quire.plans import catalog
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
@@ -11,7 +12,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_join_no_python_udf(spark, name):
     plan = plan_of(E.queries()[name](spark, SF_SMALL))
     for op in FORBIDDEN:
@@ -32,7 +33,41 @@ def test_feature_pass_is_one_narrow_stage(spark):
     prepared = PL.prepare(TD.docs(spark, SF_SMALL), TD.jobs(spark, SF_SMALL), C.TEST_CONFIG)
     plan = plan_of(PL.feature_plan(prepared, C.TEST_CONFIG))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
-    # the only exchange spreads the single-file test input by doc_id
-    exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
-    assert len(exchanges) <= 1 and all("doc_id" in l for l in exchanges)
-    assert "HashAggregate" not in plan and "Window" not in plan
+    assert "Exchange hashpartitioning" not in plan and "HashAggregate" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["q_pages", "q_first_pages", "q_key_lines", "q_summary_sentences", "q_relevant_pages", "q_section_page", "q_section_page_job", "q_prompts"])
+def test_pages_are_computed_once(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    # each copy of the paging expression has its own sequence of page numbers
+    assert plan.count("sequence(0, (cast(ceil(") + plan.count("sequence(0, (cast(CEIL(") == 1, plan[:3000]
+
+
+def test_hot_term_is_split(spark):
+    """A term in every document of one collection: AQE splits its partition."""
+    from pyspark.sql import functions as F
+
+    from quire.operators import similarity as S
+
+    dt = spark.range(40000).select(F.lit("c").alias("collection"), F.col("id").alias("doc_id"), F.explode(F.array(F.lit("common"), F.concat(F.lit("word"), F.col("id") % 997))).alias("term"), F.lit(1).cast("long").alias("tf"))
+    from quire.session import materialize
+
+    dt = materialize(dt, "test-terms")
+    keys = dt.select("collection", "doc_id").distinct()
+    queries = spark.createDataFrame([("c", "common words here word55")], "collection string, query string")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = S.tfidf_from_terms(dt, keys, queries)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -86,3 +86,28 @@ def test_strip_extension_with_line_separators(spark):
     import os
     names = ["\x85\x85..", "a b.txt", "x\ny.pdf"]
     assert one_col(spark, names, T.strip_extension) == [os.path.splitext(n)[0] for n in names]
+
+
+def test_heading_blanks_and_extensions_equal_python(spark):
+    import os
+    import re
+
+    from quire.functions import text as T
+
+    blanks = [" ", "\t", "\u00a0", "\u2003", "\u3000", "\x1c", "\x85", "x", ""]
+    lines = [f"Overview Section.{b}Next part" for b in blanks] + ["Overview Section:", "Overview Section", "overview", "Über uns."]
+    df = spark.createDataFrame([(x,) for x in lines], "l string")
+    got = [r[0] for r in df.select(F.col("l").rlike(T.HEADING_RX)).collect()]
+    python = re.compile(T.HEADING_PATTERN.replace(r"\z", r"\Z"))
+    assert got == [bool(python.match(x)) for x in lines]
+    names = ["a.b/c", "d/.bashrc", "d/a.tar.gz", ".bashrc", "..a.b", "...", "a.", "a", "", "x/y.z/", "x.y/z.w", "a\n.b"]
+    df = spark.createDataFrame([(x,) for x in names], "n string")
+    assert [r[0] for r in df.select(T.strip_extension("n")).collect()] == [os.path.splitext(x)[0] for x in names]
+
+
+def test_sentences_are_not_cut_inside_numbers(spark):
+    from quire.operators import extract as X
+
+    text = "The release 2.5 of the reporting tool adds charts. Nothing else."
+    df = spark.createDataFrame([(text, ["reporting", "charts"])], "t string, terms array<string>")
+    assert df.select(X.summary_sentences("t", "terms")).first()[0] == "The release 2.5 of the reporting tool adds charts."
