@@ -113,6 +113,11 @@ def heading_titles(pages_col, max_titles: int = T.MAX_TITLES, first_n: int = T.F
     return F.transform(F.slice(ordered, 1, max_titles), lambda s: s["t"])
 
 
+def fallback_titles(doc_type, task, persona) -> Column:
+    """The titles of a document without heading, best first."""
+    return F.array(*(T.fill(t, doc_type=doc_type, task=task, persona=persona) for t in T.FALLBACK_TITLE_TEMPLATES))
+
+
 def section_page(pages_col, title_col) -> Column:
     """Page of a section title among all non-blank pages, in page order.
 

@@ -8,6 +8,7 @@ oracle in ``quire.plans.oracle``.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from quire.operators import pages as P
 from quire.operators import similarity as S
 from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, rank_within
 from quire.plans import analysis as PL
+from quire.sources import collections as CO
 from quire.sources import testdata as TD
 
 TEST_CONFIG = PL.JobConfig(
@@ -32,6 +34,8 @@ TEST_CONFIG = PL.JobConfig(
 TEST_MIN_OVERLAP = 0.1
 # Documented first-stage cut-off.
 SIMILARITY_THRESHOLD = 0.3
+# First-stage cut-off of the pipeline run on document texts.
+TEST_MIN_SIMILARITY = 0.05
 # Verdict word.
 VERDICT_WORD = "yes"
 
@@ -65,6 +69,64 @@ def q_collections(spark, sf):
     return j.join(d, "collection", "left_semi").select("collection", "persona", "task")
 
 
+def _raw_specs(spark, sf):
+    """Job specs as their JSON text, serialised from ``benchmark``: of every
+    seven the third is cut short, the fifth lacks its persona and the sixth its
+    task; documents are those of the source of the same number."""
+    b = TD.table(spark, sf, "benchmark").select("item_id", "text")
+    k = F.col("item_id") % 7
+    spec = F.to_json(F.struct(
+        F.struct(F.lit("c").alias("challenge_id"), F.col("item_id").cast("string").alias("test_case_name")).alias("challenge_info"),
+        F.transform(F.sequence(F.lit(0), (F.col("item_id") % 4).cast("int")), lambda i: F.struct(F.concat(F.lit("f"), i, F.lit(".txt")).alias("filename"), F.lit("t").alias("title"))).alias("documents"),
+        F.when(k != 4, F.struct(F.lit(TD.TEST_PERSONA).alias("role"))).alias("persona"),
+        F.when(k != 5, F.struct(F.col("text").alias("task"))).alias("job_to_be_done"),
+    ))
+    return b.select(F.when(k == 2, F.left(spec, F.length(spec) - 5)).otherwise(spec).alias("json"), F.format_string("file:/root/src%d/challenge1b_input.json", "item_id").alias("path"))
+
+
+def _specs(spark, sf):
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    raw = _raw_specs(spark, sf).select(F.from_json("json", CO.SPEC_SCHEMA, options).alias("s"), "path")
+    return CO.split_specs(raw.select("s.*", "path"))
+
+
+def q_job_specs(spark, sf):
+    """SRC2: good job specs."""
+    good, _ = _specs(spark, sf)
+    return good.select("collection", "persona", F.md5("task").alias("task_md5"), _big(F.size("documents")).alias("n_listed"))
+
+
+def q_bad_specs(spark, sf):
+    """SRC8: specs that stop at their own collection, with the reason."""
+    _, bad = _specs(spark, sf)
+    return bad.select("collection", "path", "reason")
+
+
+def q_manifest(spark, sf):
+    """SRC3: listed documents in list order."""
+    good, _ = _specs(spark, sf)
+    return CO.manifest(good).select("collection", "doc_ord", "filename", "title")
+
+
+def q_failed_documents(spark, sf):
+    """SRC7: documents with a page that could not be read go as a whole (web
+    pages as documents of two pages; the second fails where its id ends in 3)."""
+    p = TD.table(spark, sf, "pages")
+    halves = F.array(F.left("html", F.lit(500)), F.when(F.col("page_id") % 10 != 3, F.substring("html", 501, 1 << 30)))
+    rows = p.select(F.concat(F.lit("c"), F.col("page_id") % 8).alias("collection"), F.concat("page_id", F.lit(".html")).alias("filename"), F.posexplode(halves).alias("i", "text"))
+    parsed = rows.select("collection", "filename", (F.col("i") + 1).alias("page_number"), "text", F.when(F.col("text").isNull(), F.lit("unreadable")).alias("error"))
+    good, failed = CO.split_page_errors(parsed)
+    shown = good.select("collection", "filename", _big("page_number").alias("page_number"), F.md5("text").alias("text_md5"), F.lit(None).cast("string").alias("error"))
+    return shown.unionByName(failed.select("collection", "filename", "error"), allowMissingColumns=True)
+
+
+def q_fallback_titles(spark, sf):
+    """PRJ11: the three titles used where a document has no heading."""
+    d = PL.with_job(_docs(spark, sf).withColumn("doc_type", T.document_type("filename")).drop("text"), PL.jobs_with_query(_jobs(spark, sf)), "persona", "task")
+    titles = P.fallback_titles("doc_type", "task", "persona")
+    return d.select("collection", _big("doc_id").alias("doc_id"), F.get(titles, 0).alias("title_1"), F.md5(F.get(titles, 1)).alias("title_2_md5"), F.get(titles, 2).alias("title_3"))
+
+
 def q_pages(spark, sf):
     """SRC4/PRJ2/FLT1: non-blank stripped pages."""
     p = _pages(spark, sf)
@@ -415,6 +477,25 @@ def q_sections_from_pages(spark, sf):
                                   _big("page_number").alias("page_number"))
 
 
+def _sections_with(spark, sf, **options):
+    cfg = dataclasses.replace(TEST_CONFIG, **options)
+    out = PL.run(_docs(spark, sf), _jobs(spark, sf), cfg)
+    return out
+
+
+def q_sections_min_similarity(spark, sf):
+    """FLT7 through the pipeline: documents under the first-stage cut-off are
+    not ranked."""
+    r = _sections_with(spark, sf, min_similarity=TEST_MIN_SIMILARITY, rerank=False)["ranks"]
+    return r.select("collection", _big("doc_id").alias("doc_id"), _big("importance_rank").alias("importance_rank"))
+
+
+def q_sections_first_stage(spark, sf):
+    """WN9 with ``rerank=False``: sections by first-stage rank."""
+    s = _sections_with(spark, sf, rerank=False)["sections"]
+    return s.select("collection", "document", "section_title", _big("importance_rank").alias("importance_rank"), _big("page_number").alias("page_number"))
+
+
 def q_subsections(spark, sf):
     """PL6/PL7/WN10/FLT9/PRJ12: five refined page extracts per collection."""
     s = _run(spark, sf)["subsections"]

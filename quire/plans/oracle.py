@@ -182,7 +182,7 @@ spage AS (SELECT k.collection, k.doc_id, CAST(coalesce(exact_page, kw_page, 1) A
           FROM kw k LEFT JOIN pp USING (collection, doc_id))"""
 
 
-def analysis_ctes(default: bool = False) -> str:
+def analysis_ctes(default: bool = False, rerank: bool = True) -> str:
     """Sections and subsections: CTEs ``sections`` and ``subsections``.
 
     Test configuration (body-text ranking, test keyword lists), or with
@@ -205,7 +205,7 @@ def analysis_ctes(default: bool = False) -> str:
             "rdocs AS (SELECT collection, doc_id, text FROM jdocs)",
             tfidf("rdocs"),
             "scored AS (SELECT s.*, d.doc_ord, d.filename FROM scores s JOIN jdocs d USING (collection, doc_id))",
-            hybrid("scored"),
+            hybrid("scored") if rerank else "ranked AS (SELECT *, row_number() OVER (PARTITION BY collection ORDER BY score DESC, doc_ord, doc_id) AS importance_rank FROM scored)",
         ]
     return with_(
         DOCS, JOBS, PAGES, JPAGES,
@@ -270,6 +270,28 @@ def build() -> dict[str, str]:
     jbase = with_(DOCS, JOBS, PAGES, JPAGES)
 
     q["q_collections"] = with_(DOCS, JOBS) + "SELECT collection, persona, task FROM jobs WHERE collection IN (SELECT collection FROM docs)"
+    specs = f"""specs AS (
+  SELECT item_id, 'src' || item_id AS collection, 'file:/root/src' || item_id || '/challenge1b_input.json' AS path, text AS task, item_id % 7 AS k, item_id % 4 + 1 AS n
+  FROM benchmark)"""
+    q["q_job_specs"] = with_(specs) + f"SELECT collection, {_q(TD.TEST_PERSONA)} AS persona, md5(task) AS task_md5, CAST(n AS BIGINT) AS n_listed FROM specs WHERE k NOT IN (2, 4, 5)"
+    q["q_bad_specs"] = with_(specs) + (
+        "SELECT collection, path, CASE k WHEN 2 THEN 'malformed json' WHEN 4 THEN 'missing persona.role' ELSE 'missing job_to_be_done.task' END AS reason "
+        "FROM specs WHERE k IN (2, 4, 5)"
+    )
+    q["q_manifest"] = with_(specs) + (
+        "SELECT collection, CAST(i AS BIGINT) AS doc_ord, 'f' || i || '.txt' AS filename, 't' AS title "
+        "FROM (SELECT collection, unnest(range(n)) AS i FROM specs WHERE k NOT IN (2, 4, 5)) x"
+    )
+    q["q_failed_documents"] = """
+WITH d AS (SELECT *, 'c' || (page_id % 8) AS collection, page_id || '.html' AS filename FROM pages)
+SELECT collection, filename, CAST(p AS BIGINT) AS page_number, md5(CASE p WHEN 1 THEN substr(html, 1, 500) ELSE substr(html, 501) END) AS text_md5, NULL::VARCHAR AS error
+FROM d, (VALUES (1), (2)) v(p) WHERE page_id % 10 <> 3
+UNION ALL
+SELECT collection, filename, NULL, NULL, 'unreadable' FROM d WHERE page_id % 10 = 3"""
+    ft = [fill(t, doc_type=doc_type("filename"), task="task", persona="persona") for t in T.FALLBACK_TITLE_TEMPLATES]
+    q["q_fallback_titles"] = with_(DOCS, JOBS) + (
+        f"SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, {ft[0]} AS title_1, md5({ft[1]}) AS title_2_md5, {ft[2]} AS title_3 FROM docs JOIN jobs USING (collection)"
+    )
     q["q_pages"] = base + "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, page_number, page_seq, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5 FROM pages"
     q["q_first_pages"] = base + "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, page_number, page_seq FROM pages WHERE page_seq <= 5"
     q["q_lines"] = base + (
@@ -409,6 +431,12 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
         "SELECT CAST(label AS BIGINT) AS label, CAST(vec_id AS BIGINT) AS vec_id, CAST(bi_rank AS BIGINT) AS bi_rank, "
         "round(final_score, 6) AS final_score, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
     )
+    q["q_sections_min_similarity"] = with_(DOCS, JOBS, "jdocs AS (SELECT d.* FROM docs d JOIN jobs j USING (collection))",
+                                           "rdocs AS (SELECT collection, doc_id, text FROM jdocs)", tfidf("rdocs")) + (
+        "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, CAST(row_number() OVER (PARTITION BY collection ORDER BY score DESC, doc_id) AS BIGINT) AS importance_rank "
+        f"FROM scores WHERE score >= {C.TEST_MIN_SIMILARITY}"
+    )
+    q["q_sections_first_stage"] = analysis_ctes(rerank=False) + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
     pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
     q["q_sections_from_pages"] = q["q_sections"]

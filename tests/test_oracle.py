@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from quire.plans import catalog
 from tests.conftest import SF_SMALL
 
-TABLES = ["documents", "benchmark", "embeddings", "labels", "conversations"]
+TABLES = ["documents", "benchmark", "pages", "embeddings", "labels", "conversations"]
 
 
 @pytest.fixture(scope="module")
