@@ -496,6 +496,20 @@ def q_sections_first_stage(spark, sf):
     return s.select("collection", "document", "section_title", _big("importance_rank").alias("importance_rank"), _big("page_number").alias("page_number"))
 
 
+def _subsection_rows(s):
+    return s.select("collection", "document", "refined_text", _big("page_number").alias("page_number"), _big("importance_rank").alias("importance_rank"))
+
+
+def q_subsections_overlap(spark, sf):
+    """FLT8 through the pipeline: pages without keyword count by job-term overlap."""
+    return _subsection_rows(_sections_with(spark, sf, min_overlap=TEST_MIN_OVERLAP)["subsections"])
+
+
+def q_subsections_restricted(spark, sf):
+    """PL7 with subsections of the section documents only."""
+    return _subsection_rows(_sections_with(spark, sf, restrict_to_sections=True)["subsections"])
+
+
 def q_subsections(spark, sf):
     """PL6/PL7/WN10/FLT9/PRJ12: five refined page extracts per collection."""
     s = _run(spark, sf)["subsections"]

@@ -182,7 +182,7 @@ spage AS (SELECT k.collection, k.doc_id, CAST(coalesce(exact_page, kw_page, 1) A
           FROM kw k LEFT JOIN pp USING (collection, doc_id))"""
 
 
-def analysis_ctes(default: bool = False, rerank: bool = True) -> str:
+def analysis_ctes(default: bool = False, rerank: bool = True, min_overlap: float | None = None, restrict: bool = False) -> str:
     """Sections and subsections: CTEs ``sections`` and ``subsections``.
 
     Test configuration (body-text ranking, test keyword lists), or with
@@ -224,10 +224,11 @@ tpages AS (SELECT p.* FROM pages p JOIN top USING (collection, doc_id))""",
                     s.page_number, t.doc_ord, t.doc_id FROM titled t JOIN spage s USING (collection, doc_id))""",
         f"""rel AS (SELECT fp.*, coalesce({key_lines('text', acts)}, {summary('text', 'query')},
                           {fill(T.FALLBACK_SUMMARY_TEMPLATE, doc_type='doc_type', task='task')}) AS refined_text
-        FROM fp WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND {contains_any('text', kws)}),
+        FROM fp WHERE length(text) >= {T.MIN_RELEVANT_PAGE_CHARS} AND ({contains_any('text', kws)}{f" OR {overlap('text', 'query')} >= {min_overlap}" if min_overlap else ""})),
 subcand AS (SELECT rel.*, r.importance_rank,
                    row_number() OVER (PARTITION BY rel.collection ORDER BY r.importance_rank, rel.page_number, rel.doc_ord, rel.doc_id) AS k
-            FROM rel JOIN ranked r USING (collection, doc_id) WHERE refined_text IS NOT NULL AND refined_text <> ''),
+            FROM rel JOIN ranked r USING (collection, doc_id) WHERE refined_text IS NOT NULL AND refined_text <> ''
+              {"AND EXISTS (SELECT 1 FROM sections s WHERE s.collection = rel.collection AND s.doc_id = rel.doc_id)" if restrict else ""}),
 subsections AS (SELECT collection, filename AS document, refined_text, page_number, CAST(importance_rank AS BIGINT) AS importance_rank,
                        doc_ord, doc_id FROM subcand WHERE k <= 5)""",
     )
@@ -437,6 +438,9 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
         f"FROM scores WHERE score >= {C.TEST_MIN_SIMILARITY}"
     )
     q["q_sections_first_stage"] = analysis_ctes(rerank=False) + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
+    sub = "SELECT collection, document, refined_text, page_number, importance_rank FROM subsections"
+    q["q_subsections_overlap"] = analysis_ctes(min_overlap=C.TEST_MIN_OVERLAP) + sub
+    q["q_subsections_restricted"] = analysis_ctes(restrict=True) + sub
     pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
     q["q_sections_from_pages"] = q["q_sections"]
