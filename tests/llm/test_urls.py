@@ -38,7 +38,8 @@ def test_query(spark):
     check(catalog.op7_urls(spark, SF_SMALL).collect(), pages)
 
 
-def test_odd_urls(spark):
+def test_odd_urls(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TREES", 2)
     pages = list(enumerate([None, "", "no scheme", "://", "http://", "HTTP://EXAMPLE.org/en/12?x#y", "http://example.org", "https://notexample.org/es/", "a://b://c.com/de/", "http://ÄB.Com/fr/\n/x?", "x?y://org/", "http://a.com#/fr/", "http://sub.example.org/es/?q=1&r=2;s", "http://org/", "http://com/de/", "z" * 3000 + "://h.org/" + "p/" * 3000, "http://h.org/", "http://h.org/"]))
     df = spark.createDataFrame(pages, "page_id bigint, url string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit(1))
     run = lambda d: urls.filter_urls(d, "url", catalog.URL_RULES, {"page_id": F.col("page_id")})
