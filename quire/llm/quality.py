@@ -40,7 +40,8 @@ MIN_CHARS = 200
 MAX_CLASS_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.45
 
-#: Characters that are not in the class; what is in none of them is the last class.
+#: Characters that are not in the class; what is in none of them is the last
+#: class.  None of them has a-z, so they are counted in texts without these.
 CLASSES = {
     "upper": r"[^A-Z]+",
     "digit": r"[^0-9]+",
@@ -86,13 +87,13 @@ def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set
     counts of the classes and those of the ``common`` words it has (null: empty
     text)."""
     held = docs.select(F.struct(*(c.alias(n) for n, c in keep.items())).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
-    cut = held.select("*", rows.words(F.col("text")).alias("words"))
+    cut = held.select("*", rows.words(F.col("text")).alias("words"), F.regexp_replace("text", "[a-z]+", "").alias("others"))
     counted = cut.select(
         "*",
         rows.windows_hashed(F.col("words"), WINDOW).alias("hashes"),
         F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.length("text").alias("n_chars"),
-        *(F.length(F.regexp_replace("text", others, "")).alias(f"n_{c}") for c, others in CLASSES.items()),
+        *(F.length(F.regexp_replace("others", rest, "")).alias(f"n_{c}") for c, rest in CLASSES.items()),
     )
     known = F.filter("words", lambda w: w.isin(*sorted(common))) if common else F.array().cast("array<string>")
     return counted.select(
