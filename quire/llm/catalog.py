@@ -134,15 +134,14 @@ FROM p, crc
 END_OF_DOCUMENT = 1
 
 
-def _pieces(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
-    return packing.pack_documents(docs.select("doc_id", "text"), "text", tokenize)
+def _tokenizer(spark: SparkSession):
+    return vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
 
 
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` in sequences of at most 2048 word-BPE ids, each
     document followed by id 1; one row a piece."""
-    pieces = _pieces(spark, docs)
+    pieces = packing.pack_documents(docs.select("doc_id", "text"), "text", _tokenizer(spark))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -214,7 +213,8 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed sequences of ``documents`` in training order: written as
     fixed-stride shards, read back, and met with their manifest."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/training-order-{uuid.uuid4().hex}"
-    training_order.write_shards(training_order.sequences(_pieces(spark, table(spark, sf_dir, "documents"))), path, TRAINING_KEY)
+    seqs = packing.packed_sequences(table(spark, sf_dir, "documents"), "text", _tokenizer(spark), training_order.record)
+    training_order.write_records(seqs, path, TRAINING_KEY)
     records = training_order.read_records(spark, path).select("slot", F.crc32("bytes").alias("record_crc32"), F.length("bytes").cast("bigint").alias("record_bytes"))
     return spark.read.parquet(f"{path}/manifest").join(records, "slot").select("slot", "shard", "record", "number", "sequence_id", "n_ids", "record_bytes", "record_crc32")
 

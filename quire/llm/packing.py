@@ -90,9 +90,10 @@ def windows_of(sizes: list[int], length: int = LENGTH) -> list[list[int]]:
         k += 1
 
 
-def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int) -> Iterator[tuple[pa.RecordBatch, dict]]:
-    """Batches of document columns with their ids (one array a row) to batches
-    of the documents' columns, one row a piece, and the pieces' own columns."""
+def _placed(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int):
+    """For each batch of document columns with their ids (one array a row): the
+    batch, the ids, and the pieces in order of sequence and offset, as arrays of
+    row, start, size, sequence and offset.  No sequence crosses batches."""
     sequence = TaskContext.get().partitionId() << 40
     for batch, docs in tokens:
         pool: list[tuple[int, int, int]] = []  # row, start, size
@@ -123,7 +124,21 @@ def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int,
                     close()
         if pool:
             close()
-        row, start, size, seq, offset = (np.array(c, np.int64) for c in zip(*rows)) if rows else [np.zeros(0, np.int64)] * 5
+        yield batch, docs, *((np.array(c, np.int64) for c in zip(*rows)) if rows else [np.zeros(0, np.int64)] * 5)
+
+
+def _whole(tokens, length: int, piece: int, windows: int):
+    """The ids of each sequence, and the sequences' ids, batch by batch."""
+    for _, docs, row, start, size, seq, _ in _placed(tokens, length, piece, windows):
+        firsts = np.flatnonzero(np.diff(seq, prepend=-1))
+        parts = [docs[r][a : a + n] for r, a, n in zip(row, start, size)]
+        yield [np.concatenate(parts[a:b]) for a, b in zip(firsts, [*firsts[1:], len(parts)])], seq[firsts]
+
+
+def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int) -> Iterator[tuple[pa.RecordBatch, dict]]:
+    """Batches of document columns with their ids (one array a row) to batches
+    of the documents' columns, one row a piece, and the pieces' own columns."""
+    for batch, docs, row, start, size, seq, offset in _placed(tokens, length, piece, windows):
         yield (
             batch.take(pa.array(row)),
             {
@@ -165,3 +180,18 @@ def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callab
             yield pa.RecordBatch.from_arrays(arrays, names=kept + list(pieces))
 
     return source.mapInArrow(run, schema)
+
+
+def packed_sequences(docs: DataFrame, text_col: str, tokenize: Callable[[], Callable[[list[str]], list[np.ndarray]]], form: Callable[[np.ndarray], bytes], length: int = LENGTH, piece: int = PIECE, windows: int = WINDOWS) -> DataFrame:
+    """The sequences that ``pack_documents`` makes, one row each, in the same
+    pass: ``sequence_id, n_ids, bytes``, the last being ``form`` of its ids
+    (``<u4``).  Nulls, repeated rows and empty tables as there."""
+    source = docs.select(docs[text_col].alias("text"))
+
+    def run(batches):
+        ids_of = tokenize()
+        tokens = ((batch.select([]), ids_of([t or "" for t in batch.column("text").to_pylist()])) for batch in batches)
+        for rows, seq in _whole(tokens, length, piece, windows):
+            yield pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array([len(r) for r in rows], pa.int32()), pa.array([form(r) for r in rows], pa.binary())], names=["sequence_id", "n_ids", "bytes"])
+
+    return source.mapInArrow(run, "sequence_id bigint, n_ids int, bytes binary")

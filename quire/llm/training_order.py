@@ -66,46 +66,25 @@ def slot_of(number: Column, n: int, key: int) -> Column:
     return slots(number)
 
 
-def _record(ids: Column, length: int, width: int) -> Column:
-    """Little-endian 32-bit ids as a record (without its line feed)."""
+def record(ids: np.ndarray, length: int = LENGTH, width: int = WIDTH) -> bytes:
+    """Ids as a record (without its line feed)."""
+    if len(ids) > length or (ids >> np.uint32(8 * width - 1) >> np.uint32(1)).any():
+        raise ValueError(f"a sequence has more than {length} ids, or one that does not fit {width} bytes")
+    padded = np.full(length, PAD, f"<u{width}")
+    padded[: len(ids)] = ids
+    return padded.tobytes()
+
+
+def _records(ids: Column, length: int, width: int) -> Column:
+    """Little-endian 32-bit ids as records."""
 
     @F.arrow_udf("binary")
     def records(column: pa.Array) -> pa.Array:
-        out = []
-        for data in column.to_pylist():
-            found = np.frombuffer(data or b"", "<u4")
-            if len(found) > length or (found >> np.uint32(8 * width - 1) >> np.uint32(1)).any():
-                raise ValueError(f"a sequence has more than {length} ids, or one that does not fit {width} bytes")
-            padded = np.full(length, PAD, f"<u{width}")
-            padded[: len(found)] = found
-            out.append(padded.tobytes())
-        return pa.array(out, pa.binary())
+        return pa.array([record(np.frombuffer(data or b"", "<u4"), length, width) for data in column.to_pylist()], pa.binary())
 
     return records(ids)
 
 
-def sequences(pieces: DataFrame) -> DataFrame:
-    """``sequence_id, ids`` from the pieces of ``packing.pack_documents``, which
-    come in order of sequence and offset within a task: no exchange."""
-
-    def run(batches):
-        now, parts = None, []
-        for batch in batches:
-            ready: list[tuple[int, bytes]] = []
-            for seq, ids in zip(batch.column("sequence_id").to_pylist(), batch.column("ids").to_pylist()):
-                if seq != now and parts:
-                    ready.append((now, b"".join(parts)))
-                    parts = []
-                now = seq
-                parts.append(ids)
-            if ready:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in ready], pa.int64()), pa.array([r[1] for r in ready], pa.binary())], names=["sequence_id", "ids"])
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([b"".join(parts)], pa.binary())], names=["sequence_id", "ids"])
-
-    return pieces.select("sequence_id", "ids").mapInArrow(run, "sequence_id bigint, ids binary")
-
-
 def _numbered_as_read(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` stored, with ``number`` = 0, 1, ... in the order of its tasks and
     their rows, and the number of rows.  No exchange: the counts of the tasks (a
@@ -130,12 +109,18 @@ def write_shards(seqs: DataFrame, path: str, key: int, id_col: str = "sequence_i
     written like any others.  More ids than ``length``, or ids too large for
     ``width`` bytes, are errors.  An empty table writes an empty manifest.
     """
-    parts = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = seqs.select(
         F.col(id_col).cast("bigint").alias("sequence_id"),
         (F.length(F.coalesce(ids_col, F.lit(b""))) / 4).cast("int").alias("n_ids"),
-        _record(F.col(ids_col), length, width).alias("bytes"),
+        _records(F.col(ids_col), length, width).alias("bytes"),
     )
+    return write_records(held, path, key, per_shard)
+
+
+def write_records(held: DataFrame, path: str, key: int, per_shard: int = PER_SHARD) -> int:
+    """``write_shards`` for sequences that are records already: ``sequence_id,
+    n_ids, bytes``, all of one size."""
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered, total = _numbered_as_read(held)
     slotted = numbered.withColumn("slot", slot_of(F.col("number"), max(total, 1), key))
     place = {"shard": F.floor(F.col("slot") / per_shard).cast("bigint"), "record": (F.col("slot") % per_shard).cast("int")}

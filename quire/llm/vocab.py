@@ -78,7 +78,7 @@ class WordBpe:
     marks where each one ends; one that holds special tokens itself is encoded
     alone, as ordinary text."""
 
-    REMEMBERED = 1_000_000
+    REMEMBERED = 600_000
     TOGETHER = 64
 
     def __init__(self, tokenizer):

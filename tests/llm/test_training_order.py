@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import catalog, training_order
+from quire.llm import catalog, packing, training_order
 from quire.session import checkpoint_dir
 from tests.conftest import SF_SMALL
 
@@ -62,7 +62,7 @@ def test_bad_and_empty_input(spark):
 
 
 def test_query(spark):
-    pieces = catalog._pieces(spark, catalog.table(spark, SF_SMALL, "documents")).collect()
+    pieces = packing.pack_documents(catalog.table(spark, SF_SMALL, "documents"), "text", catalog._tokenizer(spark)).collect()
     ids = defaultdict(list)
     for p in sorted(pieces, key=lambda p: p.offset):
         ids[p.sequence_id].append(bytes(p.ids))
