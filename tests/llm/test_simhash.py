@@ -1,7 +1,6 @@
 import random
 
 import duckdb
-import pyarrow  # noqa: F401
 from pyspark.sql import functions as F
 
 from quire.llm import catalog, components, simhash
