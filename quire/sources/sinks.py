@@ -9,7 +9,6 @@ list of input documents grows with the collection, so it is written as rows
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _write_by_collection(rows: DataFrame, path: str, replace: bool) -> None:
