@@ -12,7 +12,7 @@ rises by one whenever a window exceeds the capacity.
 
 Pools are made of the rows a task reads, in their order: no shuffle, no group
 that could be hot, and a pool's memory is bounded by ``windows`` x ``length``
-ids and one Arrow batch.  Each task's last pool is partitioned alike.  Sequence
+ids and ``ROWS`` rows, after which a pool is partitioned whatever it holds.  Sequence
 ids are the partition's number and a running number within it, so that a
 repeated task gives the same ones.
 """
@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 LENGTH = 2048
 PIECE = 512
 WINDOWS = 64
+#: Rows of an Arrow batch that are held as texts, ids and pieces at a time.
+ROWS = 2000
 
 _PIECES = [("start", "bigint"), ("length", "bigint"), ("ids", "binary"), ("doc_tokens", "bigint"), ("sequence_id", "bigint"), ("offset", "bigint")]
 
@@ -152,6 +154,12 @@ def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int,
         )
 
 
+def _slices(batches):
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callable[[list[str]], list[np.ndarray]]], length: int = LENGTH, piece: int = PIECE, windows: int = WINDOWS) -> DataFrame:
     """One row per piece: the columns of ``docs`` but the text, and ``start``
     (ids of the document before the piece), ``length``, ``ids`` (little-endian
@@ -172,7 +180,7 @@ def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callab
         ids_of = tokenize()
 
         def tokens():
-            for batch in batches:
+            for batch in _slices(batches):
                 yield batch.select(kept), ids_of([t or "" for t in batch.column("ids").to_pylist()])
 
         for columns, pieces in pack(tokens(), length, piece, windows):
@@ -190,7 +198,7 @@ def packed_sequences(docs: DataFrame, text_col: str, tokenize: Callable[[], Call
 
     def run(batches):
         ids_of = tokenize()
-        tokens = ((batch.select([]), ids_of([t or "" for t in batch.column("text").to_pylist()])) for batch in batches)
+        tokens = ((batch.select([]), ids_of([t or "" for t in batch.column("text").to_pylist()])) for batch in _slices(batches))
         for rows, seq in _whole(tokens, length, piece, windows):
             yield pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array([len(r) for r in rows], pa.int32()), pa.array([form(r) for r in rows], pa.binary())], names=["sequence_id", "n_ids", "bytes"])
 
