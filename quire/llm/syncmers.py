@@ -15,7 +15,7 @@ for none in common, and by definition 1 for two texts without anchors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import let
@@ -23,8 +23,10 @@ from quire.llm import rows
 from quire.llm.numbering import numbered
 from quire.session import materialize
 
-K = 12
+K = 10
 S = 2
+#: So many neighbours by position are sent to one place.
+BLOCK = 32
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
@@ -58,6 +60,11 @@ def hashes(found: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda a: a["hash"]))
 
 
+def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
+    """The distinct hashes of a text's anchors."""
+    return hashes(anchors(text, k, s))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Dice coefficient of two arrays of distinct hashes."""
     both = F.size(a) + F.size(b)
@@ -81,45 +88,47 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     An only row is its own next; an empty table gives no rows.
 
     Rows are numbered by id without their texts; a document's text is joined to
-    its number, and then only halves of texts are sent: a document's own first
-    half and, to its predecessor's number, as much of it as is needed there.
+    its number and sent to the block of ``BLOCK`` numbers that it is in, the first
+    of a block also to the block before.  Anchors are found where the texts
+    arrive, so none are sent.
     """
     held = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # a row's key; rows that are equal in it are equal
     keyed = held.select(F.col("id").isNotNull().alias("named"), F.coalesce("id", F.lit(0)).alias("key"), F.xxhash64("text").alias("tie"), "id", "text")
     names = ["named", "key", "tie"]
-    keys = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).alias("n_chars"))
+    keys = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
     placed = materialize(numbered(keys, names, "at"), "positions")
-    total = placed.count()
+    total, most = placed.agg(F.count(F.lit(1)), F.max("copies")).first()
     if not total:
         total = 1
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    before = placed.select(((F.col("at") + 1) % total).alias("at"), half.alias("wanted"))
-    needs = placed.join(before, "at").select(*names, "at", "copies", "wanted")
-
-    sized = keyed.join(needs, names).select("id", "at", "copies", "wanted", "text", F.length("text").alias("n_chars"), hashes(anchors(F.col("text"), k, s)).alias("own"))
-    own = F.struct("id", "copies", "n_chars", "own", F.left("text", F.col("n_chars") - half).alias("half"))
-    ahead = F.struct(F.left("text", F.col("wanted")).alias("half"), F.col("own"))
-    previous = (F.col("at") + (total - 1)) % total
-    none = lambda c: F.when(F.lit(False), c)
-    both = F.array(
-        F.struct(F.col("at").alias("at"), own.alias("this"), none(ahead).alias("ahead")),
-        F.struct(previous.alias("at"), none(own).alias("this"), ahead.alias("ahead")),
-    )
-    sent = sized.select(F.explode(both).alias("r")).select("r.*")
-    met = sent.groupBy("at").agg(F.first("this", ignorenulls=True).alias("this"), F.first("ahead", ignorenulls=True).alias("ahead"))
+
+    texts = keyed.join(placed.where("copies = 1"), names)
+    if most and most > 1:
+        texts = texts.unionByName(keyed.join(placed.where("copies > 1"), names).dropDuplicates(["at"]))
+    block_of = lambda at: F.floor(at / BLOCK).cast("bigint")
+    # the first of a block also ends the block before (row 0: the last block)
+    end = F.when(F.col("at") == 0, F.lit(total)).otherwise(F.col("at"))
+    here = F.struct(block_of(F.col("at")).alias("block"), F.col("at").alias("place"), F.lit(False).alias("ends"))
+    before = F.struct(block_of(end - 1).alias("block"), end.alias("place"), F.lit(True).alias("ends"))
+    places = F.when(F.col("at") % BLOCK == 0, F.array(here, before)).otherwise(F.array(here))
+    sent = texts.select("id", "copies", "text", F.explode(places).alias("p")).select("p.*", "id", "copies", "text").repartition("block")
+    found = sent.withColumn("own", fingerprint(F.col("text"), k, s))
+    following = Window.partitionBy("block").orderBy("place")
+    met = found.withColumns({"ahead_text": F.lead("text").over(following), "ahead_own": F.lead("own").over(following)}).where("NOT ends")
 
     # each of several equal rows but the last is followed by its equal
-    block = 1 << 12
-    rest = F.least(F.col("this.copies") - F.col("b") * block, F.lit(block))
-    each = met.select("*", F.explode(F.sequence(F.lit(0), ((F.col("this.copies") - 1) / block).cast("int"))).alias("b"))
+    some = 1 << 12
+    rest = F.least(F.col("copies") - F.col("b") * some, F.lit(some))
+    each = met.select("*", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / some).cast("int"))).alias("b"))
     each = each.select("*", F.explode(F.sequence(F.lit(1), rest.cast("int"))).alias("i"))
-    last = F.col("b") * block + F.col("i") == F.col("this.copies")
+    last = F.col("b") * some + F.col("i") == F.col("copies")
+    n_chars = F.length("text")
+    half = F.floor(n_chars / 2).cast("int")
     out = each.select(
-        "this.id",
-        F.col("this.n_chars").cast("bigint").alias("n_chars"),
-        "this.own",
-        F.when(last, F.col("ahead.own")).otherwise(F.col("this.own")).alias("next"),
-        F.concat("this.half", F.when(last, F.col("ahead.half")).otherwise(F.left("this.half", F.floor(F.col("this.n_chars") / 2).cast("int")))).alias("edited"),
+        "id",
+        n_chars.cast("bigint").alias("n_chars"),
+        "own",
+        F.when(last, F.col("ahead_own")).otherwise(F.col("own")).alias("next"),
+        F.concat(F.left("text", n_chars - half), F.left(F.when(last, F.col("ahead_text")).otherwise(F.col("text")), half)).alias("edited"),
     )
-    return out.select("*", hashes(anchors(F.col("edited"), k, s)).alias("edited_own"))
+    return out.select("*", fingerprint(F.col("edited"), k, s).alias("edited_own"))

@@ -88,3 +88,25 @@ def test_edge_rows(spark):
     assert syncmers.against_next(df.limit(0)).count() == 0
     one = syncmers.against_next(spark.createDataFrame([(1, "abcd")], "doc_id bigint, text string")).collect()
     assert [r.edited for r in one] == ["abab"]
+
+
+def test_near_copies_keep_their_likeness(spark):
+    """Windows of 10 words fit between edits 12 words apart."""
+    rng = random.Random(15)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    edited = [f"new{i}" if i % 12 == 0 else w for i, w in enumerate(words)]
+    df = spark.createDataFrame([(" ".join(words), " ".join(edited))], "a string, b string")
+    near = df.select(syncmers.likeness(*(syncmers.hashes(syncmers.anchors(F.col(c))) for c in "ab"))).first()[0]
+    assert syncmers.K == 10 and near > 0.1
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(40)]
+    got = [[a.position for a in r.a] for r in spark.createDataFrame(list(enumerate(texts)), "i int, text string").orderBy("i").select(syncmers.anchors(F.col("text"), 10, 2).alias("a")).collect()]
+    assert got == chosen(spark, texts, 10, 2)
+
+
+def test_neighbours_over_many_blocks(spark):
+    rng = random.Random(16)
+    for n in (syncmers.BLOCK, 2 * syncmers.BLOCK + 1, 5 * syncmers.BLOCK - 1):
+        rows = [(i * 3, " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(40)))) for i in range(n)]
+        out = syncmers.against_next(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("id").collect()
+        assert [(r.id, r.n_chars, r.edited) for r in out] == [(d, c, e) for d, c, _, e, _ in edits(rows)]
+        assert all(r.next == out[(i + 1) % n].own for i, r in enumerate(out))
