@@ -6,11 +6,12 @@ first) stands at its first or last position.  Whether a k-mer is chosen depends
 on its own words only, so an unchanged passage gives the same anchors wherever
 it stands; of 2 in K - S + 1 k-mers one is chosen, and every window of
 K - S + 1 of them has one.  A text with fewer words than ``K`` has itself as its
-only anchor, one without words has none.
+only anchor, one without words has none.  A text of ``K`` to 2 K - S - 1 words can
+be without a closed syncmer; in a fingerprint it has itself as its only anchor too.
 
 Anchors are (position, 32-bit hash) in text order; the likeness of two texts is
 the share of anchor hashes that they have in common (Dice): 1 for equal sets, 0
-for none in common, and by definition 1 for two texts without anchors.
+for none in common, and by definition 1 for two texts without words.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ S = 2
 BLOCK = 32
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
+def anchors(text: Column, k: int = K, s: int = S, always: bool = False) -> Column:
     """``array<struct<position, hash>>`` of the closed syncmers of a text;
-    null text has none.  Positions count words from 0."""
+    null text has none.  Positions count words from 0.  With ``always``, a text
+    with words but without a closed syncmer has itself as its only anchor."""
     inner = k - s + 1
 
     def of(ws: Column) -> Column:
@@ -48,7 +50,10 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
             whole = F.array(F.struct(F.lit(0).alias("position"), F.hash(h).alias("hash")))
             none = F.array().cast("array<struct<position:int,hash:int>>")
-            return F.when(n >= k, let(smers, edges)).when(n > 0, whole).otherwise(none)
+            closed = let(smers, edges)
+            if always:
+                closed = let(closed, lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
+            return F.when(n >= k, closed).when(n > 0, whole).otherwise(none)
 
         return let(hashed, chosen)
 
@@ -61,8 +66,8 @@ def hashes(found: Column) -> Column:
 
 
 def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
-    """The distinct hashes of a text's anchors."""
-    return hashes(anchors(text, k, s))
+    """The distinct hashes of a text's anchors; empty only without words."""
+    return hashes(anchors(text, k, s, always=True))
 
 
 def likeness(a: Column, b: Column) -> Column:

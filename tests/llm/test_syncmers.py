@@ -110,3 +110,15 @@ def test_neighbours_over_many_blocks(spark):
         out = syncmers.against_next(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("id").collect()
         assert [(r.id, r.n_chars, r.edited) for r in out] == [(d, c, e) for d, c, _, e, _ in edits(rows)]
         assert all(r.next == out[(i + 1) % n].own for i, r in enumerate(out))
+
+
+def test_short_texts_have_fingerprints(spark):
+    """Texts of K to 2 K - S - 1 words without a closed syncmer are told apart."""
+    rng = random.Random(17)
+    k, s = syncmers.K, syncmers.S
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(k, 2 * k - s))) for _ in range(60)]
+    assert [] in chosen(spark, texts, k, s)
+    out = syncmers.against_next(spark.createDataFrame(list(enumerate(texts)) + [(100, " ")], "doc_id bigint, text string")).orderBy("id").collect()
+    assert all(r.own for r in out[:60]) and not out[60].own
+    assert len({tuple(r.own) for r in out[:60]}) == 60
+    assert all(not set(r.own) & set(r.next) for r in out)
