@@ -171,7 +171,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Rules of the registered query.
-URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("allow", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

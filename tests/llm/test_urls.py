@@ -75,3 +75,21 @@ def test_trees_find_spam_on_held_out_urls(spark):
     got = urls.filter_urls(pages, "url", [], {"page_id": F.col("page_id")}, labelled).collect()
     assert sum((r.verdict == "block") == (r.page_id % 2 == 0) for r in got) >= 195
     assert all(r.rule is None for r in got)
+
+
+def test_rules_of_the_query(spark):
+    """The five rules written out, not taken from the catalog."""
+    assert sorted(catalog.URL_RULES) == [("allow", "com/fr/"), ("allow", "org/"), ("block", "com/de/"), ("block", "example.org/en/1"), ("block", "example.org/es/")]
+    want = {
+        "http://example.org/en/12": ("example.org/en/1", "block"),
+        "https://a.example.org/en/1?q": ("example.org/en/1", "block"),
+        "http://example.org/en/2": ("org/", "allow"),
+        "http://notexample.org/en/1": ("org/", "allow"),
+        "http://example.org/es/1": ("example.org/es/", "block"),
+        "http://example.com/fr/1": ("com/fr/", "allow"),
+        "http://example.com/de/1": ("com/de/", "block"),
+    }
+    pages = spark.createDataFrame([(u,) for u in want], "url string")
+    found = pages.select("url", urls.rule_of(urls.host(F.col("url")), urls.path(F.col("url")), catalog.URL_RULES).alias("rule")).collect()
+    verdicts = {rule: verdict for verdict, rule in catalog.URL_RULES}
+    assert {r.url: (r.rule, verdicts[r.rule]) for r in found} == want
