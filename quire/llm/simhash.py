@@ -141,8 +141,9 @@ def simhash_groups(
     keep: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per input row: ``id, fp`` (bigint), ``component`` (the smallest
-    id among the documents that can be reached over links) and the columns of
-    ``keep`` (name to expression over ``docs``).
+    id among the documents that can be reached over links), ``root`` (the smallest
+    fingerprint among them, which tells groups apart where ids repeat or are
+    null) and the columns of ``keep`` (name to expression over ``docs``).
 
     Null text counts as empty; a text without words has fingerprint zero and
     links like any other.  Equal fingerprints are one node, so repeated rows
@@ -156,8 +157,8 @@ def simhash_groups(
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    classes = materialize(rooted.join(least, "root").select("fp", "component"), "classes")
-    return marked.join(classes, "fp").select("id", "fp", "component", *(keep or {}))
+    classes = materialize(rooted.join(least, "root").select("fp", "component", "root"), "classes")
+    return marked.join(classes, "fp").select("id", "fp", "component", "root", *(keep or {}))
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -170,9 +171,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     row = {"_row": F.xxhash64(*whole), "_row2": F.xxhash64(F.lit(1), *whole)}
     groups = materialize(simhash_groups(docs, id_col, text_col, shingle, max_bits, row), "grouped")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("_row"), F.col("_row2"))).alias("first")
-    # groups of null ids only are told apart by their fingerprint
-    named = groups.withColumn("alone", F.when(F.col("component").isNull(), F.col("fp")))
-    kept = named.groupBy("component", "alone").agg(first).select("first._row", "first._row2")
+    # a group is its root: ids may repeat over groups or be null; minima are
+    # taken on the map side first, so that a large group sends a row a task
+    kept = groups.groupBy("root").agg(first).select("first._row", "first._row2")
     copies = groups.groupBy(*row).agg(F.count(F.lit(1)).alias("_copies"))
     kept = materialize(kept.join(copies, list(row)), "kept")
     out = docs.withColumns(row).join(kept, list(row))

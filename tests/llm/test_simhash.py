@@ -78,3 +78,16 @@ def test_one_per_group(spark):
     assert len(got) == 4
     assert [g[0] for g in sorted(got, key=key)] == [2, 9, None, None]
     assert simhash.one_per_group(spark.createDataFrame([], SCHEMA + ", lang string")).count() == 0
+
+
+def test_one_per_group_with_one_id_or_none(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"word{rng.randrange(10**6)}" for _ in range(600))
+    near = [(None, text(), "b")]
+    near += [(None, near[0][1] + end, "b") for end in (" x", " y")]
+    fps = [simhash.simhash64(t.encode()) for _, t, _ in near]
+    assert len(set(fps)) > 1 and all((f ^ fps[0]).bit_count() <= 3 for f in fps)
+    other = [(0, text(), "a") for _ in range(6)]
+    got = [tuple(r) for r in simhash.one_per_group(spark.createDataFrame(other + near, SCHEMA + ", lang string")).collect()]
+    assert sorted(g for g in got if g[0] == 0) == sorted(other)
+    assert sum(g[0] is None for g in got) == 1
