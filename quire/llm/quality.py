@@ -14,7 +14,9 @@ Base rules (too few words, too many words in repeated 3-word windows) reject
 besides.  Windows are compared by a 64-bit hash within one document.
 
 What the driver collects is bounded by ``LANGUAGES`` x (``COMMON_WORDS`` +
-classes), whatever the input.
+classes), whatever the input.  With more languages than ``LANGUAGES`` the
+references stay a table, against which documents are judged in blocks of
+``REFERENCES`` languages; the least distance over all blocks counts.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import let
 from quire.llm import rows
+from quire.llm.numbering import numbered
 from quire.operators.ranking import top_k
 from quire.session import materialize
 
@@ -35,7 +38,10 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
 
 COMMON_WORDS = 64
+#: Up to so many languages references are literals in the plan.
 LANGUAGES = 32
+#: So many references are broadcast at once beyond that.
+REFERENCES = 128
 MIN_CHARS = 200
 MAX_CLASS_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.45
@@ -66,26 +72,51 @@ def _repeat_words(hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), let(ordered, covered)).otherwise(0)
 
 
-def languages(docs: DataFrame, text: Column, lang: Column) -> list[str]:
-    """The ``LANGUAGES`` languages with the most characters (ties by name)."""
+def languages(docs: DataFrame, text: Column, lang: Column) -> list[str] | None:
+    """The languages, those with the most characters first (ties by name); None
+    if they are more than ``LANGUAGES``."""
     held = docs.select(lang.cast("string").alias("lang"), F.length(text).alias("n")).where("lang IS NOT NULL")
-    return [r.lang for r in held.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()]
+    found = [r.lang for r in held.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES + 1).collect()]
+    return found if len(found) <= LANGUAGES else None
+
+
+def _top_words(held: DataFrame) -> DataFrame:
+    """``lang, word, n``: the most frequent words of ``held(lang, word)`` by language."""
+    counts = held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    return top_k(counts, ["lang"], [F.col("n").desc(), F.col("word")], COMMON_WORDS)
 
 
 def common_words(docs: DataFrame, text: Column, lang: Column, names: list[str]) -> dict[str, dict[str, int]]:
     """By language, its ``COMMON_WORDS`` most frequent words with their counts."""
     held = docs.select(lang.cast("string").alias("lang"), F.explode(rows.words(text)).alias("word")).where(F.col("lang").isin(names))
-    counts = held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     found: dict[str, dict[str, int]] = {n: {} for n in names}
-    for r in top_k(counts, ["lang"], [F.col("n").desc(), F.col("word")], COMMON_WORDS).collect():
+    for r in _top_words(held).collect():
         found[r.lang][r.word] = r.n
     return found
 
 
-def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set[str]) -> DataFrame:
+def reference_blocks(docs: DataFrame, text: Column, lang: Column, found: DataFrame) -> DataFrame:
+    """``block`` (0, 1, ...), ``refs`` (the references of at most ``REFERENCES``
+    languages) and ``known`` (their common words), a row a block."""
+    own = found.where("row._lang IS NOT NULL").groupBy(F.col("row._lang").alias("lang"))
+    n_chars = F.sum("n_chars")
+    shares = F.array(*(F.sum(F.col("classes")[i]) / n_chars for i in range(len(CLASSES) + 1)))
+    # a language without words has no characters that count
+    sums = materialize(own.agg(F.sum("n_words").alias("total"), F.when(n_chars > 0, shares).alias("classes")).where("total > 0"), "languages")
+    words = docs.select(lang.cast("string").alias("lang"), F.explode(rows.words(text)).alias("word")).where("lang IS NOT NULL")
+    shared = _top_words(words).join(sums, "lang").select("lang", "classes", F.struct("word", (F.col("n") / F.col("total")).alias("q")).alias("share"))
+    listed = F.map_from_entries(F.sort_array(F.collect_list("share")))
+    refs = numbered(materialize(shared.groupBy("lang").agg(F.first("classes").alias("classes"), listed.alias("words")), "references"), ["lang"], "at")
+    refs = refs.withColumn("listed", F.aggregate(F.map_values("words"), F.lit(0.0), lambda a, q: a + q))
+    blocks = refs.groupBy(F.floor(F.col("at") / REFERENCES).alias("block")).agg(F.collect_list(F.struct("classes", "words", "listed")).alias("refs"))
+    known = F.array_distinct(F.flatten(F.transform("refs", lambda r: F.map_keys(r["words"]))))
+    return materialize(blocks.withColumn("known", known), "blocks")
+
+
+def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set[str] | None) -> DataFrame:
     """``row`` (a struct of ``keep``) and, for each row, the base features, the
-    counts of the classes and those of the ``common`` words it has (null: empty
-    text)."""
+    counts of the classes and those of the ``common`` words it has (of all its
+    words for None) (null: empty text)."""
     held = docs.select(F.struct(*(c.alias(n) for n, c in keep.items())).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
     cut = held.select("*", rows.words(F.col("text")).alias("words"), F.regexp_replace("text", "[a-z]+", "").alias("others"))
     counted = cut.select(
@@ -95,7 +126,7 @@ def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set
         F.length("text").alias("n_chars"),
         *(F.length(F.regexp_replace("others", rest, "")).alias(f"n_{c}") for c, rest in CLASSES.items()),
     )
-    known = F.filter("words", lambda w: w.isin(*sorted(common))) if common else F.array().cast("array<string>")
+    known = F.col("words") if common is None else F.filter("words", lambda w: w.isin(*sorted(common))) if common else F.array().cast("array<string>")
     return counted.select(
         "row",
         F.size("words").cast("bigint").alias("n_words"),
@@ -116,7 +147,7 @@ def _divergence(p: Column, q: Column | float) -> Column:
     return (part(p) + part(q)) / 2
 
 
-def class_distance(classes: Column, n_chars: Column, shares: list[float]) -> Column:
+def class_distance(classes: Column, n_chars: Column, shares: list[float] | list[Column]) -> Column:
     total = reduce(lambda x, y: x + y, (_divergence(classes[i] / n_chars, q) for i, q in enumerate(shares)))
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
@@ -124,11 +155,14 @@ def class_distance(classes: Column, n_chars: Column, shares: list[float]) -> Col
 def word_distance(common: Column, n_words: Column, shares: dict[str, float]) -> Column:
     """Common words that the document lacks add half their share."""
     share = F.create_map(*(F.lit(x) for w, q in shares.items() for x in (w, q)))
+    return _word_distance(common, n_words, share, F.lit(float(sum(shares.values()))))
+
+
+def _word_distance(common: Column, n_words: Column, share: Column, listed: Column) -> Column:
     own = let(share, lambda m: F.filter(F.transform(common, lambda c: F.struct((c["n"] / n_words).alias("p"), F.element_at(m, c["value"]).alias("q"))), lambda c: c["q"].isNotNull()))
     zero = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q"))
     sums = F.aggregate(own, zero, lambda a, c: F.struct((a["d"] + _divergence(c["p"], c["q"])).alias("d"), (a["p"] + c["p"]).alias("p"), (a["q"] + c["q"]).alias("q")))
-    listed = sum(shares.values())
-    rest = lambda a: _divergence(F.greatest(1 - a["p"], F.lit(0.0)), max(0.0, 1 - listed))
+    rest = lambda a: _divergence(F.greatest(1 - a["p"], F.lit(0.0)), F.greatest(1 - listed, F.lit(0.0)))
     return F.sqrt(F.greatest(let(sums, lambda a: a["d"] + (listed - a["q"]) / 2 + rest(a)), F.lit(0.0)))
 
 
@@ -145,12 +179,36 @@ def judge(docs: DataFrame, text: Column, lang: Column, keep: dict[str, Column])
     """
     names = languages(docs, text, lang)
     common = common_words(docs, text, lang, names) if names else {}
-    found = features(docs, text, {**keep, "_lang": lang.cast("string")}, {w for own in common.values() for w in own})
+    found = features(docs, text, {**keep, "_lang": lang.cast("string")}, None if names is None else {w for own in common.values() for w in own})
     found = materialize(found, "quality")
+    if names is None:
+        by_class, by_word = [], []
+        blocks = reference_blocks(docs, text, lang, found)
+        for b in range(blocks.count()):
+            found = found.crossJoin(F.broadcast(blocks.where(F.col("block") == b).select(F.col("refs").alias(f"_refs{b}"), F.col("known").alias(f"_known{b}"))))
+            by_class.append(_nearest_class(F.col(f"_refs{b}")))
+            by_word.append(_nearest_words(F.col(f"_refs{b}"), F.col(f"_known{b}")))
+        return _verdicts(found, by_class, by_word, keep)
     sums = {r["_lang"]: r for r in found.where(F.col("row._lang").isin(names)).groupBy("row._lang").agg(F.sum("n_words").alias("n_words"), F.sum("n_chars").alias("n_chars"), *(F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1))).collect()} if names else {}
     refs = [n for n in names if n in sums and sums[n].n_words]
     by_class = [class_distance(F.col("classes"), F.col("n_chars"), [sums[n][f"c{i}"] / sums[n].n_chars for i in range(len(CLASSES) + 1)]) for n in refs]
     by_word = [word_distance(F.col("common"), F.col("n_words"), {w: c / sums[n].n_words for w, c in common[n].items()}) for n in refs]
+    return _verdicts(found, by_class, by_word, keep)
+
+
+def _nearest_class(refs: Column) -> Column:
+    shares = lambda r: [r["classes"][i] for i in range(len(CLASSES) + 1)]
+    return F.array_min(F.transform(refs, lambda r: class_distance(F.col("classes"), F.col("n_chars"), shares(r))))
+
+
+def _nearest_words(refs: Column, known: Column) -> Column:
+    """Only words that a reference of the block lists are looked up in it."""
+    met = F.array_intersect(F.transform("common", lambda c: c["value"]), known)
+    own = let(met, lambda m: F.filter("common", lambda c: F.array_contains(m, c["value"])))
+    return let(own, lambda c: F.array_min(F.transform(refs, lambda r: _word_distance(c, F.col("n_words"), r["words"], r["listed"]))))
+
+
+def _verdicts(found: DataFrame, by_class: list[Column], by_word: list[Column], keep: dict[str, Column]) -> DataFrame:
     nearest = lambda found: F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast("double")
     enough = F.col("n_words") >= MIN_WORDS
     judged = found.select(

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -53,3 +54,28 @@ def test_edge_rows(spark):
     assert quality.judge(df.limit(0), F.col("text"), F.col("lang"), {"id": F.col("doc_id")}).count() == 0
     kept = quality.good_documents(df)
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [4, 4]
+
+
+def test_more_languages_than_literals(spark):
+    """Clean documents of every language stay, however many there are."""
+    rng = random.Random(18)
+    rows = []
+    for i in range(quality.LANGUAGES + 8):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60)]
+        rows += [(f"l{i}", " ".join(rng.sample(own, 60))) for _ in range(2)]
+    df = spark.createDataFrame(rows, "lang string, text string").withColumn("doc_id", F.monotonically_increasing_id())
+    assert quality.good_documents(df).count() == len(rows)
+
+
+def test_blocks_equal_literals(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    judged = lambda: quality.judge(docs, F.col("text"), F.col("lang"), {"doc_id": F.col("doc_id")}).orderBy("doc_id").collect()
+    want = judged()
+    monkeypatch.setattr(quality, "LANGUAGES", 1)
+    monkeypatch.setattr(quality, "REFERENCES", 3)
+    got = judged()
+    near = lambda x, y: x == y if x is None or y is None else abs(x - y) < 1e-9
+    assert len(got) == len(want) > 100
+    for g, w in zip(got, want):
+        assert near(g.class_distance, w.class_distance) and near(g.word_distance, w.word_distance)
+        assert (g.doc_id, g.n_words, g.base_failed, g.kept) == (w.doc_id, w.n_words, w.base_failed, w.kept)
