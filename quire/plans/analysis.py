@@ -428,22 +428,26 @@ def counts(docs: DataFrame, jobs: DataFrame, cfg: JobConfig | None = None, outpu
     per_doc = feats.select("collection", F.lit(1).alias("n_documents"), (F.col("n_pages") > 0).cast("int").alias("n_with_text"))
     asked = out["jobs"].select("collection")
     # sections kept are the least of the cut and of the documents with text,
-    # subsections likewise of the candidates
+    # subsections likewise of the candidates; a similarity cut-off drops
+    # documents from the ranks, so what is kept is counted
     cands = out["candidates"].select("collection", F.lit(1).alias("n_candidates"))
-    if cfg.restrict_to_sections:
+    cut = cfg.min_similarity is not None
+    if cfg.restrict_to_sections or cut:
         picked = out["subsections"].select("collection", F.lit(1).alias("n_picked"))
     else:
         picked = None
     rows = per_doc.join(bounded_broadcast(asked), "collection", "left_semi").unionByName(cands, allowMissingColumns=True)
     if picked is not None:
         rows = rows.unionByName(picked, allowMissingColumns=True)
+    if cut:
+        rows = rows.unionByName(out["sections"].select("collection", F.lit(1).alias("n_titled")), allowMissingColumns=True)
     names = [c for c in rows.columns if c != "collection"]
     res = rows.groupBy("collection").agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names)).where("n_documents > 0")
     return res.select(
         "collection",
         "n_documents",
         "n_with_text",
-        F.least("n_with_text", F.lit(cfg.top_sections).cast("bigint")).alias("n_sections"),
+        (F.col("n_titled") if cut else F.least("n_with_text", F.lit(cfg.top_sections).cast("bigint"))).alias("n_sections"),
         "n_candidates",
         (F.col("n_picked") if picked is not None else F.least("n_candidates", F.lit(cfg.top_subsections).cast("bigint"))).alias("n_subsections"),
     )

@@ -281,3 +281,19 @@ def test_parser_runs_once_per_file(spark, tmp_path):
     listed = {d["filename"] for d in json.loads((root / "Collection 1" / "challenge1b_input.json").read_text())["documents"]}
     n_files = sum(1 for p in root.glob("Collection 1/PDFs/*") if p.name in listed)
     assert len(log.read_text().splitlines()) == n_files
+
+
+def test_counts_with_min_similarity(spark):
+    from collections import Counter
+    from dataclasses import replace
+    from quire.plans import catalog as C
+    from quire.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    docs, jobs = TD.docs(spark, sf), TD.jobs(spark, sf)
+    for least in (0.2, 2.0):
+        cfg = replace(C.TEST_CONFIG, min_similarity=least)
+        out = PL.run(docs, jobs, cfg)
+        got = PL.counts(docs, jobs, cfg, out).collect()
+        sec, sub = (Counter(r.collection for r in out[k].select("collection").collect()) for k in ("sections", "subsections"))
+        assert got and all((r.n_sections, r.n_subsections) == (sec[r.collection], sub[r.collection]) for r in got)
+    assert not sec and not sub
