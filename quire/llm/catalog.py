@@ -3,13 +3,14 @@ whole of its table and derives the columns of its contract from the result."""
 
 from __future__ import annotations
 
+import string
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, syncmers, training_order, urls, vocab
+from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, spelling, syncmers, training_order, urls, vocab
 from quire.session import checkpoint_dir, materialize
 
 
@@ -219,6 +220,65 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/manifest").join(records, "slot").select("slot", "shard", "record", "number", "sequence_id", "n_ids", "record_bytes", "record_crc32")
 
 
+def _misspelt_words(docs: DataFrame) -> DataFrame:
+    """``word, n``: the letter runs of all texts, of which about one in 31 loses a
+    code point, that are left with at least 7 code points and occur at least
+    twice.  Null texts have none; a null id counts as the empty string."""
+    runs = F.regexp_extract_all(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), F.lit("[a-z\\u00C0-\\u00FF]+"), F.lit(0))
+    # a run never grows, so short ones go first
+    held = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.explode(F.filter(runs, lambda r: F.length(r) >= 7)).alias("run"))
+    hashed = held.select("run", F.crc32(F.concat_ws(":", "doc", "run").cast("binary")).alias("h"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = hashed.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word")).where(F.length("word") >= 7)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all ``documents``."""
+    return spelling.variants(_misspelt_words(table(spark, sf_dir, "documents")), ratio=10)
+
+
+# Near words share what is left when a code point is deleted: at the same place
+# of both (replaced), or one of them is what is left of the other.
+ORACLE_SPELLING = """
+WITH RECURSIVE bits AS (
+  SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents
+), counted AS (
+  SELECT w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]))) AS h
+  FROM counted, crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS c FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.c = b.c AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, w.word FROM cut a JOIN words w ON a.c = w.word
+  UNION SELECT w.word, a.word FROM cut a JOIN words w ON a.c = w.word
+), ranked AS (
+  SELECT p.word, near, n, count(*) OVER (PARTITION BY p.word) AS n_near, row_number() OVER (PARTITION BY p.word ORDER BY n DESC, near) AS k
+  FROM pairs p JOIN words w ON p.near = w.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN r.n >= 10 * w.n THEN near END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND k = 1
+), walk AS (
+  SELECT word, word AS at, form AS onward FROM formed
+  UNION ALL
+  SELECT w.word, f.word, f.form FROM walk w JOIN formed f ON w.onward = f.word
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN walk w ON w.word = f.word AND w.onward IS NULL
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -230,9 +290,11 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_syncmers": op9_syncmers,
     "op10_training_order": op10_training_order,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE_SQL = {
     "op3_sharding": ORACLE_SHARDING,
     "op6_quality": ORACLE_QUALITY,
+    "op12_spelling": ORACLE_SPELLING,
 }
