@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, spelling, syncmers, training_order, urls, vocab
+from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, spelling, syncmers, training_order, tries, urls, vocab
 from quire.session import checkpoint_dir, materialize
 
 
@@ -279,6 +279,75 @@ SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN
 """
 
 
+def _rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that share beginnings: conversation c takes the first h turns
+    of c - c % 5, then its own after its first h; h = crc32(c) % 9.  Returns the
+    turns with their new places, and all conversations."""
+    h = lambda c: F.crc32(c.cast("string").cast("binary")) % 9
+    convs = materialize(turns.groupBy("conv").agg(F.max("place").alias("n")), "conversations")
+    base = convs.select(F.col("conv").alias("base"), F.col("n").alias("base_n"))
+    begun = convs.withColumn("base", F.col("conv") - F.col("conv") % 5).join(base, "base", "left")
+    taken = begun.select("conv", F.least(h(F.col("conv")), F.coalesce("base_n", F.lit(0))).alias("taken"))
+    own = turns.where(F.col("place") > h(F.col("conv"))).join(taken, "conv")
+    own = own.select("conv", (F.col("place") - h(F.col("conv")) + F.col("taken")).alias("place"), "t1", "t2", "size")
+    # the beginnings: at most 8 turns of a conversation, for those that may take them
+    heads = turns.where("conv % 5 = 0 AND place <= 8").withColumnRenamed("conv", "base")
+    heads = heads.withColumn("conv", F.explode(F.sequence(F.col("base") - 4, F.col("base") + 4))).where("conv - conv % 5 = base")
+    heads = heads.where(F.col("place") <= h(F.col("conv"))).join(convs.select("conv"), "conv", "left_semi")
+    return own.unionByName(heads.select(own.columns)), convs.select("conv")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the rebuilt ``conversations``."""
+    turns = materialize(tries.turn_rows(table(spark, sf_dir, "conversations")), "turns")
+    nodes = tries.prefix_trie(*_rebuilt_turns(turns))
+    return nodes.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256"
+    )
+
+
+# A node's ancestors are the shorter prefixes of its smallest member.
+ORACLE_TRIE = """
+WITH RECURSIVE bits AS (
+  SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), lens AS (SELECT conv_id, count(*) AS n, hex(encode(conv_id::VARCHAR)) AS x FROM turns GROUP BY conv_id),
+convs AS (
+  SELECT a.conv_id, a.conv_id - a.conv_id % 5 AS base, coalesce(b.n, 0) AS base_n,
+    xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(a.x) // 2), lambda i: ('0x' || substr(a.x, 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]))) % 9 AS h
+  FROM lens a LEFT JOIN lens b ON b.conv_id = a.conv_id - a.conv_id % 5, crc
+), rebuilt AS (
+  SELECT c.conv_id, t.pos AS d, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(h, base_n) + t.pos - h, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), prefixes AS (
+  SELECT conv_id, d, md5(string_agg(md5(role) || md5(text), ',' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d)) AS k, strlen(text) AS size FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM convs
+), ends AS (
+  SELECT d, k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS listed
+  FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM prefixes) WHERE d = last GROUP BY d, k
+), nodes AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM prefixes GROUP BY d, k),
+up AS (
+  SELECT n.d, n.conv_id, p.conv_id AS parent_conv_id FROM nodes n JOIN prefixes f ON f.conv_id = n.conv_id AND f.d = n.d - 1 JOIN nodes p ON p.d = f.d AND p.k = f.k
+), children AS (SELECT d - 1 AS d, parent_conv_id AS conv_id, count(*) AS n_children FROM up GROUP BY 1, 2),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (d, conv_id)),
+totals AS (
+  SELECT f.d, f.k, sum((n.n_children = 0)::INT) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved
+  FROM full_nodes n JOIN prefixes f ON f.conv_id = n.conv_id AND f.d <= n.d GROUP BY f.d, f.k
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(listed, '')) AS ends_sha256
+FROM full_nodes n JOIN totals USING (d, k) LEFT JOIN up USING (d, conv_id) LEFT JOIN ends USING (d, k)
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -291,10 +360,12 @@ QUERIES = {
     "op9_syncmers": op9_syncmers,
     "op10_training_order": op10_training_order,
     "op12_spelling": op12_spelling,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL = {
     "op3_sharding": ORACLE_SHARDING,
     "op6_quality": ORACLE_QUALITY,
     "op12_spelling": ORACLE_SPELLING,
+    "op13_conversation_trie": ORACLE_TRIE,
 }
