@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii, quality, secrets, sharding, simhash, spelling, syncmers, training_order, tries, urls, vocab
+from quire.llm import bpe, forced, packing, pii, quality, secrets, sharding, simhash, spelling, syncmers, training_order, tries, urls, vocab
 from quire.session import checkpoint_dir, materialize
 
 
@@ -220,6 +220,18 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/manifest").join(records, "slot").select("slot", "shard", "record", "number", "sequence_id", "n_ids", "record_bytes", "record_crc32")
 
 
+def op11_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text of ``documents`` by the word BPE, and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = forced.encode(docs, "text", public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    return ids.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def _misspelt_words(docs: DataFrame) -> DataFrame:
     """``word, n``: the letter runs of all texts, of which about one in 31 loses a
     code point, that are left with at least 7 code points and occur at least
@@ -359,6 +371,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_syncmers": op9_syncmers,
     "op10_training_order": op10_training_order,
+    "op11_forced_bpe": op11_forced_bpe,
     "op12_spelling": op12_spelling,
     "op13_conversation_trie": op13_conversation_trie,
 }
