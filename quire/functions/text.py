@@ -73,12 +73,9 @@ TITLE_KEYWORD_MIN_LEN = 3
 MAX_KEY_LINES = 3
 # ---------------------------------------------------------------------------
 
-# Unicode letters whose title case differs from their upper case (Unicode data,
-# as used by str.title()).
-TITLECASE_SPECIAL = {
-    "ß": "Ss", "ﬀ": "Ff", "ﬁ": "Fi", "ﬂ": "Fl", "ﬃ": "Ffi", "ﬄ": "Ffl", "ﬅ": "St", "ﬆ": "St",
-    "Ǆ": "ǅ", "ǅ": "ǅ", "ǆ": "ǅ", "Ǉ": "ǈ", "ǈ": "ǈ", "ǉ": "ǈ",
-    "Ǌ": "ǋ", "ǋ": "ǋ", "ǌ": "ǋ", "Ǳ": "ǲ", "ǲ": "ǲ", "ǳ": "ǲ",
+# Characters whose title case differs from their upper case, by Unicode's data.
+TITLECASE_SPECIAL = {c: c.title() for c in map(chr, range(0x80, 0xD800)) if c.title() != c.upper()} | {
+    c: c.title() for c in map(chr, range(0xE000, 0x10000)) if c.title() != c.upper()
 }
 
 # Python's str.isspace() set: Unicode White_Space plus the four separators
@@ -88,7 +85,8 @@ _STRIP_RX = rf"(?U)^{_WS}+|{_WS}+\z"
 _WS_RUN_RX = rf"(?U){_WS}+"
 # The heading pattern with the blanks of Python's re, which are Unicode's.
 HEADING_RX = HEADING_PATTERN.replace(r"\s", r"[\p{IsWhite_Space}\x1c-\x1f]")
-_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+# Cased, as str.title() has it: the properties, not the categories (ª and ⓐ are lower case).
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _CASE_RUNS_RX = rf"([{_CASED}]+|[^{_CASED}]+)"
 _TERM_RX = r"(\p{L}+)"
 _BIG = 1 << 30

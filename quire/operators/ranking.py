@@ -33,7 +33,7 @@ RERANK_WEIGHT = 0.6
 FIRST_STAGE_WEIGHT = 0.4
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, witness: DataFrame | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None, witness: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only when its bytes are proven to be at most ``max_bytes``.
 
     The strings of ``witness`` (default: ``df`` itself) are measured, plus a
@@ -45,12 +45,39 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, witne
     return F.broadcast(df) if fits_broadcast(witness if witness is not None else df, max_bytes) else df
 
 
+def join_in_blocks(df: DataFrame, small: DataFrame, on: Sequence[str], max_bytes: int | None = None, witness: DataFrame | None = None) -> DataFrame:
+    """Inner join that never exchanges ``df``, whatever the size of ``small``.
+
+    ``small`` is broadcast where it is proven to fit (see ``bounded_broadcast``);
+    beyond that it is cut by a hash of its join keys into blocks that do, and
+    ``df`` is read once a block.  For a wide ``df`` (texts) and a ``small`` that
+    is bounded by collections, not by documents.
+    """
+    bound = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    size = bytes_of(witness if witness is not None else small)
+    if size <= bound:
+        return df.join(F.broadcast(small), list(on))
+    # blocks are about half the bound, so that an uneven one fits as well
+    n = -(-2 * size // max(bound, 1))
+    block = F.pmod(F.xxhash64(*on), F.lit(n))
+    out = None
+    for i in range(n):
+        part = df.join(F.broadcast(small.where(block == i)), list(on))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _BYTES: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Whether the rows of ``df`` take at most ``max_bytes``; measured once per
-    DataFrame object (its plan and file listing are fixed once it is built)."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the rows of ``df`` take at most ``max_bytes``."""
+    return bytes_of(df) <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+
+
+def bytes_of(df: DataFrame) -> int:
+    """What the rows of ``df`` take; measured once per DataFrame object (its plan
+    and file listing are fixed once it is built)."""
     if df not in _BYTES:
         size = F.lit(ROW_BYTES).cast("bigint")
         for f in df.schema:
@@ -59,7 +86,7 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
             elif f.dataType.typeName() in ("array", "map", "struct", "binary"):
                 size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
         _BYTES[df] = df.agg(F.sum(size)).first()[0] or 0
-    return _BYTES[df] <= max_bytes
+    return _BYTES[df]
 
 
 def _order_cols(order: Sequence) -> list[Column]:

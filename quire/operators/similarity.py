@@ -99,9 +99,15 @@ def tfidf_from_terms(
     query_col: str = "query",
     min_len: int = 4,
     salt: int = 1,
+    weight: str | None = None,
 ) -> DataFrame:
     """TF-IDF cosine and overlap from a document-term table (group, key, term, tf).
 
+    The result has the columns of ``doc_keys``, a row for each of its rows, and
+    score and overlap.  Documents of the same text may share one set of terms:
+    ``doc_keys`` then has its key once for each of them, and ``weight`` names the
+    column of ``dt`` that counts them.
+
     ``salt > 1`` spreads each (collection, term) key of the idf join over
     ``salt`` buckets (documents hashed to a bucket, idf rows replicated per
     bucket), for a hot term in a hot collection when AQE's skew join is not
@@ -124,7 +130,7 @@ def tfidf_from_terms(
     )
     idf = (
         dt.groupBy(group, "term")
-        .agg(F.count(F.lit(1)).alias("df"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("df"))
         .join(n_docs, group)
         .select(group, "term", F.log(1.0 + F.col("n_docs") / F.col("df")).alias("idf"))
     )
@@ -167,8 +173,7 @@ def tfidf_from_terms(
         F.coalesce(F.col("n_qterms"), F.lit(0)) > 0, F.coalesce(F.col("n_hit"), F.lit(0)) / F.col("n_qterms")
     ).otherwise(0.0)
     return out.select(
-        group,
-        key,
+        *doc_keys.columns,
         F.round(score, SCORE_DIGITS).alias("score"),
         F.round(overlap, SCORE_DIGITS).alias("overlap"),
     )
@@ -183,6 +188,51 @@ def term_overlap(doc_text, query_text, min_len: int = 4) -> Column:
     return T.let(F.array_distinct(T.terms(query_text, min_len)), ratio)
 
 
+def bm25_scores(
+    dt: DataFrame,
+    doc_keys: DataFrame,
+    queries: DataFrame,
+    candidates: DataFrame,
+    k1: float,
+    b: float,
+    group: str = "collection",
+    key: str = "doc_id",
+    query_col: str = "query",
+    min_len: int = 4,
+    weight: str | None = None,
+) -> DataFrame:
+    """BM25 of ``candidates`` (``group``, ``key`` and any other columns, which are
+    kept) to their group's query: ``bm25``, rounded to ``SCORE_DIGITS`` decimals.
+
+      idf(t)   ln(1 + (N - df + 0.5) / (df + 0.5)), over the documents of the group
+      score    sum over the query's distinct terms in the document of
+               idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean length))
+
+    A length is the number of terms; documents without terms count in N and in the
+    mean.  ``dt`` (group, key, term, tf), ``doc_keys`` and ``weight`` as in
+    ``tfidf_from_terms``.  Only rows of query terms are joined, and only those of
+    candidates are scored; a candidate without any query term has score 0.
+    """
+    asked = bounded_broadcast(queries.select(group).distinct(), witness=queries)
+    n_docs = doc_keys.join(asked, group, "left_semi").groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
+    qt = term_counts(queries, [group], query_col, min_len).drop("tf")
+    hits = dt.join(bounded_broadcast(qt), [group, "term"])
+    listed = F.col(weight) if weight else F.lit(1)
+    # the terms of a document leave its task as one length
+    lengths = dt.join(asked, group, "left_semi").groupBy(group, key).agg(F.sum("tf").alias("length"), F.max(listed).alias("_listed"))
+    mean = lengths.groupBy(group).agg(F.sum(F.col("length") * F.col("_listed")).alias("_terms"))
+    mean = n_docs.join(mean, group, "left").select(group, "n_docs", (F.col("_terms") / F.col("n_docs")).alias("mean_length"))
+    df = hits.groupBy(group, "term").agg(F.sum(listed).alias("df"))
+    idf = df.join(bounded_broadcast(mean, witness=queries), group).select(
+        group, "term", "mean_length", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
+    )
+    among = bounded_broadcast(candidates.select(group, key).distinct())
+    met = hits.join(among, [group, key], "left_semi").join(idf, [group, "term"]).join(lengths.join(among, [group, key], "left_semi"), [group, key])
+    saturated = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean_length")))
+    scored = met.groupBy(group, key).agg(F.round(F.sum(F.col("idf") * saturated), SCORE_DIGITS).alias("bm25"))
+    return candidates.join(scored, [group, key], "left").withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))
+
+
 # --------------------------------------------------------------------------- dense vectors
 
 def dot(a, b) -> Column:
@@ -194,9 +244,15 @@ def dot(a, b) -> Column:
     )
 
 
-def cosine(a, b) -> Column:
-    """Cosine similarity of two dense vectors (0 when a norm is 0)."""
-    n = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+def norm(a) -> Column:
+    """Length of a dense vector."""
+    return F.sqrt(dot(a, a))
+
+
+def cosine(a, b, a_norm=None, b_norm=None) -> Column:
+    """Cosine similarity of two dense vectors (0 when a norm is 0 or a vector is
+    null); norms that are stored need not be computed again."""
+    n = (norm(a) if a_norm is None else T._col(a_norm)) * (norm(b) if b_norm is None else T._col(b_norm))
     return F.when(n > 0, dot(a, b) / n).otherwise(F.lit(0.0))
 
 

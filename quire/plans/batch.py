@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.plans import analysis as PL
 from quire.session import materialize
@@ -32,21 +31,20 @@ def run_root(
     cfg = cfg or PL.JobConfig(lines_per_page=None)
     specs, bad_specs = C.read_specs(spark, root)
     documents = C.list_documents(spark, root)   # names only, for discovery and checks
-    collections = C.discover(specs, documents)
+    collections = C.discover(specs, documents, C.empty_folders(specs, documents, root))
     man = C.manifest(collections)
     jobs = C.jobs(collections)
-    failed = None
+    docs, failed = C.analysis_docs(man), None
     if parser is None:
-        texts = C.read_text_documents(spark, root)
-        docs = C.analysis_docs(man, texts, listing=documents)
-        outputs = PL.run(docs, jobs, cfg)
+        outputs = PL.run(docs, jobs, cfg, files=C.read_text_documents(spark, root))
     else:
         # parsed documents stay page rows all the way (no document is one row);
         # parse once: quarantine and the analysis both read the stored pages
         parsed = materialize(C.parse_binary_documents(spark, root, parser, listed=man), "parsed")
-        pages, failed = C.split_page_errors(parsed)
-        docs = man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")
-        outputs = PL.run(docs, jobs, cfg, pages=C.manifest_pages(man, pages))
+        # files that no manifest lists may or may not have been parsed
+        failed = C.failed_documents(parsed).join(man.select("collection", "filename"), ["collection", "filename"], "left_semi")
+        pages = parsed.where("error IS NULL").select("collection", "filename", "page_number", "text")
+        outputs = PL.run(docs, jobs, cfg, pages=pages, failed=failed)
     results = PL.result_documents(docs, jobs, cfg, outputs)
     sinks.write_results(results, out)
     sinks.write_input_documents(man, out)

@@ -9,6 +9,7 @@ oracle in ``quire.plans.oracle``.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,9 @@ from quire.operators import pages as P
 from quire.operators import similarity as S
 from quire.operators.ranking import bounded_broadcast, hybrid_rank, rank_documents, rank_lookup, rank_within
 from quire.plans import analysis as PL
+from quire.session import checkpoint_dir, materialize
 from quire.sources import collections as CO
+from quire.sources import sinks
 from quire.sources import testdata as TD
 
 TEST_CONFIG = PL.JobConfig(
@@ -64,9 +67,7 @@ def _pages(spark, sf):
 
 def q_collections(spark, sf):
     """SRC1: collections having both a job and documents."""
-    j = _jobs(spark, sf)
-    d = _docs(spark, sf).select("collection").distinct()
-    return j.join(d, "collection", "left_semi").select("collection", "persona", "task")
+    return CO.discover(_jobs(spark, sf), _docs(spark, sf)).select("collection", "persona", "task")
 
 
 def _raw_specs(spark, sf):
@@ -157,8 +158,8 @@ def q_lines(spark, sf):
 def q_missing_docs(spark, sf):
     """SRC5: manifest entries whose file is absent (files = labelled documents)."""
     d = _docs(spark, sf)
-    present = TD.present_files(spark, sf)
-    return d.join(present, "doc_id", "left_anti").select("collection", _big("doc_id").alias("doc_id"), "filename")
+    present = d.join(TD.present_files(spark, sf), "doc_id", "left_semi")
+    return CO.missing_documents(d, present).select("collection", _big("doc_id").alias("doc_id"), "filename")
 
 
 def q_textless_docs(spark, sf):
@@ -180,9 +181,8 @@ def q_input_documents(spark, sf):
 
 def q_no_output(spark, sf):
     """SNK3: jobs whose collection produced no result (no documents)."""
-    j = _jobs(spark, sf)
     # a result has a row for every collection with a job and documents
-    return j.join(_docs(spark, sf).select("collection").distinct(), "collection", "left_anti").select("collection")
+    return sinks.collections_without_output(_jobs(spark, sf), _docs(spark, sf))
 
 
 # --------------------------------------------------------------------------- projections
@@ -442,6 +442,30 @@ def q_hybrid_rank_vec(spark, sf):
     )
 
 
+def q_rank_vectors(spark, sf):
+    """VS2/VS3/FLT7 through the pipeline: supplied vectors ranked by their cosine to
+    the job's (the centroid of their label), cut off, and re-scored by a supplied
+    column (negative distance to it)."""
+    v = _vectors(spark, sf)
+    name = F.concat(F.lit("label"), F.col("label"))
+    docs = v.select(
+        name.alias("collection"), F.col("vec_id").alias("doc_id"), F.col("vec_id").alias("doc_ord"), F.concat(F.lit("vector_"), "vec_id", F.lit(".txt")).alias("filename"),
+        F.lit(None).cast("string").alias("text"), F.col("embedding").alias("vector"), F.round(-S.euclidean("embedding", "centroid"), 9).alias("rerank_score"),
+    )
+    jobs = S.centroids(TD.table(spark, sf, "embeddings"), "label", "embedding").select(
+        name.alias("collection"), F.lit(TD.TEST_PERSONA).alias("persona"), F.concat(F.lit("find "), name).alias("task"), F.col("centroid").alias("vector")
+    )
+    cfg = PL.JobConfig(rank_text="vector", rerank="given", min_similarity=SIMILARITY_THRESHOLD)
+    r = PL.run(docs, jobs, cfg)["ranks"]
+    return r.select("collection", _big("doc_id").alias("doc_id"), _r6("score").alias("score"), _r6("final_score").alias("final_score"), _big("importance_rank").alias("importance_rank"))
+
+
+def q_rank_bm25(spark, sf):
+    """VS3 as BM25 of the first stage's top ten documents."""
+    r = _sections_with(spark, sf, rerank="bm25")["ranks"]
+    return r.select("collection", _big("doc_id").alias("doc_id"), _r6("rerank").alias("rerank"), _r6("final_score").alias("final_score"), _big("importance_rank").alias("importance_rank"))
+
+
 # --------------------------------------------------------------------------- pipeline
 
 def _run(spark, sf):
@@ -477,6 +501,15 @@ def q_sections_from_pages(spark, sf):
                                   _big("page_number").alias("page_number"))
 
 
+def q_sections_from_files(spark, sf):
+    """PL9 with texts by file: the feature pass is keyed by file, and only its
+    narrow result meets the manifest; same result as q_sections."""
+    d = _docs(spark, sf)
+    out = PL.run(d.drop("text"), _jobs(spark, sf), TEST_CONFIG, files=d.select("collection", "filename", "text"))
+    return out["sections"].select("collection", "document", "section_title", _big("importance_rank").alias("importance_rank"),
+                                  _big("page_number").alias("page_number"))
+
+
 def _sections_with(spark, sf, **options):
     cfg = dataclasses.replace(TEST_CONFIG, **options)
     out = PL.run(_docs(spark, sf), _jobs(spark, sf), cfg)
@@ -519,7 +552,10 @@ def q_subsections(spark, sf):
 
 def q_result_document(spark, sf):
     """SNK1/AG5/AG7/PRJ16/PL8/PL9: one nested result per collection (keys compared)."""
-    r = PL.result_documents(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG)
+    return _result_rows(PL.result_documents(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG))
+
+
+def _result_rows(r):
     key = lambda s: F.concat(s["document"], F.lit("#"), s["page_number"].cast("string"))
     return r.select(
         "collection",
@@ -533,6 +569,18 @@ def q_result_document(spark, sf):
     )
 
 
+def q_written_results(spark, sf):
+    """SNK2: results as the sink writes them, one output a collection, read back with
+    their schema.  They are written twice: writing again replaces, and adds nothing."""
+    results = materialize(PL.result_documents(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG), "results")
+    out = f"{checkpoint_dir(spark).rstrip('/')}/quire-written-{uuid.uuid4().hex}"
+    for _ in range(2):
+        sinks.write_results(results, out, replace=True)
+    written = sinks.read_results(spark, out, results.schema)
+    n = written.groupBy("collection").agg(F.count(F.lit(1)).alias("n_results"))
+    return _result_rows(written).join(n, "collection")
+
+
 def q_counts(spark, sf):
     """AG6: per-collection counts."""
     return PL.counts(_docs(spark, sf), _jobs(spark, sf), TEST_CONFIG)

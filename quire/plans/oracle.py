@@ -432,6 +432,25 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
         "SELECT CAST(label AS BIGINT) AS label, CAST(vec_id AS BIGINT) AS vec_id, CAST(bi_rank AS BIGINT) AS bi_rank, "
         "round(final_score, 6) AS final_score, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
     )
+    vcut = "cutoff AS (SELECT * FROM vscore WHERE score >= " + str(C.SIMILARITY_THRESHOLD) + "),\n"
+    q["q_rank_vectors"] = vb.rstrip("\n") + ",\n" + vcut + hybrid("cutoff", group="label", ord_col="vec_id", key="vec_id", rerank="rerank") + "\n" + (
+        "SELECT 'label' || label AS collection, CAST(vec_id AS BIGINT) AS doc_id, round(score, 6) AS score, "
+        "round(final_score, 6) AS final_score, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
+    )
+    k1, b = C.TEST_CONFIG.bm25_k1, C.TEST_CONFIG.bm25_b
+    q["q_rank_bm25"] = with_(
+        DOCS, JOBS, "jdocs AS (SELECT d.* FROM docs d JOIN jobs j USING (collection))", "rdocs AS (SELECT collection, doc_id, text FROM jdocs)", tfidf("rdocs"),
+        f"""lens AS (SELECT collection, doc_id, count(*) AS len FROM dterm GROUP BY collection, doc_id),
+means AS (SELECT n.collection, n_docs, CAST(sum(len) AS DOUBLE) / n_docs AS mean FROM ndocs n LEFT JOIN lens USING (collection) GROUP BY n.collection, n_docs),
+bm AS (SELECT dt.collection, dt.doc_id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({k1} + 1) / (tf + {k1} * (1 - {b} + {b} * len / mean))), 9) AS bm25
+       FROM dt JOIN qt USING (collection, term) JOIN dfreq USING (collection, term) JOIN lens USING (collection, doc_id) JOIN means USING (collection)
+       GROUP BY dt.collection, dt.doc_id),
+scored AS (SELECT s.*, d.doc_ord, coalesce(bm25, 0.0) AS rerank FROM scores s JOIN jdocs d USING (collection, doc_id) LEFT JOIN bm USING (collection, doc_id))""",
+        hybrid("scored", rerank="rerank"),
+    ) + (
+        "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN bi_rank <= 10 THEN round(rerank, 6) END AS rerank, "
+        "round(final_score, 6) AS final_score, CAST(importance_rank AS BIGINT) AS importance_rank FROM ranked"
+    )
     q["q_sections_min_similarity"] = with_(DOCS, JOBS, "jdocs AS (SELECT d.* FROM docs d JOIN jobs j USING (collection))",
                                            "rdocs AS (SELECT collection, doc_id, text FROM jdocs)", tfidf("rdocs")) + (
         "SELECT collection, CAST(doc_id AS BIGINT) AS doc_id, CAST(row_number() OVER (PARTITION BY collection ORDER BY score DESC, doc_id) AS BIGINT) AS importance_rank "
@@ -443,7 +462,7 @@ n AS (SELECT collection, count(*) AS n FROM docs GROUP BY collection)""",
     q["q_subsections_restricted"] = analysis_ctes(restrict=True) + sub
     pl = analysis_ctes()
     q["q_sections"] = pl + "SELECT collection, document, section_title, importance_rank, page_number FROM sections"
-    q["q_sections_from_pages"] = q["q_sections"]
+    q["q_sections_from_pages"] = q["q_sections_from_files"] = q["q_sections"]
     q["q_sections_default"] = analysis_ctes(default=True) + (
         "SELECT collection, document, section_title, importance_rank, page_number FROM sections "
         "UNION ALL SELECT collection, document, refined_text, importance_rank, page_number FROM subsections"
@@ -461,6 +480,7 @@ SELECT j.collection, j.persona, md5(j.task) AS task_md5, CAST(nd.n AS BIGINT) AS
        CAST(coalesce(sa.n_sections, 0) AS BIGINT) AS n_sections, CAST(coalesce(ua.n_subsections, 0) AS BIGINT) AS n_subsections,
        coalesce(sa.section_keys, '') AS section_keys, coalesce(ua.subsection_keys, '') AS subsection_keys
 FROM jobs j JOIN nd USING (collection) LEFT JOIN sa USING (collection) LEFT JOIN ua USING (collection)"""
+    q["q_written_results"] = "SELECT *, CAST(1 AS BIGINT) AS n_results FROM (" + q["q_result_document"] + ") r"
     q["q_counts"] = pl.rstrip("\n") + """,
 pd AS (SELECT d.collection, count(*) AS n_documents, count(h.doc_id) AS n_with_text
        FROM jdocs d LEFT JOIN has_text h USING (collection, doc_id) GROUP BY d.collection),

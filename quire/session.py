@@ -76,13 +76,31 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def materialize_bucketed(df, keys: list[str], name: str = "bucketed"):
+    """``df`` exchanged once by ``keys``, stored in as many buckets as there are
+    shuffle partitions, and read back: joins and aggregates on exactly these keys
+    exchange it no more.  (A table of the session's catalog, as only those keep
+    their buckets; its files are under the checkpoint folder.)"""
+    spark = df.sparkSession
+    n, unique = int(spark.conf.get("spark.sql.shuffle.partitions")), uuid.uuid4().hex
+    path, table = f"{checkpoint_dir(spark).rstrip('/')}/quire-{name}-{unique}", f"quire_{name}_{unique}"
+    _STORED.append(path)
+    _TABLES.append(table)
+    df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 _STORED: list[str] = []
+_TABLES: list[str] = []
 
 
 def drop_stored(spark) -> int:
-    """Deletes the tables that ``materialize`` has stored in this process and
-    returns their number; DataFrames that read them can no longer be used."""
+    """Deletes the tables that ``materialize`` and ``materialize_bucketed`` have
+    stored in this process and returns their number; DataFrames that read them can
+    no longer be used."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for table in [_TABLES.pop() for _ in range(len(_TABLES))]:
+        spark.sql(f"DROP TABLE IF EXISTS `{table}`")
     paths = [_STORED.pop() for _ in range(len(_STORED))]
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)

@@ -13,14 +13,15 @@ split into quarantine tables instead of stopping the run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.ranking import bounded_broadcast, fits_broadcast
+from quire.operators.ranking import ROW_BYTES, fits_broadcast
+from quire.session import materialize
 
 # Fixed values of the input layout (file name of a job spec, document folder);
 # both are parameters of the readers.
@@ -43,9 +44,22 @@ SPEC_SCHEMA = T.StructType([
 
 # Page texts gathered before they are passed on by a parsing task.
 PAGES_BYTES = 16 << 20
+PAGE_COLUMNS = ["path", "page_number", "text", "error"]
 PAGE_SCHEMA = "path string, page_number int, text string, error string"
 
 
+def _parsed(parser: Callable[[bytes], Iterable[str]], path: str, content) -> Iterator[tuple]:
+    """Rows of one document, as the parser yields its pages."""
+    try:
+        for i, page in enumerate(parser(bytes(content)), 1):
+            if not isinstance(page, str):
+                raise TypeError(f"page {i} is {type(page).__name__}, not str")
+            page.encode("utf-8")
+            yield path, i, page, None
+    except Exception as e:  # noqa: BLE001 -- isolate one document
+        yield path, None, None, f"{type(e).__name__}: {e}".encode("utf-8", "backslashreplace").decode()
+
+
 def _decode(part):
     """File paths come as URIs (``%20`` for a blank); keep a literal ``+``."""
     return F.url_decode(F.regexp_replace(part, r"\+", "%2B"))
@@ -110,20 +124,54 @@ def manifest(specs: DataFrame) -> DataFrame:
     )
 
 
+def _files(reader, root: str, folder: str, pattern: str, collections: str) -> DataFrame:
+    """The files in the document folders; a folder may be empty."""
+    return reader.option("pathGlobFilter", pattern).load(f"{root.rstrip('/')}/{collections}/{folder}")
+
+
 def list_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*",
                    collections: str = "*") -> DataFrame:
     """(collection, filename) of every document file, from the file listing
     only (a binaryFile scan that selects no content reads no bytes).
     ``collections`` is a glob over collection folder names."""
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{collections}/{folder}/{pattern}").select("path")
+    files = _files(spark.read.format("binaryFile"), root, folder, pattern, collections).select("path")
     return files.select(_parent_dir(F.col("path"), 2).alias("collection"), _basename(F.col("path")).alias("filename"))
 
 
+# Names whose folders are looked up between two writes.
+FOLDERS_AT_ONCE = 10_000
+
+
+def empty_folders(specs: DataFrame, documents: DataFrame, root: str, folder: str = DOCS_FOLDER) -> DataFrame:
+    """(collection) of the specs that have no files but a document folder.
+
+    A listing of files does not show these, so the folder of each spec without
+    files is looked up in the file system.  Names pass the driver in pieces and are
+    stored; the collections that do have files never do."""
+    spark = specs.sparkSession
+    bare = specs.select("collection").distinct().join(documents.select("collection"), "collection", "left_anti")
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    found, stored = [], None
+
+    def store():
+        part = materialize(spark.createDataFrame([(n,) for n in found], "collection string"), "folders")
+        return part if stored is None else stored.unionByName(part)
+
+    for row in bare.toLocalIterator():
+        path = hadoop.Path(f"{root.rstrip('/')}/{row.collection}/{folder}")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path) and fs.getFileStatus(path).isDirectory():
+            found.append(row.collection)
+        if len(found) >= FOLDERS_AT_ONCE:
+            stored, found = store(), []
+    return store() if found or stored is None else stored
+
+
 def read_text_documents(spark: SparkSession, root: str, folder: str = DOCS_FOLDER, pattern: str = "*",
                         collections: str = "*") -> DataFrame:
     """(collection, filename, text) from plain-text documents; pages are
     separated by form feeds.  ``collections`` is a glob over folder names."""
-    df = spark.read.format("text").option("wholetext", True).load(f"{root.rstrip('/')}/{collections}/{folder}/{pattern}")
+    df = _files(spark.read.format("text").option("wholetext", True), root, folder, pattern, collections)
     path = F.col("_metadata.file_path")
     return df.select(_parent_dir(path, 2).alias("collection"), _basename(path).alias("filename"), F.col("value").alias("text"))
 
@@ -139,40 +187,33 @@ def parse_binary_documents(
     """Page rows from binary documents through a user-supplied parser.
 
     ``parser(content) -> iterable of page texts`` runs inside
-    ``mapInPandas`` (one Python worker per task, batches of files).  What a
-    parser raises, and pages that are no strings or no valid Unicode, yield one
-    row with ``error`` set; such a document is dropped as a whole (see
-    ``split_page_errors``).  With ``listed`` (collection, filename) other files
-    are not parsed.  Pages are passed on in pieces of bounded size, after at most
-    one document beyond it.  Returns (collection, filename, page_number, text,
-    error).
+    ``mapInPandas`` (one Python worker per task, batches of files).  Pages are passed
+    on while the parser yields them, in pieces of about ``PAGES_BYTES``, so a task
+    holds no document's pages as a whole.  What a parser raises, and pages that are
+    no strings or no valid Unicode, end the document with a row that has ``error``
+    set; it voids the pages passed on before (see ``split_page_errors``).  With
+    ``listed`` (collection, filename) files that are not listed are not parsed,
+    where the list can be broadcast.  Returns (collection, filename, page_number,
+    text, error).
     """
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{folder}/{pattern}").select("path", "content")
+    files = _files(spark.read.format("binaryFile"), root, folder, pattern, "*").select("path", "content")
     names = [_parent_dir(F.col("path"), 2).alias("collection"), _basename(F.col("path")).alias("filename")]
     if listed is not None and fits_broadcast(listed := listed.select("collection", "filename").distinct()):
         files = files.select("*", *names).join(F.broadcast(listed), ["collection", "filename"], "left_semi").select("path", "content")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        columns = ["path", "page_number", "text", "error"]
+        rows, size = [], 0
         for b in batches:
-            rows, size = [], 0
             for path, content in zip(b["path"], b["content"]):
-                try:
-                    found = []
-                    for i, page in enumerate(parser(bytes(content)), 1):
-                        if not isinstance(page, str):
-                            raise TypeError(f"page {i} is {type(page).__name__}, not str")
-                        size += len(page.encode("utf-8"))
-                        found.append((path, i, page, None))
-                except Exception as e:  # noqa: BLE001 -- isolate one document
-                    said = f"{type(e).__name__}: {e}".encode("utf-8", "backslashreplace").decode()
-                    found = [(path, None, None, said)]
-                rows += found
-                if size >= PAGES_BYTES:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+                for row in _parsed(parser, path, content):
+                    rows.append(row)
+                    # a row counts for itself, as many pages may be empty
+                    size += ROW_BYTES + len(row[2] or "")
+                    if size >= PAGES_BYTES:
+                        yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
 
     pages = files.mapInPandas(run, PAGE_SCHEMA)
     path = F.col("path")
@@ -182,21 +223,24 @@ def parse_binary_documents(
 def split_page_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good pages, failed(collection, filename, error)): a document with any
     error row is excluded as a whole (anti join) and reported."""
-    failed = pages.where(F.col("error").isNotNull()).groupBy("collection", "filename").agg(F.first("error").alias("error"))
+    failed = failed_documents(pages)
     ok = pages.where(F.col("error").isNull()).join(failed, ["collection", "filename"], "left_anti")
     return ok.drop("error"), failed
 
 
-def manifest_pages(man: DataFrame, pages: DataFrame) -> DataFrame:
-    """Page rows keyed like the analysis documents: (collection, doc_id,
-    page_number, text); a file listed twice contributes its pages twice."""
-    keyed = man.select("collection", "filename", F.col("doc_ord").alias("doc_id"))
-    return pages.join(keyed, ["collection", "filename"]).select("collection", "doc_id", "page_number", "text")
+def failed_documents(pages: DataFrame) -> DataFrame:
+    """failed(collection, filename, error) of documents with any error row; of
+    several errors the first in code-point order."""
+    return pages.where(F.col("error").isNotNull()).groupBy("collection", "filename").agg(F.min("error").alias("error"))
 
 
-def discover(specs: DataFrame, documents: DataFrame) -> DataFrame:
-    """Collections having both a job spec and a document folder with files."""
-    return specs.join(documents.select("collection").distinct(), "collection", "left_semi")
+def discover(specs: DataFrame, documents: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """Collections having both a job spec and a document folder: files in it, or a
+    row in ``folders`` (see ``empty_folders``)."""
+    there = documents.select("collection")
+    if folders is not None:
+        there = there.unionByName(folders.select("collection"))
+    return specs.join(there.distinct(), "collection", "left_semi")
 
 
 def missing_documents(man: DataFrame, documents: DataFrame) -> DataFrame:
@@ -204,23 +248,9 @@ def missing_documents(man: DataFrame, documents: DataFrame) -> DataFrame:
     return man.join(documents.select("collection", "filename"), ["collection", "filename"], "left_anti")
 
 
-def analysis_docs(man: DataFrame, documents: DataFrame, listing: DataFrame | None = None) -> DataFrame:
-    """docs(collection, doc_id, doc_ord, filename, text) for the analysis.
-
-    Every manifest entry is kept (a file listed twice appears twice): a
-    missing file is still ranked -- its text is NULL, so it has no pages and
-    yields no section or subsection.
-
-    With ``listing`` (collection, filename of the files present, see
-    ``list_documents``) the texts are joined to a size-checked broadcast of
-    the manifest, so document text is never shuffled; missing entries come
-    from the manifest and the listing alone.  Without it, one left join."""
-    keyed = man.select("collection", "filename", F.col("doc_ord").alias("doc_id"), "doc_ord")
-    cols = ["collection", "doc_id", "doc_ord", "filename", "text"]
-    if listing is None:
-        return keyed.join(documents.select("collection", "filename", "text"), ["collection", "filename"], "left").select(*cols)
-    present = documents.select("collection", "filename", "text").join(bounded_broadcast(keyed), ["collection", "filename"])
-    missing = keyed.join(listing.select("collection", "filename"), ["collection", "filename"], "left_anti").withColumn(
-        "text", F.lit(None).cast("string")
-    )
-    return present.select(*cols).unionByName(missing.select(*cols))
+def analysis_docs(man: DataFrame) -> DataFrame:
+    """docs(collection, doc_id, doc_ord, filename) for the analysis, whose texts or
+    pages come by file.  Every manifest entry is kept (a file listed twice appears
+    twice): a missing file is still ranked, but has no pages and yields no section
+    or subsection."""
+    return man.select("collection", F.col("doc_ord").alias("doc_id"), "doc_ord", "filename")

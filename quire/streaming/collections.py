@@ -43,11 +43,10 @@ def _process_batch(spark: SparkSession, root: str, out: str, cfg: PL.JobConfig):
             # none of the new collections has a document folder
             sinks.write_quarantine(specs.select("collection"), out, f"no_output/epoch={epoch_id}")
             return
-        found = C.discover(specs, documents)
+        found = C.discover(specs, documents, C.empty_folders(specs, documents, root))
         man = C.manifest(found)
-        docs = C.analysis_docs(man, texts, listing=documents)
-        jobs = C.jobs(found)
-        results = PL.result_documents(docs, jobs, cfg)
+        docs, jobs = C.analysis_docs(man), C.jobs(found)
+        results = PL.result_documents(docs, jobs, cfg, PL.run(docs, jobs, cfg, files=texts))
         sinks.write_results(results, out, replace=True)
         sinks.write_input_documents(man, out, replace=True)
         sinks.write_quarantine(C.missing_documents(man, documents), out, f"missing_documents/epoch={epoch_id}")

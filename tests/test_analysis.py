@@ -297,3 +297,146 @@ def test_counts_with_min_similarity(spark):
         sec, sub = (Counter(r.collection for r in out[k].select("collection").collect()) for k in ("sections", "subsections"))
         assert got and all((r.n_sections, r.n_subsections) == (sec[r.collection], sub[r.collection]) for r in got)
     assert not sec and not sub
+
+
+def test_empty_document_folder_is_a_collection(spark, tmp_path):
+    """A folder without files is a collection whose documents are all missing; a
+    spec without a folder is none."""
+    root = make_root(tmp_path)
+    (root / "Hollow +1" / "PDFs").mkdir(parents=True)
+    job = {"documents": [{"filename": "a.txt"}, {"filename": "b.txt"}], "persona": {"role": PERSONA}, "job_to_be_done": {"task": TASK}}
+    (root / "Hollow +1" / "challenge1b_input.json").write_text(json.dumps(job))
+    out = tmp_path / "out-hollow"
+    res = batch.run_root(spark, str(root), str(out))
+    hollow = {r.collection: r for r in res["results"].collect()}["Hollow +1"]
+    assert hollow.metadata.input_document_count == 2 and not hollow.extracted_sections and not hollow.subsection_analysis
+    assert sorted((r.collection, r.filename) for r in res["missing"].collect()) == [("Collection 1", "missing.txt"), ("Hollow +1", "a.txt"), ("Hollow +1", "b.txt")]
+    assert [r.collection for r in res["no_output"].collect()] == ["NoDocs"]
+    only = tmp_path / "only"
+    (only / "X" / "PDFs").mkdir(parents=True)
+    (only / "X" / "challenge1b_input.json").write_text(json.dumps(job))
+    assert batch.run_root(spark, str(only), str(tmp_path / "out-only"))["missing"].count() == 2
+
+
+def test_empty_folders_in_pieces(spark, tmp_path, monkeypatch):
+    from quire.sources import collections as C
+
+    for i in range(7):
+        (tmp_path / f"c{i}" / ("PDFs" if i % 3 else "other")).mkdir(parents=True)
+    specs = spark.createDataFrame([(f"c{i}",) for i in range(8)], "collection string")
+    files = spark.createDataFrame([("c1", "x.txt")], "collection string, filename string")
+    monkeypatch.setattr(C, "FOLDERS_AT_ONCE", 2)
+    got = C.empty_folders(specs, files, str(tmp_path))
+    assert sorted(r.collection for r in got.collect()) == ["c2", "c4", "c5"]
+
+
+def test_pages_are_passed_on_while_they_are_parsed(spark, tmp_path, monkeypatch):
+    """A document of 100,000 pages: the parser is never far ahead of what has left
+    it, and an error at its end voids all of them."""
+    from quire.sources import collections as C
+
+    ahead, taken = [], 0
+
+    def parser(content: bytes):
+        for i in range(100_000):
+            ahead.append(i - taken)
+            yield "page " * 20
+        if content == b"bad":
+            raise ValueError("last page")
+
+    monkeypatch.setattr(C, "PAGES_BYTES", 1 << 20)
+    for row in C._parsed(parser, "p", b"good"):
+        taken += 1
+    assert taken == 100_000 and max(ahead) <= 1
+    folder = tmp_path / "c" / "PDFs"
+    folder.mkdir(parents=True)
+    (folder / "good.bin").write_bytes(b"good")
+    (folder / "bad.bin").write_bytes(b"bad")
+
+    def plain(content: bytes):
+        for i in range(100_000):
+            yield f"page {i}"
+        if content == b"bad":
+            raise ValueError("last page")
+
+    pages = C.parse_binary_documents(spark, str(tmp_path), plain)
+    ok, failed = C.split_page_errors(pages)
+    assert [tuple(r) for r in failed.collect()] == [("c", "bad.bin", "ValueError: last page")]
+    assert [tuple(r) for r in ok.groupBy("filename").agg(F.count("*"), F.max("page_number")).collect()] == [("good.bin", 100_000, 100_000)]
+
+
+def test_files_listed_twice_equal_documents_with_text(spark):
+    """Texts by file give what the same texts give as a column of each document:
+    term statistics count a file as often as it is listed."""
+    from dataclasses import replace
+
+    from quire.plans import catalog as C
+    from quire.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    once = TD.docs(spark, sf)
+    docs = once.unionByName(once.where("doc_id % 3 = 0").withColumns({"doc_id": F.col("doc_id") + 5000, "doc_ord": F.col("doc_ord") + 5000}))
+    files = once.select("collection", "filename", "text").unionByName(once.select(F.lit("nowhere").alias("collection"), "filename", "text")).unionByName(
+        once.select("collection", F.concat(F.lit("unlisted"), "filename").alias("filename"), "text"))
+    for options in ({}, {"rerank": "bm25"}, {"rank_text": "template", "min_overlap": 0.1}):
+        cfg = replace(C.TEST_CONFIG, **options)
+        a = PL.run(docs, TD.jobs(spark, sf), cfg)
+        b = PL.run(docs.drop("text"), TD.jobs(spark, sf), cfg, files=files)
+        for key in ("ranks", "sections", "subsections", "documents"):
+            cols = sorted(a[key].columns)
+            assert sorted(map(str, a[key].select(cols).collect())) == sorted(map(str, b[key].select(cols).collect())), (key, options)
+
+
+def test_long_documents_as_pages_are_split(spark, monkeypatch):
+    from quire.operators import pages as P
+    from quire.plans import catalog as C
+
+    text = "\n".join(f"Chapter {'ABCDEFGHIJ'[i % 10]}{i}: of words when queue number {i} is read and told " * 3 for i in range(400))
+    schema = "collection string, doc_id bigint, doc_ord bigint, filename string, text string"
+    docs = spark.createDataFrame([("c", 1, 1, "long.txt", text), ("c", 2, 2, "short.txt", "\n" * 100 + "Title Given Here: x\n" + "when the queue is long " * 20), ("c", 3, 3, None, "when the queue " * 20)], schema)
+    jobs = spark.createDataFrame([("c", "Analyst", "read number words")], "collection string, persona string, task string")
+    monkeypatch.setattr(PL, "PAGE_BLOCK", 7)
+    pages = P.page_table(docs, lines_per_page=4)
+    a = PL.run(docs, jobs, C.TEST_CONFIG)
+    b = PL.run(docs.drop("text"), jobs, C.TEST_CONFIG, pages=pages)
+    for key in ("documents", "ranks", "sections", "subsections"):
+        cols = sorted(a[key].columns)
+        assert sorted(map(str, a[key].select(cols).collect())) == sorted(map(str, b[key].select(cols).collect())), key
+    import quire.session as session
+    held = spark.table(session._TABLES[-1])
+    assert held.where("doc_id = 1").select(F.spark_partition_id()).distinct().count() > 1
+    assert held.count() == pages.count() == 102
+
+
+def test_vectors_and_given_scores(spark):
+    """Supplied vectors and scores: null, zero and missing ones score 0."""
+    schema = "collection string, doc_id bigint, doc_ord bigint, filename string, text string, vector array<float>, rerank_score double"
+    docs = spark.createDataFrame([
+        ("c", 1, 1, "a.txt", "x", [1.0, 0.0], 0.0), ("c", 2, 2, "b.txt", "x", [3.0, 4.0], None), ("c", 3, 3, "c.txt", "x", None, 5.0),
+        ("c", 4, 4, "d.txt", "x", [0.0, 0.0], -1.0), ("n", 5, 5, "e.txt", "x", [1.0, 0.0], 2.0)], schema)
+    jobs = spark.createDataFrame([("c", "p", "t", [2.0, 0.0]), ("n", "p", "t", None)], "collection string, persona string, task string, vector array<double>")
+    r = {x.doc_id: x for x in PL.run(docs, jobs, PL.JobConfig(rank_text="vector", rerank="given"))["ranks"].collect()}
+    assert {k: x.score for k, x in r.items()} == {1: 1.0, 2: 0.6, 3: 0.0, 4: 0.0, 5: 0.0}
+    assert [k for k in sorted(r, key=lambda k: (r[k].collection, r[k].importance_rank))] == [3, 1, 2, 4, 5]
+    r = PL.run(docs, jobs, PL.JobConfig(rank_text="vector", rerank=False, min_similarity=0.5))["ranks"].collect()
+    assert sorted((x.doc_id, x.importance_rank) for x in r) == [(1, 1), (2, 2)]
+    files = docs.select("collection", "filename", "text")
+    b = {x.doc_id: x.importance_rank for x in PL.run(docs.drop("text"), jobs, PL.JobConfig(rank_text="vector", rerank="given"), files=files)["ranks"].collect()}
+    assert b == {1: 2, 2: 3, 3: 1, 4: 4, 5: 1}
+    with pytest.raises(ValueError):
+        PL.JobConfig(rerank="magic")
+
+
+def test_bm25(spark):
+    from math import log
+
+    from quire.operators import similarity as S
+
+    rows = [("c", 1, "alpha", 3), ("c", 1, "beta", 1), ("c", 2, "alpha", 1), ("c", 3, "gamma", 4), ("d", 1, "alpha", 2)]
+    dt = spark.createDataFrame(rows, "collection string, doc_id bigint, term string, tf bigint")
+    keys = spark.createDataFrame([("c", i) for i in (1, 2, 3, 4)] + [("d", 1)], "collection string, doc_id bigint")
+    jobs = spark.createDataFrame([("c", "alpha beta beta nowhere"), ("d", "none here")], "collection string, query string")
+    got = {(r.collection, r.doc_id): r.bm25 for r in S.bm25_scores(dt, keys, jobs, keys.where("doc_id <> 2"), 1.5, 0.5).collect()}
+    mean = 9 / 4
+    part = lambda n, df, tf, length: log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.5 + 0.5 * length / mean))
+    assert got == {("c", 1): round(part(4, 2, 3, 4) + part(4, 1, 1, 4), 9), ("c", 3): 0.0, ("c", 4): 0.0, ("d", 1): 0.0}
+    assert S.bm25_scores(dt.limit(0), keys, jobs, keys, 1.2, 0.75).where("bm25 <> 0").count() == 0

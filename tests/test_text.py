@@ -111,3 +111,17 @@ def test_sentences_are_not_cut_inside_numbers(spark):
     text = "The release 2.5 of the reporting tool adds charts. Nothing else."
     df = spark.createDataFrame([(text, ["reporting", "charts"])], "t string, terms array<string>")
     assert df.select(X.summary_sentences("t", "terms")).first()[0] == "The release 2.5 of the reporting tool adds charts."
+
+
+def test_title_case_of_every_cased_character(spark):
+    """Alone, after a cased and after an uncased character.  What differs are letters
+    that became cased after Unicode 13, the version of Java 17's patterns."""
+    cased = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if (c + "a").title() != c + "A"]
+    values = [v for c in cased for v in (c, f"a{c}b", f"1{c}b")]
+    got = one_col(spark, values, T.title_case)
+    wrong = {values[i // 3 * 3] for i, v in enumerate(values) if got[i] != v.title()}
+    assert len(cased) > 4500 and len(wrong) < 250
+    late = [(0x19B, 0x19B), (0x264, 0x264), (0x10FC, 0x10FC), (0x1C89, 0x1C8A), (0x2C2F, 0x2C5F), (0xA7C0, 0xA7FF), (0xAB69, 0xAB69), (0x10570, 0x107BF), (0x1DF00, 0x1E08F)]
+    assert not [c for c in wrong if not any(a <= ord(c) <= b for a, b in late)]
+    some = ["aªb", "xⓐy", "ʰello", "ᾳβ", "1ǆa", "ΐx"]
+    assert one_col(spark, some, T.title_case) == [v.title() for v in some]
