@@ -176,7 +176,8 @@ class ForcedBpe:
                 pieces += [p for f in found for p in f]
                 sizes += [sum(map(len, f)) for f in found]
                 continue
-            own, places = zip(*self.pre_tokenize(" ".join(parts)))
+            cut = self.pre_tokenize(" ".join(parts))
+            own, places = zip(*cut) if cut else ((), ())
             pieces += own
             lengths = np.fromiter(map(len, own), np.int64, len(own))
             ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)

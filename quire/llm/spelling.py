@@ -14,12 +14,14 @@ was, any other edit leaves the left pivot and all before it.  So pivots meet
 other words' prefix bigrams under position limits: the left pivot at the same
 position from the start behind equal text, the right pivot at the same position
 from the end before equal text, in words of one code point more, fewer or none.
-What meets is verified by its edit distance.
-
-Each word gives six pivot rows and about six prefix rows; both are narrow, and one
-join on a 64-bit key of (side, length, text up to or from the bigram) finds the
-candidates.  A key collision only adds a candidate.  Both sides are stored tables,
-so that AQE splits the partition of a key with very many rows.
+The edit is in the rest of the word then, and leaves either the part of the rest
+next to the bigram or the part at the word's other end as it was; so either of the
+two must be equal as well.  What meets is verified by its edit distance.
+
+Each word gives twelve pivot rows and about as many prefix rows; both are narrow,
+and one join on a 64-bit key of (side, length, equal parts) finds the candidates.  A
+key collision only adds a candidate.  Both sides are stored tables, so that AQE
+splits the partition of a key with very many rows.
 """
 
 from __future__ import annotations
@@ -69,8 +71,21 @@ def pivots_and_prefix(word: str, order) -> tuple[tuple[int, int], list[int]]:
     return best_pair[1:], [p for p, _ in prefix]
 
 
-def _key(side: str, n: int, text: str) -> int:
-    return xxhash.xxh64_intdigest(f"{side}{n}:{text}") - (1 << 63)
+def _keys(word: str, n: int, left: int | None, right: int | None) -> set[int]:
+    """Keys of ``word`` with a word of ``n`` code points by what is equal: all up to
+    the bigram at ``left`` or from that at ``right``, and one end of the rest.
+
+    Of a rest that has at least twice as many code points as an end in both words,
+    one edit cannot reach both ends."""
+    parts = []
+    if left is not None:
+        at = left + 2
+        end = max(0, (n - at - 1) // 2)
+        parts += [f"<{n}:{word[: at + end]}", f"<{n}:{word[:at]}:{word[len(word) - end :]}"] if end else [f"<{n}:{word[:at]}"]
+    if right is not None:
+        end = max(0, (right + n - len(word) - 1) // 2)
+        parts += [f">{n}:{word[right - end :]}", f">{n}:{word[right:]}:{word[:end]}"] if end else [f">{n}:{word[right:]}"]
+    return {xxhash.xxh64_intdigest(p) - (1 << 63) for p in parts}
 
 
 def _index_rows(batches, counts):
@@ -83,8 +98,8 @@ def _index_rows(batches, counts):
         for i, word in enumerate(batch.column("word").to_pylist()):
             (left, right), prefix = pivots_and_prefix(word, order)
             n = len(word)
-            own = [_key(side, n + d, part) for side, part in (("<", word[: left + 2]), (">", word[right:])) for d in (-1, 0, 1)]
-            other = [_key(side, n, part) for p in prefix for side, part in (("<", word[: p + 2]), (">", word[p:]))]
+            own = [key for d in (-1, 0, 1) for key in _keys(word, n + d, left, right)]
+            other = list({key for p in prefix for key in _keys(word, n, p, p)})
             rows += [i] * (len(own) + len(other))
             pivot += [True] * len(own) + [False] * len(other)
             keys += own + other
