@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 from pyspark.sql import functions as F
@@ -11,17 +12,20 @@ SCHEMA = "doc_id bigint, size bigint, shard string, _tie bigint"
 
 
 def cut(rows, n):
-    """rows of (key, size): the shard of each key by cumulative sizes."""
-    sums = {}
+    """Rows of (key, size) in order of key: the shards of each key's rows, by sums
+    of sizes.  Rows of one key come in any order, so of them only those of equal
+    size are told here."""
+    rows = sorted(rows, key=lambda r: r[0])
+    total, before, at = sum(s for _, s in rows), [], 0
     for k, s in rows:
-        sums[k] = sums.get(k, 0) + s
-    total, before, at = sum(sums.values()), [], 0
-    for k in sorted(sums):
         before.append((at, k))
-        at += sums[k]
+        at += s
     ends = [b for b, _ in before] + [total]
     cuts = [min(ends, key=lambda b: (abs(n * b - j * total), b)) for j in range(1, n)]
-    return {k: sum(b >= c for c in cuts) for b, k in before}
+    shards = {}
+    for b, k in before:
+        shards.setdefault(k, []).append(sum(b >= c for c in cuts))
+    return shards
 
 
 def test_query_equals_duckdb(spark):
@@ -41,7 +45,20 @@ def check(spark, rows, n):
     key = lambda d, t: (low if d is None else d, low if t is None else t)
     want = cut([(key(d, t), s or 0) for d, s, _, t in rows], n)
     got = out.collect()
-    assert sorted((str(r.doc_id), str(r.size), str(r._tie), r.shard) for r in got) == sorted((str(d), str(s), str(t), want[key(d, t)]) for d, s, _, t in rows)
+    assert sorted((str(r.doc_id), str(r.size), str(r._tie)) for r in got) == sorted((str(d), str(s), str(t)) for d, s, _, t in rows)
+    own = {}
+    for r in got:
+        own.setdefault(key(r.doc_id, r._tie), []).append((r.shard, r.size or 0))
+    for k, found in own.items():
+        if len({s for _, s in found}) == 1:
+            assert sorted(s for s, _ in found) == want[k]
+    # no boundary is further from its share than half of a row
+    sizes, total, at = Counter(), sum(s or 0 for _, s, _, _ in rows), 0
+    for r in got:
+        sizes[r.shard] += r.size or 0
+    for j in range(1, n):
+        at += sizes[j - 1]
+        assert 2 * abs(n * at - j * total) <= n * max((s or 0 for _, s, _, _ in rows), default=0)
     for s in {r.shard for r in got}:
         own = sorted((r for r in got if r.shard == s), key=lambda r: r.slot)
         assert [r.slot for r in own] == list(range(len(own)))
@@ -70,3 +87,15 @@ def test_tolerance_is_kept(spark):
     out = sharding.histogram_shards(spark.createDataFrame(rows, SCHEMA), F.col("doc_id"), F.col("_tie"), F.col("size"), 4, tolerance=40)
     sums = [r.s for r in out.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
     assert len(sums) == 4 and max(sums) - min(sums) <= 4 * 40
+
+
+def test_repeated_rows_are_split(spark):
+    """900 of 1,000 rows are equal in key, tie and size."""
+    rows = [(7, 100, "x", 5)] * 900 + [(i, 100, "y", i) for i in range(100, 200)]
+    check(spark, rows, 8)
+    out = sharding.histogram_shards(spark.createDataFrame(rows, SCHEMA), F.col("doc_id"), F.col("_tie"), F.col("size"))
+    counts = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) - min(counts) <= 1
+    # repeated rows of different sizes, with a boundary in each run
+    rng = random.Random(9)
+    check(spark, [(k, rng.choice([0, 1, 30]), None, None) for k in (1, 2, None) for _ in range(200)], 5)
