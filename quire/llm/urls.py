@@ -10,6 +10,8 @@ statistics of the host's suffix (its last label) over the labelled URLs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import let
 from quire.llm import rows
+from quire.operators.ranking import bounded_broadcast
 from quire.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
@@ -91,19 +94,23 @@ def _suffix(host_: Column) -> Column:
 class UrlModel:
     """Trees and suffix statistics fitted to ``labelled(url, blocked)``.
 
-    At most ``most`` distinct labelled URLs are used.  Without any the model
-    allows every URL; with one label only it gives that label."""
+    Suffix statistics are those of all distinct labelled URLs; trees are fitted to
+    at most ``most`` of them.  Without any the model allows every URL; with one
+    label only it gives that label."""
 
     def __init__(self, labelled: DataFrame, most: int = MAX_LABELLED):
-        chosen = labelled.where("url IS NOT NULL AND blocked IS NOT NULL").groupBy("url").agg(F.max(F.col("blocked").cast("int")).alias("label"))
-        chosen = materialize(chosen.orderBy(F.xxhash64("url"), "url").limit(most), "labelled")
-        seen = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+        known = labelled.where("url IS NOT NULL AND blocked IS NOT NULL").groupBy("url").agg(F.max(F.col("blocked").cast("int")).alias("label"))
+        known = materialize(known, "labelled")
+        seen = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
         self.only = ALLOW if seen[1] == 0 else BLOCK if seen[1] == seen[0] else None
         if self.only:
             return
         self.share = seen[1] / seen[0]
-        # of at most ``most`` rows
-        stats = chosen.groupBy(_suffix(host(F.col("url"))).alias("suffix"))
+        # a little more than ``most`` are under the threshold, so no task sorts many more
+        below = min(1.0, (most + 10 * math.sqrt(most) + 100) / seen[0])
+        held = known.where(F.xxhash64("url") <= min((1 << 63) - 1, int(below * (1 << 64)) - (1 << 63)))
+        chosen = materialize(held.orderBy(F.xxhash64("url"), "url").limit(most), "chosen")
+        stats = known.groupBy(_suffix(host(F.col("url"))).alias("suffix"))
         self.stats = materialize(stats.agg(((F.sum("label") + 10 * self.share) / (F.count(F.lit(1)) + 10)).alias("suffix_blocked"), F.log1p(F.count(F.lit(1)).cast("double")).alias("suffix_seen")), "suffixes")
         self.assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         inputs = self.assembler.transform(self._features(chosen, "url")).select("features", F.col("label").cast("double").alias("label"))
@@ -112,8 +119,7 @@ class UrlModel:
     def _features(self, df: DataFrame, url: str) -> DataFrame:
         cut = df.withColumns({"h": host(F.col(url)), "p": path(F.col(url))})
         found = cut.withColumns({n: c.cast("double") for n, c in lexical(F.col(url), F.col("h"), F.col("p")).items()} | {"suffix": _suffix(F.col("h"))})
-        # statistics of at most as many suffixes as there are labelled URLs in use
-        met = found.join(F.broadcast(self.stats), "suffix", "left")
+        met = found.join(bounded_broadcast(self.stats), "suffix", "left")
         return met.fillna({"suffix_blocked": self.share, "suffix_seen": 0.0})
 
     def verdicts(self, df: DataFrame, url: str) -> DataFrame:

@@ -93,3 +93,20 @@ def test_rules_of_the_query(spark):
     found = pages.select("url", urls.rule_of(urls.host(F.col("url")), urls.path(F.col("url")), catalog.URL_RULES).alias("rule")).collect()
     verdicts = {rule: verdict for verdict, rule in catalog.URL_RULES}
     assert {r.url: (r.rule, verdicts[r.rule]) for r in found} == want
+
+
+def test_suffix_statistics_are_of_all_labelled_urls(spark, monkeypatch):
+    """Trees see ten URLs, the statistics see all; rows of a suffix that is not in
+    the sample have them too."""
+    monkeypatch.setattr(urls, "TREES", 1)
+    rng = random.Random(3)
+    rows = [(f"http://h{i}.{rng.choice(['aa', 'bb', 'cc', f'rare{i % 50}'])}/", rng.random() < 0.5) for i in range(3000)]
+    model = urls.UrlModel(spark.createDataFrame(rows + rows[:100], "url string, blocked boolean"), most=10)
+    want = Counter(u.rstrip("/").rsplit(".", 1)[1] for u, _ in rows)
+    blocked = Counter(u.rstrip("/").rsplit(".", 1)[1] for u, b in rows if b)
+    got = {r.suffix: r for r in model.stats.collect()}
+    share = sum(blocked.values()) / len(rows)
+    assert set(got) == set(want)
+    for k, r in got.items():
+        assert math.isclose(r.suffix_seen, math.log1p(want[k])) and math.isclose(r.suffix_blocked, (blocked[k] + 10 * share) / (want[k] + 10))
+    assert model.trees.getNumTrees == 1
