@@ -92,3 +92,59 @@ def test_odd_rows(spark):
         assert [f"{s.kind}:{s.start}:{s.end}" for s in r.spans if s.kind in secrets.BASE_KINDS] == [s[2] for s in base_spans(t)], repr(t)[:200]
         assert [tuple(s) for s in r.spans] == secrets.scan(t)
     assert secrets.scan_documents(df.limit(0)).count() == 0
+
+
+DSA = der(0x30, der(2, b"\0"), *(integer(n) for n in (128, 20, 128, 128, 20)))
+ENCRYPTED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(4, rng.randbytes(8)))), der(4, rng.randbytes(640)))
+B64 = lambda b: base64.b64encode(b).decode()
+
+
+def keys_of(text):
+    return [(a, b) for k, a, b in secrets.scan(text) if k == "private_key"]
+
+
+def test_candidates_are_decoded_wherever_they_stand():
+    """Each form and, with one byte less, its corrupted twin."""
+    wrapped = lambda b, gap: gap.join(B64(b)[i : i + 64] for i in range(0, len(B64(b)), 64))
+    forms = {
+        "whole PEM text": lambda k: B64(pem(k).encode()),
+        "PEM text within others": lambda k: B64(b"a: 1\n" + pem(k).encode() + b"\nb: 2\n"),
+        "after a path": lambda k: "url/" + B64(k),
+        "after letters": lambda k: "Key9" + B64(k),
+        "lines": lambda k: wrapped(k, "\n"),
+        "indented lines": lambda k: "data: " + wrapped(k, "\r\n  ") + "\nEnd of it",
+        "written line ends": lambda k: '"' + wrapped(k, "\\n") + '\\n"',
+        "hex after digits": lambda k: "00" + k.hex(),
+        "PEM": pem,
+    }
+    for key in (RSA, DSA, EC, PKCS8, ENCRYPTED, OPENSSH):
+        for name, form in forms.items():
+            text = "x = " + form(key) + " ."
+            assert len(keys_of(text)) == 1, (name, key[:6])
+            a, b = keys_of(text)[0]
+            body = re.sub(r"\\n|\s", "", text[a:b])
+            assert a >= 4 and (name.startswith("PEM") or "whole" in name or B64(key) == body or key.hex() == body), name
+            assert not keys_of("x = " + form(key[:-1]) + " ."), (name, key[:6])
+    digest_info = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")), der(5)), der(4, rng.randbytes(200)))
+    assert not keys_of(B64(digest_info)) and not keys_of(digest_info.hex())
+
+
+def test_tokens_with_blanks_and_neighbours():
+    seg = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    for head, body in ((b'{ "alg": "HS256"}', b'{ "sub": 1}'), (b'\n{"alg":"HS256"}', b' {}'), (b'{"alg":"HS256"}', b"{\n}")):
+        token = f"{seg(head)}.{seg(body)}.{seg(rng.randbytes(32))}"
+        for before in ("", "www.example.", "Bearer-", "a.b.c.d."):
+            found = [(a, b) for k, a, b in secrets.scan(f"{before}{token} x") if k == "jwt"]
+            assert found == [(len(before), len(before) + len(token))], (before, head)
+            assert not [k for k, _, _ in secrets.scan(f"{before}{token[:-2]} x") if k == "jwt"]
+
+
+def test_long_texts_without_keys_take_little():
+    """Runs that look like keys at many places."""
+    import time
+
+    t0 = time.time()
+    for text in ("MII" * 300000, "MIIB" * 200000, "3082" * 200000, "30" * 400000, "eyJ" * 200000, "eyJh." * 100000, "a." * 400000, (pem(RSA[:-1]) + "\n") * 300, "LS0t" * 200000, "b3BlbnNzaC1rZXktdjEA" * 20000):
+        assert not [s for s in secrets.scan(text) if s[0] in ("private_key",)], text[:9]
+    assert time.time() - t0 < 60
+    assert len(keys_of((pem(RSA) + "\n") * 400)) == 400
