@@ -9,7 +9,7 @@ K - S + 1 of them has one.  A text with fewer words than ``K`` has itself as its
 only anchor, one without words has none.  A text of ``K`` to 2 K - S - 1 words can
 be without a closed syncmer; in a fingerprint it has itself as its only anchor too.
 
-Anchors are (position, 32-bit hash) in text order; the likeness of two texts is
+Anchors are (position, 64-bit hash) in text order; the likeness of two texts is
 the share of anchor hashes that they have in common (Dice): 1 for equal sets, 0
 for none in common, and by definition 1 for two texts without words.
 """
@@ -46,10 +46,10 @@ def anchors(text: Column, k: int = K, s: int = S, always: bool = False) -> Colum
             def edges(m: Column) -> Column:
                 least = lambda i: let(F.slice(m, i + 1, F.lit(inner)), lambda w: F.array_position(w, F.array_min(w)))
                 starts = F.filter(F.sequence(F.lit(0), n - k), lambda i: least(i).isin(1, inner))
-                return F.transform(starts, lambda i: F.struct(i.cast("int").alias("position"), F.hash(F.slice(h, i + 1, F.lit(k))).alias("hash")))
+                return F.transform(starts, lambda i: F.struct(i.cast("int").alias("position"), F.xxhash64(F.slice(h, i + 1, F.lit(k))).alias("hash")))
 
-            whole = F.array(F.struct(F.lit(0).alias("position"), F.hash(h).alias("hash")))
-            none = F.array().cast("array<struct<position:int,hash:int>>")
+            whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).alias("hash")))
+            none = F.array().cast("array<struct<position:int,hash:bigint>>")
             closed = let(smers, edges)
             if always:
                 closed = let(closed, lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
@@ -77,8 +77,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def printed(found: Column) -> Column:
-    """A fingerprint as text: 8 hex digits of each distinct hash, in order."""
-    return F.array_join(F.transform(found, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
+    """A fingerprint as text: 16 hex digits of each distinct hash, in order."""
+    return F.array_join(F.transform(found, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
 def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S) -> DataFrame:

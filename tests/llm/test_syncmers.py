@@ -49,14 +49,33 @@ def test_query_edits_and_likeness(spark):
     by_text = {}
     for g, (_, t) in zip(got, rows):
         assert by_text.setdefault(t, g[3]) == g[3] and 0 <= g[5] <= 1 and 0 <= g[6] <= 1
-    long = [g for g in got if len(g[3]) >= 8 * 40]
+    long = [g for g in got if len(g[3]) >= 16 * 40]
     assert len(long) > 50 and all(g[5] > 0.25 for g in long) and sum(g[6] < 0.2 for g in long) > 0.9 * len(long)
-    prints = [{f[i : i + 8] for i in range(0, len(f), 8)} for f in (g[3] for g in got)]
+    prints = [{f[i : i + 16] for i in range(0, len(f), 16)} for f in (g[3] for g in got)]
     for i, g in enumerate(got):
         a, b = prints[i], prints[(i + 1) % len(got)]
         assert abs(g[6] - (2 * len(a & b) / (len(a) + len(b)) if a or b else 1)) < 1e-3
 
 
+def test_likeness_of_edited_texts_equals_brute_force(spark):
+    """``near_edited`` and ``edited_fingerprint`` from the chosen windows of words."""
+    rows = duckdb.sql(f"select doc_id, text from '{SF_SMALL}/documents.parquet' order by doc_id limit 60").fetchall()
+    edited = [e[3] for e in edits(rows)]
+    k, s = syncmers.K, syncmers.S
+    texts = [t for _, t in rows] + edited
+    sets = []
+    for t, found in zip(texts, chosen(spark, texts, k, s)):
+        w = brute.words(t)
+        sets.append([tuple(w[i : i + k]) for i in found] if found and len(w) >= k else [tuple(w)] if w else [])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = syncmers.against_next(df).orderBy("id").select("own", "edited_own", syncmers.likeness(F.col("own"), F.col("edited_own")).alias("near")).collect()
+    for i, r in enumerate(got):
+        a, b = list(dict.fromkeys(sets[i])), list(dict.fromkeys(sets[len(rows) + i]))
+        assert (len(r.own), len(r.edited_own)) == (len(a), len(b))
+        assert [x in r.edited_own for x in r.own] == [x in b for x in a]
+        assert abs(r.near - (2 * len(set(a) & set(b)) / (len(a) + len(b)) if a or b else 1)) < 1e-12
+
+
 def test_anchors_equal_brute_force(spark):
     rng = random.Random(12)
     texts = [" ".join(rng.choice("a b c d e f g h".split()) for _ in range(rng.randrange(60))) for _ in range(80)] + ["", " \n", None, "one two", "w " * 500]
