@@ -72,24 +72,26 @@ def _repeat_words(hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), let(ordered, covered)).otherwise(0)
 
 
-def languages(docs: DataFrame, text: Column, lang: Column) -> list[str] | None:
-    """The languages, those with the most characters first (ties by name); None
-    if they are more than ``LANGUAGES``."""
-    held = docs.select(lang.cast("string").alias("lang"), F.length(text).alias("n")).where("lang IS NOT NULL")
-    found = [r.lang for r in held.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES + 1).collect()]
+def languages(docs: DataFrame, lang: Column) -> list[str] | None:
+    """The languages in order of name; None if they are more than ``LANGUAGES``."""
+    held = docs.select(lang.cast("string").alias("lang")).where("lang IS NOT NULL")
+    found = [r.lang for r in held.distinct().orderBy("lang").limit(LANGUAGES + 1).collect()]
     return found if len(found) <= LANGUAGES else None
 
 
 def _top_words(held: DataFrame) -> DataFrame:
-    """``lang, word, n``: the most frequent words of ``held(lang, word)`` by language."""
+    """``lang, word, n``: the most frequent words of ``held(lang, word)`` by language,
+    each as its 64-bit hash: a word may be as long as a text."""
     counts = held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    return top_k(counts, ["lang"], [F.col("n").desc(), F.col("word")], COMMON_WORDS)
+    top = top_k(counts, ["lang"], [F.col("n").desc(), F.col("word")], COMMON_WORDS)
+    return top.select("lang", F.xxhash64("word").alias("word"), "n")
 
 
-def common_words(docs: DataFrame, text: Column, lang: Column, names: list[str]) -> dict[str, dict[str, int]]:
-    """By language, its ``COMMON_WORDS`` most frequent words with their counts."""
+def common_words(docs: DataFrame, text: Column, lang: Column, names: list[str]) -> dict[str, dict[int, int]]:
+    """By language, the hashes of its ``COMMON_WORDS`` most frequent words with
+    their counts: three numbers a word, whatever the words."""
     held = docs.select(lang.cast("string").alias("lang"), F.explode(rows.words(text)).alias("word")).where(F.col("lang").isin(names))
-    found: dict[str, dict[str, int]] = {n: {} for n in names}
+    found: dict[str, dict[int, int]] = {n: {} for n in names}
     for r in _top_words(held).collect():
         found[r.lang][r.word] = r.n
     return found
@@ -113,10 +115,10 @@ def reference_blocks(docs: DataFrame, text: Column, lang: Column, found: DataFra
     return materialize(blocks.withColumn("known", known), "blocks")
 
 
-def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set[str] | None) -> DataFrame:
+def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set[int] | None) -> DataFrame:
     """``row`` (a struct of ``keep``) and, for each row, the base features, the
-    counts of the classes and those of the ``common`` words it has (of all its
-    words for None) (null: empty text)."""
+    counts of the classes and those of the ``common`` words it has, by their hashes
+    (of all its words for None) (null: empty text)."""
     held = docs.select(F.struct(*(c.alias(n) for n, c in keep.items())).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
     cut = held.select("*", rows.words(F.col("text")).alias("words"), F.regexp_replace("text", "[a-z]+", "").alias("others"))
     counted = cut.select(
@@ -126,7 +128,9 @@ def features(docs: DataFrame, text: Column, keep: dict[str, Column], common: set
         F.length("text").alias("n_chars"),
         *(F.length(F.regexp_replace("others", rest, "")).alias(f"n_{c}") for c, rest in CLASSES.items()),
     )
-    known = F.col("words") if common is None else F.filter("words", lambda w: w.isin(*sorted(common))) if common else F.array().cast("array<string>")
+    hashed = F.transform("words", lambda w: F.xxhash64(w))
+    wanted = [F.lit(w).cast("bigint") for w in sorted(common or ())]
+    known = hashed if common is None else F.filter(hashed, lambda w: w.isin(*wanted)) if common else F.array().cast("array<bigint>")
     return counted.select(
         "row",
         F.size("words").cast("bigint").alias("n_words"),
@@ -152,9 +156,9 @@ def class_distance(classes: Column, n_chars: Column, shares: list[float] | list[
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
-def word_distance(common: Column, n_words: Column, shares: dict[str, float]) -> Column:
+def word_distance(common: Column, n_words: Column, shares: dict[int, float]) -> Column:
     """Common words that the document lacks add half their share."""
-    share = F.create_map(*(F.lit(x) for w, q in shares.items() for x in (w, q)))
+    share = F.create_map(*(x for w, q in shares.items() for x in (F.lit(w).cast("bigint"), F.lit(q))))
     return _word_distance(common, n_words, share, F.lit(float(sum(shares.values()))))
 
 
@@ -177,7 +181,7 @@ def judge(docs: DataFrame, text: Column, lang: Column, keep: dict[str, Column])
     without any language has no reference, and base rules alone decide.  An
     empty table gives no rows.  ``keep`` must not use the names above.
     """
-    names = languages(docs, text, lang)
+    names = languages(docs, lang)
     common = common_words(docs, text, lang, names) if names else {}
     found = features(docs, text, {**keep, "_lang": lang.cast("string")}, None if names is None else {w for own in common.values() for w in own})
     found = materialize(found, "quality")
