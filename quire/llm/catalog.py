@@ -80,7 +80,7 @@ WITH d AS (
      length(regexp_replace(t, '[^.,;:!?''"()-]', '', 'g')), length(regexp_replace(t, '[^#*$%&|<>=+/\\_@^~`{}\[\]]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c6
   FROM l
 ), g AS (SELECT *, list_append(c6, n_chars - list_sum(c6)::BIGINT) AS classes FROM f),
-langs AS (SELECT lang, sum(n_words) AS words, sum(n_chars) AS chars FROM g WHERE lang IS NOT NULL GROUP BY lang ORDER BY sum(n_chars) DESC, lang LIMIT 32),
+langs AS (SELECT lang, sum(n_words) AS words, sum(n_chars) AS chars FROM g WHERE lang IS NOT NULL GROUP BY lang),
 cls AS (SELECT lang, k, sum(classes[k + 1]) / any_value(chars) AS q FROM g JOIN langs USING (lang), range(7) r(k) GROUP BY lang, k),
 top AS (
   SELECT lang, word, n / words AS q FROM (SELECT lang, word, count(*) AS n FROM w GROUP BY lang, word) JOIN langs USING (lang)
