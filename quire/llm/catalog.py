@@ -214,7 +214,7 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed sequences of ``documents`` in training order: written as
     fixed-stride shards, read back, and met with their manifest."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/training-order-{uuid.uuid4().hex}"
-    seqs = packing.packed_sequences(table(spark, sf_dir, "documents"), "text", _tokenizer(spark), training_order.record)
+    seqs = packing.packed_sequences(table(spark, sf_dir, "documents"), "text", _tokenizer(spark), training_order.compressed_record)
     training_order.write_records(seqs, path, TRAINING_KEY)
     records = training_order.read_records(spark, path).select("slot", F.crc32("bytes").alias("record_crc32"), F.length("bytes").cast("bigint").alias("record_bytes"))
     return spark.read.parquet(f"{path}/manifest").join(records, "slot").select("slot", "shard", "record", "number", "sequence_id", "n_ids", "record_bytes", "record_crc32")

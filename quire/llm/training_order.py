@@ -6,7 +6,9 @@ permutation of 2^(2b) >= N values, applied again while its value is N or more
 table, and only the key to repeat or invert.  Slots are cut into ranges of
 ``per_shard``; each range is one shard file of fixed-stride records in order of
 slot, so the record of any slot is found by arithmetic and a reader resumes
-anywhere.  The sequences are exchanged once, by range of shards.
+anywhere.  The sequences are exchanged once, by range: a task gets consecutive
+shards, as many as ``SHARDS_A_TASK`` at most unless there are more tasks than that
+needs anyway.  Until they are written, records are compressed one by one.
 
 A record is ``length`` ids of ``width`` bytes, little-endian, padded with
 ``PAD``, and one line feed (Spark's text writer, whose commit protocol makes the
@@ -25,6 +27,10 @@ from quire.session import materialize
 
 LENGTH, WIDTH, PAD = 2048, 2, 0
 PER_SHARD = 4096
+#: Level at which records are compressed.
+COMPRESSION = 3
+#: Shards of a writing task (8 of 4096 records of 4 KB: 134 MB, which it sorts).
+SHARDS_A_TASK = 8
 ROUNDS = 6
 
 
@@ -75,16 +81,28 @@ def record(ids: np.ndarray, length: int = LENGTH, width: int = WIDTH) -> bytes:
     return padded.tobytes()
 
 
-def _records(ids: Column, length: int, width: int) -> Column:
-    """Little-endian 32-bit ids as records."""
+def compressed_record(ids: np.ndarray, length: int = LENGTH, width: int = WIDTH) -> bytes:
+    return pa.Codec("zstd", COMPRESSION).compress(record(ids, length, width), asbytes=True)
+
+
+def _compressed_records(ids: Column, length: int, width: int) -> Column:
+    """Little-endian 32-bit ids as compressed records."""
 
     @F.arrow_udf("binary")
     def records(column: pa.Array) -> pa.Array:
-        return pa.array([record(np.frombuffer(data or b"", "<u4"), length, width) for data in column.to_pylist()], pa.binary())
+        return pa.array([compressed_record(np.frombuffer(data or b"", "<u4"), length, width) for data in column.to_pylist()], pa.binary())
 
     return records(ids)
 
 
+def _expanded(records: Column, size: int) -> Column:
+    @F.arrow_udf("binary")
+    def plain(column: pa.Array) -> pa.Array:
+        return pa.array([pa.decompress(data, size, codec="zstd", asbytes=True) for data in column.to_pylist()], pa.binary())
+
+    return plain(records)
+
+
 def _numbered_as_read(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` stored, with ``number`` = 0, 1, ... in the order of its tasks and
     their rows, and the number of rows.  No exchange: the counts of the tasks (a
@@ -112,22 +130,26 @@ def write_shards(seqs: DataFrame, path: str, key: int, id_col: str = "sequence_i
     held = seqs.select(
         F.col(id_col).cast("bigint").alias("sequence_id"),
         (F.length(F.coalesce(ids_col, F.lit(b""))) / 4).cast("int").alias("n_ids"),
-        _records(F.col(ids_col), length, width).alias("bytes"),
+        _compressed_records(F.col(ids_col), length, width).alias("bytes"),
     )
-    return write_records(held, path, key, per_shard)
+    return write_records(held, path, key, length, width, per_shard)
 
 
-def write_records(held: DataFrame, path: str, key: int, per_shard: int = PER_SHARD) -> int:
-    """``write_shards`` for sequences that are records already: ``sequence_id,
-    n_ids, bytes``, all of one size."""
+def write_records(held: DataFrame, path: str, key: int, length: int = LENGTH, width: int = WIDTH, per_shard: int = PER_SHARD) -> int:
+    """``write_shards`` for sequences that are compressed records already:
+    ``sequence_id, n_ids, bytes`` (of ``compressed_record``)."""
     parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered, total = _numbered_as_read(held)
     slotted = numbered.withColumn("slot", slot_of(F.col("number"), max(total, 1), key))
     place = {"shard": F.floor(F.col("slot") / per_shard).cast("bigint"), "record": (F.col("slot") % per_shard).cast("int")}
     slotted = slotted.withColumns(place)
     slotted.select("slot", "shard", "record", "number", "sequence_id", "n_ids").write.parquet(f"{path}/manifest")
-    ordered = slotted.select("shard", "slot", F.col("bytes").cast("string").alias("value")).repartition(parts, "shard").sortWithinPartitions("shard", "slot")
-    ordered.select("shard", "value").write.partitionBy("shard").text(f"{path}/shards")
+    shards = max(1, -(-total // per_shard))
+    tasks = min(shards, max(parts, -(-shards // SHARDS_A_TASK)))
+    task = F.floor(F.col("shard") * tasks / shards).cast("int")
+    ranged = slotted.select("shard", "slot", "bytes").repartitionById(tasks, task)
+    plain = ranged.select("shard", "slot", _expanded(F.col("bytes"), length * width).cast("string").alias("value")).sortWithinPartitions("shard", "slot")
+    plain.select("shard", "value").write.partitionBy("shard").text(f"{path}/shards")
     return total
 
 

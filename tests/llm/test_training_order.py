@@ -73,3 +73,22 @@ def test_query(spark):
         record = np.zeros(2048, "<u2")
         record[: len(own)] = own
         assert r.n_ids == len(own) and r.record_crc32 == zlib.crc32(record.tobytes()) and r.record_bytes == 4096
+
+
+@pytest.mark.parametrize("parts", ["2", "64"])
+def test_shards_are_written_in_order_by_ranges(spark, monkeypatch, parts):
+    """More shards than tasks and fewer; each file holds its slots in order."""
+    monkeypatch.setattr(training_order, "SHARDS_A_TASK", 3)
+    df = spark.range(1000).select(F.col("id").alias("sequence_id"), F.unhex(F.concat(F.lpad(F.hex(F.col("id") % 250 + 1), 2, "0"), F.lit("000000"))).alias("ids"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        path = folder(spark)
+        assert training_order.write_shards(df, path, 5, length=1, per_shard=30) == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    manifest = {m.slot: m.sequence_id for m in spark.read.parquet(f"{path}/manifest").collect()}
+    records = training_order.read_records(spark, path, length=1, per_shard=30).collect()
+    assert len(records) == 1000 and all(bytes(r.bytes) == (manifest[r.slot] % 250 + 1).to_bytes(2, "little") for r in records)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards").count()
+    assert files == 34  # one a shard
