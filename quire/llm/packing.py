@@ -10,11 +10,14 @@ one onto the emptiest of the other, until one partition is left, whose windows
 are near-equal.  k begins at the least number that could hold the pool and
 rises by one whenever a window exceeds the capacity.
 
-Pools are made of the rows a task reads, in their order: no shuffle, no group
-that could be hot, and a pool's memory is bounded by ``windows`` x ``length``
-ids and ``ROWS`` rows, after which a pool is partitioned whatever it holds.  Sequence
-ids are the partition's number and a running number within it, so that a
-repeated task gives the same ones.
+Pools are made of the rows a task reads, in their order: no group that could be
+hot, and a pool's memory is bounded by ``windows`` x ``length`` ids and ``ROWS``
+rows.  A pool that is not full when its rows end stays open: the pieces of all
+open pools are exchanged into few tasks, ``GATHERED`` sequences' worth of ids
+each, and pooled there, so that padding depends neither on the number of
+partitions nor on how many ids a document has.  Sequence ids are the partition's
+number and a running number within it (gathered ones have ``_GATHERED`` set),
+so that a repeated task gives the same ones.
 """
 
 from __future__ import annotations
@@ -26,13 +29,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quire.session import materialize
 
 LENGTH = 2048
 PIECE = 512
 WINDOWS = 64
 #: Rows of an Arrow batch that are held as texts, ids and pieces at a time.
 ROWS = 2000
+#: Sequences' worth of ids that a task which gathers open pools gets (67 million ids).
+GATHERED = 32768
 
+_GATHERED = 1 << 62
+_OPEN = -1
 _PIECES = [("start", "bigint"), ("length", "bigint"), ("ids", "binary"), ("doc_tokens", "bigint"), ("sequence_id", "bigint"), ("offset", "bigint")]
 
 
@@ -92,10 +102,11 @@ def windows_of(sizes: list[int], length: int = LENGTH) -> list[list[int]]:
         k += 1
 
 
-def _placed(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int):
+def _placed(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int, leave_open: bool):
     """For each batch of document columns with their ids (one array a row): the
     batch, the ids, and the pieces in order of sequence and offset, as arrays of
-    row, start, size, sequence and offset.  No sequence crosses batches."""
+    row, start, size, sequence and offset.  No sequence crosses batches; with
+    ``leave_open`` the pieces of a batch's last pool have sequence ``_OPEN``."""
     sequence = TaskContext.get().partitionId() << 40
     for batch, docs in tokens:
         pool: list[tuple[int, int, int]] = []  # row, start, size
@@ -124,14 +135,16 @@ def _placed(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: i
                 pooled += rest
                 if pooled >= windows * length:
                     close()
-        if pool:
+        if pool and leave_open:
+            rows += [(*p, _OPEN, 0) for p in pool]
+        elif pool:
             close()
         yield batch, docs, *((np.array(c, np.int64) for c in zip(*rows)) if rows else [np.zeros(0, np.int64)] * 5)
 
 
 def _whole(tokens, length: int, piece: int, windows: int):
     """The ids of each sequence, and the sequences' ids, batch by batch."""
-    for _, docs, row, start, size, seq, _ in _placed(tokens, length, piece, windows):
+    for _, docs, row, start, size, seq, _ in _placed(tokens, length, piece, windows, False):
         firsts = np.flatnonzero(np.diff(seq, prepend=-1))
         parts = [docs[r][a : a + n] for r, a, n in zip(row, start, size)]
         yield [np.concatenate(parts[a:b]) for a, b in zip(firsts, [*firsts[1:], len(parts)])], seq[firsts]
@@ -139,8 +152,9 @@ def _whole(tokens, length: int, piece: int, windows: int):
 
 def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int, piece: int, windows: int) -> Iterator[tuple[pa.RecordBatch, dict]]:
     """Batches of document columns with their ids (one array a row) to batches
-    of the documents' columns, one row a piece, and the pieces' own columns."""
-    for batch, docs, row, start, size, seq, offset in _placed(tokens, length, piece, windows):
+    of the documents' columns, one row a piece, and the pieces' own columns.
+    Pieces of pools that are not full have sequence ``_OPEN``."""
+    for batch, docs, row, start, size, seq, offset in _placed(tokens, length, piece, windows, True):
         yield (
             batch.take(pa.array(row)),
             {
@@ -154,6 +168,43 @@ def pack(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: int,
         )
 
 
+def _closed(pool: list[pa.RecordBatch], length: int, sequence: int) -> tuple[pa.Table, int]:
+    """The pieces of a pool, in order of sequence and offset, and the next sequence."""
+    table = pa.Table.from_batches(pool)
+    sizes = table.column("length").to_pylist()
+    found = windows_of(sizes, length)
+    order = [i for window in found for i in window]
+    sequences = np.repeat(np.arange(sequence, sequence + len(found)), [len(w) for w in found])
+    ends = np.cumsum([sizes[i] for i in order]) - [sizes[i] for i in order]
+    firsts = np.flatnonzero(np.diff(sequences, prepend=-1))
+    offsets = ends - np.repeat(ends[firsts], np.diff(np.append(firsts, len(order))))
+    table = table.take(pa.array(order, pa.int64()))
+    for name, values in (("sequence_id", sequences), ("offset", offsets)):
+        table = table.set_column(table.schema.get_field_index(name), name, pa.array(values, pa.int64()))
+    return table, sequence + len(found)
+
+
+def gather(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of open pieces with their sequences: pools of ``windows`` sequences'
+    worth of ids, over the bounds of batches; the task's last one may be smaller."""
+    sequence = _GATHERED | TaskContext.get().partitionId() << 40
+    pool: list[pa.RecordBatch] = []
+    pooled, full = 0, windows * length
+    for batch in batches:
+        while batch.num_rows:
+            total = pooled + np.cumsum(batch.column("length").to_numpy())
+            n = min(int(np.searchsorted(total, full)) + 1, batch.num_rows)  # with the piece that fills the pool
+            pool.append(batch.slice(0, n))
+            pooled = int(total[n - 1])
+            batch = batch.slice(n)
+            if pooled >= full:
+                table, sequence = _closed(pool, length, sequence)
+                yield from table.to_batches()
+                pool, pooled = [], 0
+    if pool:
+        yield from _closed(pool, length, sequence)[0].to_batches()
+
+
 def _slices(batches):
     for batch in batches:
         for first in range(0, batch.num_rows, ROWS):
@@ -170,6 +221,9 @@ def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callab
     arrays of ids (``<u4``).  Null text counts as empty; a document without ids
     gives no piece.  Repeated rows and equal ids are packed like any others.  An
     empty table gives no rows.
+
+    Texts are tokenised once: the pieces are stored, and those of open pools are
+    exchanged (fewer than ``windows`` x ``length`` ids for each ``ROWS`` rows).
     """
     named = {n for n, _ in _PIECES}
     kept = [c for c in docs.columns if c not in named | {text_col}]
@@ -187,13 +241,26 @@ def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callab
             arrays = list(columns.columns) + list(pieces.values())
             yield pa.RecordBatch.from_arrays(arrays, names=kept + list(pieces))
 
-    return source.mapInArrow(run, schema)
+    # the place of an open piece tells rows that are equal apart and gives a repeated task the same order
+    at = "_at"
+    while at in (c.lower() for c in kept):
+        at += "_"
+    stored = materialize(source.mapInArrow(run, schema).withColumn(at, F.monotonically_increasing_id()), "pieces")
+    is_open = F.col("sequence_id") == _OPEN
+    open_ids = stored.where(is_open).agg(F.sum("length")).first()[0] or 0
+    if not open_ids:
+        return stored.drop(at)
+    tasks = -(-open_ids // (GATHERED * length))
+    dealt = stored.where(is_open).repartition(tasks, at).sortWithinPartitions(at).drop(at)
+    return stored.where(~is_open).drop(at).union(dealt.mapInArrow(lambda batches: gather(batches, length, windows), dealt.schema))
 
 
 def packed_sequences(docs: DataFrame, text_col: str, tokenize: Callable[[], Callable[[list[str]], list[np.ndarray]]], form: Callable[[np.ndarray], bytes], length: int = LENGTH, piece: int = PIECE, windows: int = WINDOWS) -> DataFrame:
-    """The sequences that ``pack_documents`` makes, one row each, in the same
-    pass: ``sequence_id, n_ids, bytes``, the last being ``form`` of its ids
-    (``<u4``).  Nulls, repeated rows and empty tables as there."""
+    """Sequences of documents packed as by ``pack_documents``, one row each, in a
+    single pass: ``sequence_id, n_ids, bytes``, the last being ``form`` of its ids
+    (``<u4``).  Every pool is closed where its rows end, as ids leave their task in
+    whole sequences only; small partitions are padded more.  Nulls, repeated rows
+    and empty tables as there."""
     source = docs.select(docs[text_col].alias("text"))
 
     def run(batches):

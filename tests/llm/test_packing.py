@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -11,10 +12,15 @@ from quire.llm import catalog, packing, vocab
 from tests.conftest import SF_SMALL
 
 
-def ids_of(text):
+@functools.cache
+def tokenizer():
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids + [1]
+    return t
+
+
+def ids_of(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check(pieces, ids, length=2048):
@@ -68,6 +74,34 @@ def test_edge_rows(spark):
     assert packing.pack_documents(df.limit(0), "text", tokenize).count() == 0
 
 
+def test_pools_are_gathered_across_tasks(spark):
+    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), 1)
+    texts = {i: "a few short words " * (i % 3) for i in range(400)}
+    ids = {i: ids_of(t) for i, t in texts.items()}
+    least = -(-sum(map(len, ids.values())) // 2048)
+    for parts in (1, 100, 400):
+        df = spark.createDataFrame(list(texts.items()), "_at bigint, text string").repartition(parts)
+        out = packing.pack_documents(df, "text", tokenize)
+        assert out.columns[0] == "_at"
+        got = out.collect()
+        assert check([(r["_at"], r.start, r.length, bytes(r.ids), r.doc_tokens, r.sequence_id, r.offset) for r in got], ids) <= least + 1
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, got))
+
+
+def test_padding_does_not_grow_with_partitions(spark, monkeypatch):
+    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), 1)
+    rng = random.Random(5)
+    texts = {i: "word " * rng.choice([0, 1, 30, 400, 900, 5000]) for i in range(600)}
+    ids = {i: ids_of(t) for i, t in texts.items()}
+    total = sum(map(len, ids.values()))
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for parts, gathered in ((1, packing.GATHERED), (100, packing.GATHERED), (400, packing.GATHERED), (100, 128)):
+        monkeypatch.setattr(packing, "GATHERED", gathered)
+        got = packing.pack_documents(df.repartition(parts), "text", tokenize).collect()
+        n = check([(r.doc_id, r.start, r.length, bytes(r.ids), r.doc_tokens, r.sequence_id, r.offset) for r in got], ids)
+        assert (n - 1) * 2048 <= 1.1 * total
+
+
 def test_word_cache_equals_whole_texts():
     data = open(public_tokenizers.path("word_bpe_49k.json"), "rb").read()
     encode = vocab._word_bpe(data)
