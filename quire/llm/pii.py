@@ -198,15 +198,42 @@ def _accepted(c: Column, weights: list[float]) -> Column:
     return reduce(lambda x, y: x + y, parts, F.lit(weights[0])) >= 0
 
 
+def _clear_of(spans: Column, others: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``others``, by start: both are put
+    in order of start, and each span is compared with the furthest end among the
+    others before it and the nearest start among those after it."""
+    item = lambda mine: lambda s: F.struct(s["start"].alias("start"), F.lit(mine).alias("mine"), s["end"].alias("end"), s.alias("span"))
+
+    def judged(all_: Column) -> Column:
+        ends = rows.most_before(F.transform(all_, lambda s: F.when(s["mine"], -1).otherwise(s["end"])))
+        # from the back, starts count down from the last one's
+        final = F.get(all_, F.size(all_) - 1)["start"]
+        starts = F.reverse(rows.most_before(F.reverse(F.transform(all_, lambda s: F.when(s["mine"], -1).otherwise(final - s["start"])))))
+
+        met = F.zip_with(ends, starts, lambda e, n: F.struct(e.alias("end"), n.alias("start")))
+
+        def alone(c: Column) -> Column:
+            s, others_ = c["s"], c["others"]
+            return s["mine"] & (others_["end"] <= s["start"]) & ((others_["start"] < 0) | (final - others_["start"] >= s["end"]))
+
+        return let(F.zip_with(all_, met, lambda s, o: F.struct(s.alias("s"), o.alias("others"))), lambda z: F.transform(F.filter(z, alone), lambda c: c["s"]["span"]))
+
+    both = F.array_sort(F.concat(F.transform(spans, item(True)), F.transform(others, item(False))))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), let(both, judged)).otherwise(spans)
+
+
 def _spans(found: Column, weights: list[float] | None) -> Column:
     base = F.filter(found, lambda c: (c["kind"] < len(BASE_KINDS)) & c["valid"])
     if weights is None:
         return base
     loose = F.filter(found, lambda c: (c["kind"] >= len(BASE_KINDS)) & _accepted(c, weights))
-    clash = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    # of looser spans that overlap, the kind listed first stays
-    alone = lambda b, all_: F.filter(all_, lambda c: ~F.exists(b, lambda x: clash(x, c)) & ~F.exists(all_, lambda x: (x["kind"] < c["kind"]) & clash(x, c)))
-    return let(base, lambda b: F.concat(b, let(loose, lambda all_: F.when(F.size(all_) > 0, alone(b, all_)).otherwise(all_))))
+
+    def added(b: Column, all_: Column) -> Column:
+        # of looser spans that overlap, the kind listed first stays
+        clear = [_clear_of(F.filter(all_, lambda c: c["kind"] == k), F.concat(b, F.filter(all_, lambda c: c["kind"] < k))) for k in range(len(BASE_KINDS), len(KINDS))]
+        return F.when(F.size(all_) > 0, F.concat(b, *clear)).otherwise(b)
+
+    return let(base, lambda b: let(loose, lambda all_: added(b, all_)))
 
 
 def find(docs: DataFrame, text: Column, keep: dict[str, Column]) -> DataFrame:
@@ -237,18 +264,20 @@ def redacted(text: Column, spans: Column) -> Column:
     """The text with each span (or chain of spans that overlap) replaced by its
     kind in capitals and brackets, the kind of the first of a chain."""
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
 
-    def join(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))))
-        return F.when((F.size(done) > 0) & (s["start"] < last["end"]), grown).otherwise(F.concat(done, F.array(s)))
+    def chains(ordered: Column) -> Column:
+        """The first span of each chain, with the end of the chain before it."""
+        reached = rows.most_before(F.transform(ordered, lambda s: s["end"]))
+        each = F.zip_with(ordered, reached, lambda s, e: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), e.alias("before")))
+        return F.filter(each, lambda c: c["start"] >= c["before"])
 
-    def rebuilt(m: Column) -> Column:
-        before = F.transform(m, lambda s, i: F.concat(F.substring(text, F.coalesce(F.get(m, i - 1)["end"], F.lit(0)) + 1, s["start"] - F.coalesce(F.get(m, i - 1)["end"], F.lit(0))), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.concat(F.array_join(before, ""), F.substring(text, F.get(m, F.size(m) - 1)["end"] + 1, F.length(text)))
+    def rebuilt(ordered: Column, heads: Column, parts: Column) -> Column:
+        before = F.transform(heads, lambda h: F.concat(rows.between(parts, F.greatest(h["before"], F.lit(0)), h["start"]), F.lit("["), F.upper(h["kind"]), F.lit("]")))
+        last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+        return F.concat(F.array_join(before, ""), rows.between(parts, last, F.length(text)))
 
-    return F.when(F.size(spans) > 0, let(F.aggregate(by_start, none, join), rebuilt)).otherwise(text)
+    whole = let(by_start, lambda o: let(chains(o), lambda h: let(rows.chunks(text), lambda p: rebuilt(o, h, p))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

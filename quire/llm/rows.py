@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,27 +38,60 @@ def windows_hashed(ws: Column, size: int) -> Column:
 _BLOCK = 256
 
 
-def _sums_before(values: Column) -> Column:
-    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
-    return F.aggregate(values, zero, lambda a, v: F.struct((a["sum"] + v).alias("sum"), F.concat(a["all"], F.array(a["sum"])).alias("all")), lambda a: a["all"])
+def _folds_before(values: Column, zero: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    start = F.struct(zero.alias("all"), F.array().cast("array<int>").alias("each"))
+    return F.aggregate(values, start, lambda a, v: F.struct(fold(a["all"], v).alias("all"), F.concat(a["each"], F.array(a["all"])).alias("each")), lambda a: a["each"])
 
 
-def sums_before(values: Column) -> Column:
-    """For each element of an int array, the sum of those before it: within
-    blocks of elements and over the blocks, as appending copies an array."""
+def folds_before(values: Column, zero: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an int array, the fold of those before it (``zero`` for
+    the first; ``fold`` is associative): within blocks of elements and over the
+    blocks, as appending copies an array."""
 
     def blocked(v: Column) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), F.greatest((F.size(v) - 1) / _BLOCK, F.lit(0)).cast("int")), lambda b: F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)))
 
         def shifted(bs: Column) -> Column:
-            ahead = _sums_before(F.transform(bs, lambda b: F.aggregate(b, F.lit(0), lambda x, y: x + y)))
-            return F.flatten(F.zip_with(bs, ahead, lambda b, o: F.transform(_sums_before(b), lambda x: x + o)))
+            ahead = _folds_before(F.transform(bs, lambda b: F.aggregate(b, zero, fold)), zero, fold)
+            return F.flatten(F.zip_with(bs, ahead, lambda b, o: F.transform(_folds_before(b, zero, fold), lambda x: fold(x, o))))
 
         return let(blocks, shifted)
 
     return let(values, blocked)
 
 
+def sums_before(values: Column) -> Column:
+    """For each element of an int array, the sum of those before it."""
+    return folds_before(values, F.lit(0), lambda x, y: x + y)
+
+
+def most_before(values: Column) -> Column:
+    """For each element of an array of ints from 0 on, the largest of those before it (-1 for the first)."""
+    return folds_before(values, F.lit(-1), lambda x, y: F.greatest(x, y))
+
+
+#: Code points of a text's chunk.
+_CHUNK = 4096
+
+
+def chunks(text: Column) -> Column:
+    """The text in chunks of 4096 code points, for ``between``."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+
+def between(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of the text that was cut into
+    ``parts`` by ``chunks``, without a pass over what stands before them."""
+    first, last = F.floor(start / _CHUNK).cast("int"), F.floor((end - 1) / _CHUNK).cast("int")
+    one = F.substring(F.get(parts, first), start % _CHUNK + 1, end - start)
+    several = F.concat(
+        F.substring(F.get(parts, first), start % _CHUNK + 1, F.lit(_CHUNK)),
+        F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substring(F.get(parts, last), F.lit(1), end - last * _CHUNK),
+    )
+    return F.when(start >= end, "").when(first == last, one).otherwise(several)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of a pattern that never matches the
     empty string: ``array<struct<found, start, end, before, after>>``, positions

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 from pyspark.sql import functions as F
@@ -62,6 +63,10 @@ def test_sums_before(spark):
         v = list(range(n))
         df = spark.createDataFrame([(v,)], "v array<int>").select(rows.sums_before(F.col("v")).alias("s"))
         assert df.first().s == [sum(v[:i]) for i in range(n)]
+        rng = random.Random(n)
+        v = [rng.randrange(100000) for _ in v]
+        df = spark.createDataFrame([(v,)], "v array<int>").select(rows.most_before(F.col("v")).alias("s"))
+        assert df.first().s == [max(v[:i], default=-1) for i in range(n)]
 
 
 def test_label_model_finds_the_reliable_labelers():
@@ -103,3 +108,50 @@ def test_redaction_of_overlapping_spans(spark):
     df = spark.createDataFrame([("ä😀cdefghij", [("ip", 2, 5), ("card", 4, 7), ("email", 7, 8), ("phone", 0, 1)]), ("x", []), (None, [])], f"text string, spans {span}")
     got = [r[0] for r in df.select(pii.redacted(F.col("text"), F.col("spans"))).collect()]
     assert got == ["[PHONE]😀[IP][EMAIL]ij", "x", None]
+
+
+def test_redaction_equals_brute_force(spark):
+    rng = random.Random(13)
+    data = []
+    for n in (0, 1, 4095, 4096, 4097, 20000):
+        text = "".join(rng.choice("aä😀\n ") for _ in range(n))
+        for share in (0, 0.002, 0.05):
+            starts = sorted(rng.randrange(n) for _ in range(int(n * share)))
+            data.append((text, [(rng.choice(pii.KINDS), a, min(n, a + rng.choice([1, 3, 20, 5000 if n > 10000 and rng.random() < 0.02 else 2]))) for a in starts]))
+
+    def brute(text, spans):
+        out, at, end = [], 0, -1
+        for a, b, kind in sorted((a, b, k) for k, a, b in spans):
+            if a >= end:
+                out += [text[at if end < 0 else end : a], f"[{kind.upper()}]"]
+            end = max(end, b)
+        return "".join(out) + text[max(end, 0) :]
+
+    df = spark.createDataFrame([(i, *d) for i, d in enumerate(data)], "i int, text string, spans array<struct<kind:string,start:int,end:int>>")
+    got = dict(df.select("i", pii.redacted(F.col("text"), F.col("spans"))).collect())
+    for i, (text, spans) in enumerate(data):
+        assert got[i] == brute(text, spans), i
+
+
+def test_looser_spans_clear_of_others(spark):
+    rng = random.Random(14)
+    data = []
+    for n in (0, 1, 3, 30, 600):
+        for m in (0, 1, 5, 600):
+            own = sorted({rng.randrange(20 * (n + m)) for _ in range(n)}) if n else []
+            data.append(([(a, a + rng.randrange(1, 12)) for a in own], [(a, a + rng.randrange(1, 40)) for a in (rng.randrange(20 * (n + m)) for _ in range(m))]))
+    spans = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame([(i, *d) for i, d in enumerate(data)], f"i int, a {spans}, b {spans}")
+    got = {r.i: [tuple(s) for s in r.kept] for r in df.select("i", pii._clear_of(F.col("a"), F.col("b")).alias("kept")).collect()}
+    for i, (own, others) in enumerate(data):
+        assert got[i] == [s for s in own if not any(x[0] < s[1] and s[0] < x[1] for x in others)], i
+
+
+def test_many_spans_in_one_text(spark):
+    n = 32000
+    text = "".join(f"u{i}@ex.com 030 {i % 9000 + 1000} 555 77, " for i in range(n))
+    df = spark.createDataFrame([(text,)], "text string")
+    begun = time.monotonic()
+    out = pii.redact(df).first().text
+    assert out.count("[EMAIL]") == n and "@" not in out
+    assert time.monotonic() - begun < 60
