@@ -123,3 +123,23 @@ def test_rank_within_more_partitions_than_rows(spark):
     w = Window.partitionBy("grp").orderBy(F.col("s").desc(), F.col("id").asc())
     want = df.withColumn("r", F.row_number().over(w))
     assert sorted(map(tuple, got.select("grp", "id", "r").collect())) == sorted(map(tuple, want.select("grp", "id", "r").collect()))
+
+
+def test_idf_join_is_hashed_where_it_fits(spark, monkeypatch):
+    """No side of the join by terms is sorted, unless a partition's idf rows are too many; same scores."""
+    monkeypatch.setattr(R, "BROADCAST_MAX_BYTES", -1)
+    docs = spark.createDataFrame([(f"c{i % 3}", i, f"alpha beta word{i % 7} word{i % 5} beta") for i in range(60)], "collection string, doc_id long, text string")
+    queries = spark.createDataFrame([("c0", "alpha word1"), ("c1", "word2 beta"), ("c3", "none")], "collection string, query string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    got = {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for most in (R.HASHED_MAX_ROWS, 0):
+            monkeypatch.setattr(R, "HASHED_MAX_ROWS", most)
+            s = S.tfidf_scores(docs, queries)
+            assert ("ShuffledHashJoin [term" in s._jdf.queryExecution().executedPlan().toString()) == (most > 0)
+            got[most] = sorted(map(tuple, s.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    first, second = got.values()
+    assert first == second and len(first) == 60 and any(r[2] > 0 for r in first)
