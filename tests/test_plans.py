@@ -2,6 +2,8 @@
 import pytest
 
 import __spark_entry__ as E
+from quire.operators import pages as P
+from quire.plans import analysis as PL
 from quire.plans import catalog
 from tests.conftest import SF_SMALL
 
@@ -225,3 +227,21 @@ def test_outputs_are_built_on_demand(spark, monkeypatch):
 
     monkeypatch.setattr(PL, "rank", None)  # would fail if it were called
     assert catalog.q_counts(spark, SF_SMALL).count() > 0
+
+
+def test_scores_and_block_terms_are_made_once(spark, monkeypatch):
+    """Scores are stored before the two passes of the rank over them; the terms of
+    page rows are counted in their buckets, without an exchange of a row a term."""
+    stored = {}
+
+    def noted(df, name="stage"):
+        stored.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, name)
+
+    materialize = PL.materialize
+    monkeypatch.setattr(PL, "materialize", noted)
+    docs = catalog._docs(spark, SF_SMALL)
+    pages = P.page_table(docs, keys=("collection", "doc_id"), lines_per_page=2)
+    PL.run(docs.drop("text"), catalog._jobs(spark, SF_SMALL), catalog.TEST_CONFIG, pages=pages)["ranks"]
+    assert len(stored["scores"]) == 1 and len(stored["block-terms"]) == 1
+    assert not [x for x in stored["block-terms"][0].splitlines() if "Exchange hashpartitioning" in x and "term#" in x]
