@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -69,6 +71,26 @@ class _Codes(dict):
         return code
 
 
+#: Steps before the model that leave a lower-case word of Latin letters as it is, in the
+#: byte alphabet, and cut it from the signs after it.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PRETOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_WORD_AND_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Bytes to the characters that byte-level vocabularies write them as."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_alphabet()
+
+
 class WordBpe:
     """Ids of texts by a tokenizer that drops white space and never lets a
     token cross it: texts are cut at space, tab and line feed, and each distinct
@@ -76,7 +98,11 @@ class WordBpe:
 
     New stretches are encoded together, set apart by a special token, whose id
     marks where each one ends; one that holds special tokens itself is encoded
-    alone, as ordinary text."""
+    alone, as ordinary text.
+
+    Where the tokenizer's steps before its model are known to change nothing but
+    their case, Latin words go to the model directly, once for all cases and signs
+    that follow them."""
 
     REMEMBERED = 600_000
     TOGETHER = 64
@@ -87,18 +113,49 @@ class WordBpe:
             raise ValueError("the tokenizer has no special token to set words apart by")
         self.tokenizer, self.marks = tokenizer, [t.content for t in special]
         self.mark = tokenizer.token_to_id(self.marks[0])
+        steps = json.loads(tokenizer.to_str())
+        known = [steps[s] or {} for s in ("normalizer", "pre_tokenizer")]
+        self.direct = known[0].get("normalizers") == _NORMALIZERS and known[1].get("pretokenizers") == _PRETOKENIZERS and all(t["special"] for t in steps["added_tokens"])
+        self.model = tokenizer.model
         self._forget()
 
     def _forget(self):
+        self.latin: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
         self.codes, self.start, self.size, self.ids = _Codes(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _encode(self, texts: list[str], special: bool) -> list[list[int]]:
         self.tokenizer.encode_special_tokens = not special
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _latin(self, word: str) -> bytes:
+        """The ids of a lower-case word of Latin letters."""
+        if (ids := self.latin.get(word)) is None:
+            written = word if word.isascii() else "".join(map(_BYTES.__getitem__, word.encode()))
+            ids = self.latin[word] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+        return ids
+
+    def _signs(self, signs: str) -> bytes:
+        if (ids := self.signs.get(signs)) is None:
+            ids = self.signs[signs] = array("I", self._encode([signs], False)[0]).tobytes()
+        return ids
+
     def _learn(self):
         words = self.codes.new
         self.codes.new = []
+        found = [self.direct and _WORD_AND_SIGNS.fullmatch(w) for w in words]
+        latin = np.fromiter(map(bool, found), bool, len(words))
+        ids = [self._latin(m[1].lower()) + self._signs(m[2]) for m in found if m]
+        size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        size[latin] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start[latin] = len(self.ids) + np.cumsum(size[latin]) - size[latin]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32).astype("<u4")])
+        size[~latin], start[~latin] = self._learnt([w for w, m in zip(words, found) if not m])
+        self.start = np.concatenate([self.start, start])
+        self.size = np.concatenate([self.size, size])
+
+    def _learnt(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sizes of the words' ids and where they start, once ``ids`` holds them."""
         size = np.zeros(len(words), np.int64)
         mark = re.compile("|".join(map(re.escape, self.marks))).search
         odd = [i for i, w in enumerate(words) if mark(w)]
@@ -117,9 +174,8 @@ class WordBpe:
         start, known = np.empty_like(size), len(self.ids)
         start[~is_odd] = known + np.cumsum(size[~is_odd]) - size[~is_odd]
         start[odd] = known + size[~is_odd].sum() + np.cumsum(size[odd]) - size[odd]
-        self.start = np.concatenate([self.start, start])
-        self.size = np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, ids[ids != self.mark], np.array(list(chain.from_iterable(alone)), "<u4")])
+        return size, start
 
     def __call__(self, texts: list[str], end: int | None = None) -> list[np.ndarray]:
         if len(self.codes) > self.REMEMBERED:

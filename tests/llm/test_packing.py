@@ -131,3 +131,37 @@ def test_differencing_is_a_balanced_partition():
     sizes = [rng.randint(1, 512) for _ in range(600)]
     sums = [sum(sizes[i] for i in w) for w in packing.difference(sizes, 64)]
     assert max(sums) - min(sums) <= 60
+
+
+def test_sequences_are_those_of_the_pieces(spark):
+    """Open pools of sequences are gathered across tasks as those of pieces are."""
+    tokenize = vocab.word_bpe_tokens(spark, public_tokenizers.path("word_bpe_49k.json"), 1)
+    texts = [(i, "a few short words " * (i % 3) if i % 40 else "word " * 3000) for i in range(400)] + [(400, None)]
+    for parts in (1, 100):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(texts, parts), "doc_id bigint, text string")
+        ids = defaultdict(bytes)
+        for p in sorted(packing.pack_documents(df, "text", tokenize).collect(), key=lambda p: p.offset):
+            ids[p.sequence_id] += bytes(p.ids)
+        got = packing.packed_sequences(df, "text", tokenize, lambda x: x.tobytes()).collect()
+        assert sorted((r.sequence_id, r.n_ids, bytes(r.bytes)) for r in got) == sorted((s, len(b) // 4, b) for s, b in ids.items())
+        assert sorted(r["_row"] & (1 << 33) - 1 for r in got if r["_row"] >> 55) == list(range(sum(r["_row"] >> 55 for r in got)))
+    assert packing.packed_sequences(df.limit(0), "text", tokenize, lambda x: x.tobytes()).count() == 0
+
+
+def test_a_word_is_encoded_once_for_cases_and_signs():
+    encode = vocab._word_bpe(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    words = ["Überzahlwort", "überzahlwort.", "ÜBERZAHLWORT,", "überzahlwort", "überzahlwort$$$'", "Überzahlwort.", "plainest", "Plainest;"]
+
+    class Model:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, word):
+            self.asked.append(word)
+            return self.model.tokenize(word)
+
+    own = vocab.WordBpe(encode.tokenizer)
+    own.model = Model(own.model)
+    found = [x.tolist() for x in own(words)]
+    assert own.direct and len(own.model.asked) == 2
+    assert found == [ids_of(w)[:-1] for w in words]
