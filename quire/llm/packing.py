@@ -143,9 +143,10 @@ def _placed(tokens: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]], length: i
 
 
 def _whole(tokens, length: int, piece: int, windows: int):
-    """The ids of each sequence, and the sequences' ids, batch by batch."""
-    for _, docs, row, start, size, seq, _ in _placed(tokens, length, piece, windows, False):
-        firsts = np.flatnonzero(np.diff(seq, prepend=-1))
+    """The ids of each sequence, and the sequences' ids, batch by batch; a piece of
+    a pool that is not full is one of its own, with sequence ``_OPEN``."""
+    for _, docs, row, start, size, seq, _ in _placed(tokens, length, piece, windows, True):
+        firsts = np.flatnonzero((np.diff(seq, prepend=-2) != 0) | (seq == _OPEN))
         parts = [docs[r][a : a + n] for r, a, n in zip(row, start, size)]
         yield [np.concatenate(parts[a:b]) for a, b in zip(firsts, [*firsts[1:], len(parts)])], seq[firsts]
 
@@ -184,13 +185,15 @@ def _closed(pool: list[pa.RecordBatch], length: int, sequence: int) -> tuple[pa.
     return table, sequence + len(found)
 
 
-def gather(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.RecordBatch]:
-    """Batches of open pieces with their sequences: pools of ``windows`` sequences'
-    worth of ids, over the bounds of batches; the task's last one may be smaller."""
-    sequence = _GATHERED | TaskContext.get().partitionId() << 40
+def _pools(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.Table]:
+    """Batches of open pieces as pools of ``windows`` sequences' worth of ids, over
+    the bounds of batches, with their sequences; the task's last one may be smaller."""
+    sequence = None
     pool: list[pa.RecordBatch] = []
     pooled, full = 0, windows * length
     for batch in batches:
+        if sequence is None and batch.num_rows:
+            sequence = batch.column("sequence_id")[0].as_py()  # the task's first
         while batch.num_rows:
             total = pooled + np.cumsum(batch.column("length").to_numpy())
             n = min(int(np.searchsorted(total, full)) + 1, batch.num_rows)  # with the piece that fills the pool
@@ -199,10 +202,29 @@ def gather(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iter
             batch = batch.slice(n)
             if pooled >= full:
                 table, sequence = _closed(pool, length, sequence)
-                yield from table.to_batches()
+                yield table
                 pool, pooled = [], 0
     if pool:
-        yield from _closed(pool, length, sequence)[0].to_batches()
+        yield _closed(pool, length, sequence)[0]
+
+
+def gather(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of open pieces with their sequences."""
+    for table in _pools(batches, length, windows):
+        yield from table.to_batches()
+
+
+def _dealt(stored: DataFrame, at: str, length: int) -> DataFrame | None:
+    """The open pieces of a stored table in few tasks, in the order of ``at``, with
+    their task's first sequence: that of the exchange, wherever its rows go on."""
+    is_open = F.col("sequence_id") == _OPEN
+    open_ids = stored.where(is_open).agg(F.sum("length")).first()[0] or 0
+    if not open_ids:
+        return None
+    tasks = -(-open_ids // (GATHERED * length))
+    dealt = stored.where(is_open).repartition(tasks, at).sortWithinPartitions(at).drop(at)
+    first = F.shiftleft(F.spark_partition_id().cast("bigint"), 40).bitwiseOR(F.lit(_GATHERED))
+    return dealt.withColumn("sequence_id", first)
 
 
 def _slices(batches):
@@ -246,27 +268,43 @@ def pack_documents(docs: DataFrame, text_col: str, tokenize: Callable[[], Callab
     while at in (c.lower() for c in kept):
         at += "_"
     stored = materialize(source.mapInArrow(run, schema).withColumn(at, F.monotonically_increasing_id()), "pieces")
-    is_open = F.col("sequence_id") == _OPEN
-    open_ids = stored.where(is_open).agg(F.sum("length")).first()[0] or 0
-    if not open_ids:
+    dealt = _dealt(stored, at, length)
+    if dealt is None:
         return stored.drop(at)
-    tasks = -(-open_ids // (GATHERED * length))
-    dealt = stored.where(is_open).repartition(tasks, at).sortWithinPartitions(at).drop(at)
-    return stored.where(~is_open).drop(at).union(dealt.mapInArrow(lambda batches: gather(batches, length, windows), dealt.schema))
+    return stored.where(F.col("sequence_id") != _OPEN).drop(at).union(dealt.mapInArrow(lambda batches: gather(batches, length, windows), dealt.schema))
 
 
 def packed_sequences(docs: DataFrame, text_col: str, tokenize: Callable[[], Callable[[list[str]], list[np.ndarray]]], form: Callable[[np.ndarray], bytes], length: int = LENGTH, piece: int = PIECE, windows: int = WINDOWS) -> DataFrame:
-    """Sequences of documents packed as by ``pack_documents``, one row each, in a
-    single pass: ``sequence_id, n_ids, bytes``, the last being ``form`` of its ids
-    (``<u4``).  Every pool is closed where its rows end, as ids leave their task in
-    whole sequences only; small partitions are padded more.  Nulls, repeated rows
-    and empty tables as there."""
+    """The sequences that ``pack_documents`` packs, one row each, as stored tables:
+    ``sequence_id, n_ids, bytes``, the last being ``form`` of its ids (``<u4``), and
+    ``_row``, the sequence's task << 33 and its position among the task's, gapless.
+    Ids leave their task in whole sequences, but for the pieces of open pools.
+    Nulls, repeated rows and empty tables as there."""
     source = docs.select(docs[text_col].alias("text"))
+    names = ["sequence_id", "length", "bytes"]
+
+    def rows(seq, sizes, data):
+        return pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array(sizes, pa.int32()), pa.array(data, pa.binary())], names=names)
 
     def run(batches):
         ids_of = tokenize()
         tokens = ((batch.select([]), ids_of([t or "" for t in batch.column("text").to_pylist()])) for batch in _slices(batches))
-        for rows, seq in _whole(tokens, length, piece, windows):
-            yield pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array([len(r) for r in rows], pa.int32()), pa.array([form(r) for r in rows], pa.binary())], names=["sequence_id", "n_ids", "bytes"])
-
-    return source.mapInArrow(run, "sequence_id bigint, n_ids int, bytes binary")
+        for ids, seq in _whole(tokens, length, piece, windows):
+            yield rows(seq, [len(i) for i in ids], [i.tobytes() if s == _OPEN else form(i) for i, s in zip(ids, seq)])
+
+    def close(batches):
+        opened = (b.append_column("offset", pa.array(np.zeros(b.num_rows, np.int64))) for b in batches)
+        for table in _pools(opened, length, windows):
+            seq, data = table.column("sequence_id").to_numpy(), table.column("bytes").to_pylist()
+            firsts = np.flatnonzero(np.diff(seq, prepend=-1))
+            ids = [np.frombuffer(b"".join(data[a:b]), "<u4") for a, b in zip(firsts, [*firsts[1:], len(data)])]
+            yield rows(seq[firsts], [len(i) for i in ids], [form(i) for i in ids])
+
+    schema = "sequence_id bigint, length int, bytes binary"
+    stored = materialize(source.mapInArrow(run, schema).withColumn("_at", F.monotonically_increasing_id()), "sequences")
+    dealt = _dealt(stored, "_at", length)
+    whole = stored.where(F.col("sequence_id") != _OPEN).drop("_at")
+    if dealt is not None:
+        whole = whole.union(materialize(dealt.mapInArrow(close, schema), "gathered"))
+    row = F.shiftleft(F.shiftright("sequence_id", 40), 33) + F.col("sequence_id").bitwiseAND(F.lit((1 << 40) - 1))
+    return whole.select("sequence_id", F.col("length").alias("n_ids"), "bytes", row.alias("_row"))

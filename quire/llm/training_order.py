@@ -106,8 +106,12 @@ def _expanded(records: Column, size: int) -> Column:
 def _numbered_as_read(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` stored, with ``number`` = 0, 1, ... in the order of its tasks and
     their rows, and the number of rows.  No exchange: the counts of the tasks (a
-    row each, hence broadcast) shift their rows' positions."""
-    placed = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "sequences")
+    row each, hence broadcast) shift their rows' positions.  With a column ``_row``
+    (task << 33 and the position in it, gapless) it is a stored table already."""
+    if "_row" in df.columns:
+        placed, df = df, df.drop("_row")
+    else:
+        placed = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "sequences")
     task = F.shiftright("_row", 33)
     counts = placed.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
     ahead = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +141,8 @@ def write_shards(seqs: DataFrame, path: str, key: int, id_col: str = "sequence_i
 
 def write_records(held: DataFrame, path: str, key: int, length: int = LENGTH, width: int = WIDTH, per_shard: int = PER_SHARD) -> int:
     """``write_shards`` for sequences that are compressed records already:
-    ``sequence_id, n_ids, bytes`` (of ``compressed_record``)."""
+    ``sequence_id, n_ids, bytes`` (of ``compressed_record``), stored or not (see
+    ``_numbered_as_read``)."""
     parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered, total = _numbered_as_read(held)
     slotted = numbered.withColumn("slot", slot_of(F.col("number"), max(total, 1), key))
