@@ -15,7 +15,8 @@ meets there; it is then compared on all 64 bits.  Nothing is capped or sampled.
 
 Only distinct fingerprints are replicated, so copies, however many, are one row
 in the search.  Homes meet replicas in an equi-join on the anchor, whose large
-partitions AQE can split; the links go to ``components``.
+partitions AQE can split; the links go to ``components``.  Neither side is ever
+broadcast: Spark sizes the 34 rows that a fingerprint is exploded into as one.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     two anchors come twice."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the two covering codes prove at most 3 differing bits")
-    x, y = homes(fps).alias("x"), replicas(fps).alias("y")
+    x, y = homes(fps).hint("merge").alias("x"), replicas(fps).alias("y")
     close = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits
     met = x.join(y, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.fp") < F.col("y.fp")) & close)
     return met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
