@@ -47,6 +47,16 @@ def test_links_equal_all_pairs(spark):
     assert got == want and len(want) > 200
 
 
+def test_replicas_are_not_broadcast(spark):
+    fps = spark.createDataFrame([(1 << i,) for i in range(40)], "fp bigint")
+    links = simhash.fingerprint_links(fps)
+    plan = lambda: links._jdf.queryExecution().executedPlan().toString()
+    # however small Spark holds the sides to be, before the run and in it
+    assert "Broadcast" not in plan()
+    assert len({tuple(r) for r in links.collect()}) == 40 * 39 // 2
+    assert "isFinalPlan=true" in plan() and "Broadcast" not in plan()
+
+
 def test_components(spark):
     rng = random.Random(5)
     chain = [(i, i + 1) for i in range(100, 140)]
