@@ -101,6 +101,21 @@ def test_pipeline_properties_on_testdata(spark):
     assert feats.count() > 0
 
 
+def test_result_lists_its_input_documents(spark):
+    docs = spark.createDataFrame(
+        [("c", 11, 3, "a.txt", "Some Heading Here: visit"), ("c", 12, 1, "z.txt", ""), ("c", 13, 2, "m.txt", "plain"), ("c", 14, 10, "z.txt", "plain"), ("d", 15, 1, "b.txt", "")]
+        + [("e", 100 + i, 500 - i, f"{i}.txt", "") for i in range(200)] + [("no job", 16, 1, "n.txt", "")],
+        "collection string, doc_id long, doc_ord long, filename string, text string").repartition(3)
+    jobs = spark.createDataFrame([(c, "Analyst", "find things") for c in ("c", "d", "e", "no documents")], "collection string, persona string, task string")
+    res = PL.result_documents(docs, jobs, PL.JobConfig(rank_text="body"))
+    got = {r.collection: r.metadata for r in res.collect()}
+    # in manifest order; without text or listed twice, they are in the list
+    assert {c: m.input_documents for c, m in got.items()} == {"c": ["z.txt", "m.txt", "a.txt", "z.txt"], "d": ["b.txt"], "e": [f"{i}.txt" for i in reversed(range(200))]}
+    assert all(m.input_document_count == len(m.input_documents) for m in got.values())
+    m = got["c"]
+    assert m.parallel_workers >= 1 and (m.model_used, m.device) == ("extractive summary", "cpu")
+
+
 def test_result_invariant_to_partitioning(spark):
     from quire.plans import catalog as C
     from quire.sources import testdata as TD
